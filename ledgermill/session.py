@@ -22,6 +22,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **extra,
     }
     for key, value in settings.items():

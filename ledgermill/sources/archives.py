@@ -4,37 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.hadoop import file_system
+from ledgermill.sources.batches import RowBuffer, named_contents
 
 MEMBERS = "archive string, member string, content binary"
+_MEMBER_ROW = pa.schema([("archive", pa.string()), ("member", pa.string()), ("content", pa.binary())])
 
 
 def expand_archives(archives: DataFrame, member_pattern: str | None = None) -> DataFrame:
     """Rows ``(archive, member, content)`` of an archive table ``(path, content)``.
 
-    ``member_pattern`` is a regular expression found in the member name; other members are not decompressed. Members are
-    handed on one at a time, so a task holds one archive and one member.
+    ``member_pattern`` is a regular expression found in the member name; other members are not decompressed. Members
+    leave the task in batches of bounded size, so a task holds one archive and a few members.
     """
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
         import re
         import zipfile
 
         wanted = re.compile(member_pattern) if member_pattern else None
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        if info.is_dir() or (wanted and not wanted.search(info.filename)):
-                            continue
-                        yield pd.DataFrame({"archive": [path], "member": [info.filename], "content": [z.read(info)]})
-
-    return archives.select("path", "content").mapInPandas(expand, MEMBERS)
+        out = RowBuffer(_MEMBER_ROW)
+        for path, content in named_contents(batches):
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                for info in z.infolist():
+                    if info.is_dir() or (wanted and not wanted.search(info.filename)):
+                        continue
+                    out.add((path, info.filename, z.read(info)), info.file_size)
+                    if out.full():
+                        yield from out.take()
+        yield from out.take()
+
+    return archives.select("path", "content").mapInArrow(expand, MEMBERS)
 
 
 def scan_archives(

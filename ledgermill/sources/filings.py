@@ -4,68 +4,115 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.sources.batches import RowBuffer, named_contents
+
 FACTS = (
     "source_path string, fact_index bigint, local_name string, value string, "
     "context_id string, unit_id string, label string"
 )
+_FACT_ROW = pa.schema(
+    [
+        ("source_path", pa.string()),
+        ("fact_index", pa.int64()),
+        ("local_name", pa.string()),
+        ("value", pa.string()),
+        ("context_id", pa.string()),
+        ("unit_id", pa.string()),
+        ("label", pa.string()),
+    ]
+)
 
 # Where the public instance documents sit inside a filing.
 PUBLIC_MEMBER = r"(^|/)XBRL/PublicDoc/[^/]+\.xbrl$"
 
-_CHUNK = 4096
-
-
-def _facts_of(path: str, content: bytes, skip_bad: bool) -> Iterator[pd.DataFrame]:
-    """Facts of one document in chunks: the root's direct children that carry a context reference."""
-    import io
-    from xml.etree import ElementTree
-
-    if skip_bad:
-        try:
-            for _, element in ElementTree.iterparse(io.BytesIO(content)):
-                element.clear()
-        except ElementTree.ParseError:
-            return
-    names = [f.split(" ")[0] for f in FACTS.split(", ")]
-    rows, depth, index, root = [], 0, 0, None
-    for event, element in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
-        if event == "start":
-            root = element if root is None else root
-            depth += 1
-            continue
-        depth -= 1
-        if depth != 1:
-            continue
-        context = element.get("contextRef")
-        if context is not None:
-            name = element.tag.rsplit("}", 1)[-1]
-            rows.append((path, index, name, element.text, context, element.get("unitRef"), None))
-            index += 1
-        root.clear()
-        if len(rows) >= _CHUNK:
-            yield pd.DataFrame(rows, columns=names)
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=names)
+_FEED = 1 << 20
+
+
+class _Facts:
+    """Reads the root's direct children that carry a context reference; ``ready`` holds the facts met so far."""
+
+    def __init__(self, path: str):
+        from xml.parsers import expat
+
+        self.path, self.depth, self.count = path, 0, 0
+        self.open: tuple | None = None
+        self.text: list[str] = []
+        self.ready: list[tuple] = []
+        self.parser = expat.ParserCreate(namespace_separator="}")
+        self.parser.buffer_text = True
+        self.parser.StartElementHandler = self.start
+        self.parser.EndElementHandler = self.end
+        self.parser.CharacterDataHandler = self.characters
+
+    def start(self, tag, attributes):
+        self.depth += 1
+        if self.depth == 2 and "contextRef" in attributes:
+            self.open = (tag.rpartition("}")[2], attributes["contextRef"], attributes.get("unitRef"))
+            self.text = []
+
+    def characters(self, data):
+        if self.open is not None and self.depth == 2:
+            self.text.append(data)
+
+    def end(self, _):
+        if self.depth == 2 and self.open is not None:
+            name, context, unit = self.open
+            value = "".join(self.text) if self.text else None
+            self.ready.append((self.path, self.count, name, value, context, unit, None))
+            self.count += 1
+            self.open = None
+        self.depth -= 1
+
+    def feed(self, content: bytes) -> Iterator[list[tuple]]:
+        """Facts in the order of the document, a piece of it at a time."""
+        for at in range(0, len(content), _FEED):
+            self.parser.Parse(content[at : at + _FEED], False)
+            yield self.ready
+            self.ready = []
+        self.parser.Parse(b"", True)
+        yield self.ready
+
+
+def _well_formed(content: bytes) -> bool:
+    from xml.parsers import expat
+
+    try:
+        expat.ParserCreate().Parse(content, True)
+        return True
+    except expat.ExpatError:
+        return False
 
 
 def filing_facts(documents: DataFrame, skip_bad: bool = False) -> DataFrame:
     """Fact rows of a document table ``(source_path, content)``.
 
     ``fact_index`` numbers the facts of one document in document order. ``skip_bad`` leaves out documents that are not
-    well-formed; otherwise such a document fails the job.
+    well-formed; otherwise such a document fails the job. Facts leave the task in bounded batches, so a task holds one
+    document's bytes and not its facts.
     """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["source_path"], batch["content"]):
-                yield from _facts_of(path, content, skip_bad)
-
-    return documents.select("source_path", "content").mapInPandas(parse, FACTS)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xml.parsers import expat
+
+        out = RowBuffer(_FACT_ROW)
+        for path, content in named_contents(batches):
+            if skip_bad and not _well_formed(content):
+                continue
+            try:
+                for facts in _Facts(path).feed(content):
+                    for fact in facts:
+                        out.add(fact, len(fact[3] or ""))
+                        if out.full():
+                            yield from out.take()
+            except expat.ExpatError as e:
+                raise ValueError(f"{path} is not a well-formed document: {e}") from e
+        yield from out.take()
+
+    return documents.select("source_path", "content").mapInArrow(parse, FACTS)
 
 
 def scan_filings(spark: SparkSession, paths: str | Sequence[str], skip_bad: bool = False) -> DataFrame:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions.text import null_words_to_null
+from ledgermill.sources.batches import RowBuffer, named_contents
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_CHUNK = 2048
+_BOOK_ROW = pa.schema(
+    [("path", pa.string()), ("row_index", pa.int64()), ("cells", pa.map_(pa.string(), pa.string()))]
+)
 
 
 def _column_number(reference: str) -> int:
@@ -65,24 +68,23 @@ def workbook_rows(books: DataFrame) -> DataFrame:
     """Rows ``(path, row_index, cells)`` of a workbook table ``(path, content)``; ``cells`` maps header to text and the
     header row itself is not a row."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                header: dict[int, str] | None = None
-                rows, index = [], 0
-                for row in _sheet_rows(content):
-                    if header is None:
-                        header = row
-                        continue
-                    rows.append((path, index, [(header[i], v) for i, v in row.items() if i in header]))
-                    index += 1
-                    if len(rows) >= _CHUNK:
-                        yield pd.DataFrame(rows, columns=["path", "row_index", "cells"])
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "row_index", "cells"])
-
-    return books.select("path", "content").mapInPandas(read, "path string, row_index bigint, cells map<string,string>")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = RowBuffer(_BOOK_ROW)
+        for path, content in named_contents(batches):
+            header: dict[int, str] | None = None
+            index = 0
+            for row in _sheet_rows(content):
+                if header is None:
+                    header = row
+                    continue
+                cells = [(header[i], v) for i, v in row.items() if i in header]
+                out.add((path, index, cells), sum(len(v) for _, v in cells))
+                index += 1
+                if out.full():
+                    yield from out.take()
+        yield from out.take()
+
+    return books.select("path", "content").mapInArrow(read, "path string, row_index bigint, cells map<string,string>")
 
 
 def workbook_table(books: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
