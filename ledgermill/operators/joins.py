@@ -229,7 +229,8 @@ def request_grid(codes: DataFrame, axis: DataFrame | Column, name: str) -> DataF
     buckets = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values_in = axis.select(col(axis.columns[0]).alias(name)).distinct().filter(col(name).isNotNull())
     values_in = values_in.withColumn("_b", F.pmod(F.xxhash64(col(name)), F.lit(buckets)))
-    visits = codes.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).cast("bigint"))
+    every_bucket = F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
+    visits = codes.withColumn("_b", F.explode(every_bucket))
     return visits.join(values_in, "_b").drop("_b")
 
 
