@@ -213,8 +213,8 @@ def code_list_semi(spark, d):
 )
 def join_left_null_safe(spark, d):
     o = _read(spark, d, "orders").select("o_orderkey", F.expr("if(o_custkey % 5 = 0, null, o_custkey)").alias("k"))
-    c = _read(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), "c_name")
-    c = combine.union_parts([c, spark.range(1).select(F.lit("unknown").alias("c_name"))])
+    c = _read(spark, d, "customer").filter("c_custkey % 2 = 0 or c_custkey = 1")
+    c = c.selectExpr("if(c_custkey = 1, null, c_custkey) as k", "if(c_custkey = 1, 'unknown', c_name) as c_name")
     return joins.null_safe_join(o, c, ["k"], "left")
 
 
@@ -225,8 +225,8 @@ def join_left_null_safe(spark, d):
 )
 def join_right_split(spark, d):
     o = _read(spark, d, "orders").select("o_orderkey", F.expr("if(o_custkey % 5 = 0, null, o_custkey)").alias("k"))
-    c = _read(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), "c_name")
-    c = combine.union_parts([c, spark.range(1).select(F.lit("unknown").alias("c_name"))])
+    c = _read(spark, d, "customer").filter("c_custkey % 2 = 0 or c_custkey = 1")
+    c = c.selectExpr("if(c_custkey = 1, null, c_custkey) as k", "if(c_custkey = 1, 'unknown', c_name) as c_name")
     return joins.null_safe_join(o, c, ["k"], "right", split_hot=True)
 
 

@@ -21,6 +21,9 @@ NUMBER_TEXT = r"^[ \t\r\n]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t
 WHOLE_TEXT = r"^[ \t\r\n]*[+-]?[0-9]+[ \t\r\n]*$"
 INFINITY_TEXT = r"(?i)^[ \t\r\n]*[+-]?inf(inity)?[ \t\r\n]*$"
 ISO_DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+# Numbers too short to overflow, and whole numbers sure to fit 64 bits: nearly all text takes these quick paths.
+_SHORT_NUMBER = r"^[ \t\r\n]*[+-]?([0-9]{1,200}\.?[0-9]{0,100}|\.[0-9]{1,100})([eE][+-]?[0-9]{1,2})?[ \t\r\n]*$"
+_SHORT_WHOLE = r"^[ \t\r\n]*[+-]?[0-9]{1,18}[ \t\r\n]*$"
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -29,11 +32,23 @@ _LONG_MIN, _LONG_LIMIT = -(2.0**63), 2.0**63
 
 
 def _double_of_text(c: Column) -> Column:
-    """Text as a double; null unless it spells a finite number (or an infinity by name)."""
-    number = F.when(c.rlike(NUMBER_TEXT), F.trim(F.translate(c, "\t\r\n", "   ")).try_cast("double"))
-    overflow = F.abs(number) == F.lit(float("inf"))
-    named = F.when(c.rlike(INFINITY_TEXT), F.when(c.contains("-"), F.lit(float("-inf"))).otherwise(float("inf")))
-    return F.coalesce(F.when(~overflow, number), named)
+    """Text as a double; null unless it spells a finite number (or an infinity by name).
+
+    Casts trim white space themselves, so the text is matched once and cast once on the quick path.
+    """
+    number = c.try_cast("double")
+    return (
+        F.when(c.rlike(_SHORT_NUMBER), number)
+        .when(c.rlike(INFINITY_TEXT), number)
+        .when(c.rlike(NUMBER_TEXT), F.when(F.abs(number) < F.lit(float("inf")), number))
+    )
+
+
+def without_nan(c: Column, source: T.DataType) -> Column:
+    """The column with NaN read as null."""
+    if isinstance(source, (T.FloatType, T.DoubleType)):
+        return F.nanvl(c, F.lit(None).cast(source))
+    return c
 
 
 def to_double(c: Column, source: T.DataType) -> Column:
@@ -41,7 +56,7 @@ def to_double(c: Column, source: T.DataType) -> Column:
     if isinstance(source, T.StringType):
         return _double_of_text(c)
     if isinstance(source, (T.FloatType, T.DoubleType)):
-        return F.when(~F.isnan(c), c.cast("double"))
+        return without_nan(c, source).cast("double")
     if isinstance(source, _INTEGRAL + (T.DecimalType, T.BooleanType)):
         return c.cast("double")
     if isinstance(source, T.NullType):
@@ -60,12 +75,15 @@ def to_long(c: Column, source: T.DataType) -> Column:
     Digits-only text goes straight to ``bigint``, so whole numbers above 2**53 keep every digit.
     """
     if isinstance(source, T.StringType):
-        direct = F.when(c.rlike(WHOLE_TEXT), F.trim(F.translate(c, "\t\r\n", "   ")).try_cast("bigint"))
-        return F.coalesce(direct, _whole_of_double(_double_of_text(c)))
+        return (
+            F.when(c.rlike(_SHORT_WHOLE), c.try_cast("bigint"))
+            .when(c.rlike(WHOLE_TEXT), F.coalesce(c.try_cast("bigint"), _whole_of_double(c.try_cast("double"))))
+            .when(c.rlike(NUMBER_TEXT), _whole_of_double(c.try_cast("double")))
+        )
     if isinstance(source, _FRACTIONAL):
         if isinstance(source, T.DecimalType):
             return F.when(c == F.floor(c), c.try_cast("bigint"))
-        return _whole_of_double(F.when(~F.isnan(c), c.cast("double")))
+        return _whole_of_double(c.cast("double"))
     if isinstance(source, _INTEGRAL + (T.BooleanType,)):
         return c.cast("bigint")
     if isinstance(source, T.NullType):
@@ -75,8 +93,11 @@ def to_long(c: Column, source: T.DataType) -> Column:
 
 def not_whole(c: Column, source: T.DataType) -> Column:
     """True where the value is a number that a 64-bit whole number cannot hold (a fraction, an infinity, too big)."""
-    if isinstance(source, (T.StringType,) + _FRACTIONAL):
-        return to_double(c, source).isNotNull() & to_long(c, source).isNull()
+    if isinstance(source, T.StringType):
+        number = ~c.rlike(_SHORT_WHOLE) & (c.rlike(NUMBER_TEXT) | c.rlike(INFINITY_TEXT))
+        return number & to_double(c, source).isNotNull() & to_long(c, source).isNull()
+    if isinstance(source, _FRACTIONAL):
+        return without_nan(c, source).isNotNull() & to_long(c, source).isNull()
     return F.lit(False)
 
 
@@ -108,16 +129,16 @@ def _double_text(c: Column) -> Column:
     """Double as text with a plain decimal point from 1e-4 up to 1e16 and ``1e+16`` style outside."""
     text = c.cast("string")
     size = F.abs(c)
-    plain = F.rtrim(c.cast("string").try_cast(T.DecimalType(38, 22)).cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    # a decimal of the text keeps its digits; what follows the last digit that counts is cut
+    plain = F.regexp_extract(text.try_cast(T.DecimalType(38, 22)).cast("string"), r"^(-?[0-9]+\.[0-9]+?)0*$", 1)
     mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
     power = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
-    digits = F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0")
+    digits = F.format_string("%02d", F.abs(power))
     scientific = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), digits)
     return (
-        F.when(F.isnan(c), F.lit(None).cast("string"))
+        F.when((size >= 1e-3) & (size < 1e7) | (size == 0), text)
+        .when(F.isnan(c), F.lit(None).cast("string"))
         .when(size == F.lit(float("inf")), F.when(c > 0, "inf").otherwise("-inf"))
-        .when(~text.contains("E"), text)
         .when((size >= 1e-4) & (size < 1e16), plain)
         .otherwise(scientific)
     )

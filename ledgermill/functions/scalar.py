@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.functions.coerce import without_nan
+
 # The exchange suffix of a listed code and the check digit that replaces it in stored tables.
 EXCHANGE_SUFFIX = ".T"
 CHECK_DIGIT = "0"
@@ -54,6 +56,4 @@ def now_whole_seconds() -> Column:
 
 def is_missing(c: Column, source: T.DataType | None = None) -> Column:
     """Null test that also counts NaN when the column type is a float."""
-    if isinstance(source, (T.FloatType, T.DoubleType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+    return (c if source is None else without_nan(c, source)).isNull()

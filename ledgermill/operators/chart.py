@@ -22,12 +22,15 @@ def chart_feed(
 ) -> DataFrame:
     """The chart columns plus the code's greatest volume.
 
-    The maximum is one pre-aggregated row per code joined back, not a window, so a code with a very long history is
-    spread over tasks.
+    For one code the maximum is read first, in a small job, and attached as a constant. For all codes it is one
+    pre-aggregated row per code joined back, not a window, so a code with a very long history is spread over tasks.
     """
     require_columns(df, [code_column, volume, *columns])
-    rows = code_slice(df, code, code_column)
-    top = rows.groupBy(col(code_column)).agg(F.max(col(volume)).alias(axis))
+    if code is not None:
+        rows = code_slice(df, code, code_column)
+        top = rows.agg(F.max(col(volume)).alias(axis)).first()[axis]
+        return rows.select(*[col(c) for c in columns], F.lit(top).cast(df.schema[volume].dataType).alias(axis))
+    top = df.groupBy(col(code_column)).agg(F.max(col(volume)).alias(axis))
     needed = [code_column] + [c for c in columns if c != code_column]
-    joined = null_safe_join(rows.select(*[col(c) for c in needed]), top, [code_column], "left")
+    joined = null_safe_join(df.select(*[col(c) for c in needed]), top, [code_column], "left")
     return joined.select(*[col(c) for c in columns], col(axis))

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.functions.scalar import is_missing
+from ledgermill.functions.coerce import without_nan
 from ledgermill.names import col, require_columns
+from ledgermill.operators.joins import null_safe_join
 from ledgermill.operators.profile import FILL_METHODS, fill_statistics
 from ledgermill.spec import FillSpec
 
@@ -35,7 +36,7 @@ def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
             kind = T.DoubleType()
         elif isinstance(kind, _INTEGRAL) and isinstance(value, int) and not isinstance(value, bool):
             kind = T.LongType() if abs(value) >= 2**31 or isinstance(kind, T.LongType) else kind
-        present = F.when(~is_missing(c, f.dataType), c.cast(kind))
+        present = without_nan(c, f.dataType).cast(kind)
         out.append(F.coalesce(present, F.lit(value).cast(kind)).alias(f.name))
     return df.select(*out)
 
@@ -78,12 +79,10 @@ def fill_nulls_by_group(df: DataFrame, group: Sequence[str], methods: Mapping[st
 
     The statistics are one pre-aggregated row per group joined back, so a hot group is never gathered in one task.
     """
-    from ledgermill.operators.joins import null_safe_join
-
     require_columns(df, [*group, *methods])
     aggregates, zero = [], {}
     for name, method in methods.items():
-        v = F.when(~is_missing(col(name), df.schema[name].dataType), col(name))
+        v = without_nan(col(name), df.schema[name].dataType)
         if method == "zero":
             zero[name] = 0
         elif method in ("mean", "min", "max", "sum"):
@@ -98,10 +97,10 @@ def fill_nulls_by_group(df: DataFrame, group: Sequence[str], methods: Mapping[st
     for f in df.schema.fields:
         c = col(f.name)
         if f.name in zero:
-            columns.append(F.coalesce(F.when(~is_missing(c, f.dataType), c), F.lit(0).cast(f.dataType)).alias(f.name))
+            columns.append(F.coalesce(without_nan(c, f.dataType), F.lit(0).cast(f.dataType)).alias(f.name))
         elif f.name in methods:
             stat = col(f"_s_{f.name}")
-            columns.append(F.coalesce(F.when(~is_missing(c, f.dataType), c), stat).alias(f.name))
+            columns.append(F.coalesce(without_nan(c, f.dataType), stat).alias(f.name))
         else:
             columns.append(c)
     return out.select(*columns)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.functions.coerce import without_nan
 from ledgermill.functions.scalar import is_missing
 from ledgermill.names import col, require_columns
 
@@ -20,9 +21,7 @@ FILL_METHODS = ("mean", "median", "mode", "min", "max", "sum", "zero")
 
 
 def _present(df: DataFrame, name: str) -> Column:
-    """The column with NaN read as null."""
-    c = col(name)
-    return F.when(~is_missing(c, df.schema[name].dataType), c)
+    return without_nan(col(name), df.schema[name].dataType)
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.functions.coerce import without_nan
 from ledgermill.functions.scalar import is_missing
 from ledgermill.names import col, require_columns
 
@@ -21,13 +22,12 @@ def pivot_mean(
     are all unwanted yields no row (``drop_empty``). The wanted names are given, so no job looks for them.
     """
     require_columns(df, [*index, names, values])
-    v = F.when(~is_missing(col(values), df.schema[values].dataType), col(values))
+    v = without_nan(col(values), df.schema[values].dataType)
     rows = df.select(*[col(i) for i in index], col(names).alias("_name"), v.alias("_value"))
     rows = rows.dropna(subset=list(index)) if index else rows
     rows = rows.filter(F.col("_name").isin(list(wanted)))
-    if drop_empty:
-        rows = rows.filter(F.col("_value").isNotNull())
-    return rows.groupBy(*[col(i) for i in index]).pivot("_name", list(wanted)).agg(F.avg("_value"))
+    wide = rows.groupBy(*[col(i) for i in index]).pivot("_name", list(wanted)).agg(F.avg("_value"))
+    return wide.filter(F.coalesce(*[col(w) for w in wanted]).isNotNull()) if drop_empty else wide
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
