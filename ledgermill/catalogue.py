@@ -47,6 +47,12 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return files.scan_table(spark, TableRef(path=f"{d}/{name}.parquet"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table scan with at least one partition per core, for work that is heavy per row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _null_every(df: DataFrame, key: str, n: int, column: str):
     return F.when(F.col(key) % n != 0, F.col(column))
 
@@ -872,7 +878,7 @@ def scan_filing_index(spark, d):
 
 @query("SELECT doc_id, text FROM documents")
 def scan_archive_members(spark, d):
-    rows = _read(spark, d, "documents").select(
+    rows = _spread(_read(spark, d, "documents")).select(
         F.format_string("doc/%d.txt", "doc_id").alias("member"), F.encode("text", "UTF-8").alias("content")
     )
     members = archives.expand_archives(samples.zip_rows(rows), r"\.txt$")
@@ -903,7 +909,7 @@ def scan_filing_facts(spark, d):
             ("Quantity", "Prior1YearInstant", F.col("l_quantity").cast("bigint")),
         ]
     )
-    documents = _read(spark, d, "lineitem").select(
+    documents = _spread(_read(spark, d, "lineitem")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("source_path"), F.encode(xml, "UTF-8").alias("content")
     )
     facts = filings.filing_facts(documents)
@@ -1029,7 +1035,7 @@ def ingest_filings(spark, d):
         ]
     )
     archive = samples.zip_documents(
-        _read(spark, d, "orders").select(
+        _spread(_read(spark, d, "orders")).select(
             F.format_string("%d.zip", order).alias("path"),
             F.lit("XBRL/PublicDoc/report.xbrl").alias("member"),
             F.encode(xml, "UTF-8").alias("content"),

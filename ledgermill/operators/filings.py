@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,9 +137,10 @@ TAG_DICTIONARY = {
 
 
 def tag_dimension(spark: SparkSession, dictionary: dict[str, dict[str, str]] | None = None) -> DataFrame:
-    """Rows ``(standard, tag, attribute)`` of a tag dictionary; small by construction."""
+    """Rows ``(standard, tag, attribute)`` of a tag dictionary, which is held in the driver and so is small."""
     rows = [(s, t, a) for s, tags in (dictionary or TAG_DICTIONARY).items() for t, a in tags.items()]
-    return spark.createDataFrame(rows, "standard string, tag string, attribute string")
+    names = ("standard", "tag", "attribute")
+    return spark.createDataFrame(pa.table([pa.array(c, pa.string()) for c in zip(*rows)], names=names))
 
 
 def document_metadata(facts: DataFrame) -> DataFrame:

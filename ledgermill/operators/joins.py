@@ -125,7 +125,7 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def has_repeated_keys(df: DataFrame, keys: Sequence[str]) -> bool:
     """True when some key occurs more than once. Runs one job over the key columns."""
-    return not repeated_keys(df, keys).limit(1).isEmpty()
+    return not repeated_keys(df, keys).isEmpty()
 
 
 def join_row_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -193,16 +193,23 @@ def join_chain(
     return out
 
 
-def in_codes(df: DataFrame, codes: DataFrame, column: str, code_column: str | None = None) -> DataFrame:
-    """Rows whose code is in the code table (null never is)."""
-    code_column = code_column or codes.columns[0]
+def in_codes(
+    df: DataFrame, codes: DataFrame | Sequence[object], column: str, code_column: str | None = None
+) -> DataFrame:
+    """Rows whose code is in a code table or an inline list (null never is).
+
+    A list becomes a filter, which reaches the file scan; a table is a semi-join that Spark broadcasts when it is small.
+    """
     require_columns(df, [column])
+    if not isinstance(codes, DataFrame):
+        return df.filter(col(column).isin(list(codes)))
+    code_column = code_column or codes.columns[0]
     right = codes.select(col(code_column).alias("_code")).distinct()
     return df.join(right, col(column) == F.col("_code"), "left_semi")
 
 
 # An axis longer than this many values is not carried inside rows; see request_grid.
-AXIS_IN_ROW = 50_000
+AXIS_IN_ROW = 5_000
 
 
 def axis_values(axis: DataFrame, limit: int = AXIS_IN_ROW) -> list | None:

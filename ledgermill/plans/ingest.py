@@ -24,8 +24,8 @@ from ledgermill.operators.reshape import prices_to_rows, series_to_rows, stateme
 from ledgermill.operators.validate import validate
 from ledgermill.plans.chain import run_chain
 from ledgermill.plans.windows import LoadWindow
-from ledgermill.scratch import write_scratch
-from ledgermill.sinks.tables import write_table, write_tables
+from ledgermill.scratch import scratch_scope, write_scratch
+from ledgermill.sinks.tables import read_table, write_table, write_tables
 from ledgermill.sources.archives import expand_archives
 from ledgermill.sources.files import load_flat_files
 from ledgermill.sources.filings import PUBLIC_MEMBER, filing_documents, filing_facts
@@ -33,23 +33,31 @@ from ledgermill.spec import IngestSpec, TableSpec, TargetSpec
 
 
 def finish(
-    df: DataFrame, spec: TableSpec | None, source: str | None, target: TargetSpec | None = None, stage: bool | None = None
-) -> DataFrame | None:
-    """Metadata, validation, then the frame itself or a keyed write to ``target``.
+    df: DataFrame, spec: TableSpec | None, source: str | None, target: TargetSpec | None = None, stage: bool = False
+) -> DataFrame:
+    """Metadata, validation, then the frame itself or, with a target, a keyed write and the stored table.
 
-    With a target the validated rows are staged once and written from there.
+    With a target the validated rows are staged once, written from there, and the staging is removed.
     """
     df = with_ingestion_metadata(df, source)
-    if spec is not None:
-        df = validate(df, spec, stage=target is not None if stage is None else stage)
     if target is None:
-        return df
+        return df if spec is None else validate(df, spec, stage)
     keys = spec.primary_keys if spec else []
     partition_by = list(target.partition_by) or (spec.partition_columns if spec else [])
-    write_table(
-        df, target.path, target.mode, keys, target.fmt, partition_by, target.compression, target.evolve, stage=spec is None
-    )
-    return df
+    with scratch_scope(df.sparkSession):
+        ready = df if spec is None else validate(df, spec, stage=True)
+        write_table(
+            ready,
+            target.path,
+            target.mode,
+            keys,
+            target.fmt,
+            partition_by,
+            target.compression,
+            target.evolve,
+            stage=spec is None,
+        )
+    return read_table(df.sparkSession, target.path, target.fmt)
 
 
 def ingest(spark: SparkSession, spec: IngestSpec) -> DataFrame | None:
@@ -88,7 +96,7 @@ def _landed(
     landed: DataFrame,
     spec: TableSpec,
     source: str,
-    codes: DataFrame | None,
+    codes: DataFrame | Sequence[str] | None,
     code_column: str,
     window: LoadWindow | None,
     date_column: str,
@@ -98,7 +106,7 @@ def _landed(
         landed = in_codes(landed, codes, code_column)
     if window is not None:
         landed = window.apply(landed, date_column)
-    if landed.limit(1).isEmpty():
+    if landed.isEmpty():
         return None
     return finish(landed, spec, source, target)
 
@@ -106,7 +114,7 @@ def _landed(
 def ingest_summary(
     landed: DataFrame,
     source: str,
-    codes: DataFrame | None = None,
+    codes: DataFrame | Sequence[str] | None = None,
     window: LoadWindow | None = None,
     spec: TableSpec = schemas.SUMMARY,
     target: TargetSpec | None = None,
@@ -120,7 +128,7 @@ def ingest_summary(
 def ingest_bars(
     landed: DataFrame,
     source: str,
-    codes: DataFrame | None = None,
+    codes: DataFrame | Sequence[str] | None = None,
     window: LoadWindow | None = None,
     spec: TableSpec = schemas.DAILY_BARS,
     target: TargetSpec | None = None,
@@ -192,13 +200,14 @@ def ingest_statements(
         wanted = codes.select(exchange_ticker(col(codes.columns[0])).alias("code"))
         rows = {name: in_codes(df, wanted, "ticker") for name, df in rows.items()}
     rows = {name: statement_rows(df, specs[name], cut_date, impute) for name, df in rows.items()}
-    if any(df.limit(1).isEmpty() for df in rows.values()):
+    if any(df.isEmpty() for df in rows.values()):
         return None
-    done = {name: finish(df, specs[name], source, stage=targets is not None) for name, df in rows.items()}
     if targets is None:
-        return done
-    plan = {name: (df, specs[name].primary_keys, targets.get(name)) for name, df in done.items()}
-    return write_tables(plan, mode, stage=False, **write_options)
+        return {name: finish(df, specs[name], source) for name, df in rows.items()}
+    with scratch_scope(dividends.sparkSession):
+        done = {name: finish(df, specs[name], source, stage=True) for name, df in rows.items()}
+        plan = {name: (df, specs[name].primary_keys, targets.get(name)) for name, df in done.items()}
+        return write_tables(plan, mode, stage=False, **write_options)
 
 
 def ingest_prices(
@@ -223,7 +232,7 @@ def ingest_prices(
     rows = prices_to_rows(wide, tickers, schemas.PRICE_FIELDS, date, sep)
     if listed:
         rows = rows.withColumn("ticker", stored_ticker(col("ticker")))
-    if rows.limit(1).isEmpty():
+    if rows.isEmpty():
         return None
     return finish(rows, spec, source, target)
 
@@ -261,11 +270,13 @@ def ingest_filings(
     named = archives.withColumn("_doc", F.regexp_extract("path", r"([^/]+?)(?:\.zip)?$", 1))
     picked = named.join(F.broadcast(wanted) if few else wanted, "_doc", "left_semi").select("path", "content")
     members = expand_archives(picked, PUBLIC_MEMBER)
-    facts = write_scratch(filing_facts(filing_documents(members), skip_bad), "facts")
-    rows = normalise_filing_facts(facts)
-    if rows.limit(1).isEmpty():
-        return None
-    return finish(rows, spec, source, target)
+    parsed = filing_facts(filing_documents(members), skip_bad)
+    if target is None:
+        rows = normalise_filing_facts(write_scratch(parsed, "facts"))
+        return None if rows.isEmpty() else finish(rows, spec, source)
+    with scratch_scope(parsed.sparkSession):
+        rows = normalise_filing_facts(write_scratch(parsed, "facts"))
+        return None if rows.isEmpty() else finish(rows, spec, source, target)
 
 
 def upsert_target(path: str, **options) -> TargetSpec:

@@ -7,11 +7,17 @@ folder of its own, because a machine-local folder is invisible to other executor
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.hadoop import file_system
+
 _LOCAL: dict[str, str] = {}
+_OPEN = threading.local()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -34,5 +40,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def write_scratch(df: DataFrame, label: str) -> DataFrame:
     """Write the frame once and return it read back: lineage ends here and sizes are known to the planner."""
     path = scratch_path(df.sparkSession, label)
+    for owned in getattr(_OPEN, "stack", [])[-1:]:
+        owned.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end, also when the work fails.
+
+    For work that ends in a stored table; a frame that is handed out lazily must not be built in a scope.
+    """
+    if not hasattr(_OPEN, "stack"):
+        _OPEN.stack = []
+    _OPEN.stack.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.stack.pop():
+            fs, p, _ = file_system(spark, path)
+            fs.delete(p, True)

@@ -34,7 +34,7 @@ from ledgermill.operators.merge import (
     kept_rows,
     new_rows,
 )
-from ledgermill.scratch import write_scratch
+from ledgermill.scratch import scratch_scope, write_scratch
 
 FORMATS = ("parquet", "csv")
 _SCHEMA_FILE = "_schema.json"
@@ -210,16 +210,27 @@ def write_table(
     if partition_by and fmt == "csv":
         raise ValueError("Partition columns need the parquet format")
     require_columns(df, partition_by, "the frame to write")
-    spark = df.sparkSession
+    with scratch_scope(df.sparkSession):
+        _write(df, path, mode, list(keys), fmt, partition_by, compression, evolve, stage)
 
-    def create() -> None:
-        replace_table(df, path, fmt, partition_by, compression)
 
+def _write(
+    df: DataFrame,
+    path: str,
+    mode: str,
+    keys: list[str],
+    fmt: str,
+    partition_by: list[str],
+    compression: str | None,
+    evolve: bool,
+    stage: bool,
+) -> None:
+    spark = df.sparkSession
     if mode == "overwrite" or not table_exists(spark, path):
-        return create()
+        return replace_table(df, path, fmt, partition_by, compression)
     existing = read_table(spark, path, fmt)
-    if existing.limit(1).isEmpty():
-        return create()
+    if existing.isEmpty():
+        return replace_table(df, path, fmt, partition_by, compression)
 
     check_keys_present(existing.columns, df.columns, keys, evolve)
     if stage and mode in ("incremental", "upsert"):
@@ -257,7 +268,7 @@ def write_tables(tables: dict[str, tuple[DataFrame, Sequence[str], str | None]],
     When any frame is empty nothing is written at all. A table without a path is skipped. Returns what happened per
     table: ``written``, ``no path`` or ``aborted``.
     """
-    if any(frame.limit(1).isEmpty() for frame, _, _ in tables.values()):
+    if any(frame.isEmpty() for frame, _, _ in tables.values()):
         return dict.fromkeys(tables, "aborted")
     done = {}
     for name, (frame, keys, path) in tables.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,10 +135,15 @@ def scan_table(spark: SparkSession, ref: TableRef, warehouse: str | None = None)
     return enforce_types(frame, ref.spec) if ref.spec is not None else frame
 
 
+def local_table(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
+    """A small text table from driver values whose size the planner knows, so that joins with it are broadcast."""
+    return spark.createDataFrame(pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()}))
+
+
 def code_list(spark: SparkSession, codes: Iterable[str] | None = None, path: str | None = None, name: str = "code") -> DataFrame:
     """Code dimension from an inline list or from a text file with one code per line (``- "13010"`` also reads)."""
     if codes is not None:
-        return spark.createDataFrame([(str(c),) for c in codes], f"`{name}` string").distinct()
+        return local_table(spark, {name: sorted({str(c) for c in codes})})
     if path is None:
         raise ValueError("Give codes or a path")
     line = F.regexp_extract("value", r"""^\s*(?:-\s+)?["']?([^"'#\s]+)["']?\s*(?:#.*)?$""", 1)

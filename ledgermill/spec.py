@@ -170,6 +170,7 @@ class ExtractSpec:
     where: Any = None  # SQL text or a structured predicate, see ledgermill.functions.predicates
     final: TableSpec | None = None
     row_guard: bool = True
+    stage: bool | None = None  # write the validated frame to scratch; by default when there are joins to save
     snapshot_dir: str | None = None
 
 

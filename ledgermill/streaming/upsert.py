@@ -17,6 +17,7 @@ from ledgermill.names import col, require_columns
 from ledgermill.operators.combine import newest_per_key
 from ledgermill.operators.project import with_ingestion_metadata
 from ledgermill.operators.validate import typed, validate
+from ledgermill.scratch import scratch_scope
 from ledgermill.sinks.tables import write_table
 from ledgermill.spec import TableSpec, TargetSpec
 
@@ -54,18 +55,18 @@ def merge_batch(
     keys = [c.name for c in spec.columns if c.primary_key]
     marked = batch.withColumn("_order", F.struct(*[col(o) for o in order]))
     newest = newest_per_key(typed(marked, spec, ["_order"]), keys, ["_order"]).drop("_order")
-    ready = validate(newest, spec, stage=True)
-    write_table(
-        ready,
-        target.path,
-        target.mode,
-        spec.primary_keys,
-        target.fmt,
-        list(target.partition_by) or spec.partition_columns,
-        target.compression,
-        target.evolve,
-        stage=False,
-    )
+    with scratch_scope(batch.sparkSession):
+        write_table(
+            validate(newest, spec, stage=True),
+            target.path,
+            target.mode,
+            spec.primary_keys,
+            target.fmt,
+            list(target.partition_by) or spec.partition_columns,
+            target.compression,
+            target.evolve,
+            stage=False,
+        )
 
 
 def upsert_stream(
