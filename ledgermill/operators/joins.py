@@ -31,11 +31,14 @@ def _comparable(a: T.DataType, b: T.DataType) -> bool:
     return numeric or (isinstance(a, times) and isinstance(b, times))
 
 
-def _on(left: str, right: str, pairs: Sequence[tuple[str, str]]) -> Column:
-    tests = [
-        F.col(f"{left}.{quoted(a)}").eqNullSafe(F.col(f"{right}.{quoted(b)}")) for a, b in pairs
-    ]
-    return reduce(lambda x, y: x & y, tests)
+def _on(keys: Sequence[str], nulls_match: bool = True) -> Column:
+    """Equality of the key columns of the frames aliased ``l`` and ``r``."""
+
+    def same(k: str) -> Column:
+        a, b = F.col(f"l.{quoted(k)}"), F.col(f"r.{quoted(k)}")
+        return a.eqNullSafe(b) if nulls_match else a == b
+
+    return reduce(lambda x, y: x & y, [same(k) for k in keys])
 
 
 def _check_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
@@ -65,16 +68,23 @@ def _by_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, dis
     right = other.select(*[col(k) for k in keys])
     if distinct:
         right = right.distinct()
-    return df.alias("l").join(right.alias("r"), _on("l", "r", [(k, k) for k in keys]), how)
+    return df.alias("l").join(right.alias("r"), _on(keys), how)
 
 
 def null_safe_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", split_hot: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    split_hot: bool = False,
+    nulls_match: bool = True,
 ) -> DataFrame:
     """Equi-join on ``keys``: key columns once, other columns both frames have as ``name_x`` / ``name_y``.
 
     Column order is the left frame's, then the right frame's other columns. ``split_hot`` writes a left or right join
     as inner + anti, for an other side that may repeat a key very often; a full outer join is always written so.
+    ``nulls_match=False`` says that one side is known to have no null in the keys, so plain equality gives the same rows
+    with cheaper keys.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"Unknown join type {how!r}; use one of {JOIN_TYPES}")
@@ -83,7 +93,7 @@ def null_safe_join(
     right_rest = [c for c in right.columns if c not in keys]
     left_name = {c: f"{c}_x" if c in shared else c for c in left.columns}
     right_name = {c: f"{c}_y" if c in shared else c for c in right_rest}
-    on = _on("l", "r", [(k, k) for k in keys])
+    on = _on(keys, nulls_match)
 
     def joined(kind: str, key_side: str) -> DataFrame:
         out = [
@@ -128,6 +138,15 @@ def has_repeated_keys(df: DataFrame, keys: Sequence[str]) -> bool:
     return not repeated_keys(df, keys).isEmpty()
 
 
+def key_profile(df: DataFrame, keys: Sequence[str]) -> tuple[bool, bool]:
+    """Whether some key repeats and whether some key has a null, from one job over the key columns."""
+    require_columns(df, keys)
+    any_null = reduce(lambda x, y: x | y, [col(k).isNull() for k in keys])
+    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    row = counts.agg(F.max("_n").alias("most"), F.bool_or(any_null).alias("null")).first()
+    return (row["most"] or 0) > 1, bool(row["null"])
+
+
 def join_row_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """One row ``(base_rows, joined_rows)`` for a join, without producing the joined rows.
 
@@ -167,9 +186,10 @@ def join_chain(
 ) -> DataFrame:
     """Join ``base`` with each ``(frame, keys, how)`` in order; a step without keys is skipped.
 
-    Runs one small job per joined frame to see whether it repeats a key. A chain of left joins onto frames that do not
-    keeps the base rows by construction, so the guard needs no join to be run; otherwise it compares exact counts and
-    raises ``ValueError`` when the chain changed the number of rows.
+    Runs one job over the keys of each joined frame to see whether it repeats a key or has a null one. A chain of left
+    joins onto frames that repeat none keeps the base rows by construction, so the guard needs no join to be run;
+    otherwise it compares exact counts and raises ``ValueError`` when the chain changed the number of rows. A frame
+    without null keys is joined by plain equality.
     """
     steps = [(frame, list(keys), how) for frame, keys, how in steps if keys]
     for _, _, how in steps:
@@ -179,11 +199,12 @@ def join_chain(
     keeps_rows = True
     for frame, keys, how in steps:
         require_columns(frame, keys, "the joined frame")
-        repeated = has_repeated_keys(frame, keys)
+        repeated, has_null = key_profile(frame, keys)
         keeps_rows = keeps_rows and how == "left" and not repeated
         before_last = out
         # a right join keeps the other side whole, so there it is the left frame that could be hot
-        out = null_safe_join(out, frame, keys, how, split_hot=repeated if how == "left" else how == "right")
+        split = repeated if how == "left" else how == "right"
+        out = null_safe_join(out, frame, keys, how, split, nulls_match=has_null)
     if row_guard and steps and not keeps_rows:
         frame, keys, how = steps[-1]
         joined_rows = join_row_counts(before_last, frame, keys, how).first()["joined_rows"]

@@ -26,7 +26,7 @@ from ledgermill.plans.chain import run_chain
 from ledgermill.plans.windows import LoadWindow
 from ledgermill.scratch import scratch_scope, write_scratch
 from ledgermill.sinks.tables import read_table, write_table, write_tables
-from ledgermill.sources.archives import expand_archives
+from ledgermill.sources.archives import document_of, expand_archives
 from ledgermill.sources.files import load_flat_files
 from ledgermill.sources.filings import PUBLIC_MEMBER, filing_documents, filing_facts
 from ledgermill.spec import IngestSpec, TableSpec, TargetSpec
@@ -200,16 +200,26 @@ def ingest_statements(
         wanted = codes.select(exchange_ticker(col(codes.columns[0])).alias("code"))
         rows = {name: in_codes(df, wanted, "ticker") for name, df in rows.items()}
     rows = {name: statement_rows(df, specs[name], cut_date, impute) for name, df in rows.items()}
-    if any(df.isEmpty() for df in rows.values()):
-        return None
     if targets is None:
-        return {name: finish(df, specs[name], source) for name, df in rows.items()}
+        return _staged_statements(rows, specs, source)
     with scratch_scope(dividends.sparkSession):
-        done = {name: finish(df, specs[name], source, stage=True) for name, df in rows.items()}
+        done = _staged_statements(rows, specs, source)
+        if done is None:
+            return None
         plan = {name: (df, specs[name].primary_keys, targets.get(name)) for name, df in done.items()}
         return write_tables(plan, mode, stage=False, **write_options)
 
 
+def _staged_statements(
+    rows: dict[str, DataFrame], specs: Mapping[str, TableSpec], source: str
+) -> dict[str, DataFrame] | None:
+    """Each table computed once into scratch, since it is then tested, checked and read; None when one is empty."""
+    staged = {name: write_scratch(df, name) for name, df in rows.items()}
+    if any(df.isEmpty() for df in staged.values()):
+        return None
+    return {name: finish(df, specs[name], source) for name, df in staged.items()}
+
+
 def ingest_prices(
     wide: DataFrame,
     source: str,
@@ -262,23 +272,28 @@ def ingest_filings(
     """Filing index and archive table ``(path, content)`` to filing rows.
 
     Archives are picked by document id before they are opened. The document ids are broadcast when they are few, by
-    count, so that archive bytes are not shuffled. Facts are stored in the scratch folder once, as the normalisation
-    reads them twice and parsing is the expensive part.
+    count, so that archive bytes are not shuffled; for archives in a folder, see
+    :func:`ledgermill.sources.archives.scan_named_archives`, which does not even read the others. Facts and rows are kept
+    in the scratch folder, as parsing is the expensive part and both are read more than once.
     """
     wanted = wanted_filings(index, codes).select(F.col("docID").alias("_doc")).distinct()
     few = wanted.limit(_BROADCAST_FILINGS + 1).count() <= _BROADCAST_FILINGS
-    named = archives.withColumn("_doc", F.regexp_extract("path", r"([^/]+?)(?:\.zip)?$", 1))
+    named = archives.withColumn("_doc", document_of("path"))
     picked = named.join(F.broadcast(wanted) if few else wanted, "_doc", "left_semi").select("path", "content")
     members = expand_archives(picked, PUBLIC_MEMBER)
     parsed = filing_facts(filing_documents(members), skip_bad)
     if target is None:
-        rows = normalise_filing_facts(write_scratch(parsed, "facts"))
+        rows = _staged_filings(parsed)
         return None if rows.isEmpty() else finish(rows, spec, source)
     with scratch_scope(parsed.sparkSession):
-        rows = normalise_filing_facts(write_scratch(parsed, "facts"))
+        rows = _staged_filings(parsed)
         return None if rows.isEmpty() else finish(rows, spec, source, target)
 
 
+def _staged_filings(parsed: DataFrame) -> DataFrame:
+    return write_scratch(normalise_filing_facts(write_scratch(parsed, "facts")), "filings")
+
+
 def upsert_target(path: str, **options) -> TargetSpec:
     """Target of a recurring ingest."""
     return replace(TargetSpec(path), mode="upsert", **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.hadoop import file_system
@@ -42,12 +42,43 @@ def expand_archives(archives: DataFrame, member_pattern: str | None = None) -> D
     return archives.select("path", "content").mapInArrow(expand, MEMBERS)
 
 
+def document_of(path: str) -> Column:
+    """Document id of an archive path: its file name without the suffix."""
+    return F.regexp_extract(F.col(path), r"([^/]+?)(?:\.zip)?$", 1)
+
+
+def _archive_files(spark: SparkSession, paths: str | Sequence[str], glob: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return reader.load(paths)
+
+
+# Up to this many archives are opened by name; beyond it the folder is scanned and joined.
+_NAMED_ARCHIVES = 200_000
+
+
+def scan_named_archives(
+    spark: SparkSession, paths: str | Sequence[str], documents: DataFrame, glob: str = "*.zip"
+) -> DataFrame:
+    """Archive table ``(path, content)`` of the wanted documents (first column of ``documents``) below the paths.
+
+    The folder is listed without reading contents, the names are matched, and only the matching files are opened.
+    """
+    wanted = documents.select(F.col(documents.columns[0]).alias("_doc")).distinct()
+    listed = _archive_files(spark, paths, glob).select("path", document_of("path").alias("_doc"))
+    names = [r["path"] for r in listed.join(wanted, "_doc", "left_semi").select("path").limit(_NAMED_ARCHIVES + 1).collect()]
+    if len(names) > _NAMED_ARCHIVES:
+        everything = _archive_files(spark, paths, glob).withColumn("_doc", document_of("path"))
+        return everything.join(wanted, "_doc", "left_semi").select("path", "content")
+    if not names:
+        return spark.createDataFrame([], "path string, content binary")
+    return spark.read.format("binaryFile").load(names).select("path", "content")
+
+
 def scan_archives(
     spark: SparkSession, paths: str | Sequence[str], member_pattern: str | None = None, glob: str = "*.zip"
 ) -> DataFrame:
     """Member table of every archive below the paths."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return expand_archives(reader.load(paths), member_pattern)
+    return expand_archives(_archive_files(spark, paths, glob), member_pattern)
 
 
 def remove_archives(spark: SparkSession, archives: DataFrame) -> int:

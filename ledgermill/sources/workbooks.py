@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -11,7 +12,11 @@ from pyspark.sql import functions as F
 from ledgermill.functions.text import null_words_to_null
 from ledgermill.sources.batches import RowBuffer, named_contents
 
+# XML names, built-in date formats and quoted parts of a number format.
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+_DATE_FORMATS = {"14", "15", "16", "17", "18", "19", "20", "21", "22", "45", "46", "47"}
+_QUOTED = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.')
 _BOOK_ROW = pa.schema(
     [("path", pa.string()), ("row_index", pa.int64()), ("cells", pa.map_(pa.string(), pa.string()))]
 )
@@ -26,8 +31,51 @@ def _column_number(reference: str) -> int:
     return n - 1
 
 
+def _xml(book, name: str):
+    from xml.etree import ElementTree
+
+    return ElementTree.fromstring(book.read(name)) if name in book.namelist() else None
+
+
+def _first_sheet(book) -> str:
+    """Part name of the sheet that comes first in the workbook."""
+    listing, links = _xml(book, "xl/workbook.xml"), _xml(book, "xl/_rels/workbook.xml.rels")
+    if listing is not None and links is not None:
+        sheet = next(listing.iter(_MAIN + "sheet"), None)
+        wanted = None if sheet is None else sheet.get(_LINK + "id")
+        for link in links:
+            if link.get("Id") == wanted:
+                target = link.get("Target").lstrip("/")
+                return target if target.startswith("xl/") else "xl/" + target
+    return min(n for n in book.namelist() if n.startswith("xl/worksheets/sheet") and n.endswith(".xml"))
+
+
+def _date_styles(book) -> set[str]:
+    """Cell style numbers that show a number as a date or time."""
+    styles = _xml(book, "xl/styles.xml")
+    if styles is None:
+        return set()
+    custom = {
+        f.get("numFmtId")
+        for f in styles.iter(_MAIN + "numFmt")
+        if any(ch in _QUOTED.sub("", f.get("formatCode") or "").lower() for ch in "ymdhs")
+    }
+    formats = next(styles.iter(_MAIN + "cellXfs"), ())
+    return {
+        str(i) for i, f in enumerate(formats) if f.get("numFmtId") in custom or f.get("numFmtId") in _DATE_FORMATS
+    }
+
+
+def _date_text(day_number: str) -> str:
+    """ISO text of a stored day number (days since 1899-12-30)."""
+    import datetime as dt
+
+    moment = dt.datetime(1899, 12, 30) + dt.timedelta(seconds=round(float(day_number) * 86400))
+    return moment.date().isoformat() if moment.time() == dt.time() else moment.isoformat(" ")
+
+
 def _sheet_rows(content: bytes) -> Iterator[dict[int, str]]:
-    """Rows of the first sheet as ``{column number: text}``; dates arrive as the day numbers the file stores."""
+    """Rows of the first sheet as ``{column number: text}``; cells styled as dates read as ISO text."""
     import io
     import zipfile
     from xml.etree import ElementTree
@@ -40,8 +88,8 @@ def _sheet_rows(content: bytes) -> Iterator[dict[int, str]]:
                     if e.tag == _MAIN + "si":
                         shared.append("".join(t.text or "" for t in e.iter(_MAIN + "t")))
                         e.clear()
-        sheets = sorted(n for n in book.namelist() if n.startswith("xl/worksheets/sheet") and n.endswith(".xml"))
-        with book.open("xl/worksheets/sheet1.xml" if "xl/worksheets/sheet1.xml" in sheets else sheets[0]) as f:
+        dates = _date_styles(book)
+        with book.open(_first_sheet(book)) as f:
             for _, e in ElementTree.iterparse(f):
                 if e.tag != _MAIN + "row":
                     continue
@@ -56,6 +104,8 @@ def _sheet_rows(content: bytes) -> Iterator[dict[int, str]]:
                         text = shared[int(v.text)]
                     elif kind == "b":
                         text = "True" if v.text == "1" else "False"
+                    elif kind in (None, "n") and cell.get("s") in dates:
+                        text = _date_text(v.text)
                     else:
                         text = v.text
                     reference = cell.get("r")

@@ -194,3 +194,43 @@ def test_workbook_cell_kinds(spark, rows, tmp_path):
     )
     (tmp_path / "k.xlsx").write_bytes(zipped({"xl/worksheets/sheet1.xml": sheet, "xl/sharedStrings.xml": shared}))
     assert rows(workbooks.scan_workbooks(spark, str(tmp_path), ["id", "name"])) == [("5", "q"), ("True", None)]
+
+
+def test_workbook_dates_and_sheet_order(spark, rows, tmp_path):
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    link = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+    def sheet(*cells):
+        header = '<row r="1"><c r="A1" t="inlineStr"><is><t>d</t></is></c></row>'
+        lines = "".join(f'<row r="{i}">{c}</row>' for i, c in enumerate(cells, start=2))
+        return f'<worksheet xmlns="{main}"><sheetData>{header}{lines}</sheetData></worksheet>'
+
+    styles = (
+        f'<styleSheet xmlns="{main}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm"/>'
+        '<numFmt numFmtId="165" formatCode="0 &quot;days&quot;"/></numFmts><cellXfs><xf numFmtId="0"/>'
+        '<xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    )
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{link}"><sheets><sheet r:id="r2"/><sheet r:id="r1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/>'
+        '<Relationship Id="r2" Target="worksheets/sheet2.xml"/></Relationships>',
+        "xl/styles.xml": styles,
+        "xl/worksheets/sheet1.xml": sheet('<c r="A2"><v>0</v></c>'),
+        "xl/worksheets/sheet2.xml": sheet(
+            '<c r="A2" s="1"><v>45296</v></c>', '<c r="A3" s="2"><v>45296.5</v></c>', '<c r="A4" s="3"><v>7</v></c>'
+        ),
+    }
+    (tmp_path / "d.xlsx").write_bytes(zipped(parts))
+    assert rows(workbooks.scan_workbooks(spark, str(tmp_path), ["d"])) == [("2024-01-05 12:00:00",), ("2024-01-05",), ("7",)]
+
+
+def test_only_named_archives_are_opened(spark, rows, tmp_path, monkeypatch):
+    for doc in ("S1", "S2", "S3"):
+        (tmp_path / f"{doc}.zip").write_bytes(zipped({"x.txt": doc}))
+    wanted = spark.createDataFrame([("S1",), ("S3",), ("S9",)], "docID string")
+    for limit in (10, 1):
+        monkeypatch.setattr(archives, "_NAMED_ARCHIVES", limit)
+        members = archives.expand_archives(archives.scan_named_archives(spark, str(tmp_path), wanted))
+        assert sorted(bytes(r.content) for r in members.collect()) == [b"S1", b"S3"]
+    none = archives.scan_named_archives(spark, str(tmp_path), wanted.filter("docID = 'S9'"))
+    assert none.count() == 0
