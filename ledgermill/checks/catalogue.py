@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill import samples, schemas
+from ledgermill import schemas
+from ledgermill.checks import samples
 from ledgermill.functions import scalar
 from ledgermill.functions.coerce import enforce_types
 from ledgermill.functions.predicates import apply_where

@@ -113,9 +113,9 @@ def resolve_window(
 
 
 def latest_rows(df: DataFrame, column: str, days: int) -> DataFrame:
-    """Rows of the last ``days`` days of the table itself. One small job reads the newest date (a file-statistics
-    aggregate), and the bound then reaches the scan as a literal."""
-    newest = df.agg(F.max(col(column).cast("date")).alias("d")).first()["d"]
+    """Rows of the last ``days`` days of the table itself. One job reads the newest date from that column alone, and the
+    bound then reaches the scan as a literal."""
+    newest = df.agg(F.max(col(column)).cast("date").alias("d")).first()["d"]
     if newest is None:
         return df
     return date_between(df, column, newest - dt.timedelta(days=days))

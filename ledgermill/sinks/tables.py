@@ -280,9 +280,14 @@ def write_tables(tables: dict[str, tuple[DataFrame, Sequence[str], str | None]],
     return done
 
 
+# The name of a snapshot, followed by its time.
+SNAPSHOT_NAME = "cache_dataprep_"
+SNAPSHOT_TIME = "%Y%m%d%H%M%S"
+
+
 def snapshot(df: DataFrame, cache_dir: str, stamp: str | None = None) -> str:
     """Write a timestamped CSV snapshot of the frame into ``cache_dir`` and return its path."""
-    stamp = stamp or dt.datetime.now().strftime("%Y%m%d%H%M%S")
-    path = f"{cache_dir.rstrip('/')}/cache_dataprep_{stamp}"
+    stamp = stamp or dt.datetime.now().strftime(SNAPSHOT_TIME)
+    path = f"{cache_dir.rstrip('/')}/{SNAPSHOT_NAME}{stamp}"
     _writable(df, "csv").write.mode("overwrite").options(**csv_options()).csv(path)
     return path

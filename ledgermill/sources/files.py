@@ -92,7 +92,7 @@ def load_flat_files(
         raise NotImplementedError(f"No file or folder at {path!r}")
     if is_folder(spark, path):
         if not load_all:
-            raise ValueError("Path is a directory, thus load_all should be True")
+            raise ValueError("A folder is only read with load_all=True")
         files = list_files(spark, path)
     else:
         files = [path]

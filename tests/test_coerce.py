@@ -35,7 +35,7 @@ def test_double_from_text_matches_pandas(spark):
     assert column(frame(spark, NUMBERS), to_double(F.col("v"), T.StringType())) == as_pandas(NUMBERS)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="0123456789.+-eE dfnaNxi", max_size=9), min_size=1, max_size=40))
 def test_double_from_any_text_matches_pandas(spark, values):
     got = column(frame(spark, values), to_double(F.col("v"), T.StringType()))

@@ -50,7 +50,7 @@ def test_mode_takes_the_smallest_on_a_tie(spark):
     assert profile.exact_mode(numbers(spark, [5.0, 3.0, 5.0, 3.0, 1.0]), "v") == 3.0
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.one_of(st.integers(-50, 50), st.integers(-(10**6), 10**6)), min_size=1, max_size=200),
     st.integers(1, 30),

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, oracle
-from ledgermill.catalogue import ORACLE, QUERIES
+from ledgermill.checks.catalogue import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -203,11 +203,11 @@ def test_bars_job_end_to_end(spark, rows, tmp_path):
     target = ingest.upsert_target(str(tmp_path / "stored"))
     window = resolve_window("bars", latest=True, today=TODAY)
     for _ in range(2):
-        ingest.ingest_bars(landed, "JQ", codes, window, target=target)
+        ingest.ingest_bars(landed, "landed", codes, window, target=target)
     out = read_table(spark, target.path)
     assert out.columns == schemas.DAILY_BARS.stored_names
-    assert rows(out) == [(dt.date(2024, 3, 30), "13010", 1.0, 2.0, 0.5, 1.5, 101, "JQ")]
-    assert ingest.ingest_bars(landed, "JQ", codes, LoadWindow(TODAY, TODAY), target=target) is None
+    assert rows(out) == [(dt.date(2024, 3, 30), "13010", 1.0, 2.0, 0.5, 1.5, 101, "landed")]
+    assert ingest.ingest_bars(landed, "landed", codes, LoadWindow(TODAY, TODAY), target=target) is None
 
 
 def test_summary_schema_rules(spark):
@@ -216,18 +216,18 @@ def test_summary_schema_rules(spark):
     names = [c for c in base if c != "ingestion_source"]
     schema = ", ".join(f"`{c}` string" for c in names)
     one = spark.createDataFrame([tuple(base[c] for c in names)], schema)
-    out = ingest.ingest_summary(one, "JQ")
+    out = ingest.ingest_summary(one, "landed")
     assert out.first()["Ticker"] == "1"
     with pytest.raises(ValidationError, match="DiscNo"):
-        ingest.ingest_summary(one.union(one), "JQ")
+        ingest.ingest_summary(one.union(one), "landed")
 
 
 def test_flows(spark):
     names = [c for c in schemas.FLOW_COLUMNS if c != "ingestion_source"]
     row = tuple("2024-01-05" if c.endswith("Date") else "TSEPrime" if c == "Section" else "1.5" for c in names)
     landed = spark.createDataFrame([row], ", ".join(f"`{c}` string" for c in names))
-    assert ingest.ingest_flows(landed, "JQ", "TSEPrime").first()["BankBal"] == 1.5
-    assert ingest.ingest_flows(landed, "JQ", "TSEGrowth") is None
+    assert ingest.ingest_flows(landed, "landed", "TSEPrime").first()["BankBal"] == 1.5
+    assert ingest.ingest_flows(landed, "landed", "TSEGrowth") is None
 
 
 def statements(spark):
@@ -250,19 +250,19 @@ def statements(spark):
 def test_four_statements(spark, rows, tmp_path):
     matrices, dividends = statements(spark)
     codes = spark.createDataFrame([("72030",)], "code string")
-    out = ingest.ingest_statements(matrices, dividends, "YF", "2024-01-01", codes)
+    out = ingest.ingest_statements(matrices, dividends, "landed", "2024-01-01", codes)
     assert rows(out["income_statement"], "Date", "Ticker", "Total Revenue", "EBIT", "ingestion_source") == [
-        (day("2024-03-31"), "72030", 2.0, None, "YF")
+        (day("2024-03-31"), "72030", 2.0, None, "landed")
     ]
     assert out["balance_sheet"].columns == schemas.BALANCE_SHEET.stored_names
-    assert rows(out["dividends"]) == [(day("2024-03-30"), "72030", 10.0, "YF")]
+    assert rows(out["dividends"]) == [(day("2024-03-30"), "72030", 10.0, "landed")]
 
     targets = {name: str(tmp_path / name) for name in ingest.STATEMENT_SPECS if name != "cash_flow"}
     for _ in range(2):
-        done = ingest.ingest_statements(matrices, dividends, "YF", "2024-01-01", targets=targets)
+        done = ingest.ingest_statements(matrices, dividends, "landed", "2024-01-01", targets=targets)
         assert done == {"income_statement": "written", "balance_sheet": "written", "cash_flow": "no path", "dividends": "written"}
     assert read_table(spark, targets["balance_sheet"]).count() == 2
-    assert ingest.ingest_statements(matrices, dividends, "YF", "2024-03-31", targets=targets) is None
+    assert ingest.ingest_statements(matrices, dividends, "landed", "2024-03-31", targets=targets) is None
 
 
 def test_prices(spark, rows):
@@ -271,11 +271,11 @@ def test_prices(spark, rows):
         "Date date, `1301.T|Open` double, `1301.T|High` double, `1301.T|Low` double, `1301.T|Close` double, "
         "`1301.T|Volume` double, `^N225|Open` double",
     )
-    out = ingest.ingest_prices(wide, "YF", ["13010", "40050"])
-    assert rows(out) == [(day("2024-01-04"), "13010", 1.0, 2.0, 0.5, 1.5, 100.0, "YF")]
+    out = ingest.ingest_prices(wide, "landed", ["13010", "40050"])
+    assert rows(out) == [(day("2024-01-04"), "13010", 1.0, 2.0, 0.5, 1.5, 100.0, "landed")]
     with pytest.raises(ValidationError, match="High"):
-        ingest.ingest_prices(wide, "YF", ["^N225"], listed=False)
-    assert ingest.ingest_prices(wide, "YF", ["40050"]) is None
+        ingest.ingest_prices(wide, "landed", ["^N225"], listed=False)
+    assert ingest.ingest_prices(wide, "landed", ["40050"]) is None
 
 
 def test_filings_job(spark, rows, tmp_path):
@@ -306,7 +306,7 @@ def test_filings_job(spark, rows, tmp_path):
     target = ingest.upsert_target(str(tmp_path / "stored"))
     index = scan_filing_index(spark, str(tmp_path / "index.json"))
     for _ in range(2):
-        ingest.ingest_filings(index, archives, "EDINET", codes, target=target)
+        ingest.ingest_filings(index, archives, "landed", codes, target=target)
     assert rows(read_table(spark, target.path), "Ticker", "Net sales") == [("72030", 10.0)]
-    assert ingest.ingest_filings(index, archives, "EDINET", codes.filter("code = 'none'"), target=target) is None
+    assert ingest.ingest_filings(index, archives, "landed", codes.filter("code = 'none'"), target=target) is None
 

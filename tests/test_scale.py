@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.catalogue import QUERIES
+from ledgermill.checks.catalogue import QUERIES
 from ledgermill.operators import combine, filters, joins, merge
 from ledgermill.plans.windows import LoadWindow
 from ledgermill.sinks import tables

@@ -6,7 +6,7 @@ import pytest
 
 from pyspark.sql import types as T
 
-from ledgermill.samples import workbook_bytes
+from ledgermill.checks.samples import workbook_bytes
 from ledgermill.sources import archives, envelopes, files, filings, workbooks
 from ledgermill.spec import ColumnSpec, TableRef, TableSpec
 
