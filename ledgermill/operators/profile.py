@@ -72,63 +72,68 @@ def exact_mode(df: DataFrame, name: str) -> Any:
 _LAST_ROWS = 20_000
 
 
-def _value_at_rank(values: DataFrame, rank: int, total: int, accuracy: int) -> float:
-    """The value at a zero-based rank of the sorted column ``v``, without sorting it.
-
-    Each round asks ``percentile_approx`` for two values just around the rank, counts the rows below, at, between and
-    above them, and goes on with the one open range that holds the rank. The counts are exact, so the answer is too;
-    the sketch only decides how fast the range shrinks (to about ``4 / accuracy`` per round).
+def _values_at_ranks(
+    values: DataFrame,
+    ranks: list[int],
+    size: int,
+    accuracy: int,
+    below: int = 0,
+    low: float | None = None,
+    high: float | None = None,
+    around: list[float] | None = None,
+) -> dict[int, float]:
+    """The values at zero-based ranks of the sorted column ``v``, without sorting it.
+
+    The ranks lie in the open range ``(low, high)``, which holds ``size`` rows above ``below`` others. Two values just
+    around the ranks (``around``, from ``percentile_approx``) cut the range; exact counts tell which piece holds each rank,
+    and the search goes on there. The counts are exact, so the answer is too; the sketch only decides how fast the range
+    shrinks (to about ``4 / accuracy`` per round).
     """
     v = F.col("v")
-    part, below, size = values, 0, total
-    low, high = None, None
-    while size > _LAST_ROWS:
-        target, slack = (rank - below + 0.5) / size, 2.0 / accuracy
-        wanted = [max(0.0, target - slack), min(1.0, target + slack)]
-        lo, hi = part.agg(F.percentile_approx("v", wanted, accuracy).alias("p")).first()["p"]
-        seen = part.agg(
-            F.count_if(v < lo).alias("under"),
-            F.count_if(v == lo).alias("at_lo"),
-            F.count_if((v > lo) & (v < hi)).alias("between"),
-            F.count_if((v == hi) & (v > lo)).alias("at_hi"),
-        ).first()
-        edges = [below]
-        for name in ("under", "at_lo", "between", "at_hi"):
-            edges.append(edges[-1] + seen[name])
-        if rank < edges[1]:
-            high, size = lo, seen["under"]
-        elif rank < edges[2]:
-            return lo
-        elif rank < edges[3]:
-            low, high, below, size = lo, hi, edges[2], seen["between"]
-        elif rank < edges[4]:
-            return hi
+    part = values if low is None else values.filter(v > low)
+    part = part if high is None else part.filter(v < high)
+    if size <= _LAST_ROWS:
+        found, upto = {}, below
+        for value, n in sorted((r["value"], r["n"]) for r in value_counts(part, "v").collect()):
+            found.update({r: value for r in ranks if upto <= r < upto + n})
+            upto += n
+        return found
+    if around is None:
+        slack = 2.0 / accuracy
+        wanted = [max(0.0, (min(ranks) - below) / size - slack), min(1.0, (max(ranks) + 1 - below) / size + slack)]
+        around = part.agg(F.percentile_approx("v", wanted, accuracy).alias("p")).first()["p"]
+    lo, hi = around
+    seen = part.agg(
+        F.count_if(v < lo).alias("under"),
+        F.count_if(v == lo).alias("lo"),
+        F.count_if((v > lo) & (v < hi)).alias("between"),
+        F.count_if((v == hi) & (v > lo)).alias("hi"),
+        F.count_if(v > hi).alias("over"),
+    ).first()
+    bounds = {"under": (low, lo), "between": (lo, hi), "over": (hi, high)}
+    found, start = {}, below
+    for piece, n in seen.asDict().items():
+        here = [r for r in ranks if start <= r < start + n]
+        if here and piece in bounds:
+            found |= _values_at_ranks(values, here, n, accuracy, start, *bounds[piece])
         else:
-            low, below, size = hi, edges[4], size - (edges[4] - below)
-        part = values
-        part = part if low is None else part.filter(v > low)
-        part = part if high is None else part.filter(v < high)
-    for value, n in sorted((r["value"], r["n"]) for r in value_counts(part, "v").collect()):
-        if rank < below + n:
-            return value
-        below += n
-    raise ValueError("The column changed while its median was being read")
+            found |= dict.fromkeys(here, hi if piece == "hi" else lo)
+        start += n
+    return found
 
 
 def exact_median(df: DataFrame, name: str, accuracy: int = 10_000) -> float | None:
     """Exact median (mean of the two middle values for an even count); None when all values are missing."""
     values = df.select(_present(df, name).cast("double").alias("v")).filter("v is not null")
-    total = values.count()
-    if total == 0:
-        return None
-    first = _value_at_rank(values, (total - 1) // 2, total, accuracy)
-    if total % 2:
-        return first
-    after = values.agg(
-        F.count_if(F.col("v") <= first).alias("upto"), F.min(F.when(F.col("v") > first, F.col("v"))).alias("next")
+    slack = 2.0 / accuracy
+    seen = values.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", [0.5 - slack, 0.5 + slack], accuracy).alias("around")
     ).first()
-    second = first if after["upto"] > total // 2 else after["next"]
-    return (first + second) / 2.0
+    n = seen["n"]
+    if n == 0:
+        return None
+    found = _values_at_ranks(values, sorted({(n - 1) // 2, n // 2}), n, accuracy, around=list(seen["around"]))
+    return sum(found[r] for r in ((n - 1) // 2, n // 2)) / 2.0
 
 
 def fill_statistics(df: DataFrame, methods: Mapping[str, str], exact: bool = True) -> dict[str, Any]:
