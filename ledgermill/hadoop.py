@@ -31,6 +31,14 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile())
 
 
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Folders directly inside a folder, sorted by name."""
+    fs, p, _ = file_system(spark, folder)
+    if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small text file; None when there is none."""
     fs, p, _ = file_system(spark, path)

@@ -65,11 +65,14 @@ def align(existing: DataFrame, new: DataFrame, evolve: bool = False) -> tuple[Da
     def target(name):
         return (new if name in new.columns else existing).schema[name].dataType
 
-    old = [
-        (to_spark_type(col(c), existing.schema[c].dataType, target(c)) if c in existing.columns else F.lit(None).cast(target(c))).alias(c)
-        for c in columns
-    ]
-    added = [(col(c) if c in new.columns else F.lit(None).cast(target(c))).alias(c) for c in columns]
+    def absent(name):
+        return F.lit(None).cast(target(name))
+
+    def stored(name):
+        return to_spark_type(col(name), existing.schema[name].dataType, target(name))
+
+    old = [(stored(c) if c in existing.columns else absent(c)).alias(c) for c in columns]
+    added = [(col(c) if c in new.columns else absent(c)).alias(c) for c in columns]
     return existing.select(*old), new.select(*added)
 
 

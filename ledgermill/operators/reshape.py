@@ -72,7 +72,9 @@ def map_to_row(df: DataFrame, index: Sequence[str], entries: Column, fields: Map
     return df.select(*[col(i) for i in index], *picked)
 
 
-def stack_columns(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "field", value: str = "v") -> DataFrame:
+def stack_columns(
+    df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "field", value: str = "v"
+) -> DataFrame:
     """Wide columns to long rows without the missing ones."""
     long = unpivot(df, ids, columns, name, value)
     return long.filter(~is_missing(col(value), long.schema[value].dataType))

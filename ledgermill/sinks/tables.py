@@ -6,8 +6,9 @@
 * A whole-table write always goes to a sibling folder first and is swapped in by rename, so a failed job leaves the
   old table in place. One writer per table is assumed.
 
-The column list and types of the table are kept in ``_schema.json`` inside its folder, so that files written before a
-column was added read with nulls and no job is needed to merge file schemas.
+The columns, types and partition columns of the table are kept in ``_schema.json`` inside its folder, so that files
+written before a column was added read with nulls, no job is needed to merge file schemas, and later writes keep the
+partitioning.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from ledgermill.functions.coerce import to_spark_type
 from ledgermill.functions.text import clean_text, csv_options, null_words_to_null
-from ledgermill.hadoop import file_system, path_exists, read_text, write_text
+from ledgermill.hadoop import file_system, is_folder, list_files, list_folders, path_exists, read_text, write_text
 from ledgermill.names import col, require_columns
 from ledgermill.operators.joins import semi_by_keys
 from ledgermill.operators.merge import (
@@ -73,18 +74,36 @@ def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(old, True)
 
 
-def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
+def _read_layout(spark: SparkSession, path: str) -> tuple[T.StructType | None, list[str]]:
+    """Column types and partition columns the table was written with. Folders written by others tell only their
+    partition columns, by their names."""
     text = read_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
-    return None if text is None else T.StructType.fromJson(json.loads(text))
+    if text is not None:
+        layout = json.loads(text)
+        return T.StructType.fromJson(layout["schema"]), layout["partition_by"]
+    columns, folder = [], path
+    while True:
+        inner = [f for f in list_folders(spark, folder) if "=" in f.rsplit("/", 1)[-1]]
+        if not inner:
+            return None, columns
+        folder = inner[0]
+        columns.append(folder.rsplit("/", 1)[-1].split("=", 1)[0])
 
 
-def _write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    write_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}", schema.json())
+def _write_layout(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+    layout = {"schema": schema.jsonValue(), "partition_by": list(partition_by)}
+    write_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}", json.dumps(layout))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when the folder (or file) is there and holds a table, be it an empty one."""
     recover(spark, path)
-    return path_exists(spark, path)
+    if not path_exists(spark, path):
+        return False
+    if not is_folder(spark, path) or path_exists(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}"):
+        return True
+    names = [f.rsplit("/", 1)[-1] for f in [*list_files(spark, path), *list_folders(spark, path)]]
+    return any(not n.startswith(("_", ".")) for n in names)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -92,7 +111,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     if fmt not in FORMATS:
         raise NotImplementedError(f"Unsupported table format {fmt!r}; choose from {FORMATS}")
     recover(spark, path)
-    schema = _read_schema(spark, path)
+    schema, _ = _read_layout(spark, path)
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if schema is None:
@@ -125,7 +144,13 @@ def _writable(df: DataFrame, fmt: str) -> DataFrame:
 
 
 def _write_files(
-    df: DataFrame, path: str, mode: str, fmt: str, partition_by: Sequence[str], compression: str | None, dynamic: bool = False
+    df: DataFrame,
+    path: str,
+    mode: str,
+    fmt: str,
+    partition_by: Sequence[str],
+    compression: str | None,
+    dynamic: bool = False,
 ) -> None:
     if partition_by:
         # even out file sizes: small partitions share a task, a hot one is split over several
@@ -157,7 +182,7 @@ def replace_table(
     recover(spark, path)
     staged = f"{path.rstrip('/')}.__new-{uuid.uuid4().hex}"
     _write_files(df, staged, "errorifexists", fmt, partition_by, compression)
-    _write_schema(spark, staged, _stored_order(df, partition_by))
+    _write_layout(spark, staged, _stored_order(df, partition_by), partition_by)
     _swap_in(spark, staged, path)
 
 
@@ -232,6 +257,10 @@ def _write(
     if existing.isEmpty():
         return replace_table(df, path, fmt, partition_by, compression)
 
+    _, stored_partitions = _read_layout(spark, path)
+    if partition_by and partition_by != stored_partitions:
+        raise ValueError(f"The table is partitioned by {stored_partitions}, not {partition_by}; overwrite it to change that")
+    partition_by = stored_partitions
     check_keys_present(existing.columns, df.columns, keys, evolve)
     if stage and mode in ("incremental", "upsert"):
         df = write_scratch(df, "delta")
@@ -251,13 +280,13 @@ def _write(
             return replace_table(old.unionByName(added), path, fmt, partition_by, compression)
         if mode == "incremental":
             added = write_scratch(added, "insert")  # the rows depend on the table they are appended to
-        _write_schema(spark, path, order)
+        _write_layout(spark, path, order, partition_by)
         return _write_files(added, path, "append", fmt, partition_by, compression)
 
     check_new_keys(new, keys)
     if by_part_of_key and same_types:
         result = kept_rows(_touched(old, new, partition_by), new, keys).unionByName(new)
-        _write_schema(spark, path, order)
+        _write_layout(spark, path, order, partition_by)
         return _write_files(result, path, "overwrite", fmt, partition_by, compression, dynamic=True)
     return replace_table(kept_rows(old, new, keys).unionByName(new), path, fmt, partition_by, compression)
 

@@ -123,7 +123,7 @@ def scan_table(spark: SparkSession, ref: TableRef, warehouse: str | None = None)
         frame = spark.table(ref.table)
     elif ref.path is not None:
         path = f"{(warehouse or '').rstrip('/')}/{ref.db}/{ref.path}" if ref.db else ref.path
-        fmt = ref.fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet" if path.rstrip("/").endswith(".parquet") else None)
+        fmt = ref.fmt or path.rstrip("/").rpartition(".")[2]
         if fmt not in ("csv", "parquet"):
             raise NotImplementedError(f"Cannot tell the format of {path!r}; give fmt='csv' or fmt='parquet'")
         if fmt == "parquet" or path_exists(spark, f"{path.rstrip('/')}/_schema.json"):
@@ -140,7 +140,9 @@ def local_table(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame
     return spark.createDataFrame(pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()}))
 
 
-def code_list(spark: SparkSession, codes: Iterable[str] | None = None, path: str | None = None, name: str = "code") -> DataFrame:
+def code_list(
+    spark: SparkSession, codes: Iterable[str] | None = None, path: str | None = None, name: str = "code"
+) -> DataFrame:
     """Code dimension from an inline list or from a text file with one code per line (``- "13010"`` also reads)."""
     if codes is not None:
         return local_table(spark, {name: sorted({str(c) for c in codes})})

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from ledgermill.hadoop import file_system, path_exists
+from ledgermill.hadoop import file_system, list_folders, path_exists
 from ledgermill.operators import merge
 from ledgermill.sinks import tables
 
@@ -119,6 +119,31 @@ def test_upsert_rewrites_only_touched_partitions(spark, rows, path):
     assert sorted(str(s.getPath()) for s in fs.listStatus(make(untouched))) == before
 
 
+def test_later_writes_keep_the_partitioning(spark, rows, path):
+    old = frame(spark, (1, D1, "a"), (2, D2, "b"), schema=PART)
+    tables.write_table(old, path, partition_by=["day"])
+    for mode, new in (("append", (3, D1, "c")), ("incremental", (4, D3, "d")), ("upsert", (2, D2, "B"))):
+        tables.write_table(frame(spark, new, schema=PART), path, mode, ["id", "day"])
+    assert rows(tables.read_table(spark, path), "id", "value") == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert sorted(f.rsplit("/", 1)[-1] for f in list_folders(spark, path)) == [f"day={d}" for d in (D1, D2, D3)]
+    with pytest.raises(ValueError, match="partitioned by"):
+        tables.write_table(old, path, "append", partition_by=["id"])
+
+
+def test_partitioned_table_written_by_others(spark, rows, path):
+    frame(spark, (1, D1, "a"), (2, D2, "b"), schema=PART).write.partitionBy("day").parquet(path)
+    tables.write_table(frame(spark, (2, D2, "B"), schema=PART), path, "upsert", ["id", "day"])
+    assert rows(tables.read_table(spark, path), "id", "value") == [(1, "a"), (2, "B")]
+    assert len(list_folders(spark, path)) == 2
+
+
+def test_empty_folder_is_no_table(spark, rows, path):
+    file_system(spark, path)[0].mkdirs(file_system(spark, path)[1])
+    assert not tables.table_exists(spark, path)
+    tables.write_table(frame(spark, *OLD), path, "upsert", ["id"])
+    assert stored(spark, path, "parquet", rows) == OLD
+
+
 def test_many_touched_partitions_are_joined(spark, rows, path, monkeypatch):
     monkeypatch.setattr(tables, "_NAMED_PARTITIONS", 1)
     keys, by = ["id", "day"], ["day"]
