@@ -215,37 +215,39 @@ def code_list_semi(spark, d):
 
 @query(
     """WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS k FROM orders),
-    c AS (SELECT c_custkey AS k, c_name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT NULL, 'unknown')
+    c AS (SELECT CASE WHEN c_custkey = 0 THEN NULL ELSE c_custkey END AS k, c_name FROM customer
+    WHERE c_custkey = 0 OR c_mktsegment <> 'BUILDING')
     SELECT o.o_orderkey, o.k, c.c_name FROM o LEFT JOIN c ON o.k IS NOT DISTINCT FROM c.k"""
 )
 def join_left_null_safe(spark, d):
     o = _read(spark, d, "orders").select("o_orderkey", F.expr("if(o_custkey % 5 = 0, null, o_custkey)").alias("k"))
-    c = _read(spark, d, "customer").filter("c_custkey % 2 = 0 or c_custkey = 1")
-    c = c.selectExpr("if(c_custkey = 1, null, c_custkey) as k", "if(c_custkey = 1, 'unknown', c_name) as c_name")
+    c = _read(spark, d, "customer").filter("c_custkey = 0 or c_mktsegment <> 'BUILDING'")
+    c = c.selectExpr("if(c_custkey = 0, null, c_custkey) as k", "c_name")
     return joins.null_safe_join(o, c, ["k"], "left")
 
 
 @query(
     """WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS k FROM orders),
-    c AS (SELECT c_custkey AS k, c_name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT NULL, 'unknown')
+    c AS (SELECT CASE WHEN c_custkey = 0 THEN NULL ELSE c_custkey END AS k, c_name FROM customer
+    WHERE c_custkey = 0 OR c_mktsegment <> 'BUILDING')
     SELECT o.o_orderkey, c.k, c.c_name FROM o RIGHT JOIN c ON o.k IS NOT DISTINCT FROM c.k"""
 )
 def join_right_split(spark, d):
     o = _read(spark, d, "orders").select("o_orderkey", F.expr("if(o_custkey % 5 = 0, null, o_custkey)").alias("k"))
-    c = _read(spark, d, "customer").filter("c_custkey % 2 = 0 or c_custkey = 1")
-    c = c.selectExpr("if(c_custkey = 1, null, c_custkey) as k", "if(c_custkey = 1, 'unknown', c_name) as c_name")
+    c = _read(spark, d, "customer").filter("c_custkey = 0 or c_mktsegment <> 'BUILDING'")
+    c = c.selectExpr("if(c_custkey = 0, null, c_custkey) as k", "c_name")
     return joins.null_safe_join(o, c, ["k"], "right", split_hot=True)
 
 
 @query(
-    """WITH a AS (SELECT n_nationkey AS k, n_name AS nm FROM nation WHERE n_nationkey < 15),
-    b AS (SELECT n_nationkey AS k, upper(n_name) AS nm FROM nation WHERE n_nationkey >= 10)
+    """WITH a AS (SELECT n_nationkey AS k, n_name AS nm FROM nation WHERE n_regionkey <= 2),
+    b AS (SELECT n_nationkey AS k, upper(n_name) AS nm FROM nation WHERE n_regionkey >= 2)
     SELECT coalesce(a.k, b.k) AS k, a.nm AS nm_x, b.nm AS nm_y FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k"""
 )
 def join_outer_suffix(spark, d):
     n = _read(spark, d, "nation")
-    a = n.filter("n_nationkey < 15").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("nm"))
-    b = n.filter("n_nationkey >= 10").select(F.col("n_nationkey").alias("k"), F.upper("n_name").alias("nm"))
+    a = n.filter("n_regionkey <= 2").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("nm"))
+    b = n.filter("n_regionkey >= 2").select(F.col("n_nationkey").alias("k"), F.upper("n_name").alias("nm"))
     return joins.null_safe_join(a, b, ["k"], "outer")
 
 
@@ -685,18 +687,26 @@ def _chart(spark, d, code):
 
 # ---- write modes -----------------------------------------------------------------------------------------------------
 
-_E_N = """WITH e AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 2 = 0),
-    n AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 = 0) """
+_E_N = """WITH e AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+    WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'),
+    n AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00') """
 _INCREMENTAL = _E_N + """SELECT * FROM e UNION ALL SELECT * FROM n
     WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.o_orderkey = n.o_orderkey)"""
 _UPSERT = _E_N + """SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.o_orderkey = e.o_orderkey)
     UNION ALL SELECT * FROM n"""
 
 
+def _halves(df):
+    """A stored table up to 1999 and a later delivery from 1998 on: between them every row, with two years in both."""
+    stored = filters.date_between(df, "o_orderdate", None, "1999-12-31")
+    return stored, filters.date_cut(df, "1998-01-01", "o_orderdate")
+
+
 def _stored_and_new(spark, d):
-    orders = _read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    new = orders.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X"))
-    return orders.filter("o_orderkey % 2 = 0"), new
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    stored, new = _halves(_read(spark, d, "orders"))
+    return stored.select(*columns), new.withColumn("o_orderstatus", F.lit("X")).select(*columns)
 
 
 def _merged(spark, d, mode):
@@ -724,8 +734,8 @@ def write_upsert(spark, d):
     return _merged(spark, d, "upsert")
 
 
-_EVOLVE = """WITH e AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0),
-    n AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0)
+_EVOLVE = """WITH e AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'),
+    n AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00')
     SELECT o_orderkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice FROM e
     WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.o_orderkey = e.o_orderkey)
     UNION ALL SELECT o_orderkey, CAST(NULL AS VARCHAR(10)), o_totalprice FROM n"""
@@ -733,20 +743,20 @@ _EVOLVE = """WITH e AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_ord
 
 @query(_EVOLVE)
 def write_upsert_evolve(spark, d):
-    orders = _read(spark, d, "orders")
-    stored = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus")
-    new = orders.filter("o_orderkey % 3 = 0").select("o_orderkey", "o_totalprice")
-    return merge.merge(stored, new, ["o_orderkey"], "upsert", evolve=True)
+    stored, new = _stored_and_new(spark, d)
+    return merge.merge(stored.drop("o_totalprice"), new.drop("o_orderstatus"), ["o_orderkey"], "upsert", evolve=True)
 
 
 @query(
-    """SELECT o_orderkey, CAST(o_custkey AS VARCHAR(20)) AS o_custkey FROM orders WHERE o_orderkey % 2 = 0
-    UNION ALL SELECT o_orderkey, 'C' || CAST(o_custkey AS VARCHAR(20)) FROM orders WHERE o_orderkey % 2 = 1"""
+    """SELECT o_orderkey, CAST(o_custkey AS VARCHAR(20)) AS o_custkey FROM orders
+    WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
+    UNION ALL SELECT o_orderkey, 'C' || CAST(o_custkey AS VARCHAR(20)) FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'"""
 )
 def write_type_align(spark, d):
-    orders = _read(spark, d, "orders").select("o_orderkey", "o_custkey")
-    new = orders.filter("o_orderkey % 2 = 1").withColumn("o_custkey", F.expr("'C' || cast(o_custkey as string)"))
-    return merge.merge(orders.filter("o_orderkey % 2 = 0"), new, mode="append")
+    stored, new = _halves(_read(spark, d, "orders"))
+    new = new.withColumn("o_custkey", F.expr("'C' || cast(o_custkey as string)"))
+    return merge.merge(*[x.select("o_orderkey", "o_custkey") for x in (stored, new)], mode="append")
 
 
 @query(
@@ -759,15 +769,14 @@ def align_losses(spark, d):
     return merge.misaligned_counts(stored, orders.selectExpr("o_orderkey", "o_custkey as v"))
 
 
-def _disk(spark, d, mode, fmt="parquet", partition=False):
-    stored, new = _stored_and_new(spark, d)
-    path, keys, by = scratch_path(spark, "table"), ["o_orderkey"], []
-    if partition:
-        stored, new = (x.withColumn("shard", F.col("o_orderkey") % 8) for x in (stored, new))
-        keys, by = ["o_orderkey", "shard"], ["shard"]
-    tables.write_table(stored, path, "overwrite", keys, fmt, by)
-    tables.write_table(new, path, mode, keys, fmt, by)
-    return tables.read_table(spark, path, fmt).select("o_orderkey", "o_orderstatus", "o_totalprice")
+def _disk(spark, d, mode, fmt="parquet", by=()):
+    stored, new = _halves(_read(spark, d, "orders").withColumn("year", F.year("o_orderdate")))
+    new = new.withColumn("o_orderstatus", F.lit("X"))
+    path, keys = scratch_path(spark, "table"), ["o_orderkey", *by]
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    tables.write_table(stored.select(*columns, *by), path, "overwrite", keys, fmt, by)
+    tables.write_table(new.select(*columns, *by), path, mode, keys, fmt, by)
+    return tables.read_table(spark, path, fmt).select(*columns)
 
 
 @query(_UPSERT)
@@ -777,7 +786,7 @@ def table_upsert(spark, d):
 
 @query(_UPSERT)
 def table_upsert_partitions(spark, d):
-    return _disk(spark, d, "upsert", partition=True)
+    return _disk(spark, d, "upsert", by=["year"])
 
 
 @query(_INCREMENTAL)
@@ -791,14 +800,16 @@ def table_upsert_csv(spark, d):
 
 
 @query(
-    """SELECT o_orderkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0
-    UNION ALL SELECT o_orderkey, CAST(NULL AS VARCHAR(10)), o_totalprice FROM orders WHERE o_orderkey % 3 = 0"""
+    """SELECT o_orderkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice FROM orders
+    WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
+    UNION ALL SELECT o_orderkey, CAST(NULL AS VARCHAR(10)), o_totalprice FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'"""
 )
 def table_append_evolve(spark, d):
-    orders, path = _read(spark, d, "orders"), scratch_path(spark, "table")
-    tables.write_table(orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus"), path)
-    new = orders.filter("o_orderkey % 3 = 0").select("o_orderkey", "o_totalprice")
-    tables.write_table(new, path, "append", evolve=True)
+    stored, new = _stored_and_new(spark, d)
+    path = scratch_path(spark, "table")
+    tables.write_table(stored.drop("o_totalprice"), path)
+    tables.write_table(new.drop("o_orderstatus"), path, "append", evolve=True)
     return tables.read_table(spark, path)
 
 
@@ -841,7 +852,7 @@ def dir_scan_union(spark, d):
 @query(
     """SELECT CAST(o_orderkey AS VARCHAR) AS "Code", strftime(o_orderdate, '%Y-%m-%d') AS "Date", o_totalprice AS "C"
     FROM orders UNION ALL SELECT CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'), 0.5 * o_totalprice
-    FROM orders WHERE o_orderkey % 2 = 0"""
+    FROM orders WHERE o_orderstatus = 'F'"""
 )
 def scan_json_envelope(spark, d):
     path = scratch_path(spark, "envelopes")
@@ -850,7 +861,7 @@ def scan_json_envelope(spark, d):
     second = F.struct(
         F.col("o_custkey").cast("string").alias("Code"), date.alias("Date"), (F.lit(0.5) * price).alias("C")
     )
-    records = F.when(F.col("o_orderkey") % 2 == 0, F.array(first, second)).otherwise(F.array(first))
+    records = F.when(F.col("o_orderstatus") == "F", F.array(first, second)).otherwise(F.array(first))
     samples.land_envelopes(_read(spark, d, "orders"), path, records)
     record = T.StructType().add("Code", "string").add("Date", "string").add("C", "double")
     return envelopes.scan_envelopes(spark, path, record, multiline=False)
@@ -862,16 +873,17 @@ def _land_filing_index(spark, d):
         F.col("o_orderkey").cast("string").alias("docID"),
         F.col("o_custkey").cast("string").alias("secCode"),
         F.lit("010").alias("ordinanceCode"),
-        F.expr("if(o_orderkey % 2 = 0, '030000', '030001')").alias("formCode"),
+        F.expr("if(o_orderpriority <> '1-URGENT', '030000', '030001')").alias("formCode"),
     )
-    results = F.when(F.col("o_orderkey") % 7 != 0, F.array(entry))
+    results = F.when(F.col("o_orderpriority") != "5-LOW", F.array(entry))
     samples.land_envelopes(_read(spark, d, "orders"), path, results, "results")
     return envelopes.scan_filing_index(spark, path, multiline=False)
 
 
 @query(
     """SELECT CAST(o_orderkey AS VARCHAR) AS "docID", CAST(o_custkey AS VARCHAR) AS "secCode",
-    CASE WHEN o_orderkey % 2 = 0 THEN '030000' ELSE '030001' END AS "formCode" FROM orders WHERE o_orderkey % 7 <> 0"""
+    CASE WHEN o_orderpriority <> '1-URGENT' THEN '030000' ELSE '030001' END AS "formCode" FROM orders
+    WHERE o_orderpriority <> '5-LOW'"""
 )
 def scan_filing_index(spark, d):
     return _land_filing_index(spark, d).select("docID", "secCode", "formCode")
@@ -1008,7 +1020,7 @@ _FLOATS = [c for c in schemas.FILING_COLUMNS[5:20] if c not in ("Net sales", "Op
     CAST(o_orderkey % 1000 AS DOUBLE) AS "Employees",
     CAST(o_orderkey AS VARCHAR) || '.zip/XBRL/PublicDoc/report.xbrl' AS source_path, 'landed' AS ingestion_source, """
     + ", ".join(f'CAST(NULL AS DOUBLE) AS "{c}"' for c in _FLOATS)
-    + """ FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderkey % 7 <> 0 AND o_orderkey % 2 = 0
+    + """ FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority NOT IN ('5-LOW', '1-URGENT')
     AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
 )
 def ingest_filings(spark, d):
@@ -1187,8 +1199,9 @@ def ingest_flows(spark, d):
 
 
 _BARS = """WITH e AS (SELECT o_orderkey AS ticker, CAST(o_orderdate AS DATE) AS date, o_totalprice AS close_price
-    FROM orders WHERE o_orderkey % 2 = 0), n AS (SELECT o_orderkey AS ticker, CAST(o_orderdate AS DATE) AS date,
-    0.5 * o_totalprice AS close_price FROM orders WHERE o_orderkey % 3 = 0)
+    FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'), n AS (SELECT o_orderkey AS ticker,
+    CAST(o_orderdate AS DATE) AS date, 0.5 * o_totalprice AS close_price FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00')
     SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.ticker = e.ticker AND n.date = e.date)
     UNION ALL SELECT * FROM n"""
 
@@ -1206,11 +1219,9 @@ def _bar_spec(*extra: ColumnSpec) -> TableSpec:
 
 
 def _landed_bars(spark, d):
-    orders = _read(spark, d, "orders")
-    columns = ["o_orderkey as Code", "o_orderdate as Date"]
-    stored = orders.filter("o_orderkey % 2 = 0").selectExpr(*columns, "o_totalprice as AdjC")
-    new = orders.filter("o_orderkey % 3 = 0").selectExpr(*columns, "cast(0.5 as double) * o_totalprice as AdjC")
-    return stored, new
+    stored, new = _halves(_read(spark, d, "orders"))
+    new = new.withColumn("o_totalprice", F.lit(0.5) * F.col("o_totalprice"))
+    return [x.selectExpr("o_orderkey as Code", "o_orderdate as Date", "o_totalprice as AdjC") for x in (stored, new)]
 
 
 @query(_BARS)
