@@ -138,13 +138,23 @@ def has_repeated_keys(df: DataFrame, keys: Sequence[str]) -> bool:
     return not repeated_keys(df, keys).isEmpty()
 
 
-def key_profile(df: DataFrame, keys: Sequence[str]) -> tuple[bool, bool]:
-    """Whether some key repeats and whether some key has a null, from one job over the key columns."""
-    require_columns(df, keys)
-    any_null = reduce(lambda x, y: x | y, [col(k).isNull() for k in keys])
-    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    row = counts.agg(F.max("_n").alias("most"), F.bool_or(any_null).alias("null")).first()
-    return (row["most"] or 0) > 1, bool(row["null"])
+def key_profiles(frames: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[tuple[bool, bool]]:
+    """For each ``(frame, keys)``: whether some key repeats, and whether some key has a null.
+
+    One job over the key columns of all frames, which Spark reads side by side.
+    """
+    parts = []
+    for i, (df, keys) in enumerate(frames):
+        require_columns(df, keys, "the joined frame")
+        any_null = reduce(lambda x, y: x | y, [col(k).isNull() for k in keys])
+        counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(
+            counts.agg(F.max("_n").alias("most"), F.bool_or(any_null).alias("null")).select(F.lit(i).alias("i"), "*")
+        )
+    if not parts:
+        return []
+    rows = reduce(DataFrame.unionByName, parts).collect()
+    return [((r["most"] or 0) > 1, bool(r["null"])) for r in sorted(rows, key=lambda r: r["i"])]
 
 
 def join_row_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -186,8 +196,8 @@ def join_chain(
 ) -> DataFrame:
     """Join ``base`` with each ``(frame, keys, how)`` in order; a step without keys is skipped.
 
-    Runs one job over the keys of each joined frame to see whether it repeats a key or has a null one. A chain of left
-    joins onto frames that repeat none keeps the base rows by construction, so the guard needs no join to be run;
+    Runs one job over the keys of the joined frames to see which repeat a key or have a null one. A chain of left joins
+    onto frames that repeat none keeps the base rows by construction, so the guard needs no join to be run;
     otherwise it compares exact counts and raises ``ValueError`` when the chain changed the number of rows. A frame
     without null keys is joined by plain equality.
     """
@@ -197,9 +207,8 @@ def join_chain(
             raise ValueError(f"Unknown join type {how!r}; use one of {JOIN_TYPES}")
     out, before_last = base, base
     keeps_rows = True
-    for frame, keys, how in steps:
-        require_columns(frame, keys, "the joined frame")
-        repeated, has_null = key_profile(frame, keys)
+    profiles = key_profiles([(frame, keys) for frame, keys, _ in steps])
+    for (frame, keys, how), (repeated, has_null) in zip(steps, profiles):
         keeps_rows = keeps_rows and how == "left" and not repeated
         before_last = out
         # a right join keeps the other side whole, so there it is the left frame that could be hot
