@@ -50,25 +50,32 @@ def _check_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
             raise ValueError(f"Join key {k!r} is {a.simpleString()} on one side and {b.simpleString()} on the other")
 
 
-def anti_by_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], distinct: bool = True) -> DataFrame:
+def anti_by_keys(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], distinct: bool = True, nulls_match: bool = True
+) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``other`` (null-safe).
 
-    ``distinct=False`` skips the reduction to distinct keys when ``other`` is known to hold each key once.
+    ``distinct=False`` skips the reduction to distinct keys when ``other`` is known to hold each key once, and
+    ``nulls_match=False`` compares by plain equality when one side is known to have no null in its keys.
     """
-    return _by_keys(df, other, keys, "left_anti", distinct)
+    return _by_keys(df, other, keys, "left_anti", distinct, nulls_match)
 
 
-def semi_by_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], distinct: bool = True) -> DataFrame:
-    """Rows of ``df`` whose key is present in ``other`` (null-safe)."""
-    return _by_keys(df, other, keys, "left_semi", distinct)
+def semi_by_keys(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], distinct: bool = True, nulls_match: bool = True
+) -> DataFrame:
+    """Rows of ``df`` whose key is present in ``other`` (null-safe); see :func:`anti_by_keys`."""
+    return _by_keys(df, other, keys, "left_semi", distinct, nulls_match)
 
 
-def _by_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, distinct: bool) -> DataFrame:
+def _by_keys(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, distinct: bool, nulls_match: bool
+) -> DataFrame:
     _check_keys(df, other, keys)
     right = other.select(*[col(k) for k in keys])
     if distinct:
         right = right.distinct()
-    return df.alias("l").join(right.alias("r"), _on(keys), how)
+    return df.alias("l").join(right.alias("r"), _on(keys, nulls_match), how)
 
 
 def null_safe_join(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.coerce import to_spark_type
 from ledgermill.names import col
-from ledgermill.operators.joins import anti_by_keys, has_repeated_keys, semi_by_keys
+from ledgermill.operators.joins import anti_by_keys, key_profiles, semi_by_keys
 
 WRITE_MODES = ("overwrite", "append", "incremental", "upsert")
 
@@ -40,10 +40,15 @@ def check_keys_present(existing: Sequence[str], new: Sequence[str], keys: Sequen
         raise ValueError(f"Key columns {missing} not found in new data")
 
 
-def check_new_keys(new: DataFrame, keys: Sequence[str]) -> None:
-    """Raise :class:`DuplicateKeyError` when new data repeats a key (nulls count as equal). Runs one job."""
-    if has_repeated_keys(new, keys):
+def profile_new_keys(new: DataFrame, keys: Sequence[str], mode: str) -> tuple[bool, bool]:
+    """Whether new data repeats a key (nulls count as equal), and whether some key has a null. Runs one job.
+
+    Raises :class:`DuplicateKeyError` when an upsert repeats a key. The joins below are cheaper for what this rules out.
+    """
+    [(repeated, has_null)] = key_profiles([(new, keys)])
+    if repeated and mode == "upsert":
         raise DuplicateKeyError(f"New data repeats a key of {list(keys)}; upsert aborted")
+    return repeated, has_null
 
 
 def merged_columns(existing: Sequence[str], new: Sequence[str]) -> list[str]:
@@ -96,25 +101,27 @@ def misaligned_counts(existing: DataFrame, new: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def new_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def new_rows(
+    existing: DataFrame, new: DataFrame, keys: Sequence[str], repeated: bool = True, has_null: bool = True
+) -> DataFrame:
     """New rows whose key is not stored yet; a key new data repeats is kept every time.
 
     The stored keys are first cut down to those new data asks about, with the stored table on the side that a join can
     split or stream: with a small delta it is scanned once and never shuffled.
     """
-    found = semi_by_keys(existing.select(*[col(k) for k in keys]), new, keys)
-    return anti_by_keys(new, found, keys)
+    found = semi_by_keys(existing.select(*[col(k) for k in keys]), new, keys, repeated, has_null)
+    return anti_by_keys(new, found, keys, nulls_match=has_null)
 
 
-def kept_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows whose key new data does not replace."""
-    return anti_by_keys(existing, new, keys, distinct=False)
+def kept_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str], has_null: bool = True) -> DataFrame:
+    """Stored rows whose key new data, which holds each key once, does not replace."""
+    return anti_by_keys(existing, new, keys, distinct=False, nulls_match=has_null)
 
 
 def merge(
     existing: DataFrame, new: DataFrame, keys: Sequence[str] = (), mode: str = "overwrite", evolve: bool = False
 ) -> DataFrame:
-    """The table after writing ``new`` onto ``existing``. Only an upsert runs a job now (the repeated-key check)."""
+    """The table after writing ``new`` onto ``existing``. The keyed modes run one job now, over the new keys."""
     mode = check_mode(mode, keys)
     if mode == "overwrite":
         return new
@@ -122,7 +129,7 @@ def merge(
     existing, new = align(existing, new, evolve)
     if mode == "append":
         return existing.unionByName(new)
+    repeated, has_null = profile_new_keys(new, keys, mode)
     if mode == "incremental":
-        return existing.unionByName(new_rows(existing, new, keys))
-    check_new_keys(new, keys)
-    return kept_rows(existing, new, keys).unionByName(new)
+        return existing.unionByName(new_rows(existing, new, keys, repeated, has_null))
+    return kept_rows(existing, new, keys, has_null).unionByName(new)

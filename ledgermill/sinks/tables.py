@@ -31,9 +31,9 @@ from ledgermill.operators.merge import (
     align,
     check_keys_present,
     check_mode,
-    check_new_keys,
     kept_rows,
     new_rows,
+    profile_new_keys,
 )
 from ledgermill.scratch import scratch_scope, write_scratch
 
@@ -270,10 +270,13 @@ def _write(
     old, new = old.select(*[col(c) for c in order.names]), new.select(*[col(c) for c in order.names])
     by_part_of_key = bool(partition_by) and set(partition_by) <= set(keys)
 
-    if mode == "append" or mode == "incremental":
+    repeated, has_null = profile_new_keys(new, keys, mode) if mode in ("incremental", "upsert") else (False, False)
+
+    if mode in ("append", "incremental"):
         added = new
         if mode == "incremental":
-            added = new_rows(_touched(old, new, partition_by) if by_part_of_key else old, new, keys)
+            near = _touched(old, new, partition_by) if by_part_of_key else old
+            added = new_rows(near, new, keys, repeated, has_null)
         # CSV is positional, so a changed column order cannot be appended either
         appendable = same_types and (fmt == "parquet" or order.names[: len(existing.columns)] == existing.columns)
         if not appendable:
@@ -283,12 +286,13 @@ def _write(
         _write_layout(spark, path, order, partition_by)
         return _write_files(added, path, "append", fmt, partition_by, compression)
 
-    check_new_keys(new, keys)
     if by_part_of_key and same_types:
-        result = kept_rows(_touched(old, new, partition_by), new, keys).unionByName(new)
+        result = kept_rows(_touched(old, new, partition_by), new, keys, has_null).unionByName(new)
         _write_layout(spark, path, order, partition_by)
         return _write_files(result, path, "overwrite", fmt, partition_by, compression, dynamic=True)
-    return replace_table(kept_rows(old, new, keys).unionByName(new), path, fmt, partition_by, compression)
+    return replace_table(
+        kept_rows(old, new, keys, has_null).unionByName(new), path, fmt, partition_by, compression
+    )
 
 
 def write_tables(tables: dict[str, tuple[DataFrame, Sequence[str], str | None]], mode: str, **options) -> dict[str, str]:

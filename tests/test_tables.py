@@ -175,6 +175,16 @@ def test_type_change_follows_new_data(spark, rows, path, fmt):
     assert rows(lost) == [("value", 1)]
 
 
+def test_type_change_of_a_partitioned_table_keeps_every_partition(spark, rows, path):
+    schema = "id int, p int, value string"
+    for mode in ("upsert", "incremental"):
+        tables.write_table(frame(spark, (1, 1, "7"), (2, 2, "8"), schema=schema), path, partition_by=["p"])
+        new = frame(spark, (1, 1, 9), (3, 3, 10), schema="id int, p int, value bigint")
+        tables.write_table(new, path, mode, ["id", "p"])
+        first = 9 if mode == "upsert" else 7
+        assert rows(tables.read_table(spark, path), "id", "value") == [(1, first), (2, 8), (3, 10)]
+
+
 def test_csv_values_survive(spark, rows, path):
     schema = "id int, s string, d date, t timestamp, f double"
     data = [
