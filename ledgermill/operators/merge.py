@@ -107,9 +107,11 @@ def new_rows(
     """New rows whose key is not stored yet; a key new data repeats is kept every time.
 
     The stored keys are first cut down to those new data asks about, with the stored table on the side that a join can
-    split or stream: with a small delta it is scanned once and never shuffled.
+    split or stream: with a small delta it is scanned once and never shuffled. That cut stays null-safe, whose join keys
+    differ from the plain ones the result is reduced by; a join that shared its partitioning with the reduction could
+    not be split at a hot stored key.
     """
-    found = semi_by_keys(existing.select(*[col(k) for k in keys]), new, keys, repeated, has_null)
+    found = semi_by_keys(existing.select(*[col(k) for k in keys]), new, keys, repeated)
     return anti_by_keys(new, found, keys, nulls_match=has_null)
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution splits skewed joins, evens out writes and picks joins from true sizes.
+# Adaptive execution splits skewed joins (also where that costs another shuffle), evens out writes and picks joins from
+# true sizes.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

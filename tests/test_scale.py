@@ -120,6 +120,17 @@ def test_upsert_splits_a_hot_stored_key(spark):
         assert kept.filter("k = 7").count() == 0
 
 
+@pytest.mark.parametrize("has_null", [True, False])
+def test_insert_splits_a_hot_stored_key(spark, has_null):
+    small = dict.fromkeys((k for k in HOT if k.endswith("InBytes")), "3000")  # one repeated key compresses well
+    with settings(spark, **{**HOT, **small, "spark.sql.adaptive.forceOptimizeSkewedJoin": "false"}):
+        stored = spark.range(0, 400_000, 1, 32).selectExpr("if(id % 3 = 0 or id > 1000, 7, id) as k", "'a' as a")
+        new = spark.range(0, 100, 1, 4).select(F.col("id").alias("k"), F.lit("new").alias("a"))
+        added = merge.new_rows(stored, new, ["k"], repeated=False, has_null=has_null)
+        assert {r["k"] for r in added.collect()} == {k for k in range(100) if k % 3 == 0}
+        assert "skew=true" in plan(added)
+
+
 def test_hot_group_is_reduced_before_the_shuffle(spark):
     """One group holds every row: each task sends one row."""
     df = spark.range(0, 100_000, 1, 8).select(F.lit(1).alias("k"), F.col("id").alias("at"), F.col("id").alias("v"))
