@@ -369,6 +369,20 @@ def fill_group_mean(spark, d):
     return out.withColumn("v", F.round("v", 4))
 
 
+@query(
+    """WITH t AS (SELECT event_id, user_id, CASE WHEN value < 5 THEN NULL ELSE event_type END AS kind FROM events),
+    m AS (SELECT user_id, kind AS top FROM (SELECT user_id, kind, row_number() OVER
+    (PARTITION BY user_id ORDER BY count(*) DESC, kind) AS rn FROM t WHERE kind IS NOT NULL GROUP BY user_id, kind) g
+    WHERE rn = 1)
+    SELECT event_id, t.user_id, coalesce(kind, top) AS kind FROM t LEFT JOIN m ON t.user_id = m.user_id"""
+)
+def fill_group_mode(spark, d):
+    df = _read(spark, d, "events").selectExpr(
+        "event_id", "user_id", "if(value < 5, null, event_type) as kind"
+    )
+    return fill.fill_nulls_by_group(df, ["user_id"], {"kind": "mode"})
+
+
 @query(
     """SELECT 'st' AS column_name,
     round(CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 6) AS null_frac FROM orders"""

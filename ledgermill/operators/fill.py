@@ -41,10 +41,13 @@ def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     return df.select(*out)
 
 
-def resolve_fills(df: DataFrame, fills: Sequence[FillSpec], stats_from: DataFrame | None = None) -> dict[str, Any]:
+def resolve_fills(
+    df: DataFrame, fills: Sequence[FillSpec], stats_from: DataFrame | None = None, exact: bool = True
+) -> dict[str, Any]:
     """Constants for every fill: numeric columns take a statistic name (or a number), other columns the value itself.
 
     Statistics are computed now, over ``stats_from`` (by default ``df``); columns the frame lacks are ignored.
+    ``exact=False`` allows approximate medians, which need no pass of their own.
     """
     methods, values = {}, {}
     for fill in fills:
@@ -60,47 +63,58 @@ def resolve_fills(df: DataFrame, fills: Sequence[FillSpec], stats_from: DataFram
         else:
             values[fill.column] = fill.value
     if methods:
-        stats = fill_statistics(stats_from if stats_from is not None else df, methods)
+        stats = fill_statistics(stats_from if stats_from is not None else df, methods, exact)
         for name, value in stats.items():
-            integral = isinstance(df.schema[name].dataType, _INTEGRAL)
-            values[name] = float(value) if integral and value is not None and methods[name] in ("mean", "median") else value
+            fractional = methods[name] in ("mean", "median") and isinstance(df.schema[name].dataType, _INTEGRAL)
+            values[name] = float(value) if fractional and value is not None else value
     return values
 
 
-def fill_nulls(df: DataFrame, fills: Sequence[FillSpec] | Mapping[str, Any]) -> DataFrame:
+def fill_nulls(df: DataFrame, fills: Sequence[FillSpec] | Mapping[str, Any], exact: bool = True) -> DataFrame:
     """Fill nulls by statistic or constant. Runs the statistics jobs now; the filled frame is lazy."""
     if isinstance(fills, Mapping):
         fills = [FillSpec(c, v) for c, v in fills.items()]
-    return fill_values(df, resolve_fills(df, fills))
+    return fill_values(df, resolve_fills(df, fills, exact=exact))
 
 
-def fill_nulls_by_group(df: DataFrame, group: Sequence[str], methods: Mapping[str, str]) -> DataFrame:
-    """Fill nulls by the group's own ``mean``, ``min``, ``max``, ``sum`` or ``zero``.
+def fill_nulls_by_group(df: DataFrame, group: Sequence[str], fills: Mapping[str, Any]) -> DataFrame:
+    """Fill nulls by the group's own ``mean``, ``min``, ``max``, ``sum`` or ``mode``, or by a constant.
 
-    The statistics are one pre-aggregated row per group joined back, so a hot group is never gathered in one task.
+    The statistics are pre-aggregated to one row per group and joined back, so a hot group is never gathered in one task.
+    A column keeps its type, except that ``mean`` makes a whole-number column a double.
     """
-    require_columns(df, [*group, *methods])
-    aggregates, zero = [], {}
-    for name, method in methods.items():
-        v = without_nan(col(name), df.schema[name].dataType)
-        if method == "zero":
-            zero[name] = 0
-        elif method in ("mean", "min", "max", "sum"):
-            aggregates.append({"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}[method](v).alias(f"_s_{name}"))
-        else:
-            raise ValueError(f"Group fill by {method!r} is not supported")
-    out = df
+    require_columns(df, [*group, *fills])
+    keys = [col(g) for g in group]
+    simple = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
+
+    def present(name: str):
+        return without_nan(col(name), df.schema[name].dataType)
+
+    tables = []
+    aggregates = [simple[m](present(c)).alias(f"_s_{c}") for c, m in fills.items() if m in simple]
     if aggregates:
-        stats = df.groupBy(*[col(g) for g in group]).agg(*aggregates)
-        out = null_safe_join(df, stats, list(group), "left")
+        tables.append(df.groupBy(*keys).agg(*aggregates))
+    for name in [c for c, m in fills.items() if m == "mode"]:
+        counts = df.groupBy(*keys, present(name).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).filter("_v is not null")
+        best = F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v"))).getField("_v")
+        tables.append(counts.groupBy(*keys).agg(best.alias(f"_s_{name}")))
+    out = df
+    for stats in tables:
+        out = null_safe_join(out, stats, list(group), "left")
     columns = []
     for f in df.schema.fields:
-        c = col(f.name)
-        if f.name in zero:
-            columns.append(F.coalesce(without_nan(c, f.dataType), F.lit(0).cast(f.dataType)).alias(f.name))
-        elif f.name in methods:
-            stat = col(f"_s_{f.name}")
-            columns.append(F.coalesce(without_nan(c, f.dataType), stat).alias(f.name))
+        method = fills.get(f.name)
+        if method is None:
+            columns.append(col(f.name))
+            continue
+        if method in simple or method == "mode":
+            value = col(f"_s_{f.name}")
+        elif method == "zero":
+            value = F.lit(0)
+        elif isinstance(f.dataType, T.NumericType) and isinstance(method, str):
+            raise ValueError(f"Group fill of {f.name!r} by {method!r} is not supported")
         else:
-            columns.append(c)
+            value = F.lit(method)
+        value = value if method == "mean" else value.cast(f.dataType)
+        columns.append(F.coalesce(without_nan(col(f.name), f.dataType), value).alias(f.name))
     return out.select(*columns)

@@ -47,8 +47,16 @@ def _old_path(path: str) -> str:
     return path.rstrip("/") + ".__old"
 
 
+def _live_path(spark: SparkSession, path: str) -> str:
+    """Where the table can be read now: during a swap, or after one that was cut off, that is the set-aside folder."""
+    return path if path_exists(spark, path) or not path_exists(spark, _old_path(path)) else _old_path(path)
+
+
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish or undo a swap that was cut off: when only the set-aside table is there, put it back."""
+    """Finish or undo a swap that was cut off: when only the set-aside table is there, put it back.
+
+    Only the table's writer may call this; readers use whichever folder is there.
+    """
     fs, target, make = file_system(spark, path)
     old = make(_old_path(path))
     if fs.exists(old):
@@ -66,8 +74,8 @@ def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.mkdirs(parent)
     if fs.exists(target) and not fs.rename(target, old):
         raise OSError(f"Could not set {path} aside")
-    if not fs.rename(make(staged), target):
-        if fs.exists(old):
+    if fs.exists(target) or not fs.rename(make(staged), target):
+        if fs.exists(old) and not fs.exists(target):
             fs.rename(old, target)
         raise OSError(f"Could not move the staged table to {path}")
     if fs.exists(old):
@@ -97,7 +105,7 @@ def _write_layout(spark: SparkSession, path: str, schema: T.StructType, partitio
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when the folder (or file) is there and holds a table, be it an empty one."""
-    recover(spark, path)
+    path = _live_path(spark, path)
     if not path_exists(spark, path):
         return False
     if not is_folder(spark, path) or path_exists(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}"):
@@ -110,7 +118,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     """Read a stored table. CSV columns come back with the types they were written with."""
     if fmt not in FORMATS:
         raise NotImplementedError(f"Unsupported table format {fmt!r}; choose from {FORMATS}")
-    recover(spark, path)
+    path = _live_path(spark, path)
     schema, _ = _read_layout(spark, path)
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
@@ -251,6 +259,7 @@ def _write(
     stage: bool,
 ) -> None:
     spark = df.sparkSession
+    recover(spark, path)
     if mode == "overwrite" or not table_exists(spark, path):
         return replace_table(df, path, fmt, partition_by, compression)
     existing = read_table(spark, path, fmt)

@@ -86,6 +86,23 @@ def test_group_fill(spark, rows):
     out = fill.fill_nulls_by_group(df, ["g"], {"v": "mean"})
     assert rows(out) == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("z", None), (None, 5.0), (None, 5.0)]
     assert ("z", 0.0) in rows(fill.fill_nulls_by_group(df, ["g"], {"v": "zero"}))
+    assert ("z", 9.0) in rows(fill.fill_nulls_by_group(df, ["g"], {"v": 9}))
+    with pytest.raises(ValueError, match="not supported"):
+        fill.fill_nulls_by_group(df, ["g"], {"v": "median"})
+
+
+def test_group_mode_and_text(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 3, "x"), ("a", 3, None), ("a", 1, "y"), ("a", None, "y"), ("b", 2, None), ("b", 1, None), ("b", None, None)],
+        "g string, n int, s string",
+    )
+    out = fill.fill_nulls_by_group(df, ["g"], {"n": "mode", "s": "none"})
+    assert out.schema["n"].dataType.simpleString() == "int"
+    assert rows(out) == sorted(
+        [("a", 3, "x"), ("a", 3, "none"), ("a", 1, "y"), ("a", 3, "y"), ("b", 2, "none"), ("b", 1, "none"), ("b", 1, "none")],
+        key=repr,
+    )
+    assert ("a", 3, "y") in rows(fill.fill_nulls_by_group(df, ["g"], {"n": "mode", "s": "mode"}))
 
 
 def test_sparse_columns(spark):

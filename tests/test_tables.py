@@ -201,7 +201,10 @@ def test_cut_off_swap_is_undone(spark, rows, path):
     fs, p, make = file_system(spark, path)
     fs.rename(p, make(f"{path}.__old"))
     assert tables.table_exists(spark, path)
-    assert stored(spark, path, "parquet", rows) == OLD
+    assert stored(spark, path, "parquet", rows) == OLD  # reading leaves things as they are
+    assert not path_exists(spark, path)
+    tables.write_table(frame(spark, *NEW), path, "upsert", ["id"])
+    assert stored(spark, path, "parquet", rows) == AFTER["upsert"]
     assert not path_exists(spark, f"{path}.__old")
 
 
