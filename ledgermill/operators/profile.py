@@ -122,22 +122,30 @@ def _values_at_ranks(
     return found
 
 
-def exact_median(df: DataFrame, name: str, accuracy: int = 10_000) -> float | None:
-    """Exact median (mean of the two middle values for an even count); None when all values are missing."""
-    values = df.select(_present(df, name).cast("double").alias("v")).filter("v is not null")
+def _middle(values: Column, accuracy: int) -> Column:
+    """Count of the values and two of them that enclose the middle, for :func:`exact_median`."""
     slack = 2.0 / accuracy
-    seen = values.agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", [0.5 - slack, 0.5 + slack], accuracy).alias("around")
-    ).first()
-    n = seen["n"]
+    around = F.percentile_approx(values, [0.5 - slack, 0.5 + slack], accuracy)
+    return F.struct(F.count(values).alias("n"), around.alias("around"))
+
+
+def exact_median(df: DataFrame, name: str, accuracy: int = 10_000, middle: Any = None) -> float | None:
+    """Exact median (mean of the two middle values for an even count); None when all values are missing.
+
+    ``middle`` is a collected :func:`_middle` of the column, when an earlier pass has taken it.
+    """
+    values = df.select(_present(df, name).cast("double").alias("v")).filter("v is not null")
+    if middle is None:
+        middle = values.agg(_middle(F.col("v"), accuracy).alias("m")).first()["m"]
+    n = middle["n"]
     if n == 0:
         return None
-    found = _values_at_ranks(values, sorted({(n - 1) // 2, n // 2}), n, accuracy, around=list(seen["around"]))
+    found = _values_at_ranks(values, sorted({(n - 1) // 2, n // 2}), n, accuracy, around=list(middle["around"]))
     return sum(found[r] for r in ((n - 1) // 2, n // 2)) / 2.0
 
 
 def fill_statistics(df: DataFrame, methods: Mapping[str, str], exact: bool = True) -> dict[str, Any]:
-    """Fill value of each column: one fused aggregate, plus a job per exact median or mode.
+    """Fill value of each column: one fused aggregate, plus small jobs per exact median or mode.
 
     ``exact=False`` takes medians from ``percentile_approx`` inside the fused aggregate.
     """
@@ -158,14 +166,15 @@ def fill_statistics(df: DataFrame, methods: Mapping[str, str], exact: bool = Tru
             fused.append(F.coalesce(F.sum(v), F.lit(0)).alias(f"s{i}"))
         elif method in ("min", "max"):
             fused.append(getattr(F, method)(v).alias(f"s{i}"))
-        elif method == "median" and not exact:
-            fused.append(F.percentile_approx(v, 0.5, 10_000).alias(f"s{i}"))
+        elif method == "median":
+            v = v.cast("double")
+            fused.append((_middle(v, 10_000) if exact else F.percentile_approx(v, 0.5, 10_000)).alias(f"s{i}"))
     row = df.agg(*fused).first().asDict() if fused else {}
     for i, (name, method) in enumerate(methods.items()):
-        if f"s{i}" in row:
+        if method == "median" and exact:
+            out[name] = exact_median(df, name, middle=row[f"s{i}"])
+        elif f"s{i}" in row:
             out[name] = row[f"s{i}"]
-        elif method == "median":
-            out[name] = exact_median(df, name)
         elif method == "mode":
             out[name] = exact_mode(df, name)
     return {name: out[name] for name in methods}

@@ -290,8 +290,7 @@ def _write(
         appendable = same_types and (fmt == "parquet" or order.names[: len(existing.columns)] == existing.columns)
         if not appendable:
             return replace_table(old.unionByName(added), path, fmt, partition_by, compression)
-        if mode == "incremental":
-            added = write_scratch(added, "insert")  # the rows depend on the table they are appended to
+        # inserted rows are found by reading the files listed above, which an append leaves alone
         _write_layout(spark, path, order, partition_by)
         return _write_files(added, path, "append", fmt, partition_by, compression)
 
