@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, jaccard_join, mixing, topk_search
+from ledgermill.llm import byte_bpe, jaccard_join, mixing, suffix_dedup, topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op6_source_mix(spark, d):
 @query()
 def op9_jaccard_join(spark, d):
     return jaccard_join.jaccard_components(_read(spark, d, "documents"))
+
+
+@query()
+def op10_suffix_dedup(spark, d):
+    return suffix_dedup.remove_repeats(_read(spark, d, "documents"))
