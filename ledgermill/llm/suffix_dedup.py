@@ -277,7 +277,7 @@ def _cut(least: int, with_text: bool):
         mask = joined(arrays(right["mask"], "<u8"), "<u8")
         at = offsets[row.astype(np.int64)] + start
         for bit in range(least):
-            here = at[(mask >> np.uint64(bit)) & np.uint64(1) > 0] + bit + bit
+            here = at[(mask >> np.uint64(bit)) & np.uint64(1) > 0] + bit
             change += np.bincount(here, minlength=len(change)).astype(np.int32) if len(here) else 0
             if len(here):
                 change -= np.bincount(here + least, minlength=len(change)).astype(np.int32)
