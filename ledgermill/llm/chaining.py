@@ -1 +1,439 @@
-"""stub"""
+"""Fuzzy substring dedup: repeated passages found by collinear chaining of shared word k-mers.
+
+1. Seeds: of every ``WINDOW`` consecutive k-mers of words the one with the smallest hash, so that any ``k + WINDOW - 1``
+   equal words share one. Units of documents send their distinct seed hashes to buckets, which answer which of them occur
+   in more than one unit or document; for those the unit then sends the smallest document and place it has, and is told
+   the smallest of all. So every later occurrence of a seed is matched with its first one: matches grow with the seeds,
+   not with pairs, and a seed shared by a third of all documents is sent once a unit.
+2. Matches of a document with one source are joined into blocks along diagonals and chained: a block follows the best one
+   that ends before it in both texts, its score less a cost for each skipped word, kept in a Fenwick tree over source
+   places. Chains are cut at gaps of more than ``GAP`` words.
+3. The words of the sources' stretches are sent to the units that ask for them (one stretch for each unit and source), and
+   every chain is aligned: blocks as they are, gaps by edit distance, ends extended while words are equal. Chains of at
+   least ``SHORTEST`` words with ``percent`` of words equal count.
+4. A run of at least ``least`` words covered by counted chains is a repeated passage. Its parts may have different sources.
+
+The texts are shuffled once and read again from that exchange. Memory: a unit, or the hashes of a bucket.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_left
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgermill.llm.suffix_dedup import _MARKS, _answer_anchors, _sliding_min, _tail
+from ledgermill.llm.text import sequence_hashes
+from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, unit_frame, unit_of
+
+WINDOW = 4
+#: Longest gap inside a chain, shortest chain that counts (words), and the cost of a skipped word.
+GAP, SHORTEST, GAP_COST = 16, 20, 0.5
+#: Fewest matches with one source that can make a chain that counts.
+FEWEST = 3
+_U = np.uint64
+
+
+class Seeds:
+    """Seeds of a unit: hash, word place within the document, row; and the unit's words."""
+
+    def __init__(self, unit: Unit, k: int):
+        self.words = unit.texts.words()
+        self.word_hashes = self.words.hashes()
+        first = self.words.first
+        grams = sequence_hashes(self.word_hashes, k)
+        hashes, places = [], []
+        for a, b, known in zip(first[:-1].tolist(), first[1:].tolist(), unit.known.tolist()):
+            n = b - a - k + 1
+            if n > 0 and known:
+                # the leftmost smallest of each window; a document shorter than a window has one
+                own = grams[a : a + n]
+                key = (own & ~_U(0xFFFFFF)) | (np.arange(n, dtype=_U) & _U(0xFFFFFF))
+                low = _sliding_min(key, min(WINDOW, n))
+                at = np.arange(len(low)) + ((low - np.arange(len(low), dtype=_U)) & _U(0xFFFFFF)).astype(np.int64)
+                at = np.unique(at)
+                hashes.append(own[at])
+                places.append(at + a)
+        self.hash, place = joined(hashes, _U), joined(places, np.int64)
+        self.row = np.searchsorted(first, place, "right") - 1
+        self.place = place - first[self.row]
+        # distinct hashes, each with its smallest document and place first
+        doc = unit.doc[self.row]
+        self.order = np.lexsort((self.place, doc, self.hash))
+        ordered = self.hash[self.order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.empty(0, bool)
+        self.first = np.flatnonzero(new)
+        docs = doc[self.order]
+        self.kinds = ordered[self.first]
+        self.low_doc, self.low_place = docs[self.first], self.place[self.order][self.first]
+        last = np.append(self.first[1:], len(ordered)) - 1
+        self.many = docs[self.first] != docs[last] if len(last) else np.empty(0, bool)
+
+
+def _send_hashes(k: int, bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        unit = Unit(table)
+        seeds = Seeds(unit, k)
+        out = {"unit": [], "bucket": [], "hashes": [], "many": []}
+        for bucket, a, b in bucket_ranges(seeds.kinds, bits):
+            tail = _tail(seeds.kinds[a:b], bits)
+            out["unit"].append(unit.number)
+            out["bucket"].append(bucket)
+            out["hashes"].append((tail >> _U(8)).astype("<u4").tobytes() + (tail & _U(255)).astype(np.uint8).tobytes())
+            out["many"].append(np.packbits(seeds.many[a:b]).tobytes())
+        return pa.table(out, _schema(_MARKS))
+
+    return run
+
+
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "string": pa.string()}
+    return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in ddl.split(", "))])
+
+
+def _repeated(seeds: Seeds, answers: pa.Table, bits: int):
+    """(bucket, the distinct seeds in it that were answered to be repeated)."""
+    told = dict(zip(answers["bucket"].to_pylist(), answers["many"]))
+    for bucket, a, b in bucket_ranges(seeds.kinds, bits):
+        if bucket in told:
+            many = np.unpackbits(np.frombuffer(told[bucket].as_buffer(), np.uint8), count=b - a).astype(bool)
+            yield bucket, a + np.flatnonzero(many)
+
+
+_PLACES = "unit long, bucket int, hashes binary, docs binary, places binary"
+
+
+def _send_places(k: int, bits: int):
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {n: [] for n in _schema(_PLACES).names}
+        if len(left) and len(right):
+            unit = Unit(left)
+            seeds = Seeds(unit, k)
+            for bucket, pick in _repeated(seeds, right, bits):
+                if len(pick):
+                    out["unit"].append(unit.number)
+                    out["bucket"].append(bucket)
+                    out["hashes"].append(_tail(seeds.kinds[pick], bits).astype("<u8").tobytes())
+                    out["docs"].append(seeds.low_doc[pick].astype("<i8").tobytes())
+                    out["places"].append(seeds.low_place[pick].astype("<u4").tobytes())
+        return pa.table(out, _schema(_PLACES))
+
+    return run
+
+
+_SOURCES = "unit long, bucket int, docs binary, places binary, many binary"
+
+
+def _answer_places(table: pa.Table) -> pa.Table:
+    """Per unit and bucket, for each repeated seed: the smallest document and place that has it."""
+    table = table.combine_chunks()
+    lists = arrays(table["hashes"], "<u8")
+    hashes, docs = joined(lists, "<u8"), joined(arrays(table["docs"], "<i8"), "<i8")
+    places = joined(arrays(table["places"], "<u4"), "<u4")
+    order = np.lexsort((places, docs, hashes))
+    new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    docs, places = docs[order[new]][kind], places[order[new]][kind]
+    ends = np.cumsum([len(x) for x in lists])
+    cut = [(int(e) - len(x), int(e)) for e, x in zip(ends, lists)]
+    return pa.table(
+        [table["unit"], table["bucket"], pa.array([docs[a:b].tobytes() for a, b in cut], pa.binary()),
+         pa.array([places[a:b].tobytes() for a, b in cut], pa.binary())], ["unit", "bucket", "docs", "places"])
+
+
+def blocks_of(place: np.ndarray, source: np.ndarray, k: int):
+    """Matches of k words joined along diagonals where they touch: (place, source place, words) of each block, by place."""
+    order = np.lexsort((place, source - place))
+    place, source = place[order], source[order]
+    apart = np.r_[True, (np.diff(source - place) != 0) | (np.diff(place) > k)]
+    first = np.flatnonzero(apart)
+    last = np.append(first[1:], len(place)) - 1
+    by = np.lexsort((source[first], place[first]))
+    return place[first][by], source[first][by], (place[last] - place[first] + k)[by]
+
+
+class Fenwick:
+    """Prefix maxima under point updates; remembers which entry holds the maximum."""
+
+    def __init__(self, n: int):
+        self.best = [(-1e18, -1)] * (n + 1)
+
+    def put(self, at: int, value: float, what: int) -> None:
+        at += 1
+        while at < len(self.best):
+            if value > self.best[at][0]:
+                self.best[at] = (value, what)
+            at += at & -at
+
+    def top(self, before: int) -> tuple[float, int]:
+        """The largest value at places below ``before``."""
+        found = (-1e18, -1)
+        while before > 0:
+            if self.best[before][0] > found[0]:
+                found = self.best[before]
+            before -= before & -before
+        return found
+
+
+def chains_of(place: list[int], source: list[int], words: list[int]) -> list[list[int]]:
+    """Collinear chains of blocks (indices in order), best first; a block is in one chain at most."""
+    n = len(place)
+    if n == 1:
+        return [[0]]
+    ends = sorted({s + w for s, w in zip(source, words)})
+    tree = Fenwick(len(ends))
+    score, before = [0.0] * n, [-1] * n
+    closing = sorted(range(n), key=lambda i: place[i] + words[i])
+    done = 0
+    for i in range(n):
+        while done < n and place[closing[done]] + words[closing[done]] <= place[i]:
+            j = closing[done]
+            end, source_end = place[j] + words[j], source[j] + words[j]
+            # a skipped word costs in either text, so the cost of a gap is the difference of two sums
+            tree.put(bisect_left(ends, source_end), score[j] + GAP_COST * (end + source_end), j)
+            done += 1
+        value, j = tree.top(bisect_left(ends, source[i] + 1))
+        gain = value - GAP_COST * (place[i] + source[i])
+        score[i] = words[i] + max(0.0, gain)
+        before[i] = j if gain > 0 else -1
+    used, out = [False] * n, []
+    for i in sorted(range(n), key=lambda i: -score[i]):
+        chain = []
+        while i >= 0 and not used[i]:
+            used[i] = True
+            chain.append(i)
+            i = before[i]
+        if chain:
+            chain.reverse()
+            part = [chain[0]]
+            for a, b in zip(chain, chain[1:]):
+                if max(place[b] - place[a] - words[a], source[b] - source[a] - words[a]) > GAP:
+                    out.append(part)
+                    part = []
+                part.append(b)
+            out.append(part)
+    return out
+
+
+_CHAINS = "unit long, row long, source long, low long, high long, blocks binary"
+
+
+def _send_chains(k: int, bits: int):
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {n: [] for n in _schema(_CHAINS).names}
+        if len(left) and len(right):
+            unit = Unit(left)
+            seeds = Seeds(unit, k)
+            told = {b: (np.frombuffer(d.as_buffer(), "<i8"), np.frombuffer(p.as_buffer(), "<u4"))
+                    for b, d, p in zip(right["bucket"].to_pylist(), right["docs"], right["places"]) if d.is_valid}
+            marks = right.filter(pa.compute.is_valid(right["many"]))
+            source = np.full(len(seeds.kinds), -1, np.int64)
+            source_place = np.zeros(len(seeds.kinds), np.int64)
+            there = np.zeros(len(seeds.kinds), bool)
+            for bucket, pick in _repeated(seeds, marks, bits):
+                if bucket in told:
+                    source[pick], source_place[pick] = told[bucket]
+                    there[pick] = True
+            size = np.diff(np.append(seeds.first, len(seeds.order)))
+            take = seeds.order[np.repeat(there, size)]
+            doc_from, place_from = np.repeat(source, size)[np.repeat(there, size)], np.repeat(source_place, size)[np.repeat(there, size)]
+            earlier = doc_from < unit.doc[seeds.row[take]]
+            take, doc_from, place_from = take[earlier], doc_from[earlier], place_from[earlier]
+            row, place = seeds.row[take], seeds.place[take]
+            by = np.lexsort((place, doc_from, row))
+            row, place, doc_from, place_from = row[by], place[by], doc_from[by], place_from[by]
+            if len(row):
+                cuts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (doc_from[1:] != doc_from[:-1]), True])
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    if b - a < FEWEST:
+                        continue
+                    p, s, w = blocks_of(place[a:b], place_from[a:b], k)
+                    for chain in chains_of(p.tolist(), s.tolist(), w.tolist()):
+                        if p[chain[-1]] + w[chain[-1]] - p[chain[0]] < SHORTEST - 2 * (k + WINDOW):
+                            continue
+                        out["unit"].append(unit.number)
+                        out["row"].append(int(row[a]))
+                        out["source"].append(int(doc_from[a]))
+                        out["low"].append(max(0, int(s[chain[0]]) - k - WINDOW))
+                        out["high"].append(int(s[chain[-1]] + w[chain[-1]]) + k + WINDOW)
+                        out["blocks"].append(np.stack([p[chain], s[chain], w[chain]]).astype("<i4").tobytes())
+        return pa.table(out, _schema(_CHAINS))
+
+    return run
+
+
+_ASKED = "asker long, source long, low long, high long"
+
+
+def _ask(table: pa.Table) -> pa.Table:
+    """One stretch of each source that a unit's chains need."""
+    if not len(table):
+        return _schema(_ASKED).empty_table()
+    found = table.group_by(["unit", "source"]).aggregate([("low", "min"), ("high", "max")])
+    return pa.table([found["unit"], found["source"], found["low_min"], found["high_max"]], names=_schema(_ASKED).names)
+
+
+_REPLIES = "unit long, source long, low long, words binary"
+
+
+def _reply(_, left: pa.Table, right: pa.Table) -> pa.Table:
+    out = {n: [] for n in _schema(_REPLIES).names}
+    if len(left) and len(right):
+        unit = Unit(left)
+        words = unit.texts.words()
+        hashes = words.hashes().astype("<u4")
+        row_of = {d: i for i, d in reversed(list(enumerate(unit.ids.to_pylist())))}
+        for asker, source, low, high in zip(*(right[c].to_pylist() for c in _schema(_ASKED).names)):
+            if source in row_of:
+                a, b = words.first[row_of[source]], words.first[row_of[source] + 1]
+                out["unit"].append(asker)
+                out["source"].append(source)
+                out["low"].append(low)
+                out["words"].append(hashes[min(a + low, b) : min(a + high, b)].tobytes())
+    return pa.table(out, _schema(_REPLIES))
+
+
+def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
+    """Words that a least-cost alignment of two gaps pairs with an equal one."""
+    if not len(a) or not len(b):
+        return 0
+    best = np.zeros(len(b) + 1, np.int64)
+    for x in a:
+        best[1:] = np.maximum.accumulate(np.maximum(best[1:], np.where(b == x, best[:-1] + 1, 0)))
+    return int(best[-1])
+
+
+def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) -> tuple[int, int, int, int, int]:
+    """(place, words, source place, source words, equal words) of a chain, extended while words are equal."""
+    place, source, words = blocks
+    equal = int(words.sum())
+    for i in range(len(place) - 1):
+        equal += _equal_words(mine[place[i] + words[i] : place[i + 1]],
+                              theirs[source[i] + words[i] - low : source[i + 1] - low])
+    a, sa = int(place[0]), int(source[0])
+    b, sb = int(place[-1] + words[-1]), int(source[-1] + words[-1])
+    while a > 0 and sa > low and mine[a - 1] == theirs[sa - 1 - low]:
+        a, sa, equal = a - 1, sa - 1, equal + 1
+    while b < len(mine) and sb - low < len(theirs) and mine[b] == theirs[sb - low]:
+        b, sb, equal = b + 1, sb + 1, equal + 1
+    return a, b - a, sa, sb - sa, equal
+
+
+def _passages(unit: Unit, right: pa.Table, least: int, percent: int):
+    """Per row with repeated passages: the runs (first word, last word + 1), and the chains that make them."""
+    words = unit.texts.words()
+    hashes = words.hashes().astype("<u4")
+    asked = right.filter(pa.compute.is_valid(right["blocks"]))
+    replies = right.filter(pa.compute.is_valid(right["words"]))
+    sources = {s: (low, np.frombuffer(w.as_buffer(), "<u4"))
+               for s, low, w in zip(replies["source"].to_pylist(), replies["low"].to_pylist(), replies["words"])}
+    found: dict[int, list] = {}
+    for row, source, blocks in zip(asked["row"].to_pylist(), asked["source"].to_pylist(), asked["blocks"]):
+        if source not in sources:
+            continue
+        low, theirs = sources[source]
+        mine = hashes[words.first[row] : words.first[row + 1]]
+        a, n, sa, sn, equal = align(mine, theirs, low, np.frombuffer(blocks.as_buffer(), "<i4").reshape(3, -1))
+        if n >= SHORTEST and 100 * equal >= percent * max(n, sn):
+            found.setdefault(row, []).append((a, a + n, source, sa, sa + sn, equal))
+    for row, chains in found.items():
+        chains.sort()
+        runs: list[list[int]] = []
+        for a, b, *_ in chains:
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
+            else:
+                runs.append([a, b])
+        runs = [r for r in runs if r[1] - r[0] >= least]
+        if runs:
+            yield row, runs, [c for c in chains if any(r[0] <= c[0] and c[1] <= r[1] for r in runs)], words
+
+
+_FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_first_word long, source_n_words long, "
+          "equal_words long")
+
+
+def _list_passages(least: int, percent: int):
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {n: [] for n in _schema(_FOUND).names}
+        if len(left) and len(right):
+            unit = Unit(left)
+            for row, _, chains, _ in _passages(unit, right, least, percent):
+                for a, b, source, sa, sb, equal in chains:
+                    for name, value in zip(out, (unit.ids[row].as_py(), source, a, b - a, sa, sb - sa, equal)):
+                        out[name].append(value)
+        return pa.table(out, _schema(_FOUND))
+
+    return run
+
+
+def _cut_passages(columns: list[str], text: str, chars: str, schema: pa.Schema, least: int, percent: int):
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left):
+            return schema.empty_table()
+        unit = Unit(left)
+        rows = unit.table["row"].combine_chunks()
+        texts = rows.field(columns.index(text)).to_pylist()
+        counts = rows.field(columns.index(chars)).to_pylist() if chars in columns else None
+        data, offsets = unit.texts.data, unit.texts.offsets
+        for row, runs, _, words in _passages(unit, right, least, percent) if len(right) else ():
+            begin, end = int(offsets[row]), int(offsets[row + 1])
+            starts = words.start[words.first[row] : words.first[row + 1]]
+            kept, at = [], begin
+            for a, b in runs:
+                kept.append(data[at : starts[a]].tobytes())
+                at = int(starts[b]) if b < len(starts) else end
+            texts[row] = (b"".join(kept) + data[at:end].tobytes()).decode()
+            if counts is not None:
+                counts[row] = len(texts[row])
+        new = {text: pa.array(texts, schema.field(text).type)}
+        if counts is not None:
+            new[chars] = pa.array(counts, schema.field(chars).type)
+        return pa.table([new.get(c, rows.field(i)) for i, c in enumerate(columns)], schema=schema)
+
+    return run
+
+
+def _prepared(docs: DataFrame, key: str, text: str, k: int, with_row: bool):
+    """Units, and for each what its chains and the words of their sources are."""
+    rows, units, bits = unit_frame(docs, key, text, with_row)
+    by_unit = rows.groupBy("unit")
+    sent = by_unit.applyInArrow(_send_hashes(k, bits), _MARKS)
+    marks = sent.groupBy("bucket").applyInArrow(_answer_anchors, "unit long, bucket int, many binary")
+    marks = marks.withColumnRenamed("unit", "u").repartition("u")
+    places = by_unit.cogroup(marks.groupBy("u")).applyInArrow(_send_places(k, bits), _PLACES)
+    sources = places.groupBy("bucket").applyInArrow(_answer_places, "unit long, bucket int, docs binary, places binary")
+    told = marks.unionByName(sources.withColumnRenamed("unit", "u"), allowMissingColumns=True)
+    chains = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_chains(k, bits), _CHAINS).repartition("unit")
+    asked = chains.groupBy("unit").applyInArrow(_ask, _ASKED).withColumn("of", unit_of("source", units))
+    replies = by_unit.cogroup(asked.groupBy("of")).applyInArrow(_reply, _REPLIES)
+    answers = chains.unionByName(replies, allowMissingColumns=True).withColumnRenamed("unit", "u")
+    return by_unit, answers.groupBy("u")
+
+
+def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, least: int = 50,
+                      percent: int = 80) -> DataFrame:
+    """One row per chain of a repeated passage: doc_id and place (first word, words) of the later text, source_id and place
+    of the earlier one, and how many words the alignment pairs as equal.
+
+    The later document is the one with the larger doc_id. Words are parted by ASCII white space and compared without case
+    of A-Z. A null text is empty; rows with a null doc_id take no part; rows that share a doc_id aren't compared. Other
+    columns are not read.
+    """
+    units, answers = _prepared(docs, key, text, k, False)
+    return units.cogroup(answers).applyInArrow(_list_passages(least, percent), _FOUND)
+
+
+def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", k: int = 5,
+                 least: int = 50, percent: int = 80) -> DataFrame:
+    """The documents, all columns, with repeated passages cut out of the later text; ``chars`` is its new length. The first
+    occurrence of a passage and documents without repeats stay as they are."""
+    units, answers = _prepared(docs, key, text, k, True)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(docs.schema)
+    return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, schema, least, percent), docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, jaccard_join, mixing, suffix_dedup, topk_search
+from ledgermill.llm import byte_bpe, chaining, jaccard_join, mixing, suffix_dedup, topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -110,6 +110,11 @@ def op6_source_mix(spark, d):
     return mixing.mix(_read(spark, d, "documents"))
 
 
+@query()
+def op5_passage_chaining(spark, d):
+    return chaining.repeated_passages(_read(spark, d, "documents"))
+
+
 @query()
 def op9_jaccard_join(spark, d):
     return jaccard_join.jaccard_components(_read(spark, d, "documents"))

@@ -8,7 +8,7 @@ is short (under 2 * ``least`` bytes):
 
 1. Every run of ``least`` bytes has an anchor, its ``ANCHOR``-byte string with the smallest hash (leftmost if equal). Equal
    runs have equal anchors at equal offsets. Each unit of documents sends its distinct anchor hashes to buckets of hash
-   values; a bucket answers which of them more than one document has. About one byte in sixteen is an anchor, five bytes
+   values; a bucket answers which of them more than one document has. About one byte in twelve is an anchor, five bytes
    each are sent, and an anchor shared by a third of all documents is sent once a unit.
 2. For anchors with more than one document, the unit sends the bytes of all runs around the anchor, once for each distinct
    string. The bucket collapses equal strings to their smallest document and builds the transform and common prefixes of
@@ -34,7 +34,7 @@ from ledgermill.llm import bwt
 from ledgermill.llm.text import _BYTE, _power_tables, mix
 from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, unit_frame
 
-ANCHOR = 20
+ANCHOR = 28
 #: Bytes hashed at once: whole documents, or windows of one longer document.
 _PIECE = 1 << 19
 _U = np.uint64
@@ -217,6 +217,8 @@ def _first_elsewhere(anchor, content, runs, doc, data, least):
     """Per string, a mask of the runs that a smaller document than its own holds."""
     start = np.concatenate(([0], np.cumsum(runs.astype(np.int64) + least - 1)))[:-1]
     order = np.lexsort((doc, content, anchor))
+    if not len(order):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     new = np.r_[True, (content[order][1:] != content[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])]
     heads = order[new]  # the distinct strings, each where its smallest document has it
     kind = np.empty(len(order), np.int64)
@@ -276,11 +278,10 @@ def _cut(least: int, with_text: bool):
         row, start = joined(arrays(right["row"], "<u4"), "<u4"), joined(arrays(right["start"], "<u4"), "<u4")
         mask = joined(arrays(right["mask"], "<u8"), "<u8")
         at = offsets[row.astype(np.int64)] + start
-        for bit in range(least):
+        for bit in range(int(mask.max()).bit_length() if len(mask) else 0):
             here = at[(mask >> np.uint64(bit)) & np.uint64(1) > 0] + bit
-            change += np.bincount(here, minlength=len(change)).astype(np.int32) if len(here) else 0
-            if len(here):
-                change -= np.bincount(here + least, minlength=len(change)).astype(np.int32)
+            np.add.at(change, here, 1)
+            np.add.at(change, here + least, -1)
         gone = np.cumsum(change[:-1]) > 0
         rises = gone.copy()
         rises[1:] &= ~gone[:-1]
@@ -314,7 +315,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     """
     if not ANCHOR < least < 64:
         raise ValueError(f"least must lie between {ANCHOR + 1} and 63")
-    rows, bits = unit_frame(docs, key, text)
+    rows, _, bits = unit_frame(docs, key, text)
     sent = rows.groupBy("unit").applyInArrow(_send_anchors(least, bits), _MARKS)
     answers = sent.groupBy("bucket").applyInArrow(_answer_anchors, "unit long, bucket int, many binary")
     answers = answers.withColumnRenamed("unit", "u").groupBy("u")

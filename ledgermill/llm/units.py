@@ -17,15 +17,23 @@ from ledgermill.llm.text import Texts, bytes_of
 UNIT_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 
 
-def unit_frame(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
-    """(doc_id, text, unit) with the rows of a unit in one partition, and the bits that number the buckets.
+def unit_frame(docs: DataFrame, key: str, text: str, with_row: bool = False) -> tuple[DataFrame, int, int]:
+    """(doc_id, text, unit) with the rows of a unit in one partition, the number of units, and the bits that number the
+    buckets. With ``with_row``, also the whole row as the struct ``row``.
 
     A unit has about ``UNIT_BYTES`` of text (or one longer text), a bucket the hash values of about ``BUCKET_BYTES``.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = [F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")]
+    rows = docs.select(*rows, *([F.struct("*").alias("row")] if with_row else []))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // UNIT_BYTES + 1))
-    return rows.withColumn("unit", unit).repartition("unit"), max(0, (total // BUCKET_BYTES).bit_length())
+    units = total // UNIT_BYTES + 1
+    return rows.withColumn("unit", unit_of("doc_id", units, "text")).repartition("unit"), units, max(0, (total // BUCKET_BYTES).bit_length())
+
+
+def unit_of(key: str, units: int, text: str | None = None):
+    """The unit of a document; rows without a key are spread by their text."""
+    spread = F.when(F.col(key).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key)) if text else F.xxhash64(key)
+    return F.pmod(spread, F.lit(units).cast("long"))
 
 
 class Unit:
@@ -34,6 +42,7 @@ class Unit:
     def __init__(self, table: pa.Table):
         table = table.combine_chunks()
         table = table.take(pc.sort_indices(table, [("doc_id", "ascending"), ("text", "ascending")]))
+        self.table = table
         self.ids = table["doc_id"].combine_chunks()
         self.known = self.ids.is_valid().to_numpy(zero_copy_only=False)
         self.doc = self.ids.fill_null(0).to_numpy()
