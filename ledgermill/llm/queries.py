@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, chaining, jaccard_join, mixing, nn_descent, suffix_dedup, topk_search
+from ledgermill.llm import byte_bpe, chaining, jaccard_join, main_text, mixing, nn_descent, suffix_dedup, topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,6 +120,11 @@ def op7_nn_descent(spark, d):
     return nn_descent.near_duplicates(_read(spark, d, "embeddings"))
 
 
+@query()
+def op8_main_text(spark, d):
+    return main_text.extract(_read(spark, d, "pages"))
+
+
 @query()
 def op9_jaccard_join(spark, d):
     return jaccard_join.jaccard_components(_read(spark, d, "documents"))
