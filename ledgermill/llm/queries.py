@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, chaining, jaccard_join, main_text, mixing, nn_descent, suffix_dedup, topk_search
+from ledgermill.llm import byte_bpe, chaining, jaccard_join, main_text, mixing, nn_descent, suffix_dedup, topk_search, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +29,11 @@ def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{table}.parquet")
 
 
+@query()
+def op1_toxicity(spark, d):
+    return toxicity.score(_read(spark, d, "documents"), _read(spark, d, "labels"))
+
+
 @query("""
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS v FROM embeddings
