@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, chaining, jaccard_join, main_text, mixing, nn_descent, suffix_dedup, topk_search, toxicity
+from ledgermill.llm import byte_bpe, chaining, jaccard_join, main_text, mixing, nn_descent, quality, suffix_dedup, topk_search, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,6 +115,11 @@ def op6_source_mix(spark, d):
     return mixing.mix(_read(spark, d, "documents"))
 
 
+@query()
+def op4_quality(spark, d):
+    return quality.score(_read(spark, d, "documents"), _read(spark, d, "labels"))
+
+
 @query()
 def op5_passage_chaining(spark, d):
     return chaining.repeated_passages(_read(spark, d, "documents"))
