@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.suffix_dedup import _MARKS, _answer_anchors, _sliding_min, _tail
 from ledgermill.llm.text import sequence_hashes
-from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, unit_frame, unit_of
+from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, schema_of, unit_frame, unit_of
 
 WINDOW = 4
 #: Longest gap inside a chain, shortest chain that counts (words), and the cost of a skipped word.
@@ -84,16 +84,11 @@ def _send_hashes(k: int, bits: int):
             out["bucket"].append(bucket)
             out["hashes"].append((tail >> _U(8)).astype("<u4").tobytes() + (tail & _U(255)).astype(np.uint8).tobytes())
             out["many"].append(np.packbits(seeds.many[a:b]).tobytes())
-        return pa.table(out, _schema(_MARKS))
+        return pa.table(out, schema_of(_MARKS))
 
     return run
 
 
-def _schema(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "string": pa.string()}
-    return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in ddl.split(", "))])
-
-
 def _repeated(seeds: Seeds, answers: pa.Table, bits: int):
     """(bucket, the distinct seeds in it that were answered to be repeated)."""
     told = dict(zip(answers["bucket"].to_pylist(), answers["many"]))
@@ -108,7 +103,7 @@ _PLACES = "unit long, bucket int, hashes binary, docs binary, places binary"
 
 def _send_places(k: int, bits: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {n: [] for n in _schema(_PLACES).names}
+        out = {n: [] for n in schema_of(_PLACES).names}
         if len(left) and len(right):
             unit = Unit(left)
             seeds = Seeds(unit, k)
@@ -119,7 +114,7 @@ def _send_places(k: int, bits: int):
                     out["hashes"].append(_tail(seeds.kinds[pick], bits).astype("<u8").tobytes())
                     out["docs"].append(seeds.low_doc[pick].astype("<i8").tobytes())
                     out["places"].append(seeds.low_place[pick].astype("<u4").tobytes())
-        return pa.table(out, _schema(_PLACES))
+        return pa.table(out, schema_of(_PLACES))
 
     return run
 
@@ -224,7 +219,7 @@ _CHAINS = "unit long, row long, source long, low long, high long, blocks binary"
 
 def _send_chains(k: int, bits: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {n: [] for n in _schema(_CHAINS).names}
+        out = {n: [] for n in schema_of(_CHAINS).names}
         if len(left) and len(right):
             unit = Unit(left)
             seeds = Seeds(unit, k)
@@ -261,7 +256,7 @@ def _send_chains(k: int, bits: int):
                         out["low"].append(max(0, int(s[chain[0]]) - k - WINDOW))
                         out["high"].append(int(s[chain[-1]] + w[chain[-1]]) + k + WINDOW)
                         out["blocks"].append(np.stack([p[chain], s[chain], w[chain]]).astype("<i4").tobytes())
-        return pa.table(out, _schema(_CHAINS))
+        return pa.table(out, schema_of(_CHAINS))
 
     return run
 
@@ -272,29 +267,29 @@ _ASKED = "asker long, source long, low long, high long"
 def _ask(table: pa.Table) -> pa.Table:
     """One stretch of each source that a unit's chains need."""
     if not len(table):
-        return _schema(_ASKED).empty_table()
+        return schema_of(_ASKED).empty_table()
     found = table.group_by(["unit", "source"]).aggregate([("low", "min"), ("high", "max")])
-    return pa.table([found["unit"], found["source"], found["low_min"], found["high_max"]], names=_schema(_ASKED).names)
+    return pa.table([found["unit"], found["source"], found["low_min"], found["high_max"]], names=schema_of(_ASKED).names)
 
 
 _REPLIES = "unit long, source long, low long, words binary"
 
 
 def _reply(_, left: pa.Table, right: pa.Table) -> pa.Table:
-    out = {n: [] for n in _schema(_REPLIES).names}
+    out = {n: [] for n in schema_of(_REPLIES).names}
     if len(left) and len(right):
         unit = Unit(left)
         words = unit.texts.words()
         hashes = words.hashes().astype("<u4")
         row_of = {d: i for i, d in reversed(list(enumerate(unit.ids.to_pylist())))}
-        for asker, source, low, high in zip(*(right[c].to_pylist() for c in _schema(_ASKED).names)):
+        for asker, source, low, high in zip(*(right[c].to_pylist() for c in schema_of(_ASKED).names)):
             if source in row_of:
                 a, b = words.first[row_of[source]], words.first[row_of[source] + 1]
                 out["unit"].append(asker)
                 out["source"].append(source)
                 out["low"].append(low)
                 out["words"].append(hashes[min(a + low, b) : min(a + high, b)].tobytes())
-    return pa.table(out, _schema(_REPLIES))
+    return pa.table(out, schema_of(_REPLIES))
 
 
 def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -359,14 +354,14 @@ _FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_fi
 
 def _list_passages(least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {n: [] for n in _schema(_FOUND).names}
+        out = {n: [] for n in schema_of(_FOUND).names}
         if len(left) and len(right):
             unit = Unit(left)
             for row, _, chains, _ in _passages(unit, right, least, percent):
                 for a, b, source, sa, sb, equal in chains:
                     for name, value in zip(out, (unit.ids[row].as_py(), source, a, b - a, sa, sb - sa, equal)):
                         out[name].append(value)
-        return pa.table(out, _schema(_FOUND))
+        return pa.table(out, schema_of(_FOUND))
 
     return run
 
@@ -435,5 +430,5 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars
     units, answers = _prepared(docs, key, text, k, True)
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = to_arrow_schema(docs.schema)
+    schema = to_arrowschema_of(docs.schema)
     return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, schema, least, percent), docs.schema)

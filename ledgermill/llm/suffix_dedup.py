@@ -10,11 +10,13 @@ is short (under 2 * ``least`` bytes):
    runs have equal anchors at equal offsets. Each unit of documents sends its distinct anchor hashes to buckets of hash
    values; a bucket answers which of them more than one document has. About one byte in twelve is an anchor, five bytes
    each are sent, and an anchor shared by a third of all documents is sent once a unit.
-2. For anchors with more than one document, the unit sends the bytes of all runs around the anchor, once for each distinct
-   string. The bucket collapses equal strings to their smallest document and builds the transform and common prefixes of
-   the distinct ones with ``bwt.build``: one symbol of every string a round, in external files of the task. Suffixes that
-   share ``least`` bytes are neighbours there; the smallest document among them decides what is removed.
-3. The answers go back to the units, which cut.
+2. For anchors with more than one document, the unit sends a hash of the bytes of all runs around the anchor, once for each
+   distinct string, with its smallest document. The bucket answers which strings a smaller document has as a whole, and
+   which are the first of their kind beside others with the same anchor.
+3. Only these are sent themselves. The bucket builds the transform and common prefixes of its strings with ``bwt.build``: one
+   symbol of every string a round, in external files of the task. Suffixes that share ``least`` bytes are neighbours there;
+   the smallest document among them decides what is removed.
+4. The answers go back to the units, which cut.
 
 Hash collisions of anchors cost time only; strings are taken as equal without comparison by 96 bits. Nothing is capped.
 Memory: a unit (``units.UNIT_BYTES`` or the longest text), or the distinct strings of a bucket.
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm import bwt
 from ledgermill.llm.text import _BYTE, _power_tables, mix
-from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, unit_frame
+from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, schema_of, unit_frame
 
 ANCHOR = 28
 #: Bytes hashed at once: whole documents, or windows of one longer document.
@@ -162,107 +164,155 @@ def _answer_anchors(table: pa.Table) -> pa.Table:
     return pa.table([table["unit"], table["bucket"], pa.array(back, pa.binary())], ["unit", "bucket", "many"])
 
 
-_STRINGS = ("unit long, bucket int, anchor binary, content binary, runs binary, doc binary, bytes binary, "
-            "entry binary, row binary, start binary, later binary")
+class _Strings:
+    """The distinct strings of a unit in one bucket, around anchors that several documents have: ``heads`` (places of their
+    first occurrence in the smallest document), and all occurrences with the string of each."""
 
+    def __init__(self, unit: Unit, anchors: Anchors, place: np.ndarray):
+        doc = unit.doc[anchors.row[place]]
+        by = np.lexsort((anchors.start[place], doc, anchors.content[place]))
+        self.place, doc = place[by], doc[by]
+        content = anchors.content[self.place]
+        new = np.r_[True, content[1:] != content[:-1]]
+        self.of = np.cumsum(new) - 1
+        self.heads, self.content, self.doc = self.place[new], content[new], doc[new]
+        self.later = doc > self.doc[self.of]
 
-def _send_strings(least: int, bits: int):
-    names = [x.split()[0] for x in _STRINGS.split(", ")]
-    schema = pa.schema([("unit", pa.int64()), ("bucket", pa.int32())] + [(n, pa.binary()) for n in names[2:]])
 
+def _told(right: pa.Table, column: str) -> dict:
+    """A column's packed arrays by bucket."""
+    return {b: x for b, x in zip(right["bucket"].to_pylist(), right[column]) if x.is_valid}
+
+
+def _strings(unit, anchors, order, first, many: dict, bits: int):
+    """(bucket, strings) of the anchors that several documents have."""
+    hashes = anchors.hash[order[first]]
+    size = np.diff(np.append(first, len(order)))
+    for bucket, a, b in bucket_ranges(hashes, bits):
+        if bucket in many:
+            marked = np.unpackbits(np.frombuffer(many[bucket].as_buffer(), np.uint8), count=b - a).astype(bool)
+            take = np.repeat(marked, size[a:b])
+            place = order[first[a] : first[a] + len(take)][take]
+            if len(place):
+                yield bucket, _Strings(unit, anchors, place)
+
+
+_ENTRIES = "unit long, bucket int, anchor binary, content binary, doc binary"
+
+
+def _send_entries(least: int, bits: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {n: [] for n in names}
+        out = {n: [] for n in schema_of(_ENTRIES).names}
         if len(left) and len(right):
             unit, anchors, order, first, _ = _unit_anchors(left, least)
-            hashes = anchors.hash[order[first]]
-            answers = dict(zip(right["bucket"].to_pylist(), right["many"]))
-            size = np.diff(np.append(first, len(order)))
-            data, offsets = unit.texts.data, unit.texts.offsets
-            for bucket, a, b in bucket_ranges(hashes, bits):
-                if bucket not in answers:
-                    continue
-                many = np.unpackbits(np.frombuffer(answers[bucket].as_buffer(), np.uint8), count=b - a).astype(bool)
-                take = np.repeat(many, size[a:b])
-                place = order[first[a] : first[a] + len(take)][take]
-                if not len(place):
-                    continue
-                # distinct strings, each with its smallest document first
-                doc = unit.doc[anchors.row[place]]
-                by = np.lexsort((anchors.start[place], doc, anchors.content[place]))
-                place, doc = place[by], doc[by]
-                content = anchors.content[place]
-                new = np.r_[True, content[1:] != content[:-1]]
-                entry, heads = np.cumsum(new) - 1, place[new]
-                start, runs = anchors.start[heads], anchors.runs[heads]
-                length = runs + least - 1
-                ends = np.cumsum(length)
-                at = np.arange(ends[-1]) + np.repeat(start - ends + length, length)
+            for bucket, s in _strings(unit, anchors, order, first, _told(right, "many"), bits):
                 out["unit"].append(unit.number)
                 out["bucket"].append(bucket)
-                row = anchors.row[place]
-                for name, values in (
-                    ("anchor", _tail(anchors.hash[heads], bits).astype("<u4")), ("content", content[new]),
-                    ("runs", runs.astype(np.uint8)), ("doc", doc[new]), ("bytes", data[at]),
-                    ("entry", entry.astype("<u4")), ("row", row.astype("<u4")),
-                    ("start", (anchors.start[place] - offsets[row]).astype("<u4")),
-                    ("later", (doc > doc[new][entry]).astype(np.uint8)),
-                ):
-                    out[name].append(values.tobytes())
-        return pa.table(out, schema)
+                out["anchor"].append(_tail(anchors.hash[s.heads], bits).astype("<u4").tobytes())
+                out["content"].append(s.content.astype("<u8").tobytes())
+                out["doc"].append(s.doc.astype("<i8").tobytes())
+        return pa.table(out, schema_of(_ENTRIES))
 
     return run
 
 
-def _first_elsewhere(anchor, content, runs, doc, data, least):
-    """Per string, a mask of the runs that a smaller document than its own holds."""
-    start = np.concatenate(([0], np.cumsum(runs.astype(np.int64) + least - 1)))[:-1]
+def _answer_entries(table: pa.Table) -> pa.Table:
+    """Per unit and bucket, for each string: 1 if a smaller document has all of it, 2 if it is the first of its kind but
+    others share its anchor, else 0."""
+    table = table.combine_chunks()
+    lists = arrays(table["doc"], "<i8")
+    anchor, content = joined(arrays(table["anchor"], "<u4"), "<u4"), joined(arrays(table["content"], "<u8"), "<u8")
+    doc = joined(lists, "<i8")
     order = np.lexsort((doc, content, anchor))
-    if not len(order):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    new = np.r_[True, (content[order][1:] != content[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])]
-    heads = order[new]  # the distinct strings, each where its smallest document has it
+    alike = np.r_[False, anchor[order][1:] == anchor[order][:-1]]
+    new = np.r_[True, content[order][1:] != content[order][:-1]] | ~alike
+    head = order[new]
     kind = np.empty(len(order), np.int64)
     kind[order] = np.cumsum(new) - 1
-    alike = anchor[heads]
-    several = np.r_[False, alike[1:] == alike[:-1]] | np.r_[alike[1:] == alike[:-1], False]
-    pick = heads[several]
-    mask = np.zeros(len(heads), np.int64)
-    if len(pick):
-        length = runs[pick].astype(np.int64) + least - 1
-        with tempfile.TemporaryDirectory() as folder:
-            string, size, low = bwt.least_owner(bwt.build(data, start[pick], length, folder), least, doc[pick])
-        covered = low < doc[pick][string]
-        bit = (length[string] - size)[covered]
-        found = np.bincount(string[covered], np.exp2(bit), minlength=len(pick)).astype(np.int64)
-        mask[several] = found
-    whole = (np.int64(1) << runs.astype(np.int64)) - 1
-    return np.where(doc > doc[heads][kind], whole, mask[kind]), whole
+    shared = np.r_[False, anchor[head][1:] == anchor[head][:-1]]
+    shared |= np.r_[shared[1:], False]
+    codes = np.where(doc > doc[head][kind], 1, np.where(shared[kind], 2, 0)).astype(np.uint8)
+    ends = np.cumsum([len(x) for x in lists])
+    back = [codes[e - len(x) : e].tobytes() for e, x in zip(ends, lists)]
+    return pa.table([table["unit"], table["bucket"], pa.array(back, pa.binary())], ["unit", "bucket", "codes"])
+
+
+_PARTS = "unit long, bucket int, row binary, start binary, mask binary, doc binary, runs binary, bytes binary, of binary"
+
+
+def _send_strings(least: int, bits: int):
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {n: [] for n in schema_of(_PARTS).names}
+        if len(left) and len(right):
+            unit, anchors, order, first, _ = _unit_anchors(left, least)
+            data, offsets = unit.texts.data, unit.texts.offsets
+            told = _told(right, "codes")
+            for bucket, s in _strings(unit, anchors, order, first, _told(right, "many"), bits):
+                codes = np.frombuffer(told[bucket].as_buffer(), np.uint8)
+                row = anchors.row[s.place]
+                start, runs = anchors.start[s.place] - offsets[row], anchors.runs[s.place]
+                gone = s.later | (codes[s.of] == 1)
+                open_ = ~gone & (codes[s.of] == 2)
+                if gone.any():
+                    mask = (np.int64(1) << runs[gone]) - 1
+                    _append(out, unit=unit.number, bucket=bucket, row=row[gone].astype("<u4"),
+                            start=start[gone].astype("<u4"), mask=mask.astype("<u8"))
+                if open_.any():
+                    ask = np.flatnonzero(codes == 2)
+                    begin, length = anchors.start[s.heads[ask]], anchors.runs[s.heads[ask]] + least - 1
+                    ends = np.cumsum(length)
+                    at = np.arange(ends[-1]) + np.repeat(begin - ends + length, length)
+                    _append(out, unit=unit.number, bucket=bucket, row=row[open_].astype("<u4"),
+                            start=start[open_].astype("<u4"), doc=s.doc[ask].astype("<i8"),
+                            runs=anchors.runs[s.heads[ask]].astype(np.uint8), bytes=data[at],
+                            of=np.searchsorted(ask, s.of[open_]).astype("<u4"))
+        return pa.table(out, schema_of(_PARTS))
+
+    return run
+
+
+def _append(out: dict, **values) -> None:
+    for name, column in out.items():
+        value = values.get(name)
+        column.append(value.tobytes() if isinstance(value, np.ndarray) else value)
 
 
 _SPANS = "unit long, row binary, start binary, mask binary"
 
 
 def _answer_strings(least: int):
+    """Masks of the runs that a smaller document holds; masks that units know already pass through."""
+
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        kinds = {"anchor": "<u4", "content": _U, "runs": np.uint8, "doc": np.int64, "bytes": np.uint8}
-        lists = {name: arrays(table[name], kind) for name, kind in kinds.items()}
-        mask, whole = _first_elsewhere(*(joined(lists[n], k) for n, k in kinds.items()), least)
-        out = {"unit": [], "row": [], "start": [], "mask": []}
-        done = 0
-        for i, runs in enumerate(lists["runs"]):
-            mine, full = mask[done : done + len(runs)], whole[done : done + len(runs)]
-            done += len(runs)
-            entry, row, start = (np.frombuffer(table[n][i].as_buffer(), "<u4") for n in ("entry", "row", "start"))
-            later = np.frombuffer(table["later"][i].as_buffer(), np.uint8) > 0
-            got = np.where(later, full[entry], mine[entry])
-            keep = got > 0
-            if keep.any():
-                out["unit"].append(table["unit"][i].as_py())
-                for name, values in (("row", row), ("start", start), ("mask", got.astype("<u8"))):
-                    out[name].append(values[keep].tobytes())
-        return pa.table(out, pa.schema([("unit", pa.int64()), ("row", pa.binary()), ("start", pa.binary()),
-                                        ("mask", pa.binary())]))
+        out = {n: [] for n in schema_of(_SPANS).names}
+        asked = table["bytes"].is_valid().to_numpy()
+        for i in np.flatnonzero(~asked):
+            for name, column in out.items():
+                column.append(table[name][i].as_py())
+        if asked.any():
+            mine = table.filter(pa.array(asked))
+            lists = arrays(mine["runs"], np.uint8)
+            runs, doc = joined(lists, np.uint8).astype(np.int64), joined(arrays(mine["doc"], "<i8"), "<i8")
+            length = runs + least - 1
+            begin = np.cumsum(length) - length
+            with tempfile.TemporaryDirectory() as folder:
+                built = bwt.build(joined(arrays(mine["bytes"], np.uint8), np.uint8), begin, length, folder)
+                string, size, low = bwt.least_owner(built, least, doc)
+            covered = low < doc[string]
+            bit = (length[string] - size)[covered]
+            mask = np.bincount(string[covered], np.exp2(bit), minlength=len(runs)).astype(np.int64)
+            done = 0
+            for i, part in enumerate(lists):
+                of = np.frombuffer(mine["of"][i].as_buffer(), "<u4")
+                found = mask[done : done + len(part)][of]
+                done += len(part)
+                keep = found > 0
+                if keep.any():
+                    _append(out, unit=mine["unit"][i].as_py(), mask=found[keep].astype("<u8"),
+                            row=np.frombuffer(mine["row"][i].as_buffer(), "<u4")[keep],
+                            start=np.frombuffer(mine["start"][i].as_buffer(), "<u4")[keep])
+        return pa.table(out, schema_of(_SPANS))
 
     return run
 
@@ -318,8 +368,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     rows, _, bits = unit_frame(docs, key, text)
     sent = rows.groupBy("unit").applyInArrow(_send_anchors(least, bits), _MARKS)
     answers = sent.groupBy("bucket").applyInArrow(_answer_anchors, "unit long, bucket int, many binary")
-    answers = answers.withColumnRenamed("unit", "u").groupBy("u")
-    strings = rows.groupBy("unit").cogroup(answers).applyInArrow(_send_strings(least, bits), _STRINGS)
+    marks = answers.withColumnRenamed("unit", "u").repartition("u")
+    entries = rows.groupBy("unit").cogroup(marks.groupBy("u")).applyInArrow(_send_entries(least, bits), _ENTRIES)
+    codes = entries.groupBy("bucket").applyInArrow(_answer_entries, "unit long, bucket int, codes binary")
+    told = marks.unionByName(codes.withColumnRenamed("unit", "u"), allowMissingColumns=True)
+    strings = rows.groupBy("unit").cogroup(told.groupBy("u")).applyInArrow(_send_strings(least, bits), _PARTS)
     spans = strings.groupBy("bucket").applyInArrow(_answer_strings(least), _SPANS)
     spans = spans.withColumnRenamed("unit", "u").groupBy("u")
     result = _RESULT + (", text string" if with_text else "")

@@ -68,3 +68,9 @@ def arrays(column, dtype) -> list[np.ndarray]:
 
 def joined(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype)
+
+
+def schema_of(ddl: str) -> pa.Schema:
+    """The Arrow schema of a plain column list."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "string": pa.string()}
+    return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in ddl.split(", "))])
