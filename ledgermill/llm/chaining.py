@@ -366,8 +366,9 @@ def _list_passages(least: int, percent: int):
     return run
 
 
-def _cut_passages(columns: list[str], text: str, chars: str, schema: pa.Schema, least: int, percent: int):
+def _cut_passages(columns: list[str], text: str, chars: str, least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        schema = pa.schema(list(left.schema.field("row").type))
         if not len(left):
             return schema.empty_table()
         unit = Unit(left)
@@ -428,7 +429,4 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars
     """The documents, all columns, with repeated passages cut out of the later text; ``chars`` is its new length. The first
     occurrence of a passage and documents without repeats stay as they are."""
     units, answers = _prepared(docs, key, text, k, True)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = to_arrowschema_of(docs.schema)
-    return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, schema, least, percent), docs.schema)
+    return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, least, percent), docs.schema)
