@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.linear import fit_logistic, fit_svm, sigmoid
 
 #: Labelled documents in the training sample (not toxic, toxic), and landmarks of each kind.
-SAMPLE, LANDMARKS = (1600, 800), 64
+SAMPLE, LANDMARKS = (800, 400), 48
 GAPS, DECAY, ROUNDS = 3, 0.6, 4
 #: Kernel values from which two words may count as alike.
 ALIKE = (0.4, 0.5, 0.6, 0.7, 0.8, 0.95)
@@ -174,7 +174,7 @@ def train(toxic: list[list[str]], other: list[list[str]], prior: float = 0.15) -
     # landmarks: words whose like explain the most toxic documents, and common words of clean documents
     tops = np.concatenate([bags[i][np.argsort(-value[bags[i]], kind="stable")[:3]] for i in known])
     tops, times = np.unique(tops, return_counts=True)
-    tops = tops[np.lexsort((tops, -value[tops], -times))][: 4 * LANDMARKS]
+    tops = tops[np.lexsort((tops, -value[tops], -times))][: 3 * LANDMARKS]
     like = _kernel(parts, [words[i] for i in tops], len(words))
     nearest = np.array([like[bag].max(axis=0) if len(bag) else np.zeros(len(tops), np.float16) for bag in bags])
     # each candidate reaches as far as clean documents allow
@@ -201,9 +201,7 @@ def train(toxic: list[list[str]], other: list[list[str]], prior: float = 0.15) -
     known = [i for i in known if hit[bags[i]].any()] or known
     common = [i for i in np.argsort(-in_other, kind="stable")[: 4 * LANDMARKS].tolist() if not hit[i]]
     chosen = [int(tops[i]) for i in marks] + common[:: max(1, len(common) // LANDMARKS)][:LANDMARKS]
-    owner, code, weight = subsequences([words[i] for i in chosen])
-    landmark = np.zeros((_CODES, len(chosen)), np.float32)
-    landmark[code, owner] = weight
+    line, landmark = _table([words[i] for i in chosen])
     size, axes = np.linalg.eigh((landmark.T @ landmark).astype(float))
     whiten = axes / np.sqrt(np.maximum(size, 1e-6)) * (size > 1e-6)
     spread = np.flatnonzero(in_other)[:: max(1, int((in_other > 0).sum()) // 4000)]
@@ -217,11 +215,11 @@ def train(toxic: list[list[str]], other: list[list[str]], prior: float = 0.15) -
         x = np.zeros((len(rows), len(chosen)))
         for a in range(0, len(rows), 1024):
             here = slice(*np.searchsorted(owner, [a, a + 1024]))
-            np.add.at(x, owner[here], landmark[code[here]] * weight[here, None])
+            np.add.at(x, owner[here], landmark[line[code[here]]] * weight[here, None])
         x = x @ whiten
         cost = np.concatenate([np.full(len(yes), 1.0 / len(yes)), np.full(len(no), 4.0 / len(no))]) * 2000
         w = fit_svm(x, np.concatenate([np.ones(len(yes)), -np.ones(len(no))]), cost)
-        table = landmark.astype(float) @ (whiten @ w[:-1])
+        table = (landmark.astype(float) @ (whiten @ w[:-1]))[line]
         value = _summed(parts, table, len(words)) + w[-1]
         sure = 0.5
         known = [i for i in range(n) if len(bags[i]) and value[bags[i]].max() > -0.5] or known
@@ -241,18 +239,27 @@ def _summed(parts, table: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _table(others: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Subsequence weights of some words, a line for each code that occurs and an empty one; and the line of each code."""
+    owner, code, weight = subsequences(others)
+    used, at = np.unique(code, return_inverse=True)
+    line = np.full(_CODES, len(used), np.int32)
+    line[used] = np.arange(len(used))
+    table = np.zeros((len(used) + 1, len(others)), np.float32)
+    table[at, owner] = weight
+    return line, table
+
+
 def _kernel(parts, others: list[str], n: int) -> np.ndarray:
     """Kernel of each word with some others."""
-    owner, code, weight = subsequences(others)
-    table = np.zeros((_CODES, len(others)), np.float16)
-    table[code, owner] = weight
+    line, table = _table(others)
     out = np.zeros((n, len(others)), np.float16)
     for a, owner, code, weight in parts:
         for b in range(0, 4096, 512):
             here = slice(*np.searchsorted(owner, [b, b + 512]))
-            rows = table[code[here]].astype(np.float32) * weight[here, None]
-            if len(rows):
+            if here.start < here.stop:
                 starts = np.flatnonzero(np.r_[True, np.diff(owner[here]) != 0])
+                rows = table[line[code[here]]] * weight[here, None]
                 out[a + owner[here][starts]] = np.add.reduceat(rows, starts)
     return out
 
