@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces that a worker remembers, and the longest that it does.
-REMEMBERED, LONGEST = 600_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 
 
 def byte_characters() -> list[str]:
@@ -138,7 +138,7 @@ def _load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def _runs(column: pa.Array, most: int = 4 << 20):
+def _runs(column: pa.Array, most: int = 2 << 20):
     """(first row, texts) of runs of rows that hold about ``most`` characters."""
     texts, held, first = [], 0, 0
     for i in range(len(column)):

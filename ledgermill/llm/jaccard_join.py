@@ -9,8 +9,8 @@ A document is its set of distinct word shingles; two documents link when their s
   whose sizes allow it link to the smallest one there, which connects exactly what the pairwise links would.
 * **Heavy** sets are found through inverted lists. Shingles are globally ordered, rare ones first, and a set is entered
   under its first a - ceil(percent * a / 100) + ``SHARED`` shingles; two linked sets share at least ``SHARED`` of these.
-  Two rounds verify each set against the leader it shares most entries with, and join what links into components. Then
-  every pair of sets in *different* components with enough shared entries is verified, so no link that could change a
+  Rounds verify each set against the few leaders it shares most entries with, and join what links into components, until
+  none links any more (``ROUNDS`` at most). Then every pair of sets in *different* components with enough shared entries is verified, so no link that could change a
   component is missed, and a group of near copies never lists all its pairs.
 * The boundary is the size with the least estimated number of rows of both sides together.
 
@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgermill.llm.graph import components
 from ledgermill.llm.text import mix, shingle_sets, slices
@@ -37,6 +38,8 @@ from ledgermill.scratch import write_scratch
 
 #: Entries that two heavy sets must share.
 SHARED = 4
+#: Rounds that join sets through leaders, and leaders tried a set and round.
+ROUNDS, TRIED = 6, 3
 #: The boundary between light and heavy is sought in this range of set sizes.
 LEAST_BOUNDARY, MOST_BOUNDARY = 6, 24
 _COUNT_BITS, _BLOCK = 18, 4096
@@ -216,18 +219,22 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
 
     links = None
     state = lists.withColumn("component", F.col("rep"))
-    for turn in range(2):
+    for turn in range(ROUNDS):
         chosen = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "component")
-        leads = state.groupBy("token").agg(F.min(chosen).alias("lead"))
+        leads = state.groupBy("token").agg(F.min(chosen).alias("lead"), F.max("component").alias("top"),
+                                           F.min("component").alias("low")).where("top <> low")
         met = state.join(leads, "token").where(
             (F.col("component") != F.col("lead.component")) & near(F.col("n"), F.col("lead.n"))
         )
         met = met.groupBy("rep", F.col("lead.rep").alias("y")).agg(F.count("*").alias("many"))
-        best = met.where(F.col("many") >= SHARED).groupBy("rep").agg(F.max(F.struct("many", "y")).alias("best"))
-        pairs = best.select(F.col("rep").alias("x"), F.col("best.y").alias("y"))
+        best = Window.partitionBy("rep").orderBy(F.col("many").desc(), "y")
+        met = met.where(F.col("many") >= SHARED).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIED)
+        pairs = met.select(F.least("rep", "y").alias("x"), F.greatest("rep", "y").alias("y")).distinct()
         found = write_scratch(_verified(pairs, sets, percent), "jaccard-links")
         links = found if links is None else links.union(found)
         state = write_scratch(in_components(links), "jaccard-state")
+        if found.isEmpty():
+            break
     mixed = state.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
     open_lists = state.join(mixed.select("token"), "token")
     x = open_lists.select("token", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))

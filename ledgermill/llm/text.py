@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are taken in slices of about this many bytes; a longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Words are hashed in runs of at most this many bytes (longer for a single longer word).
 _RUN = 1 << 20
 

@@ -35,7 +35,7 @@ GAPS, DECAY, ROUNDS = 3, 0.6, 4
 #: Kernel values from which two words may count as alike.
 ALIKE = (0.4, 0.5, 0.6, 0.7, 0.8, 0.95)
 #: Word scores that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _CODES = 1 << 18
 _SEPARATORS = re.compile(r"[\W_]+")
 _SPELLED = re.compile(r"(?<!\S)\w(?:[\s.*_-]+\w){2,}(?!\w)")
@@ -287,7 +287,7 @@ def _scorer(shared):
     return score
 
 
-def _runs(column, most: int = 4 << 20):
+def _runs(column, most: int = 2 << 20):
     """(first row, texts) of runs of rows with about ``most`` characters; nulls count as empty."""
     texts, held, first = [], 0, 0
     for i, x in enumerate(column):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.text import Texts, bytes_of
 
-UNIT_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+UNIT_BYTES, BUCKET_BYTES = 2 << 20, 4 << 20
 
 
 def unit_frame(docs: DataFrame, key: str, text: str, with_row: bool = False) -> tuple[DataFrame, int, int]:
