@@ -25,12 +25,14 @@ def clean_text(df: DataFrame) -> DataFrame:
 
 
 def csv_options(sep: str = ",", multiline: bool = False) -> dict[str, str]:
-    """Options for reading and writing CSV alike: header, doubled quotes, no hidden null word."""
+    """Options for reading and writing CSV alike: header, doubled quotes, no hidden null word, blanks kept."""
     return {
         "header": "true",
         "sep": sep,
         "quote": '"',
         "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
         "multiLine": str(multiline).lower(),
         "encoding": "UTF-8",
     }

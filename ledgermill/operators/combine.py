@@ -28,7 +28,8 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def last_value(df: DataFrame, index: Sequence[str], value: str, order: Sequence[str], name: str | None = None) -> DataFrame:
-    """The value on the last row of each group in ``order``: a pre-aggregated maximum, no sort of whole groups."""
+    """The value on the last row of each group in ``order``: one maximum per group, taken before and
+    after the shuffle. Spark sorts by the group's columns for it (the maximum holds text), it gathers no group."""
     require_columns(df, [*index, value, *order])
     last = F.max_by(col(value), F.struct(*[col(o) for o in order]))
     return df.groupBy(*[col(i) for i in index]).agg(last.alias(name or value))

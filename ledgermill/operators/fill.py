@@ -18,6 +18,10 @@ from ledgermill.spec import FillSpec
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+# one past the largest value of each whole-number type
+_LIMIT = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31, T.LongType: 2**63}
+
+
 def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     """Replace nulls (and NaN) by the given value per column.
 
@@ -35,7 +39,7 @@ def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
         if isinstance(kind, _INTEGRAL) and isinstance(value, float):
             kind = T.DoubleType()
         elif isinstance(kind, _INTEGRAL) and isinstance(value, int) and not isinstance(value, bool):
-            kind = T.LongType() if abs(value) >= 2**31 or isinstance(kind, T.LongType) else kind
+            kind = T.LongType() if not -_LIMIT[type(kind)] <= value < _LIMIT[type(kind)] else kind
         present = without_nan(c, f.dataType).cast(kind)
         out.append(F.coalesce(present, F.lit(value).cast(kind)).alias(f.name))
     return df.select(*out)
@@ -115,6 +119,9 @@ def fill_nulls_by_group(df: DataFrame, group: Sequence[str], fills: Mapping[str,
             raise ValueError(f"Group fill of {f.name!r} by {method!r} is not supported")
         else:
             value = F.lit(method)
-        value = value if method == "mean" else value.cast(f.dataType)
+        if method == "sum" and isinstance(f.dataType, _INTEGRAL):
+            value = value.cast("long")  # a sum widens to 64 bits
+        elif method != "mean":
+            value = value.cast(f.dataType)
         columns.append(F.coalesce(without_nan(col(f.name), f.dataType), value).alias(f.name))
     return out.select(*columns)

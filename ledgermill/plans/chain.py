@@ -8,6 +8,8 @@ fitted on the frame as it stands and then applied to it.
 from __future__ import annotations
 
 import json
+from datetime import date, datetime
+from decimal import Decimal
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -49,6 +51,29 @@ class SparseColumnModel(Model, _SparseParams, DefaultParamsReadable, DefaultPara
         return dataset.select(*[col(c) for c in self.getOrDefault(self.columns)])
 
 
+# Values that JSON has no form for, kept with the name of their type.
+_TAGGED = {
+    "decimal": (Decimal, str, Decimal),
+    "timestamp": (datetime, datetime.isoformat, datetime.fromisoformat),
+    "date": (date, date.isoformat, date.fromisoformat),
+}
+
+
+def _as_tagged(value: Any) -> dict[str, str]:
+    for tag, (kind, to_text, _) in _TAGGED.items():
+        if isinstance(value, kind):
+            return {tag: to_text(value)}
+    raise TypeError(f"A fill cannot hold a {type(value).__name__}")
+
+
+def _from_tagged(found: dict[str, Any]) -> Any:
+    if len(found) == 1:
+        tag, value = next(iter(found.items()))
+        if tag in _TAGGED and isinstance(value, str):
+            return _TAGGED[tag][2](value)
+    return found
+
+
 class _FillParams(Params):
     fills = Param(Params._dummy(), "fills", "column -> statistic or constant, as JSON", TypeConverters.toString)
 
@@ -59,12 +84,13 @@ class NullFiller(Estimator, _FillParams, DefaultParamsReadable, DefaultParamsWri
     @keyword_only
     def __init__(self, *, fills: Mapping[str, Any] | None = None):
         super().__init__()
-        self._set(fills=json.dumps(dict(fills or {})))
+        self._set(fills=json.dumps(dict(fills or {}), default=_as_tagged))
 
     def _fit(self, dataset: DataFrame) -> NullFillModel:
-        wanted = json.loads(self.getOrDefault(self.fills))
+        wanted = json.loads(self.getOrDefault(self.fills), object_hook=_from_tagged)
         model = NullFillModel()
-        model._set(fills=json.dumps(resolve_fills(dataset, [FillSpec(c, v) for c, v in wanted.items()])))
+        learned = resolve_fills(dataset, [FillSpec(c, v) for c, v in wanted.items()])
+        model._set(fills=json.dumps(learned, default=_as_tagged))
         return model
 
 
@@ -72,7 +98,7 @@ class NullFillModel(Model, _FillParams, DefaultParamsReadable, DefaultParamsWrit
     """Fills nulls with the learned values."""
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        values = json.loads(self.getOrDefault(self.fills))
+        values = json.loads(self.getOrDefault(self.fills), object_hook=_from_tagged)
         return fill_values(dataset, {c: v for c, v in values.items() if c in dataset.columns})
 
 

@@ -129,3 +129,20 @@ def test_chart_feed(spark, rows):
     everyone = chart_feed(df, ["local_code", "day"], "volume")
     assert rows(everyone) == [("a", 1, 30), ("a", 2, 30), ("b", 1, 5)]
     assert chart_feed(df, ["day"], "volume", code="zz").count() == 0
+
+
+def test_sums_of_narrow_integers_widen(spark, rows):
+    df = spark.createDataFrame([("a", 100), ("a", 120), ("b", None)], "k string, v tinyint")
+    assert rows(fill.fill_values(df, {"v": 220}), "v") == [(100,), (120,), (220,)]
+    df = spark.createDataFrame([("a", 2**31 - 1), ("a", 2**31 - 1), ("a", None)], "k string, v int")
+    assert (2**32 - 2,) in rows(fill.fill_nulls_by_group(df, ["k"], {"v": "sum"}), "v")
+
+
+def test_fitted_fill_takes_decimals(spark, rows):
+    from decimal import Decimal
+
+    from ledgermill.plans.chain import NullFiller
+
+    df = spark.createDataFrame([(Decimal("1.50"),), (Decimal("3.25"),), (None,)], "v decimal(10,2)")
+    filled = NullFiller(fills={"v": "max"}).fit(df).transform(df)
+    assert rows(filled, "v").count((Decimal("3.25"),)) == 2
