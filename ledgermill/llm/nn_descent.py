@@ -166,8 +166,25 @@ def _graph(nodes: DataFrame, seed: int, size: int) -> DataFrame:
     return lists
 
 
+def _connected(near: np.ndarray):
+    """(rows, columns) of each connected part of a link matrix; every row is looked at once."""
+    free_rows, free_columns = near.any(1), near.any(0)
+    while free_rows.any():
+        rows, columns = np.array([free_rows.argmax()]), []
+        part = []
+        while len(rows):
+            free_rows[rows] = False
+            part.append(rows)
+            new = np.flatnonzero(near[rows].any(0) & free_columns)
+            free_columns[new] = False
+            columns.append(new)
+            rows = np.flatnonzero(near[:, new].any(1) & free_rows)
+        yield np.concatenate(part), np.concatenate(columns)
+
+
 def _count_links(threshold: float):
-    """Of two blocks of a group: how many links each member has in them, by multiplicity of the other end."""
+    """Of two blocks of a group: how many links each member has in them, by multiplicity of the other end, and a spanning
+    forest of these links."""
 
     def run(table: pa.Table) -> pa.Table:
         node, block, times = (table[c].to_numpy() for c in ("node", "block", "times"))
@@ -180,18 +197,12 @@ def _count_links(threshold: float):
         if i != j:
             ids.append(node[right])
             counts.append(near.T @ times[left])
-        # one smaller linked member is enough to keep what the links connect
-        low, high = np.nonzero(near)
-        a, b = node[left][low], node[right][high]
-        links = {}
-        for x, y in ((a, b), (b, a)):
-            least = np.full(len(x), 0, np.int64)
-            order = np.lexsort((y, x))
-            first = np.flatnonzero(np.r_[True, x[order][1:] != x[order][:-1]]) if len(x) else []
-            for at in order[first] if len(x) else ():
-                links[(int(x[at]), int(y[at]))] = True
+        # a spanning forest: each linked member with the smallest one that the links of both blocks reach
+        e = []
+        for rows, columns in _connected(near):
+            members = np.unique(np.concatenate((node[left[rows]], node[right[columns]])))
+            e += [(int(x), int(members[0])) for x in members[1:]]
         n = len(np.concatenate(ids))
-        e = list(links)
         return pa.table({"node": np.concatenate([*ids, np.array([x for x, _ in e], np.int64)]),
                          "links": np.concatenate([*counts, np.zeros(len(e), np.int64)]).astype(np.int64),
                          "to": pa.array([None] * n + [y for _, y in e], pa.int64())})

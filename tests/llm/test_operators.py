@@ -248,6 +248,20 @@ def test_near_duplicate_vectors(spark):
     assert nn_descent.near_duplicates(df.where("false")).count() == 0
 
 
+def test_chains_of_links_stay_connected(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", 4)  # groups over several blocks
+    rng = random.Random(3)
+    rows, want = [], {}
+    for chain, ids in enumerate([[1, 3, 4, 2], rng.sample(range(10, 40), 30)]):
+        for i, at in enumerate(ids):
+            angle = np.radians(11 * i)
+            rows.append((at, f"l{chain}", [float(np.cos(angle)), float(np.sin(angle))]))
+            want[at] = (min(ids), at == min(ids))
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = {r["vec_id"]: (r["component_id"], r["kept"]) for r in nn_descent.near_duplicates(df).collect()}
+    assert got == want
+
+
 def test_main_text(spark):
     page = ("<html><head><title>T</title></head><body><nav><a href=x>Home</a></nav><article><h1>Head</h1><p>One &amp; two<br>"
             "three<p>Short.</p></article><div class='comments'><p>" + "nice " * 30 + "</p></div><footer>&copy; x</footer></body></html>")
