@@ -4,7 +4,10 @@
    equal words share one. Units of documents send their distinct seed hashes to buckets, which answer which of them occur
    in more than one unit or document; for those the unit then sends the smallest document and place it has, and is told
    the smallest of all. So every later occurrence of a seed is matched with its first one: matches grow with the seeds,
-   not with pairs, and a seed shared by a third of all documents is sent once a unit.
+   not with pairs, and a seed shared by a third of all documents is sent once a unit. Where the seeds are phrases that many
+   texts use, their first occurrences lie scattered and say nothing of a later copy. So every run of ``LONG`` words whose
+   seeds are all repeated is a seed too, matched with its own first occurrence: each word of a stretch of ``LONG`` or more
+   words that an earlier document holds is then in a match long enough to count.
 2. Matches of a document with one source are joined into blocks along diagonals and chained: a block follows the best one
    that ends before it in both texts, its score less a cost for each skipped word, kept in a Fenwick tree over source
    places. Chains are cut at gaps of more than ``GAP`` words.
@@ -34,18 +37,40 @@ WINDOW = 4
 GAP, SHORTEST, GAP_COST = 16, 20, 0.5
 #: Fewest matches with one source that can make a chain that counts.
 FEWEST = 3
+#: Words of a long seed: as many as make a chain that counts.
+LONG = SHORTEST
 _U = np.uint64
 
 
-class Seeds:
-    """Seeds of a unit: hash, word place within the document, row; and the unit's words."""
+class Kinds:
+    """Seeds (hash, word place within the document, row) by hash: distinct hashes, each with its smallest document and place."""
+
+    def __init__(self, unit: Unit, hashes: np.ndarray, place: np.ndarray, first: np.ndarray):
+        self.hash = hashes
+        self.row = np.searchsorted(first, place, "right") - 1
+        self.place = place - first[self.row]
+        doc = unit.doc[self.row]
+        self.order = np.lexsort((self.place, doc, self.hash))
+        ordered = self.hash[self.order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.empty(0, bool)
+        self.first = np.flatnonzero(new)
+        docs = doc[self.order]
+        self.kinds = ordered[self.first]
+        self.low_doc, self.low_place = docs[self.first], self.place[self.order][self.first]
+        last = np.append(self.first[1:], len(ordered)) - 1
+        self.many = docs[self.first] != docs[last] if len(last) else np.empty(0, bool)
+        self.size = np.diff(np.append(self.first, len(self.order)))
+
+
+class Seeds(Kinds):
+    """Seeds of ``k`` words of a unit, and the unit's words."""
 
     def __init__(self, unit: Unit, k: int):
         self.words = unit.texts.words()
         self.word_hashes = self.words.hashes()
         first = self.words.first
         grams = sequence_hashes(self.word_hashes, k)
-        hashes, places = [], []
+        hashes, places, windows, lowest = [], [], [], []
         for a, b, known in zip(first[:-1].tolist(), first[1:].tolist(), unit.known.tolist()):
             n = b - a - k + 1
             if n > 0 and known:
@@ -54,23 +79,28 @@ class Seeds:
                 key = (own & ~_U(0xFFFFFF)) | (np.arange(n, dtype=_U) & _U(0xFFFFFF))
                 low = _sliding_min(key, min(WINDOW, n))
                 at = np.arange(len(low)) + ((low - np.arange(len(low), dtype=_U)) & _U(0xFFFFFF)).astype(np.int64)
+                windows.append(np.arange(a, a + len(at)))
+                lowest.append(at + a)
                 at = np.unique(at)
                 hashes.append(own[at])
                 places.append(at + a)
-        self.hash, place = joined(hashes, _U), joined(places, np.int64)
-        self.row = np.searchsorted(first, place, "right") - 1
-        self.place = place - first[self.row]
-        # distinct hashes, each with its smallest document and place first
-        doc = unit.doc[self.row]
-        self.order = np.lexsort((self.place, doc, self.hash))
-        ordered = self.hash[self.order]
-        new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.empty(0, bool)
-        self.first = np.flatnonzero(new)
-        docs = doc[self.order]
-        self.kinds = ordered[self.first]
-        self.low_doc, self.low_place = docs[self.first], self.place[self.order][self.first]
-        last = np.append(self.first[1:], len(ordered)) - 1
-        self.many = docs[self.first] != docs[last] if len(last) else np.empty(0, bool)
+        self.unit, self.k = unit, k
+        self.windows, self.lowest = joined(windows, np.int64), joined(lowest, np.int64)
+        super().__init__(unit, joined(hashes, _U), joined(places, np.int64), first)
+
+    def long(self, repeated: np.ndarray) -> Kinds:
+        """The runs of ``LONG`` words all of whose windows have a repeated seed; ``repeated`` tells for each distinct one."""
+        first = self.words.first
+        found = self.order[np.repeat(repeated, self.size)]
+        known = np.zeros(int(first[-1]) + 1, bool)
+        known[self.place[found] + first[self.row[found]]] = True
+        good = np.zeros(len(known), np.int64)
+        good[self.windows[known[self.lowest]]] = 1
+        inside = LONG - self.k - WINDOW + 2  # windows that lie within a run, so that its copies have the same seeds
+        total = np.concatenate(([0], np.cumsum(good)))
+        place = np.flatnonzero(total[inside:] - total[:-inside] == inside) if len(total) > inside else np.empty(0, np.int64)
+        place = place[place + LONG <= first[np.searchsorted(first, place, "right").clip(max=len(first) - 1)]]
+        return Kinds(self.unit, sequence_hashes(self.word_hashes, LONG)[place], place, first)
 
 
 def _send_hashes(k: int, bits: int):
@@ -90,12 +120,18 @@ def _send_hashes(k: int, bits: int):
 
 
 def _repeated(seeds: Seeds, answers: pa.Table, bits: int):
-    """(bucket, the distinct seeds in it that were answered to be repeated)."""
+    """(long seeds, [(bucket, the distinct seeds in it that were answered to be repeated, the long seeds in it)])."""
     told = dict(zip(answers["bucket"].to_pylist(), answers["many"]))
+    repeated = np.zeros(len(seeds.kinds), bool)
+    short = {}
     for bucket, a, b in bucket_ranges(seeds.kinds, bits):
         if bucket in told:
-            many = np.unpackbits(np.frombuffer(told[bucket].as_buffer(), np.uint8), count=b - a).astype(bool)
-            yield bucket, a + np.flatnonzero(many)
+            repeated[a:b] = np.unpackbits(np.frombuffer(told[bucket].as_buffer(), np.uint8), count=b - a)
+            short[bucket] = a + np.flatnonzero(repeated[a:b])
+    runs = seeds.long(repeated)
+    long = {bucket: np.arange(a, b) for bucket, a, b in bucket_ranges(runs.kinds, bits)}
+    nothing = np.empty(0, np.int64)
+    return runs, [(x, short.get(x, nothing), long.get(x, nothing)) for x in sorted(short.keys() | long.keys())]
 
 
 _PLACES = "unit long, bucket int, hashes binary, docs binary, places binary"
@@ -107,13 +143,15 @@ def _send_places(k: int, bits: int):
         if len(left) and len(right):
             unit = Unit(left)
             seeds = Seeds(unit, k)
-            for bucket, pick in _repeated(seeds, right, bits):
-                if len(pick):
+            runs, wanted = _repeated(seeds, right, bits)
+            for bucket, *picks in wanted:
+                if sum(map(len, picks)):
+                    both = list(zip((seeds, runs), picks))
                     out["unit"].append(unit.number)
                     out["bucket"].append(bucket)
-                    out["hashes"].append(_tail(seeds.kinds[pick], bits).astype("<u8").tobytes())
-                    out["docs"].append(seeds.low_doc[pick].astype("<i8").tobytes())
-                    out["places"].append(seeds.low_place[pick].astype("<u4").tobytes())
+                    out["hashes"].append(b"".join(_tail(x.kinds[pick], bits).astype("<u8").tobytes() for x, pick in both))
+                    out["docs"].append(b"".join(x.low_doc[pick].astype("<i8").tobytes() for x, pick in both))
+                    out["places"].append(b"".join(x.low_place[pick].astype("<u4").tobytes() for x, pick in both))
         return pa.table(out, schema_of(_PLACES))
 
     return run
@@ -226,21 +264,31 @@ def _send_chains(k: int, bits: int):
             told = {b: (np.frombuffer(d.as_buffer(), "<i8"), np.frombuffer(p.as_buffer(), "<u4"))
                     for b, d, p in zip(right["bucket"].to_pylist(), right["docs"], right["places"]) if d.is_valid}
             marks = right.filter(pa.compute.is_valid(right["many"]))
-            source = np.full(len(seeds.kinds), -1, np.int64)
-            source_place = np.zeros(len(seeds.kinds), np.int64)
-            there = np.zeros(len(seeds.kinds), bool)
-            for bucket, pick in _repeated(seeds, marks, bits):
-                if bucket in told:
-                    source[pick], source_place[pick] = told[bucket]
-                    there[pick] = True
-            size = np.diff(np.append(seeds.first, len(seeds.order)))
-            take = seeds.order[np.repeat(there, size)]
-            doc_from, place_from = np.repeat(source, size)[np.repeat(there, size)], np.repeat(source_place, size)[np.repeat(there, size)]
-            earlier = doc_from < unit.doc[seeds.row[take]]
-            take, doc_from, place_from = take[earlier], doc_from[earlier], place_from[earlier]
-            row, place = seeds.row[take], seeds.place[take]
-            by = np.lexsort((place, doc_from, row))
+            runs, wanted = _repeated(seeds, marks, bits)
+            matches = []
+            for part, kinds, words in ((0, seeds, k), (1, runs, LONG)):
+                source = np.full(len(kinds.kinds), -1, np.int64)
+                source_place = np.zeros(len(kinds.kinds), np.int64)
+                there = np.zeros(len(kinds.kinds), bool)
+                for bucket, *picks in wanted:
+                    if bucket in told:
+                        mine = slice(0, len(picks[0])) if part == 0 else slice(len(picks[0]), None)
+                        source[picks[part]], source_place[picks[part]] = (x[mine] for x in told[bucket])
+                        there[picks[part]] = True
+                there = np.repeat(there, kinds.size)
+                take = kinds.order[there]
+                doc_from, place_from = np.repeat(source, kinds.size)[there], np.repeat(source_place, kinds.size)[there]
+                earlier = doc_from < unit.doc[kinds.row[take]]
+                take, doc_from, place_from = take[earlier], doc_from[earlier], place_from[earlier]
+                # a long match as matches of k words that touch
+                for i in sorted({*range(0, words - k, k), words - k}):
+                    matches.append((kinds.row[take], doc_from, kinds.place[take] + i, place_from + i))
+            row, doc_from, place, place_from = (np.concatenate(x) for x in zip(*matches))
+            by = np.lexsort((place_from, place, doc_from, row))
             row, place, doc_from, place_from = row[by], place[by], doc_from[by], place_from[by]
+            if len(row):
+                new = np.r_[True, (np.diff(row) != 0) | (np.diff(doc_from) != 0) | (np.diff(place) != 0) | (np.diff(place_from) != 0)]
+                row, place, doc_from, place_from = row[new], place[new], doc_from[new], place_from[new]
             if len(row):
                 cuts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (doc_from[1:] != doc_from[:-1]), True])
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):

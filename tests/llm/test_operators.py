@@ -142,6 +142,22 @@ def test_passages(docs, none, texts):
     assert chaining.cut_passages(none).count() == 0
 
 
+def test_copies_of_passages_whose_phrases_all_occur_earlier(spark):
+    rng = random.Random(7)
+    word = iter(f"w{i}" for i in range(100_000))
+    passage = [f"p{i}" for i in range(60)]
+    # each phrase of up to nine words of the passage is in an earlier text of its own
+    rows = [(i, " ".join([next(word) for _ in range(30)] + passage[i : i + 9] + [next(word) for _ in range(30)])) for i in range(52)]
+    for i in (900, 901, 950):
+        rows.append((i, " ".join([next(word) for _ in range(rng.randint(20, 40))] + passage + [next(word) for _ in range(25)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: (r["source_id"], r["n_words"], r["equal_words"]) for r in chaining.repeated_passages(df).collect()}
+    assert found == {901: (900, 60, 60), 950: (900, 60, 60)}
+    cut = {r["doc_id"]: r["text"] for r in chaining.cut_passages(df).collect()}
+    for i, text in rows:
+        assert cut[i].split() == [w for w in text.split() if i in (901, 950) and w[0] != "p" or i not in (901, 950)]
+
+
 def test_chain_prefers_collinear_blocks():
     chains = chaining.chains_of([0, 12, 30], [100, 112, 5], [10, 10, 10])
     assert chains[0] == [0, 1] and [2] in chains
