@@ -9,11 +9,18 @@ Vectors are normalised; equal vectors of a label are collapsed to one node with
 3. Saturated lists (all of a node's neighbours are near-duplicates, so there may be more than fit) are enlarged to the
    whole group that the links found so far connect: groups are compared in pairs of blocks of ``BLOCK`` members. That gives
    all links inside a group, counted without being listed.
-4. Audit: for a fixed number of nodes the links are counted by brute force over all vectors. While the recall is under
-   ``RECALL``, the descent starts again with other projections and the links found so far are kept.
+4. Audit: for ``AUDITED`` nodes by hash (``MORE`` times as many if under ``ENOUGH`` of them have links) the linked nodes are
+   counted by brute force. Nodes with up to ``FEW_LINKS`` and with more are judged apart, each node alike whatever its
+   number of links or copies. While the mean recall of either is under ``RECALL``, or too few nodes have links to tell, the
+   descent starts again with other projections and the links found so far are kept.
+5. If no attempt passes, all pairs within a label are compared in blocks, as within groups. That is exact, and grows with
+   the square of a label.
+
+Sign bits, tables and rounds grow with the logarithm of the largest label, so that a place in a table's order stays as
+likely to hold both of a pair.
 
 Every pair that counts has been compared in double precision on its own. Work is rows x list length, apart from the links
-inside groups of near-duplicates, which are the output's own count.
+inside groups of near-duplicates, which are the output's own count, and from step 5.
 """
 
 from __future__ import annotations
@@ -27,10 +34,10 @@ from pyspark.sql.window import Window
 from ledgermill.llm.graph import components
 from ledgermill.scratch import write_scratch
 
-SEED_TABLES, SEED_BITS, SEED_STEPS = 6, 6, 2
+SEED_TABLES, SEED_BITS, SEED_STEPS, SEED_LABEL = 6, 6, 2, 64
 KEEP, ROUNDS, FEW_CHANGES = 6, 4, 0.01
 HUB, UNIT_NODES, BLOCK = 256, 1024, 1024
-AUDITED, RECALL, ATTEMPTS = 200, 0.97, 3
+AUDITED, MORE, ENOUGH, FEW_LINKS, RECALL, ATTEMPTS = 1000, 4, 34, 8, 0.97, 3
 
 
 def _rows(column) -> np.ndarray:
@@ -52,7 +59,9 @@ def unit_vectors(vectors: DataFrame, key: str, vector: str, label: str) -> DataF
     return rows.withColumn("v", F.transform("v", lambda x: x / norm))
 
 
-def _projections(seed: int):
+def _projections(seed: int, bits: int):
+    tables = SEED_TABLES + 2 * (bits - SEED_BITS)
+
     def run(batches):
         for batch in batches:
             by_dim: dict[int, list[int]] = {}
@@ -61,10 +70,10 @@ def _projections(seed: int):
             for dim, rows in by_dim.items():
                 part = batch.take(pa.array(rows))
                 v = _rows(part.column("v"))
-                for table in range(SEED_TABLES):
-                    plane = np.random.default_rng([seed, table, dim]).normal(size=(dim, SEED_BITS + 1))
+                for table in range(tables):
+                    plane = np.random.default_rng([seed, table, dim]).normal(size=(dim, bits + 1))
                     p = v @ plane
-                    code = (p[:, :SEED_BITS] > 0) @ (1 << np.arange(SEED_BITS))
+                    code = (p[:, :bits] > 0) @ (1 << np.arange(bits))
                     yield pa.RecordBatch.from_arrays(
                         [part.column("node"), part.column("label"), pa.array(np.full(len(v), dim, np.int64)),
                          pa.array(np.full(len(v), table, np.int64)), pa.array(code.astype(np.int64)), pa.array(p[:, -1])],
@@ -73,11 +82,11 @@ def _projections(seed: int):
     return run
 
 
-def _start(nodes: DataFrame, seed: int) -> DataFrame:
+def _start(nodes: DataFrame, seed: int, bits: int) -> DataFrame:
     """(a, b): neighbours in some table's order."""
     kind = nodes.schema["label"].dataType.simpleString()
     spread = nodes.select("node", "label", "v").mapInArrow(
-        _projections(seed), f"node long, label {kind}, dim long, table long, code long, along double")
+        _projections(seed, bits), f"node long, label {kind}, dim long, table long, code long, along double")
     order = Window.partitionBy("label", "dim", "table", "code").orderBy("along", "node")
     near = [spread.select("node", F.lag("node", i).over(order).alias("b")) for i in range(1, SEED_STEPS + 1)]
     pairs = near[0].union(near[1]) if SEED_STEPS == 2 else near[0]
@@ -150,14 +159,14 @@ def _descend(nodes: DataFrame, lists: DataFrame, units: int) -> DataFrame:
     return write_scratch(_best(lists.union(_both_ways(found))), "descent-lists")
 
 
-def _graph(nodes: DataFrame, seed: int, size: int) -> DataFrame:
+def _graph(nodes: DataFrame, seed: int, size: int, bits: int) -> DataFrame:
     """Neighbour lists (node, near, s) when a descent has settled."""
-    pairs = _start(nodes, seed)
+    pairs = _start(nodes, seed, bits)
     a = nodes.select(F.col("node").alias("a"), F.col("v").alias("va"))
     b = nodes.select(F.col("node").alias("b"), F.col("v").alias("vb"))
     scored = pairs.join(a, "a").join(b, "b").select("a", "b", "va", "vb").mapInArrow(_similar, "a long, b long, s double")
     lists = write_scratch(_best(_both_ways(scored)), "descent-lists")
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS + bits - SEED_BITS):
         after = _descend(nodes, lists, size // UNIT_NODES + 1)
         changed = after.join(lists, ["node", "near"], "left_anti").count()
         lists = after
@@ -183,8 +192,8 @@ def _connected(near: np.ndarray):
 
 
 def _count_links(threshold: float):
-    """Of two blocks of a group: how many links each member has in them, by multiplicity of the other end, and a spanning
-    forest of these links."""
+    """Of two blocks of a group: how many links each member has in them, by multiplicity of the other end, to how many
+    nodes, and a spanning forest of these links."""
 
     def run(table: pa.Table) -> pa.Table:
         node, block, times = (table[c].to_numpy() for c in ("node", "block", "times"))
@@ -193,10 +202,11 @@ def _count_links(threshold: float):
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         near = v[left] @ v[right].T >= threshold
         near &= node[left][:, None] != node[right][None, :]
-        ids, counts = [node[left]], [near @ times[right]]
+        ids, counts, others = [node[left]], [near @ times[right]], [near.sum(1)]
         if i != j:
             ids.append(node[right])
             counts.append(near.T @ times[left])
+            others.append(near.sum(0))
         # a spanning forest: each linked member with the smallest one that the links of both blocks reach
         e = []
         for rows, columns in _connected(near):
@@ -205,33 +215,74 @@ def _count_links(threshold: float):
         n = len(np.concatenate(ids))
         return pa.table({"node": np.concatenate([*ids, np.array([x for x, _ in e], np.int64)]),
                          "links": np.concatenate([*counts, np.zeros(len(e), np.int64)]).astype(np.int64),
+                         "others": np.concatenate([*others, np.zeros(len(e), np.int64)]).astype(np.int64),
                          "to": pa.array([None] * n + [y for _, y in e], pa.int64())})
 
     return run
 
 
+def _counted(nodes: DataFrame, group: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, others, to): all links inside the groups of (node, component), in pairs of blocks."""
+    blocks = group.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    members = nodes.join(group, "node").join(blocks, "component")
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    members = members.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    members = members.select("component", "i", "j", "block", "node", "times", "v")
+    counted = members.groupBy("component", "i", "j").applyInArrow(
+        _count_links(threshold), "node long, links long, others long, to long")
+    return write_scratch(counted, "descent-counts")
+
+
 def _audit(sample: list, threshold: float):
-    """For a few nodes: links to all vectors of a batch."""
-    ids = np.array([r["node"] for r in sample])
-    labels = [r["label"] for r in sample]
-    vectors = [np.array(r["v"]) for r in sample]
+    """For some nodes: how many nodes of a batch they link with."""
+    by_kind: dict[int, list] = {}
+    for r in sample:
+        by_kind.setdefault(r["kind"], []).append(r)
+    asked = {k: (np.array([r["node"] for r in x]), np.array([r["v"] for r in x])) for k, x in by_kind.items()}
 
     def run(batches):
         for batch in batches:
-            label = np.array(batch.column("label").to_pylist(), object)
-            dim = np.array(batch.column("v").value_lengths())
-            node, times = batch.column("node").to_numpy(), batch.column("times").to_numpy()
-            out = []
-            groups = {d: (np.flatnonzero(dim == d), _rows(batch.column("v").filter(pa.array(dim == d)))) for d in set(dim.tolist())}
-            for i, v in enumerate(vectors):
-                rows, m = groups.get(len(v), (np.empty(0, np.int64), None))
-                out.append(0 if m is None else int(
-                    times[rows][(m @ v >= threshold) & (label[rows] == labels[i]) & (node[rows] != ids[i])].sum()))
-            yield pa.RecordBatch.from_pydict({"node": pa.array(ids, pa.int64()), "links": pa.array(out, pa.int64())})
+            rows: dict[int, list[int]] = {}
+            for i, kind in enumerate(batch.column("kind").to_pylist()):
+                if kind in asked:
+                    rows.setdefault(kind, []).append(i)
+            for kind, at in rows.items():
+                ids, v = asked[kind]
+                for first in range(0, len(at), BLOCK):
+                    part = batch.take(pa.array(at[first : first + BLOCK]))
+                    near = _rows(part.column("v")) @ v.T >= threshold
+                    near &= part.column("node").to_numpy()[:, None] != ids[None, :]
+                    yield pa.RecordBatch.from_pydict({"node": pa.array(ids, pa.int64()),
+                                                      "others": pa.array(near.sum(0).astype(np.int64))})
 
     return run
 
 
+def _truth(nodes: DataFrame, size: int, threshold: float) -> dict[int, int]:
+    """Linked nodes of each audited node that has any."""
+    truth: dict[int, int] = {}
+    kinds = nodes.select("node", F.xxhash64("label", F.size("v")).alias("kind"), "v")
+    for many in (AUDITED, MORE * AUDITED):
+        sample = kinds.orderBy(F.xxhash64("node"), "node").limit(many).collect()
+        counts = kinds.mapInArrow(_audit(sample, threshold), "node long, others long").groupBy("node")
+        counts = counts.agg(F.sum("others").alias("others")).where("others > 0")
+        truth = {r["node"]: r["others"] for r in counts.collect()}
+        if len(truth) >= ENOUGH or many >= size:
+            break
+    return truth
+
+
+def _passes(truth: dict[int, int], got: dict[int, int], size: int) -> bool:
+    """Are enough linked nodes audited, and is the recall of a node high among those with few links and those with many?"""
+    if len(truth) < ENOUGH and size > MORE * AUDITED:
+        return False
+    recall: dict[bool, list[float]] = {}
+    for node, n in truth.items():
+        recall.setdefault(n > FEW_LINKS, []).append(min(n, got.get(node, 0)) / n)
+    return all(sum(x) >= RECALL * len(x) for x in recall.values())
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                     threshold: float = 0.98) -> DataFrame:
     """One row per vector: vec_id, n_links (other vectors linked directly), component_id, kept (vec_id = component_id).
@@ -247,29 +298,22 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     groups = usable.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("times"))
     nodes = write_scratch(groups, "descent-nodes")
     size = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDITED).select("node", "label", "v").collect()
-    truth = nodes.mapInArrow(_audit(sample, threshold), "node long, links long").groupBy("node").agg(
-        F.sum("links").alias("links")) if sample else None
-    truth = {r["node"]: r["links"] for r in truth.collect()} if sample else {}
+    largest = nodes.groupBy("label", F.size("v")).count().agg(F.max("count")).first()[0] or 0
+    bits = max(SEED_BITS, (largest // SEED_LABEL).bit_length())
+    truth = _truth(nodes, size, threshold)
     links = None
     for seed in range(ATTEMPTS):
-        lists = _graph(nodes, seed, size)
+        lists = _graph(nodes, seed, size, bits)
         found = lists.where(F.col("s") >= threshold).select(F.col("node").alias("a"), F.col("near").alias("b"))
         links = write_scratch(found if links is None else links.union(found).distinct(), "descent-links")
-        group = components(links, "a", "b", "descent-groups")
-        members = nodes.join(group, "node").withColumn("size", F.count("*").over(Window.partitionBy("component")))
-        members = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
-        members = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-        members = members.withColumn("other", other)
-        members = members.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-        members = members.select("component", "i", "j", "block", "node", "times", "v")
-        counted = members.groupBy("component", "i", "j").applyInArrow(_count_links(threshold), "node long, links long, to long")
-        counted = write_scratch(counted, "descent-counts")
-        totals = counted.groupBy("node").agg(F.sum("links").alias("links"))
-        got = {r["node"]: r["links"] for r in totals.where(F.col("node").isin(list(truth))).collect()} if truth else {}
-        if sum(min(n, got.get(i, 0)) for i, n in truth.items()) >= RECALL * sum(truth.values()):
+        counted = _counted(nodes, components(links, "a", "b", "descent-groups"), threshold)
+        totals = counted.groupBy("node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
+        got = {r["node"]: r["others"] for r in totals.where(F.col("node").isin(list(truth))).collect()} if truth else {}
+        if _passes(truth, got, size):
             break
+    else:
+        counted = _counted(nodes, nodes.select("node", F.struct("label", F.size("v")).alias("component")), threshold)
+        totals = counted.groupBy("node").agg(F.sum("links").alias("links"))
     final = components(counted.where("`to` is not null"), "node", "to", "descent-components")
     ids = groups_of(nodes, totals, final)
     joined = usable.join(ids, (usable["label"] == ids["of_label"]) & (usable["v"] == ids["of_v"])).select(

@@ -278,6 +278,20 @@ def test_chains_of_links_stay_connected(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("lost", ["node >= 1000", "true"])
+def test_pairs_that_the_descent_misses_are_found(spark, monkeypatch, lost):
+    graph = nn_descent._graph
+    monkeypatch.setattr(nn_descent, "_graph", lambda *a: graph(*a).where(f"not ({lost})"))
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 1)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(11, 16))
+    rows = [(i, base[0] + rng.normal(size=16) * 0.01) for i in range(120)]
+    rows += [(1000 + i, base[1 + i // 2] + rng.normal(size=16) * 0.01) for i in range(20)]
+    df = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(df).collect()}
+    assert got == {i: (119, 0) if i < 1000 else (1, i - i % 2) for i, _ in rows}
+
+
 def test_main_text(spark):
     page = ("<html><head><title>T</title></head><body><nav><a href=x>Home</a></nav><article><h1>Head</h1><p>One &amp; two<br>"
             "three<p>Short.</p></article><div class='comments'><p>" + "nice " * 30 + "</p></div><footer>&copy; x</footer></body></html>")
