@@ -1,12 +1,15 @@
 """Quality of documents by co-training two views: the text's content, and the metadata beside it.
 
-Each view has its own ridge logistic classifier, first fitted on labelled documents. In every round each classifier scores a
-pool of unlabelled documents, and the documents it is surest of join the other's training set with its verdict as label, so
-each learns from what the other can see. At the end each view's value is calibrated on the labelled documents (a logistic
-curve), and a last logistic curve joins the two calibrated values into one score.
-
-Training looks at bounded samples (``LABELLED`` labelled documents of each kind and ``POOL`` unlabelled ones, by hash), as
-feature rows of fixed width. Scoring is one pass over all documents and whole texts, without a shuffle.
+Each view has its own ridge logistic classifier, first fitted on labelled documents. In every round each classifier scores
+all unlabelled documents, and those it is sure of join the other's training set with its verdict as label, so each learns
+from what the other can see. A round is one Newton step of both classifiers: the slopes and curves of all documents handed
+over are summed where they lie. Together they weigh at most as much as the labelled ones of their label. At the end each
+view's value is calibrated on the labelled documents (a logistic curve), and a last logistic curve joins the two calibrated
+values into one score.
+
+Only the labelled documents are sampled (``LABELLED`` of each kind, by hash). The features of the unlabelled ones are
+written once, as rows of fixed width, and read once a round. Scoring is one pass over all documents and whole texts, without
+a shuffle.
 """
 
 from __future__ import annotations
@@ -15,15 +18,17 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.linear import fit_logistic, sigmoid
 from ledgermill.llm.text import Texts, slices
 from ledgermill.llm.toxicity import is_held_out
+from ledgermill.scratch import write_scratch
 
-#: Sampled documents of each label, sampled unlabelled documents, rounds, and documents handed over a round and label.
-LABELLED, POOL, ROUNDS, HANDED = 2000, 6000, 5, 100
+#: Sampled documents of each label, rounds, how sure a verdict must be, and the groups in which tasks' sums are added up.
+LABELLED, ROUNDS, SURE, SUMS = 2000, 5, 0.9, 16
 _PAIRS, _SOURCES, _LANGS = 64, 32, 16
 
 
@@ -105,50 +110,117 @@ class Model:
         return sigmoid(values[0]), sigmoid(values[1]), sigmoid(joint)
 
 
-def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) -> Model:
-    """A model from two views of labelled documents and of unlabelled ones."""
-    sets = [(x, y.astype(float)) for x in labelled]
-    left = np.ones(len(pool[0]), bool)
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.hstack([x, np.ones((len(x), 1))])
+
+
+def _slopes(x: np.ndarray, p: np.ndarray, verdict: int) -> np.ndarray:
+    """Number of rows, slope and curve of their logistic loss, packed."""
+    curve = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x
+    return np.concatenate(([len(x)], x.T @ (p - verdict), curve.ravel()))
+
+
+def handed_over(views: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+    """Packed sums for each view and verdict over the rows that the other view is sure of."""
+    p = [sigmoid(x @ w[:-1] + w[-1]) for x, w in zip(views, weights)]
+    out = []
+    for view in (0, 1):
+        x, other = _with_one(views[view]), p[1 - view]
+        for verdict, sure in ((0, other < 1 - SURE), (1, other > SURE)):
+            out.append(_slopes(x[sure], p[view][sure], verdict))
+    return np.concatenate(out)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Packed single-precision rows of one width."""
+    return np.array([np.frombuffer(x.as_buffer(), "<f4") for x in column], float)
+
+
+def _sum_up(weights: list[np.ndarray]):
+    def run(batches):
+        total = 0.0
+        for batch in batches:
+            if len(batch):
+                total = total + handed_over([_matrix(batch.column(c)) for c in ("content", "meta")], weights)
+        if np.ndim(total):
+            yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int64()),
+                                              "sums": pa.array([total.tobytes()], pa.binary())})
+
+    return run
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    table = table.sort_by("part")
+    total = sum(np.frombuffer(x.as_buffer(), float) for x in table["sums"])
+    return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+
 
-    def fit(view):
-        x, target = sets[view]
-        share = np.clip(target.mean(), 0.05, 0.95)
-        weight = np.where(target == 1, 0.5 / share, 0.5 / (1 - share))
-        return fit_logistic(x, target, weight, ridge=1.0)
+def sums_over(pool: DataFrame):
+    """A function of both views' weights: :func:`handed_over` of all rows of (content, meta)."""
 
+    def run(weights: list[np.ndarray]):
+        sums = pool.select("content", "meta").mapInArrow(_sum_up(weights), "part long, sums binary")
+        sums = sums.groupBy(F.pmod("part", F.lit(SUMS))).applyInArrow(_add_up, "part long, sums binary").collect()
+        return sum(np.frombuffer(bytes(r["sums"]), float) for r in sorted(sums, key=lambda r: r["part"])) if sums else None
+
+    return run
+
+
+def co_train(labelled: list[np.ndarray], y: np.ndarray, sums) -> Model:
+    """A model from two views of labelled documents and ``sums`` over the unlabelled ones."""
+    y = y.astype(float)
+    share = np.clip(y.mean(), 0.05, 0.95)
+    of_label = [0.5 / (1 - share), 0.5 / share]
+    weights = [fit_logistic(x, y, np.where(y == 1, of_label[1], of_label[0]), ridge=1.0) for x in labelled]
     for _ in range(ROUNDS):
-        weights = [fit(view) for view in (0, 1)]
-        for view in (0, 1):
-            free = np.flatnonzero(left)
-            if not len(free):
-                break
-            p = sigmoid(pool[view][free] @ weights[view][:-1] + weights[view][-1])
-            order = np.argsort(p, kind="stable")
-            low, high = order[:HANDED][p[order[:HANDED]] < 0.1], order[-HANDED:][p[order[-HANDED:]] > 0.9]
-            handed = np.concatenate((free[low], free[high]))
-            verdict = np.concatenate((np.zeros(len(low)), np.ones(len(high))))
-            x, target = sets[1 - view]
-            sets[1 - view] = (np.vstack([x, pool[1 - view][handed]]), np.concatenate((target, verdict)))
-            left[handed] = False
-    weights = [fit(view) for view in (0, 1)]
+        weights = [np.round(w, 6) for w in weights]  # the order of sums over many tasks doesn't show
+        total = sums(weights)
+        if total is None:
+            break
+        after, at = [], 0
+        for x, w in zip(labelled, weights):
+            n = len(w)
+            ridge = np.r_[np.ones(n - 1), 1e-6]
+            p, x = sigmoid(x @ w[:-1] + w[-1]), _with_one(x)
+            slope, curve = ridge * w, np.diag(ridge)
+            for verdict in (0, 1):
+                own = _slopes(x[y == verdict], p[y == verdict], verdict)
+                handed = total[at : at + len(own)]
+                at += len(own)
+                both = own + handed * min(1.0, own[0] / max(1.0, handed[0]))
+                slope = slope + of_label[verdict] * both[1 : n + 1]
+                curve = curve + of_label[verdict] * both[n + 1 :].reshape(n, n)
+            step = np.linalg.solve(curve, slope)
+            after.append(w - step * min(1.0, 5.0 / max(1e-12, float(np.abs(step).max()))))
+        weights = after
+    weights = [np.round(w, 6) for w in weights]
     values = [x @ w[:-1] + w[-1] for x, w in zip(labelled, weights)]
     curves = [fit_logistic(v[:, None], y, ridge=0.01) for v in values]
     calibrated = np.array([c[0] * v + c[1] for c, v in zip(curves, values)]).T
     return Model(weights, curves, fit_logistic(calibrated, y, ridge=0.01))
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+def _packed(batches):
+    for batch in batches:
+        for a, content, meta in _features_of(batch):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, len(content)),
+                 *[pa.array([x.tobytes() for x in m.astype("<f4")], pa.binary()) for m in (content, meta)]],
+                names=["id", "content", "meta"])
+
+
+def _sampled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> tuple[list[np.ndarray], np.ndarray, DataFrame]:
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).cast("long").alias("id"))
     known = known.agg(F.min(label).cast("int").alias("label"))
     picked = [known.where((F.col("label") == y) & ~is_held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(LABELLED)
               for y in (0, 1)]
     picked = [tuple(r) for part in picked for r in part.collect()]
-    others = docs.where("id is not null").select("id").distinct().join(known, "id", "left_anti")
-    others = others.orderBy(F.xxhash64("id"), "id").limit(POOL).collect()
-    picked += [(r["id"], -1) for r in others]
+    features = docs.where("id is not null").select("id", "text", "source", "lang", "n_chars").mapInArrow(
+        _packed, "id long, content binary, meta binary")
+    pool = features.join(known, "id", "left_anti")
     if not picked:
-        return [], np.empty(0), []
-    wanted = F.broadcast(docs.sparkSession.createDataFrame(picked, "id long, label int"))  # at most 2 * LABELLED + POOL rows
+        return [], np.empty(0), pool
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(picked, "id long, label int"))  # at most 2 * LABELLED rows
 
     def run(batches):
         for batch in batches:
@@ -164,7 +236,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> tuple[
     rows.sort(key=lambda r: (r["id"], bytes(r["content"])))
     y = np.array([r["label"] for r in rows])
     views = [np.array([np.frombuffer(bytes(r[c]), float) for r in rows]) for c in ("content", "meta")]
-    return [v[y >= 0] for v in views], y[y >= 0], [v[y < 0] for v in views]
+    return views, y, pool
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -179,7 +251,9 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.col(source).cast("string").alias("source"),
                        F.col(lang).cast("string").alias("lang"), F.col(chars).cast("long").alias("n_chars"))
     labelled, y, pool = _sampled(rows, labels, key, label)
-    model = spark.sparkContext.broadcast(co_train(labelled, y, pool) if len(set(y.tolist())) == 2 else None)
+    both = len(set(y.tolist())) == 2
+    pool = sums_over(write_scratch(pool, "quality-features")) if both else None
+    model = spark.sparkContext.broadcast(co_train(labelled, y, pool) if both else None)
 
     def run(batches):
         for batch in batches:

@@ -317,6 +317,25 @@ def test_classifiers_on_odd_rows(docs, none, texts, operator):
     assert operator.score(none, labels).count() == 0
 
 
+def test_quality_learns_from_every_unlabelled_document(spark):
+    rng = random.Random(9)
+    order = [r["id"] for r in spark.range(7500).orderBy(F.xxhash64("id"), "id").collect()]
+
+    def text(good):
+        return " ".join(rng.choice(["reading", "mountain", "river", "paper"]) if good else rng.choice(["{", "|", "9", "!!"])
+                        for _ in range(20))
+
+    unlabelled = set(order) - set(range(600))
+    late = set([i for i in order if i in unlabelled][-600:])  # one source, all bad, beyond the first 6000 by hash
+    rows = [(i, text(i % 2 and i not in late), "late" if i in late else "web", "en" if i % 2 or rng.random() < 0.3 else "de", 100)
+            for i in order]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["metadata_score"] for r in quality.score(docs, labels).collect()}
+    english = {i for i, _, _, lang, _ in rows if lang == "en"}
+    assert np.mean([scores[i] for i in late & english]) < np.mean([scores[i] for i in english - late]) - 0.1
+
+
 def test_inserted_characters_stay_close():
     toxic = [["you", "idiot", f"word{i}"] for i in range(60)]
     other = [["plain", "thing", f"noun{i}"] for i in range(60)]
