@@ -245,12 +245,8 @@ def in_codes(
     return df.join(right, col(column) == F.col("_code"), "left_semi")
 
 
-# An axis longer than this many values is not carried inside rows; see request_grid.
-AXIS_IN_ROW = 5_000
-
-
-def axis_values(axis: DataFrame, limit: int = AXIS_IN_ROW) -> list | None:
-    """Distinct values of a one-column axis table, or None when there are more than ``limit``."""
+def axis_values(axis: DataFrame, limit: int = 5_000) -> list | None:
+    """Distinct values of a one-column axis table, or None when there are more than ``limit``. No plan depends on it."""
     name = axis.columns[0]
     rows = axis.select(col(name).alias("v")).filter("v is not null").distinct().limit(limit + 1).collect()
     return None if len(rows) > limit else sorted(r["v"] for r in rows)
@@ -259,17 +255,12 @@ def axis_values(axis: DataFrame, limit: int = AXIS_IN_ROW) -> list | None:
 def request_grid(codes: DataFrame, axis: DataFrame | Column, name: str) -> DataFrame:
     """Every code row with every axis value.
 
-    ``axis`` is an array column (:func:`ledgermill.functions.scalar.each_day`) or a one-column table. The values travel
-    inside each row and are exploded, so there is no join; an axis table too long for that is dealt over buckets and
-    each code row visits every bucket once, an equi-join that spreads evenly whatever the codes are.
+    ``axis`` is an array column (:func:`ledgermill.functions.scalar.each_day`) or a one-column table. An array is
+    exploded inside each row. A table of any length is dealt over buckets and each code row visits every bucket once, an
+    equi-join that spreads evenly whatever the codes are.
     """
     if isinstance(axis, Column):
         return codes.withColumn(name, F.explode(axis))
-    kind = axis.schema[axis.columns[0]].dataType
-    values = axis_values(axis)
-    if values is not None:
-        array = F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.array().cast(T.ArrayType(kind))
-        return codes.withColumn(name, F.explode(array))
     buckets = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values_in = axis.select(col(axis.columns[0]).alias(name)).distinct().filter(col(name).isNotNull())
     values_in = values_in.withColumn("_b", F.pmod(F.xxhash64(col(name)), F.lit(buckets)))
@@ -283,8 +274,9 @@ def coverage_gaps(
 ) -> DataFrame:
     """The ``(code, axis value)`` pairs that the landed table does not hold.
 
-    The landed table is reduced to one row per code with the set of its axis values (never longer than the axis), and
-    only the missing values are exploded; the full grid is not built.
+    The axis must be comparable with the landed column, whose type the gaps have; otherwise an error is raised. With
+    an array axis the landed table is reduced to one row per code with the set of its axis values (never longer than the axis), and
+    only the missing values are exploded. An axis table of any length is anti-joined as a grid.
     """
     require_columns(landed, [code, name], "the landed table")
     wanted = codes.select(col(code)).distinct()
@@ -292,11 +284,11 @@ def coverage_gaps(
     if isinstance(axis, Column):
         expected = axis
     else:
-        values = axis_values(axis)
-        if values is None:
-            grid = request_grid(wanted, axis, name)
-            return anti_by_keys(grid, landed, [code, name])
-        expected = F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.array().cast(T.ArrayType(kind))
+        given = axis.schema[axis.columns[0]].dataType
+        if not _comparable(given, kind):
+            raise ValueError(f"The axis is {given.simpleString()}, but {name!r} of the landed table is {kind.simpleString()}")
+        grid = request_grid(wanted, axis.select(col(axis.columns[0]).cast(kind).alias(name)), name)
+        return anti_by_keys(grid, landed, [code, name])
     present = (
         landed.select(col(code), col(name))
         .distinct()

@@ -112,6 +112,17 @@ def test_long_axis_goes_over_buckets(spark, rows, monkeypatch):
     assert len(short[0]) == 51 and len(short[1]) == 49
 
 
+@pytest.mark.parametrize("n", [10, 6_000])
+def test_axis_type_counts_the_same_at_every_length(spark, n):
+    codes = spark.createDataFrame([("a",)], "code string")
+    landed = spark.createDataFrame([("a", 3)], "code string, v int")
+    axis = spark.range(n).select(F.col("id").alias("v"))
+    gaps = joins.coverage_gaps(codes, axis, landed, "code", "v")
+    assert gaps.schema["v"].dataType == landed.schema["v"].dataType and gaps.count() == n - 1
+    with pytest.raises(ValueError, match="axis is string"):
+        joins.coverage_gaps(codes, axis.select(F.col("v").cast("string")), landed, "code", "v").count()
+
+
 def test_empty_axis(spark):
     codes = spark.createDataFrame([("a",)], "code string")
     assert joins.request_grid(codes, spark.range(0).select("id"), "d").count() == 0
