@@ -23,6 +23,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# Names that speak of what else a page has (has-sidebar, with-search, no-comments) say nothing of the element itself.
+_ABOUT = re.compile(r"(?:^|[-_])(?:has|have|with|without|no|hide|show|is)[-_]")
 _WORDS = re.compile(r"[a-z]+")
 
 # Elements whose content is no text of the page.
@@ -35,7 +37,9 @@ _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code
 # Elements without content.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 # Elements and names that mark page furniture.
-_FURNITURE = {"nav", "footer", "header", "aside", "form", "button", "menu", "dialog", "fieldset"}
+_FURNITURE = {"nav", "footer", "header", "aside", "button", "menu", "dialog"}
+# Furniture unless at least half of the unlinked words of the page are inside.
+_FORMS = {"form", "fieldset"}
 _FURNITURE_NAMES = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
                     "complementary", "consent", "contentinfo", "cookie", "cookies", "footer", "form", "header", "login",
                     "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo",
@@ -71,7 +75,10 @@ def _marks(tag: str, attributes: str) -> tuple[int, int, int]:
     """(furniture, article, heading) that an element brings to the text inside it."""
     names = set()
     for found in _NAMES.finditer(attributes):
-        names.update(_WORDS.findall((found[1] or found[2] or found[3] or "").lower()))
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            names.update(_WORDS.findall(_ABOUT.split(name)[0]))
+    if tag in _FORMS:
+        names.discard("form")
     article = tag in _ARTICLE or "main" in names and tag != "body"
     furniture = tag in _FURNITURE or bool(names & _FURNITURE_NAMES) and tag not in ("html", "body", *_ARTICLE)
     return int(furniture), int(article), int(tag in _HEADINGS)
@@ -80,7 +87,8 @@ def _marks(tag: str, attributes: str) -> tuple[int, int, int]:
 def text_blocks(html: str) -> list[tuple[str, int, int, tuple[int, int, int]]]:
     """(text, words, linked words, marks) of each block of text, in page order."""
     blocks, pieces = [], []  # pieces: (text, is it linked)
-    stack: list[tuple[str, tuple[int, int, int]]] = []
+    stack: list[tuple[str, tuple[int, int, int], int]] = []  # tag, marks, number of a form or of furniture
+    plain, total, forms = {}, 0, 0  # unlinked words of each numbered element, and of the page
     at, links = 0, 0
     lower = None
 
@@ -92,10 +100,18 @@ def text_blocks(html: str) -> list[tuple[str, int, int, tuple[int, int, int]]]:
         if pieces:
             text = " ".join("".join(p for p, _ in pieces).split())
             if text:
+                nonlocal total
                 words = len(text.split())
                 linked = min(words, sum(len(p.split()) for p, is_link in pieces if is_link))
-                marks = tuple(max(m[i] for _, m in stack) if stack else 0 for i in range(3))
-                blocks.append((text, words, linked, marks))
+                # outside the nearest article or main element, furniture is a wrapper if it holds much of the page
+                inner = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][1][1]), 0)
+                marks = (max((m[0] for _, m, _ in stack[inner:]), default=0),
+                         *(max((m[i] for _, m, _ in stack), default=0) for i in (1, 2)))
+                total += words - linked
+                for _, _, form in stack:
+                    if form:
+                        plain[form] = plain.get(form, 0) + words - linked
+                blocks.append((text, words, linked, marks, [form for i, (tag, _, form) in enumerate(stack) if form and (i < inner or tag in _FORMS)]))
             pieces.clear()
 
     while True:
@@ -137,13 +153,18 @@ def text_blocks(html: str) -> list[tuple[str, int, int, tuple[int, int, int]]]:
                 if stack and stack[-1][0] == tag:
                     stack.pop()
             if not attributes.endswith("/"):
-                stack.append((tag, _marks(tag, attributes)))
-        elif any(name == tag for name, _ in stack):
+                marks = _marks(tag, attributes)
+                numbered = tag in _FORMS or marks[0]
+                forms += bool(numbered)
+                stack.append((tag, marks, forms if numbered else 0))
+        elif any(name == tag for name, *_ in stack):
             while stack.pop()[0] != tag:
                 pass
         links = 0 if tag in ("body", "nav", "ul", "article", "footer") else links
     close()
-    return blocks
+    small = {form for form, words in plain.items() if 2 * words < total}
+    return [(text, words, linked, (int(marks[0] or not small.isdisjoint(inside)), *marks[1:]))
+            for text, words, linked, marks, inside in blocks]
 
 
 def features(blocks: list) -> np.ndarray:

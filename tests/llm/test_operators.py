@@ -301,6 +301,17 @@ def test_main_text(spark):
     assert {r["page_id"]: r["n_chars"] for r in got} == {1: 27, 2: 0, None: 0, 4: 19999}
 
 
+@pytest.mark.parametrize("wrapper", ["<form id=form1>%s</form>", "<form><article>%s</article></form>", "<div class=sidebar><main>%s</main></div>",
+                                     "<div class='content has-sidebar'>%s</div>", "<div id='main' class='with-search'>%s</div>",
+                                     "<div class='post has-comments'>%s</div>"])
+def test_main_text_inside_wrappers(wrapper):
+    prose = "".join(f"<p>{'plain words of prose without links ' * 5}</p>" for _ in range(4))
+    page = ("<body><nav><a href=x>Home</a></nav><form class=search>Search this site</form>" + wrapper % prose
+            + "<div class=comments><p>" + "nice " * 30 + "</p></div><form>Your name and your mail</form></body>")
+    got = main_text.main_text(page, main_text.trained_tree())
+    assert got == "\n".join([("plain words of prose without links " * 5).strip()] * 4)
+
+
 @pytest.mark.parametrize("operator,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifiers_on_held_out_rows(spark, operator, label):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
