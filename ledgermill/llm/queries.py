@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, chaining, jaccard_join, main_text, mixing, nn_descent, quality, suffix_dedup, topk_search, toxicity
+from ledgermill.llm import (byte_bpe, centroids, chaining, filter_audit, jaccard_join, main_text, mixing, nn_descent, quality,
+                            sharding, suffix_dedup, topk_search, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -143,3 +144,121 @@ def op9_jaccard_join(spark, d):
 @query()
 def op10_suffix_dedup(spark, d):
     return suffix_dedup.remove_repeats(_read(spark, d, "documents"))
+
+
+#: A draw in SQL: an exponential variable of the given rate from a hash of node and key, as in ``sharding.draw``.
+_DRAW = """-ln((('0x' || substr(md5({name} || '|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5) / 4503599627370496) / {weight}"""
+
+
+@query(f"""
+WITH steps AS (
+    SELECT list(list_reduce(range(8), lambda a, _: xor(a >> 1, (a & 1) * 3988292384), i) ORDER BY i) AS t FROM range(256) r(i)),
+sized AS (
+    SELECT doc_id, (strlen(coalesce(text, '')) + 16)::BIGINT AS size,
+        xor(list_reduce(
+            list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT),
+            lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32
+    FROM documents, steps),
+runs AS (
+    SELECT *, (row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1) // 4096 AS run FROM sized),
+keys AS (SELECT DISTINCT doc_id FROM documents),
+region_draws AS (
+    SELECT doc_id, g AS region, {_DRAW.format(name="'region|' || g", weight="8.0")} AS draw FROM keys, range(5) r(g)),
+regions AS (SELECT doc_id, arg_min(region, draw) AS region, min(draw) AS won FROM region_draws GROUP BY doc_id),
+rack_draws AS (
+    SELECT *, k AS rack, {_DRAW.format(name="'rack|' || region || '|' || k", weight="4.0")} AS draw FROM regions, range(2) r(k)),
+racks AS (SELECT doc_id, region, won, arg_min(rack, draw) AS rack FROM rack_draws GROUP BY ALL),
+shard_draws AS (
+    SELECT *, region * 8 + rack * 4 + i AS shard,
+        {_DRAW.format(name="'shard|' || region || '|' || rack || '|' || (region * 8 + rack * 4 + i)", weight="1.0")} AS draw
+    FROM racks, range(4) r(i)),
+placed AS (
+    SELECT doc_id, won, arg_min(shard, draw)::INTEGER AS shard, {_DRAW.format(name="'graft|40'", weight="1.0")} AS graft
+    FROM shard_draws GROUP BY doc_id, won)
+SELECT r.doc_id, r.size, r.text_crc32, 'key' AS law, p.shard,
+    row_number() OVER (PARTITION BY p.shard ORDER BY md5('slot|' || coalesce(r.doc_id::VARCHAR, '') || '|' || size || '|'
+        || text_crc32 || '|' || run), r.doc_id, size, text_crc32, run) - 1 AS slot,
+    CASE WHEN graft < won THEN 40 ELSE p.shard END AS grown_shard
+FROM runs r JOIN placed p ON r.doc_id IS NOT DISTINCT FROM p.doc_id
+""")
+def op11_hash_tree(spark, d):
+    return sharding.place(_read(spark, d, "documents")).drop("region", "rack")
+
+
+@query(r"""
+WITH seen AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+fails AS (
+    SELECT doc_id, part,
+        CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+    FROM seen),
+said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+    SELECT part, failed, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+    FROM fails LEFT JOIN said USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+    SELECT filter_order, s::INTEGER AS step, substr(filter_order, s, 1) AS f, substr(filter_order, 1, s - 1) AS before
+    FROM orders, range(1, 6) r(s)),
+outcomes AS (
+    SELECT part, filter_order, step, f, n, good, toxic, failed = f AS only_this, contains(failed, f) AS hit,
+        len(list_filter(string_split(failed, ''), lambda x: x <> '' AND contains(before, x))) > 0 AS gone FROM masks, steps),
+counts AS (
+    SELECT part, filter_order, step, f,
+        coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (only_this), 0)::BIGINT AS unique_fails,
+        coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0)::BIGINT AS good_lost,
+        coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+    FROM outcomes GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counts
+""")
+def op12_filter_audit(spark, d):
+    return filter_audit.audit(_read(spark, d, "documents"), _read(spark, d, "labels"))
+
+
+def _lloyd(rounds: int) -> str:
+    """Rounds of assignment and update, written out one after the other; cluster and distance come from the least of
+    16 * distance + cluster."""
+    nearest = """a{n} AS MATERIALIZED (
+    SELECT i, vec_id, any_value(v.v) AS v, min(list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 16 + c) AS least
+    FROM v, c{n} c GROUP BY i, vec_id),
+"""
+    update = """s{n} AS (
+    SELECT least % 16 AS c, unnest(range(64)) AS pos, unnest(v) AS x FROM a{n}),
+f{n} AS (
+    SELECT c, pos, sum(x)::BIGINT AS s, count(*) AS n, ((s - ((s % n) + n) % n) // n)::BIGINT AS x FROM s{n} GROUP BY c, pos),
+c{m} AS MATERIALIZED (
+    SELECT c, coalesce(g.v, o.v) AS v
+    FROM c{n} o LEFT JOIN (SELECT c, list(x ORDER BY pos) AS v FROM f{n} GROUP BY c) g USING (c)),
+"""
+    return "".join((nearest + update).format(n=n, m=n + 1) for n in range(rounds)) + nearest.format(n=rounds)
+
+
+@query(f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST) - 1 AS c, v FROM v
+    ORDER BY sha256('1:' || vec_id) NULLS LAST LIMIT 16),
+{_lloyd(3)}
+digests AS (SELECT c, sha256(array_to_string(v, ',')) AS centroid_sha256 FROM c3)
+SELECT vec_id, (least % 16)::INTEGER AS cluster, least // 16 AS distance,
+    (sum(least // 16) OVER (PARTITION BY least % 16))::BIGINT AS cluster_inertia, (sum(least // 16) OVER ())::BIGINT AS inertia,
+    centroid_sha256
+FROM a3 JOIN digests ON c = least % 16
+""")
+def op13_centroids(spark, d):
+    return centroids.cluster(_read(spark, d, "embeddings"))
