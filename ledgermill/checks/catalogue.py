@@ -17,6 +17,7 @@ from ledgermill.checks import samples
 from ledgermill.functions import scalar
 from ledgermill.functions.coerce import enforce_types
 from ledgermill.functions.predicates import apply_where
+from ledgermill.functions.text import NULL_WORDS, csv_options
 from ledgermill.operators import chart, combine, fill, filters, joins, merge, profile, project, reshape, sparse
 from ledgermill.operators import filings as filing_ops
 from ledgermill.operators import validate as validation
@@ -316,6 +317,19 @@ def coverage_gaps(spark, d):
     )
 
 
+@query(
+    """WITH a AS (SELECT DISTINCT CAST(l_linenumber AS DOUBLE) / 2 AS step FROM lineitem)
+    SELECT s.s_suppkey, a.step FROM supplier s CROSS JOIN a WHERE NOT EXISTS (SELECT 1 FROM lineitem l
+    WHERE l.l_suppkey = s.s_suppkey AND l.l_linenumber = a.step AND l.l_partkey % 3 = 0)"""
+)
+def coverage_gaps_fractions(spark, d):
+    """An axis of doubles against a whole-number column: halves are missing everywhere."""
+    lines = _read(spark, d, "lineitem")
+    landed = lines.where("l_partkey % 3 = 0").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_linenumber").alias("step"))
+    axis = lines.select((F.col("l_linenumber").cast("double") / 2).alias("step"))
+    return joins.coverage_gaps(_read(spark, d, "supplier").select("s_suppkey"), axis, landed, "s_suppkey", "step")
+
+
 # ---- statistics and fills --------------------------------------------------------------------------------------------
 
 
@@ -369,6 +383,20 @@ def fill_group_mean(spark, d):
     return out.withColumn("v", F.round("v", 4))
 
 
+@query(
+    """WITH t AS (SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_orderkey % 6 <> 0 THEN CAST(l_quantity AS BIGINT) END AS q,
+    CASE WHEN l_orderkey % 5 <> 0 THEN l_extendedprice END AS p FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_suppkey, coalesce(CAST(q AS DOUBLE), median(q) OVER (PARTITION BY l_suppkey)) AS q,
+    round(coalesce(p, median(p) OVER (PARTITION BY l_suppkey)), 4) AS p FROM t"""
+)
+def fill_group_median(spark, d):
+    df = _read(spark, d, "lineitem")
+    q = F.when(F.col("l_orderkey") % 6 != 0, F.col("l_quantity").cast("bigint")).alias("q")
+    p = F.when(F.col("l_orderkey") % 5 != 0, F.col("l_extendedprice")).alias("p")
+    df = df.select("l_orderkey", "l_linenumber", "l_suppkey", q, p)
+    return fill.fill_nulls_by_group(df, ["l_suppkey"], {"q": "median", "p": "median"}).withColumn("p", F.round("p", 4))
+
+
 @query(
     """WITH t AS (SELECT event_id, user_id, CASE WHEN value < 5 THEN NULL ELSE event_type END AS kind FROM events),
     m AS (SELECT user_id, kind AS top FROM (SELECT user_id, kind, row_number() OVER
@@ -838,6 +866,38 @@ def csv_roundtrip(spark, d):
     return files.scan_csv(spark, path, spec)
 
 
+#: Null words as SQL, for files of others.
+_NULL_WORDS = ", ".join("'" + w + "'" for w in NULL_WORDS)
+
+
+@query(f"""SELECT doc_id, CASE WHEN text NOT IN ({_NULL_WORDS}) THEN text END AS text, lang, doc_id % 2 = 0 AS even FROM documents""")
+def csv_multiline_split(spark, d):
+    """Files of another writer: quoted line breaks as they are, truth values as text, no types given."""
+    path = scratch_path(spark, "foreign-csv")
+    even = (F.col("doc_id") % 2 == 0).alias("even")
+    _read(spark, d, "documents").select("doc_id", "text", "lang", even).write.options(**csv_options()).csv(path)
+    return files.scan_csv(spark, path)
+
+
+@query(
+    r"""SELECT doc_id, lang, CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN 'null' WHEN 3 THEN NULL
+    WHEN 4 THEN repeat(' ', 2) || text || chr(10) WHEN 5 THEN '\N' || chr(13) || '\\n' || text || '\' ELSE text END AS text
+    FROM documents"""
+)
+def csv_text_roundtrip(spark, d):
+    text = F.col("text")
+    forms = ["", "NA", "null", None, F.concat(F.lit("  "), text, F.lit("\n")),
+             F.concat(F.lit("\\N\r\\\\n"), text, F.lit("\\"))]
+    spelled = text
+    for i, form in enumerate(forms):
+        spelled = F.when(F.col("doc_id") % 8 == i, form if form is None or not isinstance(form, str) else F.lit(form)).otherwise(spelled)
+    path = scratch_path(spark, "csv-text")
+    docs = _read(spark, d, "documents").select("doc_id", "lang", spelled.alias("text"))
+    tables.write_table(docs.where("doc_id % 3 = 0"), path, fmt="csv")
+    tables.write_table(docs.where("doc_id % 3 <> 0"), path, "append", fmt="csv")
+    return tables.read_table(spark, path, "csv")
+
+
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def parquet_roundtrip(spark, d):
     path = scratch_path(spark, "parquet")
@@ -850,8 +910,6 @@ def parquet_roundtrip(spark, d):
     UNION ALL SELECT r_regionkey, r_name, CAST(NULL AS INTEGER) FROM region"""
 )
 def dir_scan_union(spark, d):
-    from ledgermill.functions.text import csv_options
-
     path = scratch_path(spark, "folder")
     parts = [
         _read(spark, d, "nation").selectExpr("n_nationkey as id", "n_name as name", "n_regionkey as parent"),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ledgermill.functions.coerce import without_nan
 from ledgermill.names import col, require_columns
 from ledgermill.operators.joins import null_safe_join
+from ledgermill.operators.medians import exact_medians
 from ledgermill.operators.profile import FILL_METHODS, fill_statistics
 from ledgermill.spec import FillSpec
 
@@ -82,10 +83,11 @@ def fill_nulls(df: DataFrame, fills: Sequence[FillSpec] | Mapping[str, Any], exa
 
 
 def fill_nulls_by_group(df: DataFrame, group: Sequence[str], fills: Mapping[str, Any]) -> DataFrame:
-    """Fill nulls by the group's own ``mean``, ``min``, ``max``, ``sum`` or ``mode``, or by a constant.
+    """Fill nulls by the group's own ``mean``, ``median``, ``min``, ``max``, ``sum`` or ``mode``, or by a constant.
 
     The statistics are pre-aggregated to one row per group and joined back, so a hot group is never gathered in one task.
-    A column keeps its type, except that ``mean`` makes a whole-number column a double.
+    A column keeps its type, except that ``mean`` and ``median`` make a whole-number column a double. Medians are exact
+    and run their rounds now, for all columns and groups together.
     """
     require_columns(df, [*group, *fills])
     keys = [col(g) for g in group]
@@ -102,6 +104,10 @@ def fill_nulls_by_group(df: DataFrame, group: Sequence[str], fills: Mapping[str,
         counts = df.groupBy(*keys, present(name).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).filter("_v is not null")
         best = F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v"))).getField("_v")
         tables.append(counts.groupBy(*keys).agg(best.alias(f"_s_{name}")))
+    medians = [c for c, m in fills.items() if m == "median" and isinstance(df.schema[c].dataType, T.NumericType)]
+    if medians:
+        found = exact_medians(df, medians, list(group))
+        tables.append(found.select(*keys, *[col(c).alias(f"_s_{c}") for c in medians]))
     out = df
     for stats in tables:
         out = null_safe_join(out, stats, list(group), "left")
@@ -111,7 +117,7 @@ def fill_nulls_by_group(df: DataFrame, group: Sequence[str], fills: Mapping[str,
         if method is None:
             columns.append(col(f.name))
             continue
-        if method in simple or method == "mode":
+        if method in simple or method == "mode" or f.name in medians:
             value = col(f"_s_{f.name}")
         elif method == "zero":
             value = F.lit(0)
@@ -121,7 +127,7 @@ def fill_nulls_by_group(df: DataFrame, group: Sequence[str], fills: Mapping[str,
             value = F.lit(method)
         if method == "sum" and isinstance(f.dataType, _INTEGRAL):
             value = value.cast("long")  # a sum widens to 64 bits
-        elif method != "mean":
+        elif method != "mean" and f.name not in medians:
             value = value.cast(f.dataType)
         columns.append(F.coalesce(without_nan(col(f.name), f.dataType), value).alias(f.name))
     return out.select(*columns)

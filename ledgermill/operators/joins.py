@@ -17,8 +17,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgermill.names import col, quoted, require_columns
+from ledgermill.scratch import write_scratch
 
 JOIN_TYPES = ("inner", "left", "right", "outer")
 
@@ -269,35 +271,92 @@ def request_grid(codes: DataFrame, axis: DataFrame | Column, name: str) -> DataF
     return visits.join(values_in, "_b").drop("_b")
 
 
+#: Axis values are numbered by tasks of at most about this many.
+_NUMBERED_ROWS = 1 << 16
+_WORD_BITS = 64
+
+
+def numbered_axis(axis: DataFrame) -> tuple[DataFrame, int]:
+    """(value, number) of the distinct values of a one-column table, numbered from 0 without gaps, and how many there are.
+
+    Values are dealt to slices by hash, counted by slice, and numbered within each from the sum of the counts before it.
+    """
+    values = axis.select(col(axis.columns[0]).alias("value")).filter("value is not null").distinct()
+    values = write_scratch(values, "axis")
+    n = values.count()
+    values = values.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(n // _NUMBERED_ROWS + 1)))
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = values.groupBy("slice").agg(F.count(F.lit(1)).alias("held"))  # one row per slice
+    counts = counts.select("slice", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("slice").orderBy("value")) - 1
+    values = values.withColumn("inside", inside).join(counts, "slice")
+    return values.select("value", (F.col("base") + F.col("inside")).alias("number")), n
+
+
+def _as_landed(value: Column, given: T.DataType, kind: T.DataType) -> Column:
+    """An axis value in the landed column's type; null when that type cannot hold it, so that nothing landed equals it."""
+    cast = value.try_cast(kind)
+    return value if given == kind else F.when(cast.try_cast(given) == value, cast)
+
+
 def coverage_gaps(
     codes: DataFrame, axis: DataFrame | Column, landed: DataFrame, code: str, name: str
 ) -> DataFrame:
     """The ``(code, axis value)`` pairs that the landed table does not hold.
 
-    The axis must be comparable with the landed column, whose type the gaps have; otherwise an error is raised. With
-    an array axis the landed table is reduced to one row per code with the set of its axis values (never longer than the axis), and
-    only the missing values are exploded. An axis table of any length is anti-joined as a grid.
+    The axis must be comparable with the landed column, otherwise an error is raised. Gaps have the axis's type, but the
+    landed type where both are whole numbers (one that does not fit is an error). A value that the landed type cannot hold
+    exactly (1.5 in a whole-number column, a time of day in a date column) is a gap of every code. Null axis values are
+    left out; a null code is a code.
+
+    With an array axis the landed table is reduced to one row per code with the set of its axis values (never longer than
+    the axis), and only the missing values are exploded. The values of an axis table are numbered once; what a code has
+    landed becomes bits of 64-bit words, combined before and after the one exchange, in which every wanted code takes
+    part with empty words. Only the zero bits that remain become rows, so codes and axis are never paired as rows.
     """
     require_columns(landed, [code, name], "the landed table")
-    wanted = codes.select(col(code)).distinct()
     kind = landed.schema[name].dataType
     if isinstance(axis, Column):
-        expected = axis
-    else:
-        given = axis.schema[axis.columns[0]].dataType
-        if not _comparable(given, kind):
-            raise ValueError(f"The axis is {given.simpleString()}, but {name!r} of the landed table is {kind.simpleString()}")
-        grid = request_grid(wanted, axis.select(col(axis.columns[0]).cast(kind).alias(name)), name)
-        return anti_by_keys(grid, landed, [code, name])
-    present = (
-        landed.select(col(code), col(name))
-        .distinct()
-        .withColumn("_wanted", F.array_contains(expected, col(name)))
-        .filter("_wanted")
-        .groupBy(col(code))
-        .agg(F.collect_set(col(name)).alias("_present"))
-    )
-    none = F.array().cast(T.ArrayType(kind))
-    return null_safe_join(wanted, present, [code], "left").select(
-        col(code), F.explode(F.array_except(expected, F.coalesce(F.col("_present"), none))).alias(name)
-    )
+        wanted = codes.select(col(code)).distinct()
+        present = (
+            landed.select(col(code), col(name))
+            .distinct()
+            .withColumn("_wanted", F.array_contains(axis, col(name)))
+            .filter("_wanted")
+            .groupBy(col(code))
+            .agg(F.collect_set(col(name)).alias("_present"))
+        )
+        none = F.array().cast(T.ArrayType(kind))
+        return null_safe_join(wanted, present, [code], "left").select(
+            col(code), F.explode(F.array_except(axis, F.coalesce(F.col("_present"), none))).alias(name)
+        )
+    given = axis.schema[axis.columns[0]].dataType
+    if not _comparable(given, kind):
+        raise ValueError(f"The axis is {given.simpleString()}, but {name!r} of the landed table is {kind.simpleString()}")
+    code_kinds = (codes.schema[code].dataType, landed.schema[code].dataType)
+    if not _comparable(*code_kinds):
+        raise ValueError(f"The codes are {code_kinds[0].simpleString()}, but those landed {code_kinds[1].simpleString()}")
+
+    numbers, n = numbered_axis(axis)
+    numbers = write_scratch(numbers, "axis-numbers")
+    zero = F.lit(0).cast("bigint")
+    words = F.explode(F.sequence(zero, F.lit((n - 1) // _WORD_BITS).cast("bigint"))) if n else F.explode(F.array().cast("array<bigint>"))
+    empty = codes.select(col(code).alias("code"), words.alias("word"), zero.alias("bits"), F.lit(True).alias("wanted"))
+    key = _as_landed(F.col("value"), given, kind).alias("key")
+    held = landed.select(_as_landed(col(code), *reversed(code_kinds)).alias("code"), col(name).alias("key"),
+                         (col(code).isNull() | _as_landed(col(code), *reversed(code_kinds)).isNotNull()).alias("fits"))
+    held = held.filter("fits").join(numbers.select(key, "number"), "key")
+    bit = F.expr("shiftleft(1L, cast(number % 64 as int))")
+    held = held.select("code", F.floor(F.col("number") / _WORD_BITS).alias("word"), bit.alias("bits"), F.lit(False).alias("wanted"))
+    seen = empty.unionByName(held).groupBy("code", "word").agg(F.bit_or("bits").alias("bits"), F.bool_or("wanted").alias("wanted"))
+
+    by_word = numbers.withColumn("word", F.floor(F.col("number") / _WORD_BITS)).groupBy("word")
+    by_word = by_word.agg(F.collect_list(F.struct(F.expr("shiftleft(1L, cast(number % 64 as int))").alias("bit"), "value")).alias("values"))
+    gaps = seen.filter("wanted").join(by_word, "word")
+    missing = F.filter("values", lambda v: F.col("bits").bitwiseAND(v["bit"]) == 0)
+    gaps = gaps.select("code", F.explode(missing).alias("gap"))
+    value = F.col("gap.value")
+    if given != kind and isinstance(given, T.IntegralType) and isinstance(kind, T.IntegralType):
+        refusal = F.concat(F.lit(f"The landed column {name!r} cannot hold the axis value "), value.cast("string"))
+        value = F.coalesce(value.try_cast(kind), F.raise_error(refusal).cast(kind))
+    return gaps.select(F.col("code").alias(code), value.alias(name))

@@ -1,7 +1,7 @@
 """Column statistics in one pass: row count, null counts and fractions, numeric summaries, exact median and mode.
 
-Exact medians and modes are found without ever holding a column's values in one task: the mode from per-value counts
-(pre-aggregated before the shuffle), the median by narrowing a bracket around the middle rank.
+Exact medians and modes are found without ever holding a column's values in one task, for all columns at once: modes from
+per-value counts (pre-aggregated before the shuffle), medians by :mod:`ledgermill.operators.medians`.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ledgermill.functions.coerce import without_nan
 from ledgermill.functions.scalar import is_missing
 from ledgermill.names import col, require_columns
+from ledgermill.operators.medians import SKETCH, exact_medians, opened, opening, present_double
 
 FILL_METHODS = ("mean", "median", "mode", "min", "max", "sum", "zero")
 
@@ -62,90 +63,46 @@ def value_counts(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def exact_mode(df: DataFrame, name: str) -> Any:
-    """Most frequent present value, the smallest on a tie; None when all are missing."""
-    row = value_counts(df, name).agg(F.min(F.struct((-F.col("n")).alias("r"), F.col("value"))).alias("m")).first()
-    return None if row["m"] is None else row["m"]["value"]
-
-
-# A range with at most this many rows is finished in one small job.
-_LAST_ROWS = 20_000
-
-
-def _values_at_ranks(
-    values: DataFrame,
-    ranks: list[int],
-    size: int,
-    accuracy: int,
-    below: int = 0,
-    low: float | None = None,
-    high: float | None = None,
-    around: list[float] | None = None,
-) -> dict[int, float]:
-    """The values at zero-based ranks of the sorted column ``v``, without sorting it.
-
-    The ranks lie in the open range ``(low, high)``, which holds ``size`` rows above ``below`` others. Two values just
-    around the ranks (``around``, from ``percentile_approx``) cut the range; exact counts tell which piece holds each rank,
-    and the search goes on there. The counts are exact, so the answer is too; the sketch only decides how fast the range
-    shrinks (to about ``4 / accuracy`` per round).
+def exact_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
+    """Most frequent present value of each column, the smallest on a tie; None when all are missing.
+
+    One pass counts the values of all columns: each value becomes a row with its column's place and itself in the field of
+    its type. Equal values are counted before the exchange.
     """
-    v = F.col("v")
-    part = values if low is None else values.filter(v > low)
-    part = part if high is None else part.filter(v < high)
-    if size <= _LAST_ROWS:
-        found, upto = {}, below
-        for value, n in sorted((r["value"], r["n"]) for r in value_counts(part, "v").collect()):
-            found.update({r: value for r in ranks if upto <= r < upto + n})
-            upto += n
-        return found
-    if around is None:
-        slack = 2.0 / accuracy
-        wanted = [max(0.0, (min(ranks) - below) / size - slack), min(1.0, (max(ranks) + 1 - below) / size + slack)]
-        around = part.agg(F.percentile_approx("v", wanted, accuracy).alias("p")).first()["p"]
-    lo, hi = around
-    seen = part.agg(
-        F.count_if(v < lo).alias("under"),
-        F.count_if(v == lo).alias("lo"),
-        F.count_if((v > lo) & (v < hi)).alias("between"),
-        F.count_if((v == hi) & (v > lo)).alias("hi"),
-        F.count_if(v > hi).alias("over"),
-    ).first()
-    bounds = {"under": (low, lo), "between": (lo, hi), "over": (hi, high)}
-    found, start = {}, below
-    for piece, n in seen.asDict().items():
-        here = [r for r in ranks if start <= r < start + n]
-        if here and piece in bounds:
-            found |= _values_at_ranks(values, here, n, accuracy, start, *bounds[piece])
-        else:
-            found |= dict.fromkeys(here, hi if piece == "hi" else lo)
-        start += n
-    return found
+    columns = list(columns)
+    kinds = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
 
+    def entry(place: int, name: str) -> Column:
+        kind = df.schema[name].dataType.simpleString()
+        fields = [(_present(df, name) if k == kind else F.lit(None).cast(k)).alias(f"v{j}") for j, k in enumerate(kinds)]
+        return F.struct(F.lit(place).alias("place"), _present(df, name).isNotNull().alias("there"), *fields)
 
-def _middle(values: Column, accuracy: int) -> Column:
-    """Count of the values and two of them that enclose the middle, for :func:`exact_median`."""
-    slack = 2.0 / accuracy
-    around = F.percentile_approx(values, [0.5 - slack, 0.5 + slack], accuracy)
-    return F.struct(F.count(values).alias("n"), around.alias("around"))
+    if not columns:
+        return {}
+    entries = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)]))).filter("there")
+    values = [f"v{j}" for j in range(len(kinds))]
+    counts = entries.groupBy("place", *values).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("place").agg(F.min(F.struct((-F.col("n")).alias("r"), *values)).alias("m"))
+    found = {r["place"]: r["m"] for r in best.collect()}
+    field = {c: f"v{kinds.index(df.schema[c].dataType.simpleString())}" for c in columns}
+    return {c: found[i][field[c]] if i in found else None for i, c in enumerate(columns)}
 
 
-def exact_median(df: DataFrame, name: str, accuracy: int = 10_000, middle: Any = None) -> float | None:
+def exact_mode(df: DataFrame, name: str) -> Any:
+    """Most frequent present value, the smallest on a tie; None when all are missing."""
+    return exact_modes(df, [name])[name]
+
+
+def exact_median(df: DataFrame, name: str, accuracy: int = SKETCH) -> float | None:
     """Exact median (mean of the two middle values for an even count); None when all values are missing.
 
-    ``middle`` is a collected :func:`_middle` of the column, when an earlier pass has taken it.
-    """
-    values = df.select(_present(df, name).cast("double").alias("v")).filter("v is not null")
-    if middle is None:
-        middle = values.agg(_middle(F.col("v"), accuracy).alias("m")).first()["m"]
-    n = middle["n"]
-    if n == 0:
-        return None
-    found = _values_at_ranks(values, sorted({(n - 1) // 2, n // 2}), n, accuracy, around=list(middle["around"]))
-    return sum(found[r] for r in ((n - 1) // 2, n // 2)) / 2.0
+    ``accuracy`` is the size of the sketches the search goes by; it has no say in the result."""
+    return exact_medians(df, [name], size=accuracy).first()[0]
 
 
 def fill_statistics(df: DataFrame, methods: Mapping[str, str], exact: bool = True) -> dict[str, Any]:
-    """Fill value of each column: one fused aggregate, plus small jobs per exact median or mode.
+    """Fill value of each column. Passes over the data do not depend on the number of columns: one fused aggregate, one
+    count of values for all modes, and the rounds of :func:`exact_medians` for all medians together.
 
     ``exact=False`` takes medians from ``percentile_approx`` inside the fused aggregate.
     """
@@ -153,28 +110,33 @@ def fill_statistics(df: DataFrame, methods: Mapping[str, str], exact: bool = Tru
     if unknown:
         raise ValueError(f"Unknown fill methods {unknown}; use one of {FILL_METHODS}")
     require_columns(df, methods)
-    fused, out = [], {}
+    fused, picked, out = [], [], {}
+    medians = [c for c, m in methods.items() if m == "median" and exact]
     for i, (name, method) in enumerate(methods.items()):
         kind, v = df.schema[name].dataType, _present(df, name)
         if not isinstance(kind, T.NumericType):
             raise ValueError(f"Column {name!r} is {kind.simpleString()}; {method!r} needs a number")
-        if method == "zero":
-            out[name] = 0
-        elif method == "mean":
+        picked.append(F.col(f"s{i}"))
+        if method == "mean":
             fused.append(F.avg(v).alias(f"s{i}"))
         elif method == "sum":
             fused.append(F.coalesce(F.sum(v), F.lit(0)).alias(f"s{i}"))
         elif method in ("min", "max"):
             fused.append(getattr(F, method)(v).alias(f"s{i}"))
+        elif method == "median" and not exact:
+            fused.append(F.percentile_approx(v.cast("double"), 0.5, 10_000).alias(f"s{i}"))
         elif method == "median":
-            v = v.cast("double")
-            fused.append((_middle(v, 10_000) if exact else F.percentile_approx(v, 0.5, 10_000)).alias(f"s{i}"))
-    row = df.agg(*fused).first().asDict() if fused else {}
-    for i, (name, method) in enumerate(methods.items()):
-        if method == "median" and exact:
-            out[name] = exact_median(df, name, middle=row[f"s{i}"])
-        elif f"s{i}" in row:
-            out[name] = row[f"s{i}"]
-        elif method == "mode":
-            out[name] = exact_mode(df, name)
+            fused.append(opening(present_double(df, name)).alias(f"s{i}"))
+            picked[-1] = opened(F.col(f"s{i}")).alias(f"s{i}")
+        else:
+            picked.pop()
+            if method == "zero":
+                out[name] = 0
+    seen = df.agg(*fused).select(*picked).collect() if fused else []
+    row = seen[0].asDict() if seen else {}
+    if medians:
+        state = [row.pop(f"s{list(methods).index(c)}") for c in medians]
+        out |= exact_medians(df, medians, state=state).first().asDict()
+    out |= exact_modes(df, [c for c, m in methods.items() if m == "mode"])
+    out |= {name: row[f"s{i}"] for i, name in enumerate(methods) if f"s{i}" in row}
     return {name: out[name] for name in methods}

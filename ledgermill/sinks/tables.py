@@ -9,6 +9,9 @@
 The columns, types and partition columns of the table are kept in ``_schema.json`` inside its folder, so that files
 written before a column was added read with nulls, no job is needed to merge file schemas, and later writes keep the
 partitioning.
+
+The layout of a CSV table also says how its text is spelled: line breaks escaped, so that a row is a line, and a null told
+from any text. Null words apply to files of others only, and to tables from before this rule, which keep their spelling.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions.coerce import to_spark_type
-from ledgermill.functions.text import clean_text, csv_options, null_words_to_null
+from ledgermill.functions.text import CSV_NULL, clean_text, csv_options, null_words_to_null, spell_text, unspell_text
 from ledgermill.hadoop import file_system, is_folder, list_files, list_folders, path_exists, read_text, write_text
 from ledgermill.names import col, require_columns
 from ledgermill.operators.joins import semi_by_keys
@@ -36,6 +39,7 @@ from ledgermill.operators.merge import (
     profile_new_keys,
 )
 from ledgermill.scratch import scratch_scope, write_scratch
+from ledgermill.sources.records import text_columns
 
 FORMATS = ("parquet", "csv")
 _SCHEMA_FILE = "_schema.json"
@@ -82,24 +86,33 @@ def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(old, True)
 
 
-def _read_layout(spark: SparkSession, path: str) -> tuple[T.StructType | None, list[str]]:
-    """Column types and partition columns the table was written with. Folders written by others tell only their
-    partition columns, by their names."""
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """True for a folder that holds the layout of a stored table."""
+    return path_exists(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
+
+
+def _read_layout(spark: SparkSession, path: str) -> tuple[T.StructType | None, list[str], bool]:
+    """Column types and partition columns the table was written with, and whether its CSV text is spelled out. Folders
+    written by others tell only their partition columns, by their names."""
     text = read_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
     if text is not None:
         layout = json.loads(text)
-        return T.StructType.fromJson(layout["schema"]), layout["partition_by"]
+        return T.StructType.fromJson(layout["schema"]), layout["partition_by"], "csv_null" in layout
     columns, folder = [], path
     while True:
         inner = [f for f in list_folders(spark, folder) if "=" in f.rsplit("/", 1)[-1]]
         if not inner:
-            return None, columns
+            return None, columns, False
         folder = inner[0]
         columns.append(folder.rsplit("/", 1)[-1].split("=", 1)[0])
 
 
-def _write_layout(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+def _write_layout(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], spelled: bool = False
+) -> None:
     layout = {"schema": schema.jsonValue(), "partition_by": list(partition_by)}
+    if spelled:
+        layout["csv_null"] = CSV_NULL
     write_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}", json.dumps(layout))
 
 
@@ -108,7 +121,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     path = _live_path(spark, path)
     if not path_exists(spark, path):
         return False
-    if not is_folder(spark, path) or path_exists(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}"):
+    if not is_folder(spark, path) or is_stored(spark, path):
         return True
     names = [f.rsplit("/", 1)[-1] for f in [*list_files(spark, path), *list_folders(spark, path)]]
     return any(not n.startswith(("_", ".")) for n in names)
@@ -119,16 +132,22 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     if fmt not in FORMATS:
         raise NotImplementedError(f"Unsupported table format {fmt!r}; choose from {FORMATS}")
     path = _live_path(spark, path)
-    schema, _ = _read_layout(spark, path)
+    schema, _, spelled = _read_layout(spark, path)
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if schema is None:
-        return clean_text(spark.read.options(**csv_options()).csv(path))
+        return clean_text(text_columns(spark, path))
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    frame = spark.read.options(**csv_options()).schema(text).csv(path)
-    return frame.select(
-        *[to_spark_type(null_words_to_null(col(f.name)), T.StringType(), f.dataType).alias(f.name) for f in schema.fields]
-    )
+    options = csv_options() | ({"nullValue": CSV_NULL} if spelled else {})
+    frame = spark.read.options(**options).schema(text).csv(path)
+
+    def typed(f: T.StructField):
+        c = col(f.name)
+        if spelled and isinstance(f.dataType, T.StringType):
+            return unspell_text(c).alias(f.name)
+        return to_spark_type(null_words_to_null(c), T.StringType(), f.dataType).alias(f.name)
+
+    return frame.select(*[typed(f) for f in schema.fields])
 
 
 def existing_or_empty(spark: SparkSession, path: str, fmt: str, incoming: T.StructType) -> DataFrame:
@@ -138,8 +157,8 @@ def existing_or_empty(spark: SparkSession, path: str, fmt: str, incoming: T.Stru
     return spark.createDataFrame([], incoming)
 
 
-def _writable(df: DataFrame, fmt: str) -> DataFrame:
-    """CSV has no types of its own; timestamps are written so that they read back exactly."""
+def _writable(df: DataFrame, fmt: str, spelled: bool) -> DataFrame:
+    """CSV has no types of its own; timestamps are written so that they read back exactly, and text on one line."""
     if fmt != "csv":
         return df
     out = []
@@ -147,6 +166,8 @@ def _writable(df: DataFrame, fmt: str) -> DataFrame:
         c = col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif spelled and isinstance(f.dataType, T.StringType):
+            c = spell_text(c)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -159,11 +180,12 @@ def _write_files(
     partition_by: Sequence[str],
     compression: str | None,
     dynamic: bool = False,
+    spelled: bool = True,
 ) -> None:
     if partition_by:
         # even out file sizes: small partitions share a task, a hot one is split over several
         df = df.hint("rebalance", *[col(c) for c in partition_by])
-    writer = _writable(df, fmt).write.mode(mode)
+    writer = _writable(df, fmt, spelled).write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)
     if dynamic:
@@ -173,7 +195,7 @@ def _write_files(
     if fmt == "parquet":
         writer.parquet(path)
     else:
-        writer.options(**csv_options()).csv(path)
+        writer.options(**csv_options(), **({"nullValue": CSV_NULL} if spelled else {})).csv(path)
 
 
 def _stored_order(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
@@ -190,7 +212,7 @@ def replace_table(
     recover(spark, path)
     staged = f"{path.rstrip('/')}.__new-{uuid.uuid4().hex}"
     _write_files(df, staged, "errorifexists", fmt, partition_by, compression)
-    _write_layout(spark, staged, _stored_order(df, partition_by), partition_by)
+    _write_layout(spark, staged, _stored_order(df, partition_by), partition_by, spelled=fmt == "csv")
     _swap_in(spark, staged, path)
 
 
@@ -231,7 +253,8 @@ def write_table(
     """Write ``df`` into the table at ``path``.
 
     Modes: ``overwrite``; ``append`` (all rows added); ``incremental`` (rows with a new key added); ``upsert`` (rows
-    with a stored key replace it; new data that repeats a key is refused). A missing or empty table is simply created.
+    with a stored key replace it; new data that repeats a key is refused). A missing table is simply created; one without
+    rows keeps its columns and partitioning, and the same is refused as for one with rows.
     A keyed write reads new data several times, so it is first written to the shared scratch folder; that also gives the
     planner its true size, on which it decides whether to broadcast the keys. Pass ``stage=False`` when ``df`` already
     reads a stored table.
@@ -263,14 +286,16 @@ def _write(
     if mode == "overwrite" or not table_exists(spark, path):
         return replace_table(df, path, fmt, partition_by, compression)
     existing = read_table(spark, path, fmt)
-    if existing.isEmpty():
-        return replace_table(df, path, fmt, partition_by, compression)
-
-    _, stored_partitions = _read_layout(spark, path)
+    _, stored_partitions, spelled = _read_layout(spark, path)
     if partition_by and partition_by != stored_partitions:
         raise ValueError(f"The table is partitioned by {stored_partitions}, not {partition_by}; overwrite it to change that")
     partition_by = stored_partitions
     check_keys_present(existing.columns, df.columns, keys, evolve)
+    if existing.isEmpty():
+        _, new = align(existing, df, evolve)
+        if mode == "upsert":
+            profile_new_keys(new, keys, mode)
+        return replace_table(new, path, fmt, partition_by, compression)
     if stage and mode in ("incremental", "upsert"):
         df = write_scratch(df, "delta")
     old, new = align(existing, df, evolve)
@@ -291,8 +316,8 @@ def _write(
         if not appendable:
             return replace_table(old.unionByName(added), path, fmt, partition_by, compression)
         # inserted rows are found by reading the files listed above, which an append leaves alone
-        _write_layout(spark, path, order, partition_by)
-        return _write_files(added, path, "append", fmt, partition_by, compression)
+        _write_layout(spark, path, order, partition_by, spelled)
+        return _write_files(added, path, "append", fmt, partition_by, compression, spelled=spelled)
 
     if by_part_of_key and same_types:
         result = kept_rows(_touched(old, new, partition_by), new, keys, has_null).unionByName(new)
@@ -327,8 +352,10 @@ SNAPSHOT_TIME = "%Y%m%d%H%M%S"
 
 
 def snapshot(df: DataFrame, cache_dir: str, stamp: str | None = None) -> str:
-    """Write a timestamped CSV snapshot of the frame into ``cache_dir`` and return its path."""
+    """Write a timestamped CSV snapshot of the frame into ``cache_dir`` and return its path. It is a stored table:
+    :func:`read_table` gives back the same rows and types."""
     stamp = stamp or dt.datetime.now().strftime(SNAPSHOT_TIME)
     path = f"{cache_dir.rstrip('/')}/{SNAPSHOT_NAME}{stamp}"
-    _writable(df, "csv").write.mode("overwrite").options(**csv_options()).csv(path)
+    _write_files(df, path, "overwrite", "csv", (), None)
+    _write_layout(df.sparkSession, path, df.schema, (), spelled=True)
     return path

@@ -11,39 +11,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions.coerce import NUMBER_TEXT, WHOLE_TEXT, enforce_types, to_double, to_long
-from ledgermill.functions.text import clean_text, csv_options
+from ledgermill.functions.text import clean_text
 from ledgermill.hadoop import first_lines, is_folder, list_files, path_exists
 from ledgermill.names import col
 from ledgermill.operators.combine import union_parts
-from ledgermill.sinks.tables import read_table
+from ledgermill.sinks.tables import is_stored, read_table
+from ledgermill.sources.records import has_broken_records, text_columns
 from ledgermill.sources.workbooks import scan_workbooks
 from ledgermill.spec import TableRef, TableSpec
 
 
-def infer_number_columns(df: DataFrame) -> DataFrame:
-    """Text columns whose every present value is a number, as numbers. One pass over the data decides.
+#: How a text column spells truth values.
+TRUTH_TEXT = r"^(true|True|TRUE|false|False|FALSE)$"
 
-    Whole numbers without nulls or fractions become 64-bit, other numbers doubles. Meant for files without a spec; give
-    a spec for code columns such as ``01301`` and for large scans.
+
+def infer_columns(df: DataFrame) -> DataFrame:
+    """Text columns whose every present value is a number or a truth value, as such. One pass over the data decides.
+
+    Whole numbers without fractions become 64-bit, other numbers doubles. Meant for files without a spec; give a spec for
+    code columns such as ``01301`` and for large scans.
     """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     tests = []
-    for i, c in enumerate(df.columns):
+    for i, c in enumerate(texts):
         tests += [
             F.count(col(c)).alias(f"n{i}"),
             F.count_if(col(c).rlike(NUMBER_TEXT)).alias(f"d{i}"),
             F.count_if(col(c).rlike(WHOLE_TEXT)).alias(f"w{i}"),
+            F.count_if(col(c).rlike(TRUTH_TEXT)).alias(f"b{i}"),
         ]
+    if not tests:
+        return df
     seen = df.agg(*tests).first()
-    out = []
-    for i, c in enumerate(df.columns):
+    typed = {}
+    for i, c in enumerate(texts):
         n = seen[f"n{i}"]
         if n and seen[f"w{i}"] == n:
-            out.append(to_long(col(c), T.StringType()).alias(c))
+            typed[c] = to_long(col(c), T.StringType())
         elif n and seen[f"d{i}"] == n:
-            out.append(to_double(col(c), T.StringType()).alias(c))
-        else:
-            out.append(col(c))
-    return df.select(*out)
+            typed[c] = to_double(col(c), T.StringType())
+        elif n and seen[f"b{i}"] == n:
+            typed[c] = col(c).try_cast("boolean")
+    return df.select(*[typed.get(c, col(c)).alias(c) for c in df.columns])
 
 
 def scan_csv(
@@ -52,19 +61,23 @@ def scan_csv(
     spec: TableSpec | None = None,
     sep: str = ",",
     infer: bool = True,
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """CSV files with a header. Values are read as text and the null words become null; then the spec's types apply, or
-    numbers are inferred from the data when there is no spec and ``infer`` is set.
+    numbers and truth values are inferred from the data when there is no spec and ``infer`` is set.
 
-    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    Line breaks inside quotes belong to the value, and files that hold some are split over tasks like any other. By
+    default one pass over the files looks for them; ``multiline`` says whether there are any and saves that pass. A stored
+    CSV table of this package is read as what was written, without null words and inference.
     """
-    reader = spark.read.options(**csv_options(sep, multiline))
-    frame = clean_text(reader.csv(paths))
+    if isinstance(paths, str) and is_stored(spark, paths):
+        frame, infer = read_table(spark, paths, "csv"), False
+    else:
+        frame = clean_text(text_columns(spark, paths, sep, multiline))
     if spec is not None:
         known = [c for c in frame.columns if c in spec.types]
         return enforce_types(frame.select(*[col(c) for c in known]), spec)
-    return infer_number_columns(frame) if infer else frame
+    return infer_columns(frame) if infer else frame
 
 
 def _by_header(spark: SparkSession, files: Sequence[str], sep: str) -> list[list[str]]:
@@ -86,7 +99,8 @@ def load_flat_files(
     """One CSV or workbook, or with ``load_all`` every ``*.csv`` and ``*.xlsx`` directly inside a folder.
 
     Files with the same header are one scan; differing headers are combined by column name with nulls where a file
-    lacks a column. Files with another suffix are skipped. Without a spec, numbers are inferred over the whole result.
+    lacks a column. Files with another suffix are skipped. Without a spec, numbers and truth values are
+    inferred over the whole result.
     """
     if not path_exists(spark, path):
         raise NotImplementedError(f"No file or folder at {path!r}")
@@ -103,13 +117,14 @@ def load_flat_files(
     parts: list[DataFrame] = []
     if csvs:
         groups = _by_header(spark, csvs, sep) if len(csvs) > 1 else [csvs]
-        parts += [scan_csv(spark, group, sep=sep, infer=False) for group in groups]
+        multiline = len(sep) == 1 and has_broken_records(spark, csvs, sep)
+        parts += [scan_csv(spark, group, sep=sep, infer=False, multiline=multiline) for group in groups]
     if books:
         parts.append(scan_workbooks(spark, books, columns or (spec.source_names if spec else None)))
     frame = union_parts(parts)
     if spec is not None:
         return enforce_types(frame.select(*[col(c) for c in frame.columns if c in spec.types]), spec)
-    return infer_number_columns(frame)
+    return infer_columns(frame)
 
 
 def scan_table(spark: SparkSession, ref: TableRef, warehouse: str | None = None) -> DataFrame:
@@ -126,7 +141,7 @@ def scan_table(spark: SparkSession, ref: TableRef, warehouse: str | None = None)
         fmt = ref.fmt or path.rstrip("/").rpartition(".")[2]
         if fmt not in ("csv", "parquet"):
             raise NotImplementedError(f"Cannot tell the format of {path!r}; give fmt='csv' or fmt='parquet'")
-        if fmt == "parquet" or path_exists(spark, f"{path.rstrip('/')}/_schema.json"):
+        if fmt == "parquet" or is_stored(spark, path):
             frame = read_table(spark, path, fmt)
         else:
             frame = scan_csv(spark, path, infer=ref.spec is None)

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgermill.operators import fill, profile, sparse
+from ledgermill.operators import fill, medians, profile, sparse
 from ledgermill.operators.chart import chart_feed
 from ledgermill.spec import FillSpec
 
@@ -57,16 +57,11 @@ def test_mode_takes_the_smallest_on_a_tie(spark):
 )
 def test_median_by_narrowing(spark, values, last):
     """The search ends right also when it must narrow many times and the sketch is crude."""
-    keep, profile._LAST_ROWS = profile._LAST_ROWS, last
-    try:
-        got = profile.exact_median(numbers(spark, [float(v) for v in values]), "v", accuracy=20)
-    finally:
-        profile._LAST_ROWS = keep
+    got = profile.exact_median(numbers(spark, [float(v) for v in values]), "v", accuracy=max(8, last))
     assert got == statistics.median(values)
 
 
-def test_median_with_a_hot_value(spark, monkeypatch):
-    monkeypatch.setattr(profile, "_LAST_ROWS", 50)
+def test_median_with_a_hot_value(spark):
     rng = random.Random(7)
     for hot in (0.0, 0.5, 1.0):
         values = [hot] * 1500 + [rng.random() for _ in range(3000)]
@@ -75,6 +70,44 @@ def test_median_with_a_hot_value(spark, monkeypatch):
     assert profile.exact_median(numbers(spark, halves), "v", accuracy=100) == 1.5
 
 
+@pytest.mark.parametrize("size", [8, 30, 4096])
+def test_medians_of_columns_and_groups_together(spark, size):
+    rng = random.Random(size)
+    data = [(rng.choice(["a", "b", None]) if i % 3 else "hot", rng.choice([None, rng.random(), 0.5, float("nan"), float("inf")]),
+             rng.choice([None, rng.randint(-9, 9)]), None if i % 2 else 1e300) for i in range(900)]
+    data += [("none", None, None, None), ("one", 7.0, 7, 7.0)]
+    df = spark.createDataFrame(data, "g string, x double, `n n` int, v0 double").repartition(5)
+    for by in ([], ["g"]):
+        got = {tuple(r)[: len(by)]: tuple(r)[len(by):] for r in medians.exact_medians(df, ["x", "n n", "v0"], by, size).collect()}
+        for key in {row[: len(by)] for row in data}:
+            mine = [row for row in data if row[: len(by)] == key]
+            want = []
+            for i in (1, 2, 3):
+                values = [r[i] for r in mine if r[i] is not None and r[i] == r[i]]
+                want.append(statistics.median(values) if values else None)
+            assert got[key] == pytest.approx(tuple(want), nan_ok=True), key
+        assert len(got) == len({row[: len(by)] for row in data})
+    assert medians.exact_medians(df.limit(0), ["x"]).first() in (None, (None,))
+    assert medians.exact_medians(df.limit(0), ["x"], ["g"]).count() == 0
+
+
+def test_statistics_pass_over_the_data_alike_for_any_number_of_columns(spark, tmp_path):
+    """Jobs run for two and for twelve columns of each method are as many."""
+    path = str(tmp_path / "t")
+    spark.range(300).selectExpr(*[f"(id * {i + 3}) % 17 as c{i}" for i in range(24)]).write.parquet(path)
+    df, tracker = spark.read.parquet(path), spark.sparkContext.statusTracker()
+    jobs = []
+    for n in (2, 24):
+        spark.sparkContext.setJobGroup(f"statistics-{n}", "")
+        methods = {f"c{i}": "median" if i % 2 else "mode" for i in range(n)}
+        got = profile.fill_statistics(df, methods)
+        jobs.append(len(tracker.getJobIdsForGroup(f"statistics-{n}")))
+        assert got == {c: statistics.median(v) if m == "median" else min(statistics.multimode(v))
+                       for c, m in methods.items() for v in [[r[0] for r in df.select(c).collect()]]}
+        spark.sparkContext.setJobGroup("other", "")
+    assert jobs[0] == jobs[1]
+
+
 def test_approximate_median(spark):
     assert profile.fill_statistics(numbers(spark, [1.0, 2.0, 9.0]), {"v": "median"}, exact=False) == {"v": 2.0}
 
@@ -87,8 +120,9 @@ def test_group_fill(spark, rows):
     assert rows(out) == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("z", None), (None, 5.0), (None, 5.0)]
     assert ("z", 0.0) in rows(fill.fill_nulls_by_group(df, ["g"], {"v": "zero"}))
     assert ("z", 9.0) in rows(fill.fill_nulls_by_group(df, ["g"], {"v": 9}))
+    assert ("a", 2.0) in rows(fill.fill_nulls_by_group(df, ["g"], {"v": "median"}))
     with pytest.raises(ValueError, match="not supported"):
-        fill.fill_nulls_by_group(df, ["g"], {"v": "median"})
+        fill.fill_nulls_by_group(df, ["g"], {"v": "average"})
 
 
 def test_group_mode_and_text(spark, rows):

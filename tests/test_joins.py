@@ -126,6 +126,56 @@ def test_axis_type_counts_the_same_at_every_length(spark, n):
 def test_empty_axis(spark):
     codes = spark.createDataFrame([("a",)], "code string")
     assert joins.request_grid(codes, spark.range(0).select("id"), "d").count() == 0
+    landed = spark.createDataFrame([("a", 3)], "code string, v bigint")
+    assert joins.coverage_gaps(codes, spark.range(0).select("id"), landed, "code", "v").count() == 0
+
+
+def test_gaps_of_values_the_landed_type_cannot_hold(spark, rows):
+    codes = spark.createDataFrame([("a",), ("b",), (None,), ("b",)], "code string")
+    landed = spark.createDataFrame([("a", 1), ("b", 2), (None, 2), ("x", 1), ("a", None)], "code string, v int")
+    axis = spark.createDataFrame([(1.5,), (2.0,), (2.0,), (None,)], "v double")
+    gaps = joins.coverage_gaps(codes, axis, landed, "code", "v")
+    assert rows(gaps) == sorted([("a", 1.5), ("a", 2.0), ("b", 1.5), (None, 1.5)], key=repr)
+    big = spark.createDataFrame([(2**53 + 1,)], "v bigint")
+    near = spark.createDataFrame([("a", float(2**53))], "code string, v double")
+    assert rows(joins.coverage_gaps(codes.where("code = 'a'"), big, near, "code", "v")) == [("a", 2**53 + 1)]
+    noon = spark.createDataFrame([(dt.datetime(2024, 1, 2, 12),), (dt.datetime(2024, 1, 2),)], "d timestamp")
+    days = spark.createDataFrame([("a", dt.date(2024, 1, 2))], "code string, d date")
+    assert rows(joins.coverage_gaps(codes.where("code = 'a'"), noon, days, "code", "d")) == [("a", dt.datetime(2024, 1, 2, 12))]
+    with pytest.raises(Exception, match="cannot hold the axis value"):
+        joins.coverage_gaps(codes, big, landed, "code", "v").collect()
+
+
+def test_gaps_of_codes_of_another_type(spark, rows):
+    codes = spark.createDataFrame([(1,), (2,)], "code int")
+    landed = spark.createDataFrame([(1, 7), (2**32 + 2, 7), (None, 7)], "code bigint, v int")
+    axis = spark.createDataFrame([(7,)], "v int")
+    assert rows(joins.coverage_gaps(codes, axis, landed, "code", "v")) == [(2, 7)]
+    with pytest.raises(ValueError, match="codes are"):
+        joins.coverage_gaps(codes, axis, landed.withColumn("code", F.col("code").cast("string")), "code", "v")
+
+
+def test_gaps_over_many_words_and_slices(spark, rows, monkeypatch):
+    import random
+
+    monkeypatch.setattr(joins, "_NUMBERED_ROWS", 50)
+    rng = random.Random(1)
+    axis, codes = list(range(0, 900, 3)), ["a", "b", "c"]
+    held = {(c, v) for c in codes for v in axis if rng.random() < 0.9}
+    landed = spark.createDataFrame([*held, *held, ("z", 3), ("a", 1)], "code string, v bigint").repartition(5)
+    frame = spark.createDataFrame([(v,) for v in axis], "v bigint")
+    gaps = joins.coverage_gaps(spark.createDataFrame([(c,) for c in codes], "code string"), frame, landed, "code", "v")
+    assert rows(gaps) == sorted({(c, v) for c in codes for v in axis} - held, key=repr)
+
+
+def test_gaps_shuffle_the_landed_rows_once(spark):
+    codes = spark.range(5).select(F.col("id").alias("code"))
+    landed = spark.range(1000).selectExpr("id % 5 as code", "id as v")
+    gaps = joins.coverage_gaps(codes, spark.range(500).select("id"), landed, "code", "v")
+    plan = gaps._jdf.queryExecution().sparkPlan().toString()
+    executed = gaps._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "SortAggregate" not in plan
+    assert executed.count("Exchange hashpartitioning(code") == 1
 
 
 def test_pandas_agrees_that_nulls_match():

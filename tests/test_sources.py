@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from ledgermill.checks.samples import workbook_bytes
-from ledgermill.sources import archives, envelopes, files, filings, workbooks
+from ledgermill.sources import archives, envelopes, files, filings, records, workbooks
 from ledgermill.spec import ColumnSpec, TableRef, TableSpec
 
 
@@ -234,3 +234,105 @@ def test_only_named_archives_are_opened(spark, rows, tmp_path, monkeypatch):
         assert sorted(bytes(r.content) for r in members.collect()) == [b"S1", b"S3"]
     none = archives.scan_named_archives(spark, str(tmp_path), wanted.filter("docID = 'S9'"))
     assert none.count() == 0
+
+
+# --- delimited files with line breaks in quotes ---
+
+
+def _write(path, text):
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+def _tiny_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.minPartitionNum", "200")
+
+
+@pytest.fixture
+def splits(spark):
+    names = ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")
+    yield lambda size: _tiny_splits(spark, size)
+    for name in names:
+        spark.conf.unset(f"spark.sql.files.{name}")
+
+
+def test_quoted_line_break_and_truth_values(spark, tmp_path):
+    path = _write(tmp_path / "a.csv", 'id,text,flag\n1,"x\ny",True\n2,z,False\n')
+    df = files.scan_csv(spark, path)
+    assert [f.dataType for f in df.schema] == [T.LongType(), T.StringType(), T.BooleanType()]
+    assert sorted(map(tuple, df.collect())) == [(1, "x\ny", True), (2, "z", False)]
+
+
+@pytest.mark.parametrize("size", [7, 40, 300])
+def test_records_over_many_splits(spark, tmp_path, splits, size):
+    import csv
+    import random
+
+    rng = random.Random(size)
+    pieces = ["a", " b", '"', '""', ",", "\n", "\n\n", "x" * 30, "é", "5\" pipe", "", "\t", "id,text"]
+    rows = [(str(i), "".join(rng.choices(pieces, k=rng.randint(0, 9))), rng.choice(["u", 'v"w', "", "line\nbreak"])) for i in range(150)]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for n, part in enumerate((rows[:90], rows[90:], [])):
+        with open(folder / f"{n}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator="\r\n" if n else "\n")
+            out.writerow(["id", "text", "a\nb"])
+            out.writerows(part)
+    splits(size)
+    got = records.scan_records(spark, str(folder))
+    assert got.columns == ["id", "text", "a\nb"]
+    assert got.rdd.getNumPartitions() > 8
+    want = sorted((tuple(x or None for x in r) for r in rows), key=repr)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
+def test_every_line_function_like_a_parser(spark, tmp_path):
+    import itertools
+
+    def walk(line, inside):
+        """A parser's walk over one line; True when it ends inside quotes."""
+        i, state = 0, "in" if inside else "start"
+        while i < len(line):
+            c = line[i]
+            if state == "in":
+                if c == '"' and line[i + 1 : i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    state = "junk"
+            elif c == ",":
+                state = "start"
+            elif state == "start":
+                state = "in" if c == '"' else "junk"
+            i += 1
+        return state == "in"
+
+    lines = ["".join(x) for n in range(7) for x in itertools.product('",a', repeat=n)]
+    path = _write(tmp_path / "lines.txt", "\n".join(lines))
+    got = records._lines(spark, path, ",").collect()
+    assert len(got) >= len(lines) - 1
+    for r in got:
+        assert (r["opens"], r["stays"]) == (walk(r["line"], False), walk(r["line"], True)), r["line"]
+
+
+def test_long_quoted_lines_need_no_stack(spark, tmp_path):
+    text = 'a""b,' * 100_000 + "\n" + "c" * 200_000
+    path = _write(tmp_path / "long.csv", f'id,text\n1,"{text}"\n2,"x"\n')
+    got = files.scan_csv(spark, path).collect()
+    assert sorted((r["id"], len(r["text"])) for r in got) == [(1, len(text.replace('""', '"'))), (2, 1)]
+
+
+def test_open_quote_ends_with_its_file(spark, tmp_path):
+    folder = tmp_path / "open"
+    folder.mkdir()
+    _write(folder / "a.csv", 'id,t\n1,"never closed\nmore')
+    _write(folder / "b.csv", "id,t\n2,fine\n")
+    got = files.scan_csv(spark, str(folder)).collect()
+    assert sorted((r["id"], r["t"].rstrip("\n").strip('"')) for r in got) == [(1, "never closed\nmore"), (2, "fine")]
+
+
+def test_empty_and_header_only_files(spark, tmp_path):
+    path = _write(tmp_path / "h.csv", 'id,"two\nlines"\n')
+    df = files.scan_csv(spark, path)
+    assert df.columns == ["id", "two\nlines"] and df.count() == 0

@@ -245,3 +245,62 @@ def test_snapshot(spark, tmp_path):
     path = tables.snapshot(frame(spark, *OLD), str(tmp_path), "20240105100000")
     assert path.endswith("cache_dataprep_20240105100000")
     assert spark.read.option("header", True).csv(path).count() == 2
+
+
+ODD = ["", " ", "NA", "null", "NaN", None, "\\N", "\\", "\\\\", "\\n", "\\\\n", "a\nb", "\r\n", "\r", "x\\\ny", "\0", "\0a", "#c", '"', '""',
+       ",", "  kept  ", "é \u0085", "N", "\\0", "\t"]
+
+
+def test_csv_text_reads_back_as_written(spark, rows, path):
+    data = [(i, text, text) for i, text in enumerate(ODD)]
+    df = frame(spark, *data, schema="id int, `a b` string, c string")
+    tables.write_table(df.where("id < 9"), path, fmt="csv")
+    tables.write_table(df.where("id >= 9"), path, "append", fmt="csv")
+    assert rows(tables.read_table(spark, path, "csv")) == sorted(data, key=repr)
+    alone = df.select("c")
+    tables.write_table(alone, path + "1", fmt="csv")
+    assert rows(tables.read_table(spark, path + "1", "csv")) == rows(alone)
+
+
+def test_csv_tables_from_before_keep_their_spelling(spark, rows, path):
+    from ledgermill.functions.text import csv_options
+
+    df = frame(spark, (1, "A\\b"), (2, "NA"))
+    df.write.options(**csv_options()).csv(path)
+    tables._write_layout(spark, path, df.schema, ())
+    assert stored(spark, path, "csv", rows) == [(1, "A\\b"), (2, None)]
+    tables.write_table(frame(spark, (3, "C\\n")), path, "append", fmt="csv")
+    assert stored(spark, path, "csv", rows) == [(1, "A\\b"), (2, None), (3, "C\\n")]
+    tables.write_table(frame(spark, (3, "null")), path, "upsert", ["id"], "csv")
+    assert (3, "null") in stored(spark, path, "csv", rows)
+
+
+def test_snapshot_reads_back(spark, rows, tmp_path):
+    df = frame(spark, (1, "a\nb"), (2, None), (3, ""), (4, "NA"))
+    at = tables.snapshot(df, str(tmp_path), "20240101000000")
+    assert rows(tables.read_table(spark, at, "csv")) == rows(df)
+    from ledgermill.sources.files import scan_csv
+
+    assert rows(scan_csv(spark, at)) == rows(df)
+
+
+def test_foreign_csv_table_with_line_breaks(spark, rows, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text('id,v\n1,"x\ny"\n2,NA\n')
+    assert rows(tables.read_table(spark, str(tmp_path / "t"), "csv")) == [("1", "x\ny"), ("2", None)]
+
+
+@pytest.mark.parametrize("mode", ["append", "incremental", "upsert"])
+def test_emptied_partitioned_table(spark, rows, path, mode):
+    df = frame(spark, (1, "A"), (2, "B"))
+    tables.write_table(df.limit(0), path, partition_by=["value"])
+    with pytest.raises(ValueError, match="value"):
+        tables.write_table(frame(spark, (1,), schema="id int"), path, mode, ["id"])
+    with pytest.raises(ValueError, match="not found in existing"):
+        tables.write_table(df.withColumnRenamed("id", "key"), path, mode, ["key"], evolve=True)
+    if mode == "upsert":
+        with pytest.raises(merge.DuplicateKeyError):
+            tables.write_table(df.union(df), path, mode, ["id"])
+    tables.write_table(df, path, mode, ["id"])
+    assert [f.rsplit("/", 1)[-1] for f in list_folders(spark, path)] == ["value=A", "value=B"]
+    assert stored(spark, path, "parquet", rows) == [(1, "A"), (2, "B")]
