@@ -8,10 +8,13 @@ A document is its set of distinct word shingles; two documents link when their s
   size b. Sharing a subset of c shingles proves an overlap of c, so sets under one subset need no further test: those
   whose sizes allow it link to the smallest one there, which connects exactly what the pairwise links would.
 * **Heavy** sets are found through inverted lists. Shingles are globally ordered, rare ones first, and a set is entered
-  under its first a - ceil(percent * a / 100) + ``SHARED`` shingles; two linked sets share at least ``SHARED`` of these.
-  Rounds verify each set against the few leaders it shares most entries with, and join what links into components, until
-  none links any more (``ROUNDS`` at most). Then every pair of sets in *different* components with enough shared entries is verified, so no link that could change a
-  component is missed, and a group of near copies never lists all its pairs.
+  under its first a - ceil(percent * a / 100) + 1 shingles, with their places. Two linked sets share one that stands among
+  the first a - c + 1 of the one and b - c + 1 of the other, and every meeting on a list must be such a one. A pair goes on
+  if the first shingles of both agree as far as a link needs (all but a - c of one side's); its whole sets are read last.
+  Rounds verify each set against the few leaders it meets most often, and join what links into components, until none
+  links any more (``ROUNDS`` at most); lists whose sets are in one component are closed. Then every pair of sets in
+  *different* components that meets on an open list is verified, so no link that could change a component is missed, and a
+  group of near copies never lists all its pairs.
 * The boundary is the size with the least estimated number of rows of both sides together.
 
 The rarity order comes from a table of 2**18 counts over all documents' shingles: any order gives the same result, so hash
@@ -36,7 +39,7 @@ from ledgermill.llm.graph import components
 from ledgermill.llm.text import mix, shingle_sets, slices
 from ledgermill.scratch import write_scratch
 
-#: Entries that two heavy sets must share.
+#: Shingles that two linked heavy sets share at least among the first ones kept of each.
 SHARED = 4
 #: Rounds that join sets through leaders, and leaders tried a set and round.
 ROUNDS, TRIED = 6, 3
@@ -56,7 +59,7 @@ def subset_sizes(a: int, boundary: int, percent: int) -> list[int]:
 
 
 def entries(a: int, percent: int) -> int:
-    """How many of its rarest shingles a heavy set is listed under."""
+    """How many of its rarest shingles are kept of a heavy set; it is listed under all but the last ``SHARED`` - 1."""
     return min(a, a + percent * -a // 100 + SHARED)
 
 
@@ -94,9 +97,12 @@ def _add_counts(table: pa.Table) -> pa.Table:
 
 
 def shingle_counts(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """How many documents hold a shingle of each hash bucket, over all documents."""
+    """How many documents hold a shingle of each hash bucket, over all documents. Tasks' counts are added up in lanes of
+    256 tasks first."""
     parts = docs.select(text).mapInArrow(_count_shingles(text, k), "block int, counts binary")
-    rows = parts.groupBy("block").applyInArrow(_add_counts, "block int, counts binary").collect()
+    parts = parts.withColumn("lane", F.floor(F.spark_partition_id() / 256)).groupBy("block", "lane")
+    rows = parts.applyInArrow(_add_counts, "block int, counts binary").groupBy("block")
+    rows = rows.applyInArrow(_add_counts, "block int, counts binary").collect()
     counts = np.zeros((1 << _COUNT_BITS) // _BLOCK * _BLOCK, np.int64).reshape(-1, _BLOCK)
     for r in rows:
         counts[r["block"]] = np.frombuffer(r["counts"], np.int64)
@@ -177,7 +183,7 @@ def _full_sets(k: int):
     return run
 
 
-def _verify(percent: int):
+def _verify(percent):
     def run(batches):
         for batch in batches:
             keep = []
@@ -185,63 +191,97 @@ def _verify(percent: int):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["x", "y", "cx", "cy"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+_PAIRS = "x long, y long, cx long, cy long"
+
+
+def _sides(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with these columns of both their rows, as ``a`` and ``b`` (one column) or ``a0``, ``b0``, ... in order."""
+    for side, node in (("a", "x"), ("b", "y")):
+        names = [side] if len(columns) == 1 else [f"{side}{i}" for i in range(len(columns))]
+        pairs = pairs.join(rows.select(F.col("rep").alias(node), *[F.col(c).alias(n) for c, n in zip(columns, names)]), node)
+    return pairs
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets are similar enough."""
-    a = sets.select(F.col("rep").alias("x"), F.col("set").alias("a"))
-    b = sets.select(F.col("rep").alias("y"), F.col("set").alias("b"))
-    return pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b").mapInArrow(_verify(percent), "x long, y long")
+    """The pairs (x, y) whose whole sets are similar enough, with their components (cx, cy)."""
+    return _sides(pairs, sets, "set").select("x", "y", "cx", "cy", "a", "b").mapInArrow(_verify(percent), _PAIRS)
+
+
+def _overlap(nx, ny, percent: int):
+    return F.floor((percent * (nx + ny) + (99 + percent)) / F.lit(100 + percent))
+
+
+def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose first shingles agree as far as a link needs.
+
+    Take the side whose kept shingles end first in the global order: those that the other set has are among the other's kept
+    ones, and at most n - c of its shingles may be missing there. Which side that is need not be known: the smaller demand
+    holds.
+    """
+    kept = reps.select("rep", "n", F.slice("first", 1, F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100).cast("int") + SHARED).alias("kept"))
+    both = _sides(pairs, kept, "n", "kept")
+    need = _overlap(F.col("a0"), F.col("b0"), percent)
+    demand = F.least(F.size("a1") - (F.col("a0") - need), F.size("b1") - (F.col("b0") - need))
+    return both.where(F.size(F.array_intersect("a1", "b1")) >= demand).select("x", "y", "cx", "cy")
 
 
 def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, percent: int) -> DataFrame:
     least = -(-percent * (boundary + 1) // 100)
     keep = F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100).cast("int") + SHARED
-    heavy = reps.where(F.col("n") >= least).select("rep", "n", F.explode(F.slice("first", 1, keep)).alias("token"))
-    shared = heavy.groupBy("token").agg(F.count("*").alias("many")).where("many > 1").select("token")
-    lists = heavy.join(shared, "token")
+    heavy = reps.where(F.col("n") >= least)
+    lists = heavy.select("rep", "n", F.posexplode(F.slice("first", 1, keep)).alias("pos", "token"))
+    shared = lists.groupBy("token").agg(F.count("*").alias("many")).where("many > 1").select("token")
+    lists = lists.join(shared, "token")
     enough = lists.groupBy("rep").agg(F.count("*").alias("many")).where(F.col("many") >= SHARED).select("rep")
-    lists = write_scratch(lists.join(enough, "rep"), "jaccard-lists")
+    listed = F.col("pos") <= F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100)
+    lists = write_scratch(lists.where(listed).join(enough, "rep"), "jaccard-lists")
     wanted = lists.select("rep").distinct()
     texts = texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi")
     sets = write_scratch(texts.mapInArrow(_full_sets(k), "rep long, set binary").dropDuplicates(["rep"]), "jaccard-sets")
 
-    def near(a, b):
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    def meet(a: str, b: str):
+        """Whether two entries of a list can be where a linked pair meets first."""
+        na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+        need = _overlap(na, nb, percent)
+        return (F.col(f"{a}.component") != F.col(f"{b}.component")) & (F.col(f"{a}.pos") <= na - need) & (F.col(f"{b}.pos") <= nb - need)
+
+    def ordered(a: str, b: str):
+        """The pair of two entries, smaller rep first."""
+        x, y = F.col(f"{a}.rep"), F.col(f"{b}.rep")
+        cx, cy = F.col(f"{a}.component"), F.col(f"{b}.component")
+        return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), F.when(x < y, cx).otherwise(cy).alias("cx"),
+                F.when(x < y, cy).otherwise(cx).alias("cy")]
 
-    def in_components(links: DataFrame) -> DataFrame:
-        found = components(links, "x", "y", "jaccard-part")
-        joined = lists.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        return joined.withColumn("component", F.coalesce("component", "rep"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        return write_scratch(_verified(_promising(pairs.distinct(), heavy, percent), sets, percent), "jaccard-links")
 
     links = None
     state = lists.withColumn("component", F.col("rep"))
     for turn in range(ROUNDS):
-        chosen = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "component")
-        leads = state.groupBy("token").agg(F.min(chosen).alias("lead"), F.max("component").alias("top"),
-                                           F.min("component").alias("low")).where("top <> low")
-        met = state.join(leads, "token").where(
-            (F.col("component") != F.col("lead.component")) & near(F.col("n"), F.col("lead.n"))
-        )
-        met = met.groupBy("rep", F.col("lead.rep").alias("y")).agg(F.count("*").alias("many"))
-        best = Window.partitionBy("rep").orderBy(F.col("many").desc(), "y")
-        met = met.where(F.col("many") >= SHARED).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIED)
-        pairs = met.select(F.least("rep", "y").alias("x"), F.greatest("rep", "y").alias("y")).distinct()
-        found = write_scratch(_verified(pairs, sets, percent), "jaccard-links")
+        chosen = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "pos", "component")
+        leads = state.groupBy("token").agg(F.min(chosen).alias("lead"))
+        met = state.alias("e").join(leads, "token").where(meet("e", "lead"))
+        met = met.groupBy(*ordered("e", "lead")).agg(F.count("*").alias("many"))
+        best = Window.partitionBy("x").orderBy(F.col("many").desc(), "y")
+        met = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIED)
+        found = linked(met.select("x", "y", "cx", "cy"))
         links = found if links is None else links.union(found)
-        state = write_scratch(in_components(links), "jaccard-state")
         if found.isEmpty():
             break
-    mixed = state.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    open_lists = state.join(mixed.select("token"), "token")
-    x = open_lists.select("token", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    y = open_lists.select("token", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    pairs = x.join(y, "token").where((F.col("cx") < F.col("cy")) & near(F.col("nx"), F.col("ny")))
-    pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("many")).where(F.col("many") >= SHARED).select("x", "y")
-    return links.union(write_scratch(_verified(pairs, sets, percent), "jaccard-links"))
+        joined = components(found, "cx", "cy", "jaccard-part").withColumnRenamed("component", "into")
+        labelled = state.join(joined, F.col("component") == F.col("node"), "left")
+        labelled = labelled.select("token", "rep", "n", "pos", F.coalesce("into", "component").alias("component"))
+        labelled = write_scratch(labelled, "jaccard-labels")
+        mixed = labelled.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+        state = write_scratch(labelled.join(mixed.select("token"), "token"), "jaccard-state")
+    x, y = state.alias("ex"), state.alias("ey")
+    pairs = x.join(y, F.col("ex.token") == F.col("ey.token")).where((F.col("ex.rep") < F.col("ey.rep")) & meet("ex", "ey"))
+    return links.union(linked(pairs.select(*ordered("ex", "ey")))).select("x", "y")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
@@ -277,8 +317,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents whose doc_id is the smallest of their component; rows without a doc_id stay.
 
-    Of exactly repeated rows one stays. Defaults are those of a near-duplicate stage: five words, similarity 0.8.
+    Rows that repeat a doc_id and its text are one document, of which the smallest row stays. Different texts under one
+    doc_id are documents of their own, which give way to any other of their component. No rows give no rows. Defaults are
+    those of a near-duplicate stage: five words, similarity 0.8.
     """
-    found = jaccard_components(docs, k=k, percent=percent).where("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_anti")
-    return kept.where("doc_id is null").union(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    columns, known = docs.columns, docs.where("doc_id is not null")
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    seen = known.groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high"), F.count("*").alias("rows"))
+    # few if any: ids with several texts, and ids with several rows
+    seen = write_scratch(seen.where("rows > 1").select(F.col("doc_id").alias("id"), (F.col("low") != F.col("high")).alias("mixed")), "jaccard-ids")
+    apart = F.xxhash64("id", digest).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    keyed = known.join(seen, F.col("doc_id") == F.col("id"), "left")
+    keyed = keyed.select(F.struct(*columns).alias("row"), F.col("text").alias("text"), F.col("id").isNotNull().alias("again"),
+                         F.when(F.col("mixed"), apart).otherwise(F.col("doc_id").cast("long")).alias("key"))
+    gone = jaccard_components(keyed, "key", "text", k, percent).where("component_id < doc_id")
+    kept = keyed.join(gone.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti")
+    once = kept.where("not again").select("row")
+    again = kept.where("again").groupBy("key").agg(F.min("row").alias("row")).select("row")
+    return docs.where("doc_id is null").unionByName(once.union(again).select("row.*"))

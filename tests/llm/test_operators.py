@@ -354,3 +354,49 @@ def test_inserted_characters_stay_close():
     plain, gapped, clean = model.decisions(["idiot", "idxiot", "plain"])
     assert plain > gapped > clean
     assert "idiot" in toxicity.words_of("you i d i o t now") and toxicity.clean("i-d-i-o-t") == "idiot"
+
+
+def test_keep_one_loses_no_text(spark):
+    rng = random.Random(8)
+
+    def prose():
+        return " ".join(f"w{rng.randint(0, 900)}" for _ in range(60))
+
+    a, b, c = prose(), prose(), prose()
+    rows = [(0, a, "en"), (1, a + " more", "en"), (1, b, "en"), (2, c, "en"), (2, c, "de"), (2, c, "de"), (None, a, "en"), (None, a, "en"), (5, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((tuple(r) for r in jaccard_join.keep_one_of_each(docs).collect()), key=repr)
+    assert got == sorted([(0, a, "en"), (1, b, "en"), (2, c, "de"), (None, a, "en"), (None, a, "en"), (5, None, None)], key=repr)
+    assert jaccard_join.keep_one_of_each(docs.where("false")).count() == 0
+
+
+def test_short_texts_with_a_common_line_link_like_brute_force(spark):
+    rng = random.Random(12)
+    line = " ".join(f"common{i}" for i in range(14))
+    rows = []
+    for i in range(260):
+        if i % 4 == 0 or not rows:
+            own = [f"u{rng.randint(0, 5000)}" for _ in range(rng.randint(6, 26))]
+            at = rng.randint(0, len(own))
+            words = [*own[:at], *line.split(), *own[at:]]
+        else:
+            words = rng.choice(rows)[1].split()
+            for _ in range(rng.randint(1, 3)):
+                edit = rng.choice(["first", "last", "grow", "any"])
+                at = {"first": 0, "last": len(words) - 1, "grow": len(words)}.get(edit, rng.randrange(len(words)))
+                words[at : at + 1] = [f"v{rng.randint(0, 5000)}"]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = _sets(rows, 4)
+    up = list(range(len(rows)))
+
+    def root(x):
+        return x if up[x] == x else root(up[x])
+
+    for i, a in sets:
+        for j, b in sets:
+            if 100 * len(a & b) >= 85 * len(a | b):
+                x, y = root(i), root(j)
+                up[max(x, y)] = min(x, y)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {i: root(i) for i, _ in sets} and len(set(got.values())) < 250
