@@ -3,7 +3,8 @@
 A document is its set of distinct word shingles; two documents link when their sets' Jaccard similarity reaches
 ``percent`` / 100. With sizes a and b that means an overlap of at least c(a, b) = ceil(percent * (a + b) / (100 + percent)).
 
-* Equal sets are collapsed first (one grouped minimum), so thousands of copies weigh as one.
+* Equal sets are collapsed into classes first (one grouped minimum), so thousands of copies weigh as one. Classes are
+  what is joined; the classes of one doc_id are linked.
 * **Light** sets (at most ``boundary`` shingles) list all their subsets of c(a, b) shingles for every possible partner
   size b. Sharing a subset of c shingles proves an overlap of c, so sets under one subset need no further test: those
   whose sizes allow it link to the smallest one there, which connects exactly what the pairwise links would.
@@ -21,7 +22,8 @@ The rarity order comes from a table of 2**18 counts over all documents' shingles
 collisions in it only cost time. It is the one thing collected (1 MB, whatever the input).
 
 Memory: a task holds slices of texts (``text.SLICE_BYTES``) and single sets. All groups are plain joins and pre-aggregated
-minima, which split when skewed.
+minima, which split when skewed. Tables that decide a join (shared shingles, wanted classes, pairs) are written first, so
+that the planner knows their size and does not shuffle the larger side for a small one.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,6 +51,11 @@ LEAST_BOUNDARY, MOST_BOUNDARY = 6, 24
 _COUNT_BITS, _BLOCK = 18, 4096
 
 
+def _class_of():
+    """The class of a set, from its size and two sums of its hashes."""
+    return F.xxhash64("n", "s1", "s2")
+
+
 def overlap_needed(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
@@ -119,9 +127,8 @@ def _signatures(k: int, percent: int, counts):
                 n, s1, s2, first = [], [], [], []
                 for one in shingle_sets(texts.words(), k):
                     n.append(len(one))
-                    with np.errstate(over="ignore"):
-                        s1.append(int(one.sum(dtype=np.uint64).view(np.int64)))
-                        s2.append(int(mix(one ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64)))
+                    for sums, value in zip((s1, s2), _sums(one)):
+                        sums.append(value)
                     order = np.lexsort((one, count[(one >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)]))
                     keep = len(one) if len(one) <= MOST_BOUNDARY else entries(len(one), percent)
                     first.append(one[order[:keep]].view(np.int64))
@@ -171,23 +178,48 @@ def _light_links(reps: DataFrame, boundary: int, percent: int) -> DataFrame:
     return pairs.select(F.col("rep").alias("x"), F.col("least.rep").alias("y")).distinct()
 
 
+def _sums(one: np.ndarray) -> tuple[int, int]:
+    """Two sums of hashes that tell sets apart."""
+    with np.errstate(over="ignore"):
+        return int(one.sum(dtype=np.uint64).view(np.int64)), int(mix(one ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64))
+
+
 def _full_sets(k: int):
+    """(n, s1, s2, part, set) of texts; a task gives a set once."""
     def run(batches):
+        part, seen = TaskContext.get().partitionId(), set()
         for batch in batches:
-            for a, b, texts in slices(batch.column(1)):
-                sets = [one.tobytes() for one in shingle_sets(texts.words(), k)]
+            for _, _, texts in slices(batch.column(0)):
+                rows = []
+                for one in shingle_sets(texts.words(), k):
+                    key = (len(one), *_sums(one))
+                    if key not in seen:
+                        seen.add(key)
+                        rows.append((*key, part, one.tobytes()))
+                columns = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], names=["rep", "set"]
-                )
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 4 + (pa.binary(),))], names=["n", "s1", "s2", "part", "set"])
 
     return run
 
 
+def _class_sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(rep, set) of the wanted classes (rep, doc): the texts of their documents are read again, and not exchanged."""
+    chosen = texts.join(wanted.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    found = chosen.mapInArrow(_full_sets(k), "n long, s1 long, s2 long, part long, set binary")
+    found = found.select(_class_of().alias("rep"), "part", "set").join(wanted.select("rep"), "rep", "left_semi")
+    found = write_scratch(found, "jaccard-sets")
+    # rows that repeat give a set in several tasks; one of them stays
+    again = found.groupBy("rep").agg(F.min("part").alias("first"), F.count("*").alias("many")).where("many > 1")
+    again = write_scratch(again.select("rep", "first"), "jaccard-again")
+    return found.join(again, "rep", "left").where("first is null or part = first").select("rep", "set")
+
+
 def _verify(percent):
     def run(batches):
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column("a"), batch.column("b")):
+            for a, b in zip(batch.column("a0"), batch.column("b0")):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
@@ -200,16 +232,17 @@ _PAIRS = "x long, y long, cx long, cy long"
 
 
 def _sides(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
-    """Pairs with these columns of both their rows, as ``a`` and ``b`` (one column) or ``a0``, ``b0``, ... in order."""
+    """Pairs with these columns of both their rows, as ``a0``, ``b0``, ``a1``, ... in order."""
+    sides = []
     for side, node in (("a", "x"), ("b", "y")):
-        names = [side] if len(columns) == 1 else [f"{side}{i}" for i in range(len(columns))]
-        pairs = pairs.join(rows.select(F.col("rep").alias(node), *[F.col(c).alias(n) for c, n in zip(columns, names)]), node)
-    return pairs
+        mine = rows.select(F.col("rep").alias(node), *[F.col(c).alias(f"{side}{i}") for i, c in enumerate(columns)])
+        sides.append(pairs.join(mine, node))
+    return sides[0].join(sides[1].drop("cx", "cy"), ["x", "y"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose whole sets are similar enough, with their components (cx, cy)."""
-    return _sides(pairs, sets, "set").select("x", "y", "cx", "cy", "a", "b").mapInArrow(_verify(percent), _PAIRS)
+    return _sides(pairs, sets, "set").select("x", "y", "cx", "cy", "a0", "b0").mapInArrow(_verify(percent), _PAIRS)
 
 
 def _overlap(nx, ny, percent: int):
@@ -236,13 +269,13 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
     heavy = reps.where(F.col("n") >= least)
     lists = heavy.select("rep", "n", F.posexplode(F.slice("first", 1, keep)).alias("pos", "token"))
     shared = lists.groupBy("token").agg(F.count("*").alias("many")).where("many > 1").select("token")
-    lists = lists.join(shared, "token")
-    enough = lists.groupBy("rep").agg(F.count("*").alias("many")).where(F.col("many") >= SHARED).select("rep")
+    lists = lists.join(write_scratch(shared, "jaccard-shared"), "token")
     listed = F.col("pos") <= F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100)
-    lists = write_scratch(lists.where(listed).join(enough, "rep"), "jaccard-lists")
-    wanted = lists.select("rep").distinct()
-    texts = texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi")
-    sets = write_scratch(texts.mapInArrow(_full_sets(k), "rep long, set binary").dropDuplicates(["rep"]), "jaccard-sets")
+    lists = write_scratch(lists, "jaccard-shared-lists")
+    enough = lists.groupBy("rep").agg(F.count("*").alias("many")).where(F.col("many") >= SHARED).select("rep")
+    enough = write_scratch(heavy.select("rep", "doc").join(enough, "rep"), "jaccard-wanted")
+    lists = lists.where(listed).join(enough.select("rep"), "rep")
+    sets = _class_sets(texts, enough, k)
 
     def meet(a: str, b: str):
         """Whether two entries of a list can be where a linked pair meets first."""
@@ -258,7 +291,9 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
                 F.when(x < y, cy).otherwise(cx).alias("cy")]
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return write_scratch(_verified(_promising(pairs.distinct(), heavy, percent), sets, percent), "jaccard-links")
+        pairs = write_scratch(pairs.distinct(), "jaccard-pairs")
+        pairs = write_scratch(_promising(pairs, heavy, percent), "jaccard-promising")
+        return write_scratch(_verified(pairs, sets, percent), "jaccard-links")
 
     links = None
     state = lists.withColumn("component", F.col("rep"))
@@ -298,18 +333,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     signed = texts.mapInArrow(
         _signatures(k, percent, counts), "doc_id long, n long, s1 long, s2 long, first array<bigint>"
     )
-    signed = write_scratch(signed, "jaccard-signatures")
-    classes = signed.where("doc_id is not null and n > 0").groupBy("s1", "s2", "n")
-    reps = write_scratch(classes.agg(F.min("doc_id").alias("rep"), F.first("first").alias("first")), "jaccard-sets")
+    signed = write_scratch(signed.withColumn("rep", _class_of()), "jaccard-signatures")
+    known = signed.where("doc_id is not null and n > 0")
+    reps = known.groupBy("rep").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("first").alias("first"))
+    reps = write_scratch(reps, "jaccard-classes")
     small = reps.where(F.col("n") <= 2 * MOST_BOUNDARY).groupBy("n").count().collect()
     boundary = choose_boundary({r["n"]: r["count"] for r in small}, percent)
-    known = texts.where("doc_id is not null")
-    links = _light_links(reps, boundary, percent).union(_heavy_links(reps, known, boundary, k, percent))
-    found = components(links, "x", "y", "jaccard-components")
-    ids = reps.select("s1", "s2", "n", "rep").join(found, F.col("rep") == F.col("node"), "left")
-    ids = ids.select("s1", "s2", "n", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("doc_id", "n", "s1", "s2").join(ids, ["s1", "s2", "n"], "left")
-    # different texts under one doc_id meet in one node, so an empty text takes its own id
+    links = _light_links(reps, boundary, percent)
+    links = links.union(_heavy_links(reps, texts.where("doc_id is not null"), boundary, k, percent))
+    several = known.groupBy("doc_id").agg(F.min("rep").alias("y"), F.max("rep").alias("top")).where("y <> top")
+    several = write_scratch(several.select("doc_id", "y"), "jaccard-several")
+    links = links.union(known.join(several, "doc_id").select(F.col("rep").alias("x"), "y").where("x <> y").distinct())
+    found = write_scratch(components(links, "x", "y", "jaccard-components"), "jaccard-found")
+    docs_of = reps.select(F.col("rep").alias("node"), "doc")
+    least = found.join(docs_of, "node").groupBy("component").agg(F.min("doc").alias("least"))
+    ids = docs_of.join(found.join(least, "component"), "node", "left").select(F.col("node").alias("rep"), F.coalesce("least", "doc").alias("component"))
+    out = signed.select("doc_id", "n", "rep").join(ids, "rep", "left")
+    # an empty text takes its own id
     alone = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
 
