@@ -12,7 +12,7 @@ A document is its set of distinct word shingles; two documents link when their s
   under its first a - ceil(percent * a / 100) + 1 shingles, with their places. Two linked sets share one that stands among
   the first a - c + 1 of the one and b - c + 1 of the other, and every meeting on a list must be such a one. A pair goes on
   if the first shingles of both agree as far as a link needs (all but a - c of one side's); its whole sets are read last.
-  Rounds verify each set against the few leaders it meets most often, and join what links into components, until none
+  Rounds verify each set against one leader of each list it is on, and join what links into components, until none
   links any more (``ROUNDS`` at most); lists whose sets are in one component are closed. Then every pair of sets in
   *different* components that meets on an open list is verified, so no link that could change a component is missed, and a
   group of near copies never lists all its pairs.
@@ -22,8 +22,9 @@ The rarity order comes from a table of 2**18 counts over all documents' shingles
 collisions in it only cost time. It is the one thing collected (1 MB, whatever the input).
 
 Memory: a task holds slices of texts (``text.SLICE_BYTES``) and single sets. All groups are plain joins and pre-aggregated
-minima, which split when skewed. Tables that decide a join (shared shingles, wanted classes, pairs) are written first, so
-that the planner knows their size and does not shuffle the larger side for a small one.
+minima, which split when skewed. Whole sets are made anew from the texts in each round, for those that its pairs need: a
+bitmap of 2**``_BITMAP_BITS`` bits over hashed ids (8 MB, whatever the input) tells a pass over the texts which to take, so
+texts are never exchanged; what it lets through besides only costs time.
 """
 
 from __future__ import annotations
@@ -33,10 +34,8 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgermill.llm.graph import components
 from ledgermill.llm.text import mix, shingle_sets, slices
@@ -44,11 +43,12 @@ from ledgermill.scratch import write_scratch
 
 #: Shingles that two linked heavy sets share at least among the first ones kept of each.
 SHARED = 4
-#: Rounds that join sets through leaders, and leaders tried a set and round.
-ROUNDS, TRIED = 6, 3
+#: Rounds that join sets through leaders.
+ROUNDS = 12
 #: The boundary between light and heavy is sought in this range of set sizes.
 LEAST_BOUNDARY, MOST_BOUNDARY = 6, 24
 _COUNT_BITS, _BLOCK = 18, 4096
+_BITMAP_BITS = 26
 
 
 def _class_of():
@@ -184,35 +184,47 @@ def _sums(one: np.ndarray) -> tuple[int, int]:
         return int(one.sum(dtype=np.uint64).view(np.int64)), int(mix(one ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64))
 
 
-def _full_sets(k: int):
-    """(n, s1, s2, part, set) of texts; a task gives a set once."""
+def _bit_of(column: str):
+    """The place of an id in a bitmap."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << _BITMAP_BITS))
+
+
+def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
+    """The words of a bitmap with the bits of these ids set."""
+    bits = ids.select(_bit_of(column).alias("at"))
+    bits = bits.selectExpr("shiftright(at, 6) as word", "shiftleft(1L, cast(at & 63 as int)) as bits")
+    table = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # as many words as the bitmap has, at most
+    words = np.zeros(1 << (_BITMAP_BITS - 6), np.int64)
+    words[table["word"].to_numpy()] = table["bits"].to_numpy()
+    return words.view(np.uint64)
+
+
+def _full_sets(k: int, bitmap):
+    """(n, s1, s2, set) of texts whose id the bitmap holds; a task gives a set once."""
     def run(batches):
-        part, seen = TaskContext.get().partitionId(), set()
+        words, seen = bitmap.value, set()
         for batch in batches:
-            for _, _, texts in slices(batch.column(0)):
+            at = batch.column(0).to_numpy()
+            there = (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            for _, _, texts in slices(batch.column(1).filter(pa.array(there))):
                 rows = []
                 for one in shingle_sets(texts.words(), k):
                     key = (len(one), *_sums(one))
                     if key not in seen:
                         seen.add(key)
-                        rows.append((*key, part, one.tobytes()))
-                columns = list(zip(*rows)) or [()] * 5
+                        rows.append((*key, one.tobytes()))
+                columns = list(zip(*rows)) or [()] * 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 4 + (pa.binary(),))], names=["n", "s1", "s2", "part", "set"])
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.binary(),))], names=["n", "s1", "s2", "set"])
 
     return run
 
 
 def _class_sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(rep, set) of the wanted classes (rep, doc): the texts of their documents are read again, and not exchanged."""
-    chosen = texts.join(wanted.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    found = chosen.mapInArrow(_full_sets(k), "n long, s1 long, s2 long, part long, set binary")
-    found = found.select(_class_of().alias("rep"), "part", "set").join(wanted.select("rep"), "rep", "left_semi")
-    found = write_scratch(found, "jaccard-sets")
-    # rows that repeat give a set in several tasks; one of them stays
-    again = found.groupBy("rep").agg(F.min("part").alias("first"), F.count("*").alias("many")).where("many > 1")
-    again = write_scratch(again.select("rep", "first"), "jaccard-again")
-    return found.join(again, "rep", "left").where("first is null or part = first").select("rep", "set")
+    """(rep, set) of the classes whose documents (column ``doc``) are wanted, and of some others."""
+    bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted, "doc"))
+    rows = texts.select(_bit_of("doc_id").alias("at"), "text").mapInArrow(_full_sets(k, bitmap), "n long, s1 long, s2 long, set binary")
+    return rows.select(_class_of().alias("rep"), "set").groupBy("rep").agg(F.any_value("set").alias("set"))
 
 
 def _verify(percent):
@@ -233,11 +245,10 @@ _PAIRS = "x long, y long, cx long, cy long"
 
 def _sides(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
     """Pairs with these columns of both their rows, as ``a0``, ``b0``, ``a1``, ... in order."""
-    sides = []
     for side, node in (("a", "x"), ("b", "y")):
-        mine = rows.select(F.col("rep").alias(node), *[F.col(c).alias(f"{side}{i}") for i, c in enumerate(columns)])
-        sides.append(pairs.join(mine, node))
-    return sides[0].join(sides[1].drop("cx", "cy"), ["x", "y"])
+        mine = rows.select("rep", *[F.col(c).alias(f"{side}{i}") for i, c in enumerate(columns)])
+        pairs = pairs.join(mine, F.col(node) == F.col("rep")).drop("rep")
+    return pairs
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -249,33 +260,36 @@ def _overlap(nx, ny, percent: int):
     return F.floor((percent * (nx + ny) + (99 + percent)) / F.lit(100 + percent))
 
 
-def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose first shingles agree as far as a link needs.
+def _kept(n, percent: int):
+    """:func:`entries` as a column."""
+    return n + F.floor(F.lit(-percent) * n / 100) + SHARED
+
+
+def _promising(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose first shingles agree as far as a link needs. ``kept`` has those of a set's first shingles that
+    another set has among its first ones, too.
 
-    Take the side whose kept shingles end first in the global order: those that the other set has are among the other's kept
-    ones, and at most n - c of its shingles may be missing there. Which side that is need not be known: the smaller demand
-    holds.
+    Take the side whose first shingles end first in the global order: those that the other set has are among the other's
+    first ones, and at most n - c of its shingles may be missing there. Which side that is need not be known: the smaller
+    demand holds.
     """
-    kept = reps.select("rep", "n", F.slice("first", 1, F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100).cast("int") + SHARED).alias("kept"))
     both = _sides(pairs, kept, "n", "kept")
     need = _overlap(F.col("a0"), F.col("b0"), percent)
-    demand = F.least(F.size("a1") - (F.col("a0") - need), F.size("b1") - (F.col("b0") - need))
+    demand = F.least(*[_kept(F.col(n), percent) - (F.col(n) - need) for n in ("a0", "b0")])
     return both.where(F.size(F.array_intersect("a1", "b1")) >= demand).select("x", "y", "cx", "cy")
 
 
 def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, percent: int) -> DataFrame:
     least = -(-percent * (boundary + 1) // 100)
-    keep = F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100).cast("int") + SHARED
     heavy = reps.where(F.col("n") >= least)
-    lists = heavy.select("rep", "n", F.posexplode(F.slice("first", 1, keep)).alias("pos", "token"))
+    first = F.slice("first", 1, _kept(F.col("n"), percent).cast("int"))
+    lists = heavy.select("rep", "n", F.posexplode(first).alias("pos", "token"))
     shared = lists.groupBy("token").agg(F.count("*").alias("many")).where("many > 1").select("token")
-    lists = lists.join(write_scratch(shared, "jaccard-shared"), "token")
+    lists = write_scratch(lists.join(shared, "token"), "jaccard-shared")
+    kept = lists.groupBy("rep").agg(F.first("n").alias("n"), F.collect_list("token").alias("kept"))
+    kept = kept.where(F.size("kept") >= SHARED).join(heavy.select("rep", "doc"), "rep")
+    kept = write_scratch(kept, "jaccard-kept")
     listed = F.col("pos") <= F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100)
-    lists = write_scratch(lists, "jaccard-shared-lists")
-    enough = lists.groupBy("rep").agg(F.count("*").alias("many")).where(F.col("many") >= SHARED).select("rep")
-    enough = write_scratch(heavy.select("rep", "doc").join(enough, "rep"), "jaccard-wanted")
-    lists = lists.where(listed).join(enough.select("rep"), "rep")
-    sets = _class_sets(texts, enough, k)
 
     def meet(a: str, b: str):
         """Whether two entries of a list can be where a linked pair meets first."""
@@ -291,20 +305,19 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
                 F.when(x < y, cy).otherwise(cx).alias("cy")]
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = write_scratch(pairs.distinct(), "jaccard-pairs")
-        pairs = write_scratch(_promising(pairs, heavy, percent), "jaccard-promising")
+        pairs = write_scratch(_promising(pairs.distinct(), kept, percent), "jaccard-promising")
+        needed = pairs.select(F.col("x").alias("rep")).union(pairs.select(F.col("y").alias("rep"))).distinct()
+        sets = _class_sets(texts, needed.join(kept.select("rep", "doc"), "rep"), k)
         return write_scratch(_verified(pairs, sets, percent), "jaccard-links")
 
     links = None
-    state = lists.withColumn("component", F.col("rep"))
+    state = lists.where(listed).join(kept.select("rep"), "rep", "left_semi").withColumn("component", F.col("rep"))
+    state = write_scratch(state, "jaccard-lists")
     for turn in range(ROUNDS):
         chosen = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "pos", "component")
         leads = state.groupBy("token").agg(F.min(chosen).alias("lead"))
         met = state.alias("e").join(leads, "token").where(meet("e", "lead"))
-        met = met.groupBy(*ordered("e", "lead")).agg(F.count("*").alias("many"))
-        best = Window.partitionBy("x").orderBy(F.col("many").desc(), "y")
-        met = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIED)
-        found = linked(met.select("x", "y", "cx", "cy"))
+        found = linked(met.select(*ordered("e", "lead")))
         links = found if links is None else links.union(found)
         if found.isEmpty():
             break

@@ -400,3 +400,22 @@ def test_short_texts_with_a_common_line_link_like_brute_force(spark):
                 up[max(x, y)] = min(x, y)
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
     assert got == {i: root(i) for i, _ in sets} and len(set(got.values())) < 250
+
+
+def test_top_k_of_repeated_ids_and_of_very_long_vectors(spark):
+    rows = [(20, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (2, [1e9, 1.0]), (3, [1e300, 0.0]), (40, [0.0, 1.0]), (40, [0.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk_search.top_k(frame).collect()}
+    assert got[20, 1] == (1, 64 * 57) and got[20, 2] == (1, 64 * 32)
+    assert {v for v, _ in got.values()} <= {1, 20, 40} and got[40, 1][1] == 0
+    assert len([1 for q, _ in got if q == 40]) == 3
+
+
+@pytest.mark.parametrize("n", [3, 400])
+def test_many_sources_of_less_than_a_block(spark, n):
+    docs = spark.createDataFrame([(i, "one two three", f"s{i:04d}") for i in range(n)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == n and all(0 <= r["taken"] <= 9 for r in rows)
+    assert abs(sum(r["taken"] for r in rows) - 3 * n) <= 3 * n
+    plan = mixing.quotas(spark.range(2000).selectExpr("id as rank", "0 as shard", "1 as blocks", "0.1D + id % 3 as want"))
+    assert plan.agg(F.sum("quota")).first()[0] == int(sum(0.1 + i % 3 for i in range(2000)) + 0.5)
