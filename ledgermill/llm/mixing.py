@@ -62,12 +62,13 @@ def quotas(shards: DataFrame) -> DataFrame:
     sums = shards.agg(F.sum("want").alias("all"), F.count("*").alias("n")).first()
     want, n = sums["all"] or 0.0, sums["n"]
     seats = int(want + 0.5)
-    # at this divisor rounding gives at most `seats`, and at least `seats` - 2 n
-    divisor = want / (seats - n) if seats > n else None
-    sure = F.floor(F.col("want") / divisor + 0.5) if divisor else F.lit(0)
+    # rounding at the divisor want / (seats - n) gives at most `seats`, and at want / (seats + n) at least as many; with no
+    # more seats than shards none is sure
+    surely = max(seats - n, 0)
+    sure = F.floor(F.col("want") * (surely / want if want else 0.0) + 0.5)
     shards = shards.withColumn("sure", sure.cast("long"))
     left = seats - (shards.agg(F.sum("sure")).first()[0] or 0)
-    more = F.ceil(F.lit(2.0 * n / want if want else 0.0) * F.col("want")) + 2 if divisor else F.lit(seats)
+    more = F.ceil(F.col("want") * ((seats + n - surely) / want if want else 0.0)) + 2
     open_seats = shards.select("rank", "shard", "want", "sure", F.explode(F.sequence(F.lit(0), more.cast("int"))).alias("s"))
     quotient = F.col("want") / (2 * (F.col("sure") + F.col("s")) + 1)
     place = F.row_number().over(Window.orderBy(F.col("quotient").desc(), "rank", "shard", "s"))
