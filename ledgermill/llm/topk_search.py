@@ -26,12 +26,14 @@ BINS = 256
 
 
 def integer_vectors(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """(id, v, dim) of the usable rows: no null id, vector or component, all components finite. One row per id."""
+    """(id, v, dim) of the usable rows: no null id, vector or component, all components finite, and a squared length below
+    2**62 once scaled, so that no score can exceed a long."""
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & fine)
-    rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("long")))
-    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    length = F.aggregate("v", F.lit(0.0), lambda a, x: a + (F.abs(x * scale) + 1) * (F.abs(x * scale) + 1))
+    rows = rows.where(length < 2.0**62)
+    return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("long"))).withColumn("dim", F.size("v"))
 
 
 def _matrix(column) -> np.ndarray:
@@ -101,19 +103,22 @@ def top_k(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
           is_query=None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest scores of each query against every other row, ties to smaller ids.
 
-    ``is_query`` is a condition on ``id`` (default: ids divisible by 20). Rows with a null id take no part; rows repeating
-    an id count once (the smallest vector). Vectors of different length do not meet. Fewer candidates give fewer rows.
+    ``is_query`` is a condition on ``id`` (default: ids divisible by 20). Rows with a null id take no part, nor do vectors so
+    long that scores need not fit a long. Rows that repeat an id are candidates of their own; as a query, the smallest
+    vector of an id stands for it, and no row of that id is its candidate. Vectors of different length do not meet. Fewer
+    candidates give fewer rows; no rows give none.
     """
     rows = write_scratch(integer_vectors(vectors, key, vector, scale), "topk-vectors")
     condition = F.col("id") % 20 == 0 if is_query is None else is_query
     sums = rows.agg(F.count("*").alias("n"), F.count(F.when(condition, 1)).alias("q"),
-                    F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")).first()
+                    F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("norm")).first()
     candidate_blocks = sums["n"] // CANDIDATE_BLOCK + 1
     query_blocks = sums["q"] // QUERY_BLOCK + 1
     candidates = _blocks(rows, "c", candidate_blocks, "q", query_blocks)
     reach = int(sums["norm"] or 0) + 1  # no inner product exceeds the largest squared length
     width = -(-(2 * reach + 1) // BINS)
-    state = rows.where(condition).withColumn("low", F.lit(-reach).cast("long"))
+    state = rows.where(condition).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    state = state.withColumn("low", F.lit(-reach).cast("long"))
 
     def met(state: DataFrame, width: int):
         queries = _blocks(state.withColumn("width", F.lit(width).cast("long")), "q", query_blocks, "c", candidate_blocks)
