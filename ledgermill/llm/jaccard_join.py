@@ -44,7 +44,7 @@ from ledgermill.scratch import write_scratch
 #: Shingles that two linked heavy sets share at least among the first ones kept of each.
 SHARED = 4
 #: Rounds that join sets through leaders.
-ROUNDS = 12
+ROUNDS = 4
 #: The boundary between light and heavy is sought in this range of set sizes.
 LEAST_BOUNDARY, MOST_BOUNDARY = 6, 24
 _COUNT_BITS, _BLOCK = 18, 4096
