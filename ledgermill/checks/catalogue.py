@@ -6,6 +6,7 @@ the shared scratch folder and read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ledgermill.operators import filings as filing_ops
 from ledgermill.operators import validate as validation
 from ledgermill.plans import chain, ingest, windows
 from ledgermill.plans.extract import extract
-from ledgermill.scratch import scratch_path
+from ledgermill.scratch import scratch_path, write_scratch
 from ledgermill.sinks import tables
 from ledgermill.sources import archives, envelopes, files, filings, workbooks
 from ledgermill.spec import ColumnSpec, ExtractSpec, FillSpec, IngestSpec, JoinSpec, TableRef, TableSpec, TargetSpec
@@ -1360,3 +1361,352 @@ def ingest_prices(spark, d):
         _null_every(df, "o_orderkey", 3, "o_custkey").alias("1301.T|Volume"),
     )
     return ingest.ingest_prices(wide, "synthetic", ["13010", "99990"])
+
+
+# ---- times, slices, code files, repeated items -----------------------------------------------------------------------
+
+
+@query(
+    """SELECT c_custkey, TIMESTAMP '2024-01-05 10:20:30' AS ingestion_datetime, 'synthetic' AS ingestion_source FROM customer"""
+)
+def add_ingestion_time(spark, d):
+    import datetime as dt
+
+    at = dt.datetime(2024, 1, 5, 10, 20, 30, 999_999)
+    df = project.with_ingestion_metadata(_read(spark, d, "customer"), "synthetic", at)
+    return project.retain(df, ["c_custkey", "ingestion_datetime", "ingestion_source"])
+
+
+@query("SELECT o_orderkey, TRUE AS whole_second, TRUE AS is_now FROM orders")
+def current_time(spark, d):
+    """The time of the query, in whole seconds."""
+    now, micros = scalar.now_whole_seconds(), F.unix_micros(F.current_timestamp())
+    age = micros - F.unix_micros(now)
+    whole = (F.unix_micros(now) % 1_000_000 == 0).alias("whole_second")
+    return _read(spark, d, "orders").select("o_orderkey", whole, ((age >= 0) & (age < 1_000_000)).alias("is_now"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM lineitem WHERE l_suppkey = 3
+    AND CAST(l_shipdate AS DATE) = (SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem WHERE l_suppkey = 3)"""
+)
+def table_slice_summary(spark, d):
+    """Both a code and a single day."""
+    df = _read(spark, d, "lineitem")
+    day = df.where("l_suppkey = 3").agg(F.min("l_shipdate").cast("date").alias("day")).first()["day"]
+    df = filters.table_slice(df, "summary", code=3, date=day, code_column="l_suppkey", date_column="l_shipdate")
+    return project.retain(df, ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"])
+
+
+@query(
+    """SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderstatus = 'F'
+    AND o_orderdate >= TIMESTAMP '1997-03-01 00:00:00'"""
+)
+def table_slice_flows(spark, d):
+    """A section and a range that is open at its end."""
+    df = filters.table_slice(
+        _read(spark, d, "orders"),
+        "flows",
+        section="F",
+        date_from="1997-03-01",
+        date_column="o_orderdate",
+        section_column="o_orderstatus",
+    )
+    return project.retain(df, ["o_orderkey", "o_orderstatus", "o_orderdate"])
+
+
+@query(
+    """SELECT o_orderkey, o_orderdate FROM orders
+    WHERE CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)"""
+)
+def table_slice_day(spark, d):
+    """A single day of all codes."""
+    df = _read(spark, d, "orders")
+    day = df.agg(F.max("o_orderdate").cast("date").alias("day")).first()["day"]
+    return project.retain(filters.table_slice(df, "bars", date=day, date_column="o_orderdate"), ["o_orderkey", "o_orderdate"])
+
+
+@query(
+    """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN
+    (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
+)
+def code_list_file(spark, d):
+    """Codes landed as lines of a list: dashes, quotes and comments around them, repeated ones, blank lines between."""
+    path = scratch_path(spark, "codes")
+    customers = _read(spark, d, "customer").where("c_mktsegment = 'BUILDING'")
+    forms = F.array(
+        F.format_string('  - "%d"  # wanted', "c_custkey"), F.format_string("%d", "c_custkey"), F.lit(""), F.lit("# none")
+    )
+    customers.select(F.explode(forms).alias("value")).write.text(path)
+    orders = _read(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_custkey").cast("string").alias("code"))
+    return joins.in_codes(orders, files.code_list(spark, path=path), "code").select("o_orderkey", "o_custkey")
+
+
+@query(
+    """SELECT l_suppkey, (min({'o': l_orderkey, 'n': l_linenumber, 'v': l_extendedprice}) FILTER (l_returnflag = 'A')).v AS "A",
+    (min({'o': l_orderkey, 'n': l_linenumber, 'v': l_extendedprice}) FILTER (l_returnflag = 'N')).v AS "N",
+    CAST(NULL AS DOUBLE) AS "none" FROM lineitem GROUP BY l_suppkey"""
+)
+def items_first_in_order(spark, d):
+    """Items that repeat: the first one by order and line counts."""
+    return reshape.items_to_columns(
+        _read(spark, d, "lineitem"),
+        ["l_suppkey"],
+        "l_returnflag",
+        "l_extendedprice",
+        ["A", "N", "none"],
+        order=["l_orderkey", "l_linenumber"],
+    )
+
+
+# ---- what becomes of filings -----------------------------------------------------------------------------------------
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS source_path, CASE WHEN o_orderkey % 5 = 0 THEN 'no facts'
+    WHEN o_orderstatus = 'P' THEN 'unknown accounting standard P' WHEN o_orderkey % 7 = 0 THEN 'no Edinet code, Period end date'
+    ELSE 'no value' END AS reason FROM orders WHERE o_orderkey % 5 = 0 OR o_orderstatus = 'P' OR o_orderkey % 7 = 0
+    OR NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'A')"""
+)
+def filing_ledger(spark, d):
+    """Why documents give no row; with the rows given they make up all documents."""
+    orders = _read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("doc"), "o_orderkey", "o_orderstatus")
+    cut = F.col("o_orderkey") % 7 == 0
+    metadata = [
+        (tag, context, F.when(~(cut & tag.isin("EDINETCodeDEI", "CurrentFiscalYearEndDateDEI")), value), label)
+        for tag, context, value, label in _metadata("o_orderstatus")
+    ]
+    known = orders.where("o_orderkey % 5 <> 0")
+    lines = _read(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc"), "l_returnflag", "l_quantity")
+    lines = lines.join(known.select("doc"), "doc", "left_semi")
+    quantity = F.col("l_quantity").cast("bigint")
+    values = samples.fact_rows(
+        lines, F.col("doc"), [(F.col("l_returnflag"), F.lit("X_CurrentYearDuration"), quantity, F.lit(None))]
+    )
+    facts = combine.union_parts([values, samples.fact_rows(known, F.col("doc"), metadata)]).filter("value is not null")
+    tags = {"A": "sales"}
+    return filing_ops.filing_ledger(facts, orders.select(F.col("doc").alias("source_path")), {"F": tags, "O": tags})
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS "docID", CASE WHEN o_orderkey % 10 > 1 THEN
+    CAST(o_orderkey AS VARCHAR) || '.zip/XBRL/PublicDoc/report.xbrl' END AS source_path,
+    CASE o_orderkey % 10 WHEN 0 THEN 'no archive' WHEN 1 THEN 'no public document' WHEN 2 THEN 'no facts'
+    WHEN 3 THEN 'unknown accounting standard Other' WHEN 4 THEN 'no accounting standard' WHEN 5 THEN 'no Edinet code'
+    WHEN 6 THEN 'no value' END AS reason
+    FROM orders WHERE o_orderpriority NOT IN ('5-LOW', '1-URGENT')"""
+)
+def filing_outcomes(spark, d):
+    """Every wanted filing, from those without an archive to those that give a row."""
+    order, case = F.col("o_orderkey"), F.col("o_orderkey") % 10
+    sales = F.when(case == 6, "n/a").otherwise(order.cast("string"))
+    xml = samples.filing_document(
+        samples.metadata_facts(
+            {
+                "SecurityCodeDEI": F.col("o_custkey"),
+                "EDINETCodeDEI": F.when(case != 5, F.lit("E1")),
+                "CurrentFiscalYearStartDateDEI": F.lit("2024-04-01"),
+                "CurrentFiscalYearEndDateDEI": F.lit("2025-03-31"),
+                "AccountingStandardsDEI": F.when(case == 3, "Other").when(case != 4, "IFRS"),
+            }
+        )
+        + [("NetSalesIFRSSummaryOfBusinessResults", "CurrentYearDuration", sales)]
+    )
+    archive = samples.zip_documents(
+        _spread(_read(spark, d, "orders").where(case != 0)).select(
+            F.format_string("%d.zip", order).alias("path"),
+            F.when(case == 1, "XBRL/AuditDoc/report.xbrl").otherwise("XBRL/PublicDoc/report.xbrl").alias("member"),
+            F.encode(F.when(case == 2, F.lit("<cut off")).otherwise(xml), "UTF-8").alias("content"),
+        )
+    )
+    return ingest.filing_outcomes(_land_filing_index(spark, d), write_scratch(archive, "archives"), skip_bad=True)
+
+
+# ---- whole jobs and guards -------------------------------------------------------------------------------------------
+
+
+def _statement_matrix(df: DataFrame, item: str) -> DataFrame:
+    """One item of every customer, a column per year end."""
+    years = [
+        F.sum(F.when(F.year("o_orderdate") == y, F.col("o_totalprice"))).alias(f"{y}-12-31") for y in (1996, 1997, 1998)
+    ]
+    ticker = F.concat(F.col("o_custkey").cast("string"), F.lit(".T")).alias("ticker")
+    return df.groupBy(ticker, F.lit(item).alias("item")).agg(*years)
+
+
+@query(
+    """WITH t AS (SELECT CAST(o_custkey AS VARCHAR) || '0' AS ticker, make_date(year(o_orderdate), 12, 31) AS day,
+    sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS f, sum(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS o
+    FROM orders GROUP BY ALL),
+    grid AS (SELECT ticker, make_date(y, 12, 31) AS day FROM (SELECT DISTINCT ticker FROM t) own, (VALUES (1997), (1998)) x(y)),
+    pairs AS (SELECT g.ticker, g.day, round(t.f, 2) AS f, round(t.o, 2) AS o FROM grid g LEFT JOIN t ON g.ticker = t.ticker AND g.day = t.day)
+    SELECT 'income_statement' AS "table", ticker, day AS date, f AS amount, o AS second FROM pairs
+    UNION ALL SELECT 'balance_sheet', ticker, day, f, NULL FROM pairs
+    UNION ALL SELECT 'dividends', ticker, DATE '1998-06-30', round(sum(coalesce(f, 0) + coalesce(o, 0)), 2), NULL FROM
+    (SELECT ticker, sum(f) AS f, sum(o) AS o FROM t GROUP BY ticker) GROUP BY ticker
+    UNION ALL SELECT 'outcome cash_flow no path', NULL, NULL, NULL, NULL
+    UNION ALL SELECT 'outcome written', NULL, NULL, 3, NULL
+    UNION ALL SELECT 'outcome with an empty table: nothing', NULL, NULL, NULL, NULL"""
+)
+def ingest_four_statements(spark, d):
+    """The whole job twice: three targets and one skipped table; then one empty table, which aborts all four."""
+    orders = _read(spark, d, "orders").withColumn("o_totalprice", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")))
+    closed, still = (
+        orders.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))) for s in "FO"
+    )
+    matrices = {
+        "income_statement": combine.union_parts(
+            [_statement_matrix(closed, "Total Revenue"), _statement_matrix(still, "Net Income")]
+        ),
+        "balance_sheet": _statement_matrix(closed, schemas.BALANCE_SHEET_ITEMS[0]),
+        "cash_flow": _statement_matrix(closed, schemas.CASH_FLOW_ITEMS[0]),
+    }
+    ticker = F.concat(F.col("o_custkey").cast("string"), F.lit(".T")).alias("ticker")
+    paid = orders.groupBy(ticker).agg(F.coalesce(F.sum("o_totalprice"), F.lit(0.0)).alias("v"))
+    days = F.array(*[F.lit(day).cast("date") for day in ("1995-06-30", "1998-06-30")])
+    paid = paid.select("ticker", F.map_from_arrays(days, F.array("v", "v")).alias("series"))
+    targets = {name: scratch_path(spark, name) for name in ingest.STATEMENT_SPECS if name != "cash_flow"}
+    for _ in range(2):
+        done = ingest.ingest_statements(matrices, paid, "synthetic", "1997-01-01", targets=targets)
+    empty = {**matrices, "cash_flow": matrices["cash_flow"].limit(0)}
+    fresh = {name: scratch_path(spark, name) for name in ingest.STATEMENT_SPECS}
+    nothing = ingest.ingest_statements(empty, paid, "synthetic", "1997-01-01", targets=fresh) is None
+    nothing = nothing and not any(tables.table_exists(spark, path) for path in fresh.values())
+    outcomes = [(f"outcome {name} {was}", None) for name, was in done.items() if was != "written"]
+    outcomes.append(("outcome written", float(sum(was == "written" for was in done.values()))))
+    outcomes.append((f"outcome with an empty table: {'nothing' if nothing else 'something'}", None))
+    said = spark.createDataFrame(outcomes, "table string, amount double").selectExpr(
+        "table", "cast(null as string) as ticker", "cast(null as date) as date", "amount", "cast(null as double) as second"
+    )
+
+    def stored(name: str, amount: str, second: str | None = None) -> DataFrame:
+        df = tables.read_table(spark, targets[name])
+        df = df.withColumnsRenamed({"Date": "date", "Ticker": "ticker"})
+        other = F.round(f"`{second}`", 2) if second else F.lit(None).cast("double")
+        return df.select(
+            F.lit(name).alias("table"), "ticker", "date", F.round(f"`{amount}`", 2).alias("amount"), other.alias("second")
+        )
+
+    return combine.union_parts(
+        [
+            stored("income_statement", "Total Revenue", "Net Income"),
+            stored("balance_sheet", schemas.BALANCE_SHEET_ITEMS[0]),
+            stored("dividends", "Dividends"),
+            said,
+        ]
+    )
+
+
+@query(
+    """SELECT CAST(o_orderdate AS DATE) AS "Date", '^N' || CAST(o_custkey % 2 AS VARCHAR) AS "Ticker", max(o_totalprice) AS "Close",
+    'synthetic' AS ingestion_source FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
+    AND o_orderdate < TIMESTAMP '1998-01-01 00:00:00' GROUP BY ALL"""
+)
+def ingest_index_prices(spark, d):
+    """Market indexes keep their symbols; a day on which one has no price gives it no row."""
+    close = [F.max(F.when(F.col("o_custkey") % 2 == i, F.col("o_totalprice"))).alias(f"^N{i}|Close") for i in (0, 1)]
+    wide = _read(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").alias("Date")).agg(*close)
+    kept = ("date", "ticker", "Close", "ingestion_source")
+    spec = TableSpec(tuple(c for c in schemas.EXCHANGE_PRICES.columns if c.name in kept), "index_prices")
+    window = windows.resolve_window("prices", start_date="1997-01-01", end_date="1997-12-31")
+    return ingest.ingest_prices(wide, "synthetic", ["^N0", "^N1"], listed=False, window=window, spec=spec)
+
+
+@query(
+    """WITH o AS (SELECT 'orders' AS name, count(*) AS n FROM orders), c AS (SELECT 'customer' AS name, count(*) AS n FROM customer)
+    SELECT name, 'written' AS outcome, n FROM o UNION ALL SELECT name, 'written', n FROM c
+    UNION ALL SELECT 'part', 'no path', 0 UNION ALL SELECT 'orders', 'aborted', 0 UNION ALL SELECT 'none', 'aborted', 0"""
+)
+def write_several_tables(spark, d):
+    """Several tables of one job; one without a path is skipped, and one without rows stops them all."""
+    paths = {name: scratch_path(spark, name) for name in ("orders", "customer", "again")}
+    orders, customers = (_read(spark, d, name) for name in ("orders", "customer"))
+    job = {
+        "orders": (orders, ["o_orderkey"], paths["orders"]),
+        "customer": (customers, [], paths["customer"]),
+        "part": (_read(spark, d, "part"), [], None),
+    }
+    done = tables.write_tables(job, "append")
+    stopped = tables.write_tables(
+        {"orders": (orders, [], paths["again"]), "none": (customers.where("c_custkey < 0"), [], paths["again"])}, "append"
+    )
+    wrong = tables.table_exists(spark, paths["again"])
+    outcomes = [(name, was, paths.get(name) if was == "written" else None) for name, was in done.items()]
+    outcomes += [(name, was, paths["again"] if wrong else None) for name, was in stopped.items()]
+    parts = []
+    for name, was, path in outcomes:
+        held = tables.read_table(spark, path) if path else customers.where("c_custkey < 0")
+        held = held.agg(F.count(F.lit(1)).alias("n"))
+        parts.append(held.select(F.lit(name).alias("name"), F.lit(was).alias("outcome"), "n"))
+    return combine.union_parts(parts)
+
+
+@query(_BARS)
+def catalogue_upsert(spark, d):
+    """Bars landed twice into a table of the catalogue."""
+    name = "ledger_" + uuid.uuid4().hex
+    target = TargetSpec(scratch_path(spark, name), mode="upsert", table=name)
+    for landed in _landed_bars(spark, d):
+        out = ingest.ingest_bars(landed, "synthetic", spec=_bar_spec(), target=target)
+    return out
+
+
+@query(
+    """WITH r AS (SELECT count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1) x)
+    SELECT 'upsert with repeated keys' AS write, CASE WHEN n > 0 THEN 'DuplicateKeyError' ELSE 'written' END AS outcome FROM r
+    UNION ALL SELECT 'upsert with distinct keys', 'written' UNION ALL SELECT 'incremental with repeated keys', 'written'
+    UNION ALL SELECT 'key not stored', 'ValueError' UNION ALL SELECT 'key not delivered', 'ValueError'
+    UNION ALL SELECT 'no key', 'ValueError' UNION ALL SELECT 'unknown mode', 'ValueError'
+    UNION ALL SELECT 'column not found', 'ValueError'"""
+)
+def write_guards(spark, d):
+    """What each write that a key or column guard looks at comes to."""
+    orders = _read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = scratch_path(spark, "guarded")
+    tables.write_table(orders.where("o_orderkey % 2 = 0"), path)
+    other = orders.withColumn("k", F.lit(1))
+    attempts = {
+        "upsert with repeated keys": lambda: tables.write_table(orders, path, "upsert", ["o_custkey"]),
+        "upsert with distinct keys": lambda: tables.write_table(orders, path, "upsert", ["o_orderkey"]),
+        "incremental with repeated keys": lambda: tables.write_table(orders, path, "incremental", ["o_custkey"]),
+        "key not stored": lambda: tables.write_table(other, path, "upsert", ["k"], evolve=True),
+        "key not delivered": lambda: tables.write_table(orders.drop("o_orderkey"), path, "upsert", ["o_orderkey"]),
+        "no key": lambda: tables.write_table(orders, path, "upsert"),
+        "unknown mode": lambda: tables.write_table(orders, path, "archive", ["o_orderkey"]),
+        "column not found": lambda: project.retain(orders, ["o_orderkey", "absent"]),
+    }
+    outcomes = []
+    for name, attempt in attempts.items():
+        try:
+            attempt()
+            outcomes.append((name, "written"))
+        except ValueError as e:
+            outcomes.append((name, type(e).__name__))
+    return spark.createDataFrame(outcomes, "write string, outcome string")
+
+
+@query(
+    """SELECT 'nullable c_acctbal' AS rule, CASE WHEN count(*) FILTER (c_custkey % 7 = 0) > 0 THEN
+    'c_acctbal: ' || count(*) FILTER (c_custkey % 7 = 0) || ' rows break the nullable rule' ELSE 'fine' END AS outcome FROM customer
+    UNION ALL SELECT 'unique c_mktsegment', CASE WHEN count(*) > count(DISTINCT c_mktsegment)
+    THEN 'c_mktsegment: repeated values break the unique rule' ELSE 'fine' END FROM customer
+    UNION ALL SELECT 'unique c_custkey', 'fine'"""
+)
+def validate_outcomes(spark, d):
+    """Validations that fail on their first broken rule, staged and not."""
+    df = _read(spark, d, "customer")
+    df = df.select("c_custkey", "c_mktsegment", _null_every(df, "c_custkey", 7, "c_acctbal").alias("c_acctbal"))
+    key = ColumnSpec("c_custkey", "Int", unique=True)
+    specs = {
+        "nullable c_acctbal": TableSpec((key, ColumnSpec("c_acctbal", "Float", nullable=False))),
+        "unique c_mktsegment": TableSpec((key, ColumnSpec("c_mktsegment", unique=True))),
+        "unique c_custkey": TableSpec((key,)),
+    }
+    outcomes = []
+    for i, (name, spec) in enumerate(specs.items()):
+        try:
+            validation.validate(df.select(*spec.source_names), spec, stage=i == 0)
+            outcomes.append((name, "fine"))
+        except validation.ValidationError as e:
+            outcomes.append((name, str(e)))
+    return spark.createDataFrame(outcomes, "rule string, outcome string")

@@ -1,4 +1,7 @@
-"""Small file-system calls through Spark's Hadoop client, so that any storage Spark can read works."""
+"""Small file-system calls through Spark's Hadoop client, so that any storage Spark can read works.
+
+They need a classic session: Spark Connect has no access to the driver's JVM.
+"""
 
 from __future__ import annotations
 

@@ -201,6 +201,42 @@ def normalise_filing_facts(
     )
 
 
+def filing_ledger(
+    facts: DataFrame,
+    documents: DataFrame | None = None,
+    dictionary: dict[str, dict[str, str]] | None = None,
+    attributes: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows ``(source_path, reason)`` of the documents that :func:`normalise_filing_facts` gives no row for, so that
+    documents in are rows out plus ledger rows.
+
+    ``documents`` names all documents in its ``source_path`` (by default those with facts). One reason each, the first that
+    holds: no facts (not readable, or empty), no or an unknown accounting standard, metadata missing (which is named), no
+    value under the standard's tags.
+    """
+    if attributes is None:
+        attributes = ATTRIBUTES if dictionary is None else sorted({a for t in dictionary.values() for a in t.values()})
+    tags = tag_dimension(facts.sparkSession, dictionary)
+    own = facts.select("source_path").distinct()
+    meta = document_metadata(facts)
+    valued = attribute_values(facts, tags).filter(F.col("value").isNotNull() & F.col("attribute").isin(list(attributes)))
+    valued = valued.select("source_path", F.col("standard").alias("Account standard")).distinct()
+    standard = F.col("Account standard")
+    lacking = F.filter(F.array(*[F.when(col(n).isNull(), F.lit(n)) for n in DOCUMENT_TAGS.values()]), lambda x: x.isNotNull())
+    status = own.withColumn("_facts", F.lit(True)).join(meta, "source_path", "left")
+    status = status.join(valued.withColumn("_valued", F.lit(True)), ["source_path", "Account standard"], "left")
+    if documents is not None:
+        status = documents.select("source_path").distinct().join(status, "source_path", "left")
+    reason = (
+        F.when(F.col("_facts").isNull(), "no facts")
+        .when(standard.isNull(), "no accounting standard")
+        .when(~standard.isin(list(dictionary or TAG_DICTIONARY)), F.concat(F.lit("unknown accounting standard "), standard))
+        .when(F.size(lacking) > 0, F.concat(F.lit("no "), F.array_join(lacking, ", ")))
+        .when(F.col("_valued").isNull(), "no value")
+    )
+    return status.select("source_path", reason.alias("reason")).filter("reason is not null")
+
+
 def filings_without_standard(facts: DataFrame, dictionary: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """Documents that give no row because their accounting standard is absent or unknown."""
     known = list(dictionary or TAG_DICTIONARY)

@@ -207,8 +207,9 @@ def join_chain(
 
     Runs one job over the keys of the joined frames to see which repeat a key or have a null one. A chain of left joins
     onto frames that repeat none keeps the base rows by construction, so the guard needs no join to be run;
-    otherwise it compares exact counts and raises ``ValueError`` when the chain changed the number of rows. A frame
-    without null keys is joined by plain equality.
+    otherwise it compares exact counts and raises ``ValueError`` when the chain changed the number of rows. The joins before
+    the last are then written to the scratch folder, counted there by key, and go on from there, so the chain runs once.
+    A frame without null keys is joined by plain equality.
     """
     steps = [(frame, list(keys), how) for frame, keys, how in steps if keys]
     for _, _, how in steps:
@@ -219,6 +220,8 @@ def join_chain(
     profiles = key_profiles([(frame, keys) for frame, keys, _ in steps])
     for (frame, keys, how), (repeated, has_null) in zip(steps, profiles):
         keeps_rows = keeps_rows and how == "left" and not repeated
+        if row_guard and not keeps_rows and out is not base and frame is steps[-1][0]:
+            out = write_scratch(out, "joined")
         before_last = out
         # a right join keeps the other side whole, so there it is the left frame that could be hot
         split = repeated if how == "left" else how == "right"
@@ -247,13 +250,6 @@ def in_codes(
     return df.join(right, col(column) == F.col("_code"), "left_semi")
 
 
-def axis_values(axis: DataFrame, limit: int = 5_000) -> list | None:
-    """Distinct values of a one-column axis table, or None when there are more than ``limit``. No plan depends on it."""
-    name = axis.columns[0]
-    rows = axis.select(col(name).alias("v")).filter("v is not null").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r["v"] for r in rows)
-
-
 def request_grid(codes: DataFrame, axis: DataFrame | Column, name: str) -> DataFrame:
     """Every code row with every axis value.
 

@@ -63,13 +63,9 @@ def value_counts(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def exact_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
-    """Most frequent present value of each column, the smallest on a tie; None when all are missing.
-
-    One pass counts the values of all columns: each value becomes a row with its column's place and itself in the field of
-    its type. Equal values are counted before the exchange.
-    """
-    columns = list(columns)
+def typed_entries(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The present values of several columns as rows ``(place, v0, v1, ...)``: the column's place, and the value in the
+    field of its type. Also the names of the fields by place."""
     kinds = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
 
     def entry(place: int, name: str) -> Column:
@@ -77,15 +73,37 @@ def exact_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
         fields = [(_present(df, name) if k == kind else F.lit(None).cast(k)).alias(f"v{j}") for j, k in enumerate(kinds)]
         return F.struct(F.lit(place).alias("place"), _present(df, name).isNotNull().alias("there"), *fields)
 
+    entries = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)]))).filter("there").drop("there")
+    return entries, [f"v{kinds.index(df.schema[c].dataType.simpleString())}" for c in columns]
+
+
+def repeated_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: per column, under its name, how many rows lie beyond the first of each present value.
+
+    One pass counts the values of all columns, combined before the one exchange of values.
+    """
+    require_columns(df, columns)
+    entries, _ = typed_entries(df, columns)
+    extra = entries.groupBy(*entries.columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
+    sums = [F.coalesce(F.sum(F.when(F.col("place") == i, F.col("extra"))), F.lit(0)).cast("bigint").alias(c)
+            for i, c in enumerate(columns)]
+    return extra.agg(*sums)
+
+
+def exact_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
+    """Most frequent present value of each column, the smallest on a tie; None when all are missing.
+
+    One pass counts the values of all columns, combined before the exchange.
+    """
+    columns = list(columns)
     if not columns:
         return {}
-    entries = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)]))).filter("there")
-    values = [f"v{j}" for j in range(len(kinds))]
+    entries, fields = typed_entries(df, columns)
+    values = [c for c in entries.columns if c != "place"]
     counts = entries.groupBy("place", *values).agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("place").agg(F.min(F.struct((-F.col("n")).alias("r"), *values)).alias("m"))
     found = {r["place"]: r["m"] for r in best.collect()}
-    field = {c: f"v{kinds.index(df.schema[c].dataType.simpleString())}" for c in columns}
-    return {c: found[i][field[c]] if i in found else None for i, c in enumerate(columns)}
+    return {c: found[i][fields[i]] if i in found else None for i, c in enumerate(columns)}
 
 
 def exact_mode(df: DataFrame, name: str) -> Any:

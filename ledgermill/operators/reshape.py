@@ -1,4 +1,8 @@
-"""Reshapes: long to wide with mean, statements to rows, key/value pairs, wide prices to rows, series to rows."""
+"""Reshapes: long to wide with mean, statements to rows, key/value pairs, wide prices to rows, series to rows.
+
+The wanted names are given, so a long table becomes wide by one aggregate with a condition per name: its rows are combined
+before the one exchange, and no job looks for names.
+"""
 
 from __future__ import annotations
 
@@ -26,7 +30,8 @@ def pivot_mean(
     rows = df.select(*[col(i) for i in index], col(names).alias("_name"), v.alias("_value"))
     rows = rows.dropna(subset=list(index)) if index else rows
     rows = rows.filter(F.col("_name").isin(list(wanted)))
-    wide = rows.groupBy(*[col(i) for i in index]).pivot("_name", list(wanted)).agg(F.avg("_value"))
+    means = [F.avg(F.when(F.col("_name") == F.lit(w), F.col("_value"))).alias(str(w)) for w in dict.fromkeys(wanted)]
+    wide = rows.groupBy(*[col(i) for i in index]).agg(*means)
     return wide.filter(F.coalesce(*[col(w) for w in wanted]).isNotNull()) if drop_empty else wide
 
 
@@ -37,11 +42,24 @@ def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str
 
 
 def items_to_columns(
-    df: DataFrame, index: Sequence[str], item: str, value: str, items: Sequence[str]
+    df: DataFrame, index: Sequence[str], item: str, value: str, items: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """Long ``(index..., item, value)`` to one row per index with a column per item (first value when repeated)."""
-    require_columns(df, [*index, item, value])
-    return df.groupBy(*[col(i) for i in index]).pivot(item, list(items)).agg(F.first(col(value), ignorenulls=True))
+    """Long ``(index..., item, value)`` to one row per index with a column per item; an index without wanted items has a
+    row of nulls.
+
+    A repeated item has the value of its first row in ``order`` that has one (of several such rows, the smallest value);
+    without an order, its smallest value.
+    """
+    require_columns(df, [*index, item, value, *order])
+
+    def picked(name: str) -> Column:
+        wanted = F.when((col(item) == F.lit(name)) & col(value).isNotNull(), col(value))
+        if not order:
+            return F.min(wanted).alias(str(name))
+        first = F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)], col(value).alias("v"))
+        return F.min(F.when(wanted.isNotNull(), first))["v"].alias(str(name))
+
+    return df.groupBy(*[col(i) for i in index]).agg(*[picked(name) for name in dict.fromkeys(items)])
 
 
 def statements_to_rows(
@@ -50,20 +68,24 @@ def statements_to_rows(
     ticker: str = "ticker",
     item: str = "item",
     periods: Sequence[str] | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Statement matrices of all tickers (items down, period dates across) to one row per ticker and date.
 
-    ``periods`` are the date-named columns; by default every column besides ticker and item.
+    ``periods`` are the date-named columns; by default every column besides ticker, item and ``order``, which says which
+    row counts where a ticker repeats an item.
     """
-    periods = list(periods or [c for c in matrix.columns if c not in (ticker, item)])
-    long = unpivot(matrix, [ticker, item], periods, "date", "_value")
-    out = items_to_columns(long, ["date", ticker], item, "_value", items)
+    periods = list(periods or [c for c in matrix.columns if c not in (ticker, item, *order)])
+    long = unpivot(matrix, [ticker, item, *order], periods, "date", "_value")
+    out = items_to_columns(long, ["date", ticker], item, "_value", items, order)
     return out.withColumn("date", F.to_date("date"))
 
 
-def pairs_to_row(df: DataFrame, index: Sequence[str], key: str, value: str, keys: Sequence[str]) -> DataFrame:
+def pairs_to_row(
+    df: DataFrame, index: Sequence[str], key: str, value: str, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
     """Key/value rows to one wide row per index."""
-    return items_to_columns(df, index, key, value, keys)
+    return items_to_columns(df, index, key, value, keys, order)
 
 
 def map_to_row(df: DataFrame, index: Sequence[str], entries: Column, fields: Mapping[str, T.DataType | str]) -> DataFrame:

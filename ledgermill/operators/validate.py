@@ -3,9 +3,9 @@
 ``validate`` fails on the first broken rule, like a schema check in front of a table; ``validation_report`` lists every
 rule with its number of bad rows. Both coerce first, so a rule sees the typed value.
 
-The not-null and whole-number rules are counters in one aggregate. Each unique column needs its own shuffle, which
-pre-aggregates repeated values. ``validate`` can take its counts while it writes the typed frame to the shared scratch
-folder (``stage=True``), so that an expensive input is computed once.
+The not-null and whole-number rules are counters in one aggregate, and the values of all unique columns are counted in one
+more. ``validate`` can take its counters while it writes the typed frame to the shared scratch folder (``stage=True``), so
+that an expensive input is computed once.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ledgermill.functions.coerce import not_whole, to_logical
 from ledgermill.names import col, require_columns
-from ledgermill.operators.joins import has_repeated_keys
+from ledgermill.operators.profile import repeated_value_counts
 from ledgermill.operators.project import rename_declared, strict_columns
 from ledgermill.scratch import write_scratch
 from ledgermill.spec import TableSpec, spark_type
@@ -77,16 +77,13 @@ def validation_report(df: DataFrame, spec: TableSpec) -> DataFrame:
             for i, (c, r, _) in enumerate(rules)
         ]
         parts.append(counts.select(F.inline(F.array(*entries))))
-    for c in spec.columns:
-        if c.unique:
-            repeats = (
-                flagged.select(col(c.name).alias("v"))
-                .filter("v is not null")
-                .groupBy("v")
-                .agg((F.count(F.lit(1)) - 1).alias("extra"))
-                .agg(F.coalesce(F.sum("extra"), F.lit(0)).cast("bigint").alias("n_bad"))
-            )
-            parts.append(repeats.select(F.lit(c.name).alias("column_name"), F.lit("unique").alias("rule"), "n_bad"))
+    unique = [c.name for c in spec.columns if c.unique]
+    if unique:
+        repeats = repeated_value_counts(flagged, unique)
+        entries = [
+            F.struct(F.lit(c).alias("column_name"), F.lit("unique").alias("rule"), col(c).alias("n_bad")) for c in unique
+        ]
+        parts.append(repeats.select(F.inline(F.array(*entries))))
     if not parts:
         return df.sparkSession.createDataFrame([], "column_name string, rule string, n_bad bigint")
     out = parts[0]
@@ -123,7 +120,8 @@ def validate(df: DataFrame, spec: TableSpec, stage: bool = False) -> DataFrame:
     for i, (name, rule, _) in enumerate(rules):
         if counts[f"r{i}"]:
             raise ValidationError(f"{name}: {counts[f'r{i}']} rows break the {rule} rule")
-    for c in spec.columns:
-        if c.unique and has_repeated_keys(flagged.filter(col(c.name).isNotNull()), [c.name]):
-            raise ValidationError(f"{c.name}: repeated values break the unique rule")
+    unique = [c.name for c in spec.columns if c.unique]
+    for name, n in (repeated_value_counts(flagged, unique).first().asDict() if unique else {}).items():
+        if n:
+            raise ValidationError(f"{name}: repeated values break the unique rule")
     return rename_declared(flagged.select(*[col(c.name) for c in spec.columns]), spec)

@@ -16,7 +16,7 @@ from ledgermill import schemas
 from ledgermill.functions.scalar import exchange_ticker, stored_ticker
 from ledgermill.names import col
 from ledgermill.operators.combine import distinct_rows
-from ledgermill.operators.filings import normalise_filing_facts
+from ledgermill.operators.filings import filing_ledger, normalise_filing_facts
 from ledgermill.operators.filters import date_cut, equals_all, matches
 from ledgermill.operators.joins import in_codes
 from ledgermill.operators.project import impute_missing_columns, retain, with_ingestion_metadata
@@ -25,7 +25,8 @@ from ledgermill.operators.validate import validate
 from ledgermill.plans.chain import run_chain
 from ledgermill.plans.windows import LoadWindow
 from ledgermill.scratch import scratch_scope, write_scratch
-from ledgermill.sinks.tables import read_table, write_table, write_tables
+from ledgermill.sinks.tables import write_tables
+from ledgermill.sinks.targets import read_target, write_target
 from ledgermill.sources.archives import document_of, expand_archives
 from ledgermill.sources.files import load_flat_files
 from ledgermill.sources.filings import PUBLIC_MEMBER, filing_documents, filing_facts
@@ -46,18 +47,8 @@ def finish(
     partition_by = list(target.partition_by) or (spec.partition_columns if spec else [])
     with scratch_scope(df.sparkSession):
         ready = df if spec is None else validate(df, spec, stage=True)
-        write_table(
-            ready,
-            target.path,
-            target.mode,
-            keys,
-            target.fmt,
-            partition_by,
-            target.compression,
-            target.evolve,
-            stage=spec is None,
-        )
-    return read_table(df.sparkSession, target.path, target.fmt)
+        write_target(ready, target, keys, partition_by, stage=spec is None)
+    return read_target(df.sparkSession, target)
 
 
 def ingest(spark: SparkSession, spec: IngestSpec) -> DataFrame | None:
@@ -250,10 +241,6 @@ def ingest_prices(
 # What marks an annual securities report in the filing index.
 ANNUAL_REPORT = {"ordinanceCode": "010", "formCode": "030000"}
 
-# More filings than this in one run are joined to the archives by shuffle instead of broadcast.
-_BROADCAST_FILINGS = 200_000
-
-
 def wanted_filings(index: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Annual reports of the wanted codes in a filing index."""
     reports = equals_all(index, ANNUAL_REPORT)
@@ -271,15 +258,14 @@ def ingest_filings(
 ) -> DataFrame | None:
     """Filing index and archive table ``(path, content)`` to filing rows.
 
-    Archives are picked by document id before they are opened. The document ids are broadcast when they are few, by
-    count, so that archive bytes are not shuffled; for archives in a folder, see
-    :func:`ledgermill.sources.archives.scan_named_archives`, which does not even read the others. Facts and rows are kept
-    in the scratch folder, as parsing is the expensive part and both are read more than once.
+    Archives are picked by document id before they are opened. The document ids are written to the scratch folder first,
+    so the planner knows their size and broadcasts them by it rather than shuffle archive bytes; for archives in a folder,
+    see :func:`ledgermill.sources.archives.scan_named_archives`, which does not even read the others. Facts and rows are
+    kept in the scratch folder too, as parsing is the expensive part and both are read more than once.
     """
-    wanted = wanted_filings(index, codes).select(F.col("docID").alias("_doc")).distinct()
-    few = wanted.limit(_BROADCAST_FILINGS + 1).count() <= _BROADCAST_FILINGS
+    wanted = write_scratch(wanted_filings(index, codes).select(F.col("docID").alias("_doc")).distinct(), "filing-ids")
     named = archives.withColumn("_doc", document_of("path"))
-    picked = named.join(F.broadcast(wanted) if few else wanted, "_doc", "left_semi").select("path", "content")
+    picked = named.join(wanted, "_doc", "left_semi").select("path", "content")
     members = expand_archives(picked, PUBLIC_MEMBER)
     parsed = filing_facts(filing_documents(members), skip_bad)
     if target is None:
@@ -290,6 +276,28 @@ def ingest_filings(
         return None if rows.isEmpty() else finish(rows, spec, source, target)
 
 
+def filing_outcomes(
+    index: DataFrame, archives: DataFrame, codes: DataFrame | None = None, skip_bad: bool = False
+) -> DataFrame:
+    """Rows ``(docID, source_path, reason)``: what became of each wanted filing of :func:`ingest_filings`.
+
+    One row for each public document of a filing, with a null reason where it gives a row; one with a null path for a
+    filing without an archive or without a public document. So wanted documents are rows out plus rows with a reason.
+    """
+    wanted = write_scratch(wanted_filings(index, codes).select("docID").distinct(), "filing-ids")
+    named = archives.withColumn("docID", document_of("path")).join(wanted, "docID", "left_semi")
+    members = expand_archives(named.select("path", "content"), PUBLIC_MEMBER)
+    documents = members.select(document_of("archive").alias("docID"), F.concat_ws("/", "archive", "member").alias("source_path"), "content")
+    documents = write_scratch(documents, "filing-documents")
+    facts = write_scratch(filing_facts(documents.select("source_path", "content"), skip_bad), "facts")
+    lost = filing_ledger(facts, documents)
+    read = documents.select("docID", "source_path").join(lost, "source_path", "left").withColumn("_read", F.lit(True))
+    there = named.select("docID").distinct().withColumn("_there", F.lit(True))
+    out = wanted.join(there, "docID", "left").join(read, "docID", "left")
+    reason = F.when(F.col("_there").isNull(), "no archive").when(F.col("_read").isNull(), "no public document")
+    return out.select("docID", "source_path", reason.otherwise(F.col("reason")).alias("reason"))
+
+
 def _staged_filings(parsed: DataFrame) -> DataFrame:
     return write_scratch(normalise_filing_facts(write_scratch(parsed, "facts")), "filings")
 

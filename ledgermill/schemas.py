@@ -10,10 +10,6 @@ from collections.abc import Mapping, Sequence
 from ledgermill.spec import ColumnSpec, TableSpec
 
 
-def _names(text: str) -> list[str]:
-    return [line.strip() for line in text.strip().splitlines()]
-
-
 def _table(
     name: str,
     columns: Sequence[str],
@@ -45,30 +41,30 @@ def _table(
 
 
 # Columns of the filing table.
-FILING_COLUMNS = _names("""
-    Ticker
-    Edinet code
-    Period start date
-    Period end date
-    Account standard
-    Net sales
-    Operating profit
-    Earnings before interest and taxes
-    Profit
-    Comprehensive profit
-    Operating cashflow
-    Investing cashflow
-    Financing cashflow
-    Equity
-    Total assests
-    Equity to assets
-    Book value per share
-    Earning per share
-    Price earnings ratios
-    Employees
-    source_path
-    ingestion_source
-""")
+FILING_COLUMNS = [
+    "Ticker",
+    "Edinet code",
+    "Period start date",
+    "Period end date",
+    "Account standard",
+    "Net sales",
+    "Operating profit",
+    "Earnings before interest and taxes",
+    "Profit",
+    "Comprehensive profit",
+    "Operating cashflow",
+    "Investing cashflow",
+    "Financing cashflow",
+    "Equity",
+    "Total assests",
+    "Equity to assets",
+    "Book value per share",
+    "Earning per share",
+    "Price earnings ratios",
+    "Employees",
+    "source_path",
+    "ingestion_source",
+]
 
 FILINGS = _table(
     "filings",
@@ -103,17 +99,64 @@ SUMMARY = _table(
     renames={"Code": "Ticker"},
 )
 
-# Investor groups and measures of the investor-flow table; two combinations do not exist.
-INVESTOR_GROUPS = [
-    "Prop", "Brk", "Tot", "Ind", "Frgn", "SecCo", "InvTr", "BusCo", "OthCo", "InsCo", "Bank", "TrstBnk", "OthFin",
-]
-FLOW_MEASURES = ["Sell", "Buy", "Tot", "Bal"]
-NO_SUCH_FLOW = ["TotTot", "InsCoSell"]
+# Columns of the investor-flow table.
 FLOW_COLUMNS = [
-    "PubDate", "StDate", "EnDate", "Section",
-    *[g + m for g in INVESTOR_GROUPS for m in FLOW_MEASURES if g + m not in NO_SUCH_FLOW],
+    "PubDate",
+    "StDate",
+    "EnDate",
+    "Section",
+    "PropSell",
+    "PropBuy",
+    "PropTot",
+    "PropBal",
+    "BrkSell",
+    "BrkBuy",
+    "BrkTot",
+    "BrkBal",
+    "TotSell",
+    "TotBuy",
+    "TotBal",
+    "IndSell",
+    "IndBuy",
+    "IndTot",
+    "IndBal",
+    "FrgnSell",
+    "FrgnBuy",
+    "FrgnTot",
+    "FrgnBal",
+    "SecCoSell",
+    "SecCoBuy",
+    "SecCoTot",
+    "SecCoBal",
+    "InvTrSell",
+    "InvTrBuy",
+    "InvTrTot",
+    "InvTrBal",
+    "BusCoSell",
+    "BusCoBuy",
+    "BusCoTot",
+    "BusCoBal",
+    "OthCoSell",
+    "OthCoBuy",
+    "OthCoTot",
+    "OthCoBal",
+    "InsCoBuy",
+    "InsCoTot",
+    "InsCoBal",
+    "BankSell",
+    "BankBuy",
+    "BankTot",
+    "BankBal",
+    "TrstBnkSell",
+    "TrstBnkBuy",
+    "TrstBnkTot",
+    "TrstBnkBal",
+    "OthFinSell",
+    "OthFinBuy",
+    "OthFinTot",
+    "OthFinBal",
     "ingestion_source",
-]
+]
 
 INVESTOR_FLOWS = _table(
     "investor_flows",
@@ -143,163 +186,163 @@ DAILY_BARS = _table(
 )
 
 # Items of the balance sheet.
-BALANCE_SHEET_ITEMS = _names("""
-    Treasury Shares Number
-    Ordinary Shares Number
-    Share Issued
-    Net Debt
-    Total Debt
-    Tangible Book Value
-    Invested Capital
-    Working Capital
-    Net Tangible Assets
-    Common Stock Equity
-    Total Capitalization
-    Total Equity Gross Minority Interest
-    Minority Interest
-    Stockholders Equity
-    Other Equity Interest
-    Treasury Stock
-    Retained Earnings
-    Additional Paid In Capital
-    Capital Stock
-    Common Stock
-    Total Liabilities Net Minority Interest
-    Total Non Current Liabilities Net Minority Interest
-    Other Non Current Liabilities
-    Non Current Pension And Other Postretirement Benefit Plans
-    Tradeand Other Payables Non Current
-    Non Current Deferred Taxes Liabilities
-    Long Term Debt And Capital Lease Obligation
-    Long Term Debt
-    Current Liabilities
-    Other Current Liabilities
-    Current Debt And Capital Lease Obligation
-    Current Debt
-    Payables
-    Total Tax Payable
-    Accounts Payable
-    Total Assets
-    Total Non Current Assets
-    Other Non Current Assets
-    Non Current Deferred Taxes Assets
-    Other Investments
-    Investmentin Financial Assets
-    Available For Sale Securities
-    Long Term Equity Investment
-    Goodwill And Other Intangible Assets
-    Other Intangible Assets
-    Net PPE
-    Current Assets
-    Other Current Assets
-    Assets Held For Sale Current
-    Inventory
-    Accounts Receivable
-    Gross Accounts Receivable
-    Cash Cash Equivalents And Short Term Investments
-    Other Short Term Investments
-    Cash And Cash Equivalents
-""")
+BALANCE_SHEET_ITEMS = [
+    "Treasury Shares Number",
+    "Ordinary Shares Number",
+    "Share Issued",
+    "Net Debt",
+    "Total Debt",
+    "Tangible Book Value",
+    "Invested Capital",
+    "Working Capital",
+    "Net Tangible Assets",
+    "Common Stock Equity",
+    "Total Capitalization",
+    "Total Equity Gross Minority Interest",
+    "Minority Interest",
+    "Stockholders Equity",
+    "Other Equity Interest",
+    "Treasury Stock",
+    "Retained Earnings",
+    "Additional Paid In Capital",
+    "Capital Stock",
+    "Common Stock",
+    "Total Liabilities Net Minority Interest",
+    "Total Non Current Liabilities Net Minority Interest",
+    "Other Non Current Liabilities",
+    "Non Current Pension And Other Postretirement Benefit Plans",
+    "Tradeand Other Payables Non Current",
+    "Non Current Deferred Taxes Liabilities",
+    "Long Term Debt And Capital Lease Obligation",
+    "Long Term Debt",
+    "Current Liabilities",
+    "Other Current Liabilities",
+    "Current Debt And Capital Lease Obligation",
+    "Current Debt",
+    "Payables",
+    "Total Tax Payable",
+    "Accounts Payable",
+    "Total Assets",
+    "Total Non Current Assets",
+    "Other Non Current Assets",
+    "Non Current Deferred Taxes Assets",
+    "Other Investments",
+    "Investmentin Financial Assets",
+    "Available For Sale Securities",
+    "Long Term Equity Investment",
+    "Goodwill And Other Intangible Assets",
+    "Other Intangible Assets",
+    "Net PPE",
+    "Current Assets",
+    "Other Current Assets",
+    "Assets Held For Sale Current",
+    "Inventory",
+    "Accounts Receivable",
+    "Gross Accounts Receivable",
+    "Cash Cash Equivalents And Short Term Investments",
+    "Other Short Term Investments",
+    "Cash And Cash Equivalents",
+]
 
 # Items of the cash-flow statement.
-CASH_FLOW_ITEMS = _names("""
-    Free Cash Flow
-    Repurchase Of Capital Stock
-    Repayment Of Debt
-    Issuance Of Debt
-    Capital Expenditure
-    End Cash Position
-    Other Cash Adjustment Outside Changein Cash
-    Beginning Cash Position
-    Effect Of Exchange Rate Changes
-    Changes In Cash
-    Financing Cash Flow
-    Net Other Financing Charges
-    Common Stock Dividend Paid
-    Net Common Stock Issuance
-    Common Stock Payments
-    Net Issuance Payments Of Debt
-    Net Short Term Debt Issuance
-    Net Long Term Debt Issuance
-    Long Term Debt Payments
-    Long Term Debt Issuance
-    Investing Cash Flow
-    Net Investment Purchase And Sale
-    Sale Of Investment
-    Net Investment Properties Purchase And Sale
-    Sale Of Investment Properties
-    Purchase Of Investment Properties
-    Net Business Purchase And Sale
-    Sale Of Business
-    Purchase Of Business
-    Net PPE Purchase And Sale
-    Sale Of PPE
-    Purchase Of PPE
-    Operating Cash Flow
-    Taxes Refund Paid
-    Interest Received Cfo
-    Interest Paid Cfo
-    Dividend Received Cfo
-    Change In Working Capital
-    Change In Payable
-    Change In Inventory
-    Change In Receivables
-    Other Non Cash Items
-    Deferred Tax
-    Depreciation And Amortization
-    Depreciation
-    Gain Loss On Sale Of PPE
-    Net Income From Continuing Operations
-""")
+CASH_FLOW_ITEMS = [
+    "Free Cash Flow",
+    "Repurchase Of Capital Stock",
+    "Repayment Of Debt",
+    "Issuance Of Debt",
+    "Capital Expenditure",
+    "End Cash Position",
+    "Other Cash Adjustment Outside Changein Cash",
+    "Beginning Cash Position",
+    "Effect Of Exchange Rate Changes",
+    "Changes In Cash",
+    "Financing Cash Flow",
+    "Net Other Financing Charges",
+    "Common Stock Dividend Paid",
+    "Net Common Stock Issuance",
+    "Common Stock Payments",
+    "Net Issuance Payments Of Debt",
+    "Net Short Term Debt Issuance",
+    "Net Long Term Debt Issuance",
+    "Long Term Debt Payments",
+    "Long Term Debt Issuance",
+    "Investing Cash Flow",
+    "Net Investment Purchase And Sale",
+    "Sale Of Investment",
+    "Net Investment Properties Purchase And Sale",
+    "Sale Of Investment Properties",
+    "Purchase Of Investment Properties",
+    "Net Business Purchase And Sale",
+    "Sale Of Business",
+    "Purchase Of Business",
+    "Net PPE Purchase And Sale",
+    "Sale Of PPE",
+    "Purchase Of PPE",
+    "Operating Cash Flow",
+    "Taxes Refund Paid",
+    "Interest Received Cfo",
+    "Interest Paid Cfo",
+    "Dividend Received Cfo",
+    "Change In Working Capital",
+    "Change In Payable",
+    "Change In Inventory",
+    "Change In Receivables",
+    "Other Non Cash Items",
+    "Deferred Tax",
+    "Depreciation And Amortization",
+    "Depreciation",
+    "Gain Loss On Sale Of PPE",
+    "Net Income From Continuing Operations",
+]
 
 # Items of the income statement.
-INCOME_STATEMENT_ITEMS = _names("""
-    Tax Effect Of Unusual Items
-    Tax Rate For Calcs
-    Normalized EBITDA
-    Total Unusual Items
-    Total Unusual Items Excluding Goodwill
-    Net Income From Continuing Operation Net Minority Interest
-    Reconciled Depreciation
-    Reconciled Cost Of Revenue
-    EBITDA
-    EBIT
-    Net Interest Income
-    Interest Expense
-    Interest Income
-    Normalized Income
-    Net Income From Continuing And Discontinued Operation
-    Total Expenses
-    Diluted Average Shares
-    Basic Average Shares
-    Diluted EPS
-    Basic EPS
-    Diluted NI Availto Com Stockholders
-    Net Income Common Stockholders
-    Otherunder Preferred Stock Dividend
-    Net Income
-    Minority Interests
-    Net Income Including Noncontrolling Interests
-    Net Income Continuous Operations
-    Tax Provision
-    Pretax Income
-    Other Non Operating Income Expenses
-    Special Income Charges
-    Other Special Charges
-    Impairment Of Capital Assets
-    Net Non Operating Interest Income Expense
-    Interest Expense Non Operating
-    Interest Income Non Operating
-    Operating Income
-    Operating Expense
-    Other Operating Expenses
-    Selling General And Administration
-    General And Administrative Expense
-    Gross Profit
-    Cost Of Revenue
-    Total Revenue
-    Operating Revenue
-""")
+INCOME_STATEMENT_ITEMS = [
+    "Tax Effect Of Unusual Items",
+    "Tax Rate For Calcs",
+    "Normalized EBITDA",
+    "Total Unusual Items",
+    "Total Unusual Items Excluding Goodwill",
+    "Net Income From Continuing Operation Net Minority Interest",
+    "Reconciled Depreciation",
+    "Reconciled Cost Of Revenue",
+    "EBITDA",
+    "EBIT",
+    "Net Interest Income",
+    "Interest Expense",
+    "Interest Income",
+    "Normalized Income",
+    "Net Income From Continuing And Discontinued Operation",
+    "Total Expenses",
+    "Diluted Average Shares",
+    "Basic Average Shares",
+    "Diluted EPS",
+    "Basic EPS",
+    "Diluted NI Availto Com Stockholders",
+    "Net Income Common Stockholders",
+    "Otherunder Preferred Stock Dividend",
+    "Net Income",
+    "Minority Interests",
+    "Net Income Including Noncontrolling Interests",
+    "Net Income Continuous Operations",
+    "Tax Provision",
+    "Pretax Income",
+    "Other Non Operating Income Expenses",
+    "Special Income Charges",
+    "Other Special Charges",
+    "Impairment Of Capital Assets",
+    "Net Non Operating Interest Income Expense",
+    "Interest Expense Non Operating",
+    "Interest Income Non Operating",
+    "Operating Income",
+    "Operating Expense",
+    "Other Operating Expenses",
+    "Selling General And Administration",
+    "General And Administrative Expense",
+    "Gross Profit",
+    "Cost Of Revenue",
+    "Total Revenue",
+    "Operating Revenue",
+]
 
 
 def _statement(name: str, items: Sequence[str], renames: Mapping[str, str] | None = None) -> TableSpec:

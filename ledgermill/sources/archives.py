@@ -52,23 +52,17 @@ def _archive_files(spark: SparkSession, paths: str | Sequence[str], glob: str) -
     return reader.load(paths)
 
 
-# Up to this many archives are opened by name; beyond it the folder is scanned and joined.
-_NAMED_ARCHIVES = 200_000
-
-
 def scan_named_archives(
     spark: SparkSession, paths: str | Sequence[str], documents: DataFrame, glob: str = "*.zip"
 ) -> DataFrame:
     """Archive table ``(path, content)`` of the wanted documents (first column of ``documents``) below the paths.
 
-    The folder is listed without reading contents, the names are matched, and only the matching files are opened.
+    The folder is listed without reading contents, the names are matched, and only the matching files are opened. Their
+    names pass through the driver, which holds the longer list of all files of the folder already, as any scan does.
     """
     wanted = documents.select(F.col(documents.columns[0]).alias("_doc")).distinct()
     listed = _archive_files(spark, paths, glob).select("path", document_of("path").alias("_doc"))
-    names = [r["path"] for r in listed.join(wanted, "_doc", "left_semi").select("path").limit(_NAMED_ARCHIVES + 1).collect()]
-    if len(names) > _NAMED_ARCHIVES:
-        everything = _archive_files(spark, paths, glob).withColumn("_doc", document_of("path"))
-        return everything.join(wanted, "_doc", "left_semi").select("path", "content")
+    names = [r["path"] for r in listed.join(wanted, "_doc", "left_semi").select("path").collect()]
     if not names:
         return spark.createDataFrame([], "path string, content binary")
     return spark.read.format("binaryFile").load(names).select("path", "content")

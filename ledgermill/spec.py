@@ -176,14 +176,16 @@ class ExtractSpec:
 
 @dataclass(frozen=True)
 class TargetSpec:
-    """Where and how a validated frame is stored."""
+    """Where and how a validated frame is stored: a folder, or with ``table`` a catalogue table (``path`` then says where a
+    new one keeps its files, if not in the warehouse)."""
 
-    path: str
+    path: str | None = None
     fmt: str = "parquet"
     mode: str = "overwrite"
     evolve: bool = False
     compression: str | None = None
     partition_by: Sequence[str] = field(default_factory=tuple)
+    table: str | None = None
 
 
 @dataclass(frozen=True)

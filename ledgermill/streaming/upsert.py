@@ -18,7 +18,7 @@ from ledgermill.operators.combine import newest_per_key
 from ledgermill.operators.project import with_ingestion_metadata
 from ledgermill.operators.validate import typed, validate
 from ledgermill.scratch import scratch_scope
-from ledgermill.sinks.tables import write_table
+from ledgermill.sinks.targets import write_target
 from ledgermill.spec import TableSpec, TargetSpec
 
 STREAM_MODES = ("upsert", "incremental")
@@ -56,17 +56,8 @@ def merge_batch(
     marked = batch.withColumn("_order", F.struct(*[col(o) for o in order]))
     newest = newest_per_key(typed(marked, spec, ["_order"]), keys, ["_order"]).drop("_order")
     with scratch_scope(batch.sparkSession):
-        write_table(
-            validate(newest, spec, stage=True),
-            target.path,
-            target.mode,
-            spec.primary_keys,
-            target.fmt,
-            list(target.partition_by) or spec.partition_columns,
-            target.compression,
-            target.evolve,
-            stage=False,
-        )
+        by = list(target.partition_by) or spec.partition_columns
+        write_target(validate(newest, spec, stage=True), target, spec.primary_keys, by, stage=False)
 
 
 def upsert_stream(

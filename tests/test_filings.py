@@ -124,3 +124,20 @@ def test_validated_row(spark):
     row = validate(df, schemas.FILINGS).first()
     assert row["Period start date"] == dt.date(2024, 4, 1)
     assert "Cash equilavents" not in row.asDict()
+
+
+def test_ledger_and_rows_are_all_documents(spark):
+    nothing = document("e.xbrl", values=[fact("Unknown", "1")])
+    bad = [document("b.xbrl", standard="US rules", values=[fact("OperatingIncome", "1")]), document("c.xbrl", skip=("AccountingStandardsDEI",)),
+           document("d.xbrl", skip=("EDINETCodeDEI",), values=[fact("OperatingIncome", "1")]), nothing,
+           document("f.xbrl", values=[fact("OperatingIncome", "n/a")])]
+    facts = spark.createDataFrame([r for d in [EIGHT, *bad] for r in d], SCHEMA)
+    every = spark.createDataFrame([(f"{c}.xbrl",) for c in "abcdefg"], "source_path string")
+    lost = {r["source_path"]: r["reason"] for r in filings.filing_ledger(facts, every).collect()}
+    assert lost == {
+        "b.xbrl": "unknown accounting standard US rules", "c.xbrl": "no accounting standard", "d.xbrl": "no Edinet code",
+        "e.xbrl": "no value", "f.xbrl": "no value", "g.xbrl": "no facts",
+    }
+    given = {r["source_path"] for r in filings.normalise_filing_facts(facts).collect()}
+    assert given | set(lost) == {f"{c}.xbrl" for c in "abcdefg"} and not given & set(lost)
+    assert filings.filing_ledger(facts).count() == 5

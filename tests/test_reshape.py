@@ -73,3 +73,20 @@ def test_union_last_and_newest(spark, rows):
     assert newest.columns == ["doc", "at", "v"] and rows(newest) == [("d", 2, None)]
     tied = spark.createDataFrame([("d", 1, "a"), ("d", 1, "b"), (None, 1, "c")], "doc string, at int, v string")
     assert rows(combine.newest_per_key(tied, ["doc"], ["at"])) == [("d", 1, "b"), (None, 1, "c")]
+
+
+def test_repeated_items_by_order_or_smallest(spark, rows):
+    data = [("t", "a", 2, None), ("t", "a", 1, None), ("t", "a", 4, 7.0), ("t", "a", 3, 9.0), ("t", "a", 3, 8.0), ("t", "b", 1, 5.0), ("u", "x", 1, 1.0)]
+    df = spark.createDataFrame(data, "k string, item string, line int, v double")
+    assert rows(reshape.items_to_columns(df, ["k"], "item", "v", ["a", "b"], order=["line"])) == [("t", 8.0, 5.0), ("u", None, None)]
+    assert rows(reshape.items_to_columns(df, ["k"], "item", "v", ["a", "b"])) == [("t", 7.0, 5.0), ("u", None, None)]
+    wide = spark.createDataFrame([("t", "a", 2, 1.0), ("t", "a", 1, 3.0)], "ticker string, item string, line int, `2024-03-31` double")
+    out = reshape.statements_to_rows(wide, ["a"], order=["line"])
+    assert rows(out) == [(dt.date(2024, 3, 31), "t", 3.0)]
+
+
+def test_a_pivot_has_one_exchange(spark):
+    df = spark.range(100).selectExpr("id % 7 as doc", "cast(id % 3 as string) as name", "cast(id as double) as v")
+    for out in (reshape.pivot_mean(df, ["doc"], "name", "v", ["0", "1"]), reshape.items_to_columns(df, ["doc"], "name", "v", ["0", "1"])):
+        plan = out._jdf.queryExecution().sparkPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1 and "SortAggregate" not in plan

@@ -144,8 +144,7 @@ def test_empty_folder_is_no_table(spark, rows, path):
     assert stored(spark, path, "parquet", rows) == OLD
 
 
-def test_many_touched_partitions_are_joined(spark, rows, path, monkeypatch):
-    monkeypatch.setattr(tables, "_NAMED_PARTITIONS", 1)
+def test_some_touched_partitions(spark, rows, path):
     keys, by = ["id", "day"], ["day"]
     tables.write_table(frame(spark, (1, D1, "a"), (1, D2, "b"), (1, D3, "c"), schema=PART), path, "upsert", keys, partition_by=by)
     tables.write_table(frame(spark, (1, D1, "A"), (1, D2, "B"), schema=PART), path, "upsert", keys, partition_by=by)

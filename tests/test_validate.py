@@ -71,13 +71,13 @@ def test_report(spark, rows):
 
 
 def test_metadata(spark):
-    df = spark.createDataFrame([("7203", 1.0)], "ticker string, price double")
+    df = spark.createDataFrame([(dt.date(2024, 5, 2), True, "north")], "counted_on date, complete boolean, region string")
     out = with_ingestion_metadata(df, "src", dt.datetime(2024, 1, 5, 10, 0, 0, 123456))
-    assert out.columns == ["ticker", "price", "ingestion_datetime", "ingestion_source"]
+    assert out.columns == ["counted_on", "complete", "region", "ingestion_datetime", "ingestion_source"]
     row = out.first()
     assert row["ingestion_datetime"] == dt.datetime(2024, 1, 5, 10, 0, 0)
     assert row["ingestion_source"] == "src"
-    assert df.columns == ["ticker", "price"]
+    assert df.columns == ["counted_on", "complete", "region"]
     now = with_ingestion_metadata(df)
     assert "ingestion_source" not in now.columns
     assert now.first()["ingestion_datetime"].microsecond == 0
@@ -89,3 +89,13 @@ def test_impute(spark):
     out = impute_missing_columns(df, spec)
     assert out.columns == ["a", "b c", "d"]
     assert tuple(out.first()) == (1, None, None)
+
+
+def test_unique_columns_of_several_types_are_counted_together(spark, rows):
+    spec = TableSpec(tuple(ColumnSpec(n, t, unique=True) for n, t in (("a", "Int"), ("b", "String"), ("c", "Float"), ("d", "Int"))))
+    df = spark.createDataFrame([(1, "1", 1.0, 5), (1, "1", 2.0, 5), (2, None, None, 5), (None, None, None, None)], "a int, b string, c double, d int")
+    report = validation_report(df, spec)
+    assert rows(report.filter("rule = 'unique'"), "column_name", "n_bad") == [("a", 1), ("b", 1), ("c", 0), ("d", 2)]
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+    with pytest.raises(ValidationError, match="a: repeated"):
+        validate(df, spec)
