@@ -11,10 +11,16 @@
 2. Matches of a document with one source are joined into blocks along diagonals and chained: a block follows the best one
    that ends before it in both texts, its score less a cost for each skipped word, kept in a Fenwick tree over source
    places. Chains are cut at gaps of more than ``GAP`` words.
-3. The words of the sources' stretches are sent to the units that ask for them (one stretch for each unit and source), and
+3. Chains whose blocks alone are alike enough are sure to count. What else of a document has seeds close enough to be part of
+   a passage is open: its first occurrences may have been the wrong partners. For open seeds, and repeated ones near them,
+   every occurrence in every earlier document is found: units learn which of their seeds are asked for, send each two that
+   lie close enough to follow one another in a chain, with a hash of the words between them, and one join gives the earlier
+   documents that share both but not the words between. Without such two a chain is one run of equal words, which step 1
+   finds by itself if it is long enough to count. Nothing is capped; documents without open seeds have no part in it.
+4. The words of the sources' stretches are sent to the units that ask for them (one stretch for each unit and source), and
    every chain is aligned: blocks as they are, gaps by edit distance, ends extended while words are equal. Chains of at
    least ``SHORTEST`` words with ``percent`` of words equal count.
-4. A run of at least ``least`` words covered by counted chains is a repeated passage. Its parts may have different sources.
+5. A run of at least ``least`` words covered by counted chains is a repeated passage. Its parts may have different sources.
 
 The texts are shuffled once and read again from that exchange. Memory: a unit, or the hashes of a bucket.
 """
@@ -29,34 +35,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.suffix_dedup import _MARKS, _answer_anchors, _sliding_min, _tail
-from ledgermill.llm.text import sequence_hashes
+from ledgermill.llm.text import _power_tables, mix, sequence_hashes
 from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, schema_of, unit_frame, unit_of
 
 WINDOW = 4
 #: Longest gap inside a chain, shortest chain that counts (words), and the cost of a skipped word.
 GAP, SHORTEST, GAP_COST = 16, 20, 0.5
-#: Fewest matches with one source that can make a chain that counts.
-FEWEST = 3
+#: Fewest matches with one source that can make a chain that counts: words equal around a single one are under ``SHORTEST``.
+FEWEST = 2
 #: Words of a long seed: as many as make a chain that counts.
 LONG = SHORTEST
+#: Repeated seeds at most so many words from an open one are matched with all their occurrences, too.
+NEAR = 2 * SHORTEST
 _U = np.uint64
 
 
 class Kinds:
-    """Seeds (hash, word place within the document, row) by hash: distinct hashes, each with its smallest document and place."""
+    """Seeds (hash, word place within the text, row) by hash: distinct hashes, each with its smallest document and place.
+
+    Places of sources count from the first text of a doc_id: several texts under one doc_id are one source, end to end.
+    """
 
     def __init__(self, unit: Unit, hashes: np.ndarray, place: np.ndarray, first: np.ndarray):
         self.hash = hashes
         self.row = np.searchsorted(first, place, "right") - 1
         self.place = place - first[self.row]
+        self.source_place = place - first[unit.first_text[self.row]]
         doc = unit.doc[self.row]
-        self.order = np.lexsort((self.place, doc, self.hash))
+        self.order = np.lexsort((self.source_place, doc, self.hash))
         ordered = self.hash[self.order]
         new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.empty(0, bool)
         self.first = np.flatnonzero(new)
         docs = doc[self.order]
         self.kinds = ordered[self.first]
-        self.low_doc, self.low_place = docs[self.first], self.place[self.order][self.first]
+        self.low_doc, self.low_place = docs[self.first], self.source_place[self.order][self.first]
         last = np.append(self.first[1:], len(ordered)) - 1
         self.many = docs[self.first] != docs[last] if len(last) else np.empty(0, bool)
         self.size = np.diff(np.append(self.first, len(self.order)))
@@ -109,10 +121,9 @@ def _send_hashes(k: int, bits: int):
         seeds = Seeds(unit, k)
         out = {"unit": [], "bucket": [], "hashes": [], "many": []}
         for bucket, a, b in bucket_ranges(seeds.kinds, bits):
-            tail = _tail(seeds.kinds[a:b], bits)
             out["unit"].append(unit.number)
             out["bucket"].append(bucket)
-            out["hashes"].append((tail >> _U(8)).astype("<u4").tobytes() + (tail & _U(255)).astype(np.uint8).tobytes())
+            out["hashes"].append(_pack(seeds.kinds[a:b], bits))
             out["many"].append(np.packbits(seeds.many[a:b]).tobytes())
         return pa.table(out, schema_of(_MARKS))
 
@@ -252,10 +263,93 @@ def chains_of(place: list[int], source: list[int], words: list[int]) -> list[lis
     return out
 
 
-_CHAINS = "unit long, row long, source long, low long, high long, blocks binary"
+def _group_chains(place: np.ndarray, source: np.ndarray, k: int):
+    """Chains of the matches with one source: blocks as (places, source places, words)."""
+    p, s, w = blocks_of(place, source, k)
+    for chain in chains_of(p.tolist(), s.tolist(), w.tolist()):
+        yield np.stack([p[chain], s[chain], w[chain]])
+
+
+def _add_chain(out: dict, unit: int, row: int, source: int, blocks: np.ndarray, beyond: int) -> None:
+    """``beyond``: how many words before and after the chain its ends may reach."""
+    p, s, w = blocks
+    out["unit"].append(unit)
+    out["row"].append(row)
+    out["source"].append(source)
+    out["low"].append(max(0, int(s[0]) - beyond))
+    out["high"].append(int(s[-1] + w[-1]) + beyond)
+    out["blocks"].append(blocks.astype("<i4").tobytes())
+
+
+def _is_sure(blocks: np.ndarray, percent: int) -> bool:
+    """Whether a chain counts whatever its gaps and ends hold: those can only add to the share of equal words."""
+    p, s, w = blocks
+    n, sn = int(p[-1] + w[-1] - p[0]), int(s[-1] + w[-1] - s[0])
+    return n >= SHORTEST and 100 * int(w.sum()) >= percent * max(n, sn)
+
+
+def _union(start: np.ndarray, end: np.ndarray):
+    """(starts, ends) of the runs that intervals make, touching ones joined."""
+    by = np.argsort(start, kind="stable")
+    start, end = start[by], np.maximum.accumulate(end[by]) if len(by) else end
+    new = np.r_[True, start[1:] > end[:-1]] if len(by) else np.empty(0, bool)
+    return start[new], end[np.r_[new[1:], True]] if len(by) else end
+
+
+def _inside(start: np.ndarray, end: np.ndarray, runs) -> np.ndarray:
+    """Which intervals lie in one of these apart runs."""
+    at = np.searchsorted(runs[0], start, "right") - 1
+    return (at >= 0) & (end <= np.append(runs[1], -1)[at]) if len(runs[0]) else np.zeros(len(start), bool)
+
 
+def _open(seeds: Seeds, there: np.ndarray, source: np.ndarray, sure: list[tuple[int, int, int]], least: int):
+    """(row, place, distinct seed) of the seeds that every earlier document must be asked about. ``source``: the first
+    document with each distinct seed, where ``there``.
 
-def _send_chains(k: int, bits: int):
+    A chain has at least ``FEWEST`` seeds that earlier documents have, each at most k + GAP words after the one before, and reaches less than
+    k + WINDOW words beyond them. Stretches that could be covered so, with those that ``sure`` chains (row, first word, last
+    word + 1) cover, make passages from ``least`` words on. Their seeds outside of sure chains are open.
+    """
+    k, first = seeds.k, seeds.words.first
+    kind = np.repeat(np.arange(len(seeds.kinds)), seeds.size)
+    which = seeds.order
+    earlier = there[kind] & (source[kind] < seeds.unit.doc[seeds.row[which]])
+    which, kind = which[earlier], kind[earlier]
+    by = np.lexsort((seeds.place[which], seeds.row[which]))
+    which, kind = which[by], kind[by]
+    row, place = seeds.row[which], seeds.place[which]
+    if not len(row):
+        return row, place, kind
+    new = np.r_[True, (row[1:] != row[:-1]) | (np.diff(place) > k + GAP)]
+    group = np.cumsum(new) - 1
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(row)) - 1
+    many = tails - heads + 1 >= FEWEST
+    shift = first[:-1] + 2 * NEAR * np.arange(len(first) - 1)  # texts apart, so that their runs stay apart
+    words = np.diff(first)
+    a = shift[row[heads]] + np.maximum(place[heads] - k - WINDOW, 0)
+    b = shift[row[heads]] + np.minimum(place[tails] + 2 * k + WINDOW, words[row[heads]])
+    rows, starts, ends = np.array(sure, np.int64).reshape(-1, 3).T
+    covered = _union(shift[rows] + starts, shift[rows] + ends)
+    may = _union(np.concatenate([a[many], covered[0]]), np.concatenate([b[many], covered[1]]))
+    long = may[1] - may[0] >= least
+    at = shift[row] + place
+    good = many[group] & _inside(at, at + k, (may[0][long], may[1][long]))
+    open_ = good & ~_inside(at, at + k, covered)
+    near = np.zeros(len(at), bool)
+    if open_.any():
+        runs = _union(at[open_] - NEAR, at[open_] + NEAR + 1)
+        near = good & _inside(at, at, runs)
+    return row[near], place[near], kind[near]
+
+
+_CHAINS = ("unit long, row long, source long, low long, high long, blocks binary, bucket int, hashes binary, "
+           "near binary")
+#: In place of a bucket: a chain found in the second search.
+_SECOND = -1
+
+
+def _send_chains(k: int, bits: int, least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = {n: [] for n in schema_of(_CHAINS).names}
         if len(left) and len(right):
@@ -275,6 +369,8 @@ def _send_chains(k: int, bits: int):
                         mine = slice(0, len(picks[0])) if part == 0 else slice(len(picks[0]), None)
                         source[picks[part]], source_place[picks[part]] = (x[mine] for x in told[bucket])
                         there[picks[part]] = True
+                if part == 0:
+                    firsts = there, source
                 there = np.repeat(there, kinds.size)
                 take = kinds.order[there]
                 doc_from, place_from = np.repeat(source, kinds.size)[there], np.repeat(source_place, kinds.size)[there]
@@ -289,31 +385,182 @@ def _send_chains(k: int, bits: int):
             if len(row):
                 new = np.r_[True, (np.diff(row) != 0) | (np.diff(doc_from) != 0) | (np.diff(place) != 0) | (np.diff(place_from) != 0)]
                 row, place, doc_from, place_from = row[new], place[new], doc_from[new], place_from[new]
+            sure = []
             if len(row):
                 cuts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (doc_from[1:] != doc_from[:-1]), True])
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     if b - a < FEWEST:
                         continue
-                    p, s, w = blocks_of(place[a:b], place_from[a:b], k)
-                    for chain in chains_of(p.tolist(), s.tolist(), w.tolist()):
-                        if p[chain[-1]] + w[chain[-1]] - p[chain[0]] < SHORTEST - 2 * (k + WINDOW):
-                            continue
-                        out["unit"].append(unit.number)
-                        out["row"].append(int(row[a]))
-                        out["source"].append(int(doc_from[a]))
-                        out["low"].append(max(0, int(s[chain[0]]) - k - WINDOW))
-                        out["high"].append(int(s[chain[-1]] + w[chain[-1]]) + k + WINDOW)
-                        out["blocks"].append(np.stack([p[chain], s[chain], w[chain]]).astype("<i4").tobytes())
+                    for blocks in _group_chains(place[a:b], place_from[a:b], k):
+                        if b - a > FEWEST or len(blocks[0]) > 1 or blocks[2][0] > k:  # not two seeds far apart
+                            _add_chain(out, unit.number, int(row[a]), int(doc_from[a]), blocks, k + WINDOW)
+                            if _is_sure(blocks, percent):
+                                sure.append((int(row[a]), int(blocks[0][0]), int(blocks[0][-1] + blocks[2][-1])))
+            _add_open(out, seeds, _open(seeds, *firsts, sure, least), bits)
+        for name in out:
+            out[name] += [None] * (len(out["unit"]) - len(out[name]))
         return pa.table(out, schema_of(_CHAINS))
 
     return run
 
 
+def _pack(hashes: np.ndarray, bits: int) -> bytes:
+    tail = _tail(hashes, bits)
+    return (tail >> _U(8)).astype("<u4").tobytes() + (tail & _U(255)).astype(np.uint8).tobytes()
+
+
+def _add_open(out: dict, seeds: Seeds, found, bits: int) -> None:
+    """Rows with the open seeds' places, and their distinct hashes by bucket; they follow the rows of chains."""
+    row, place, kind = found
+    for name in out:
+        out[name] += [None] * (len(out["unit"]) - len(out[name]))
+    for one in np.unique(row).tolist():
+        out["unit"].append(seeds.unit.number)
+        out["row"].append(one)
+        for name in set(out) - {"unit", "row", "near"}:
+            out[name].append(None)
+        out["near"].append(place[row == one].astype("<i4").tobytes())
+    hashes = seeds.kinds[np.unique(kind)]
+    for bucket, a, b in bucket_ranges(hashes, bits):
+        out["unit"].append(seeds.unit.number)
+        for name in set(out) - {"unit", "bucket", "hashes"}:
+            out[name].append(None)
+        out["bucket"].append(bucket)
+        out["hashes"].append(_pack(hashes[a:b], bits))
+
+
+_WANTED = "unit long, bucket int, hashes binary"
+
+
+def _ask_seeds(table: pa.Table) -> pa.Table:
+    """The hashes of a unit's open seeds by bucket."""
+    return table.filter(pa.compute.is_valid(table["hashes"])).select(schema_of(_WANTED).names).cast(schema_of(_WANTED))
+
+
+def _unpack(packed) -> list[np.ndarray]:
+    sizes = [len(x.as_buffer()) // 5 for x in packed]
+    return [(np.frombuffer(x.as_buffer(), "<u4", n).astype(_U) << _U(8)) | np.frombuffer(x.as_buffer(), np.uint8, n, 4 * n)
+            for x, n in zip(packed, sizes)]
+
+
+_ASKED_SEEDS = "unit long, bucket int, many binary"
+
+
+def _asked_seeds(_, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Per unit and bucket: which of the sent hashes are asked for, where there are any."""
+    out = {n: [] for n in schema_of(_ASKED_SEEDS).names}
+    if len(left) and len(right):
+        asked = np.unique(joined(_unpack(right["hashes"]), _U))
+        for unit, bucket, hashes in zip(left["unit"].to_pylist(), left["bucket"].to_pylist(), _unpack(left["hashes"])):
+            there = np.isin(hashes, asked)
+            if there.any():
+                out["unit"].append(unit)
+                out["bucket"].append(bucket)
+                out["many"].append(np.packbits(there).tobytes())
+    return pa.table(out, schema_of(_ASKED_SEEDS))
+
+
+_PAIRS = "key long, between long, unit long, row long, doc long, below long, a int, b int, source_a int, source_b int"
+
+
+def _send_pairs(k: int, bits: int):
+    """Each two seeds that are asked for and lie close enough to follow one another in a chain. ``below``: documents below it
+    are sources of the two, if they are open here."""
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if len(left) and len(right) and right["many"].null_count < len(right):
+            unit = Unit(left)
+            seeds = Seeds(unit, k)
+            told = {b: x for b, x in zip(right["bucket"].to_pylist(), right["many"]) if x.is_valid}
+            asked = np.zeros(len(seeds.kinds), bool)
+            for bucket, a, b in bucket_ranges(seeds.kinds, bits):
+                if bucket in told:
+                    asked[a:b] = np.unpackbits(np.frombuffer(told[bucket].as_buffer(), np.uint8), count=b - a)
+            which = np.sort(seeds.order[np.repeat(asked, seeds.size)])  # by row and place
+            row, place, doc, hashes = seeds.row[which], seeds.place[which], unit.doc[seeds.row[which]], seeds.hash[which]
+            from_place = seeds.source_place[which]
+            first = seeds.words.first
+            marked = np.zeros(int(first[-1]) + 1, bool)
+            for one, places in zip(right["row"].to_pylist(), right["near"]):
+                if places.is_valid:
+                    marked[first[one] + np.frombuffer(places.as_buffer(), "<i4")] = True
+            near = marked[first[row] + place]
+            up, down = _power_tables(int(first[-1]))
+            with np.errstate(over="ignore"):
+                sums = np.concatenate(([_U(0)], np.cumsum(seeds.word_hashes * up[: len(seeds.word_hashes)], dtype=_U)))
+            for step in range(1, k + GAP + 1):
+                i = np.flatnonzero((row[step:] == row[:-step]) & (place[step:] - place[:-step] <= k + GAP))
+                if not len(i):
+                    break
+                for t in range(step):  # in text that repeats itself, the next seed of its kind and not the one itself
+                    i = i[hashes[i + t] != hashes[i + step]]
+                j = i + step
+                with np.errstate(over="ignore"):
+                    key = mix(mix(hashes[i]) * _U(0x9E3779B97F4A7C15) + hashes[j])
+                    end = first[row[j]] + place[j]
+                    start = np.minimum(first[row[i]] + place[i] + k, end)
+                    between = mix((sums[end] - sums[start]) * down[start] + (place[j] - place[i]).astype(_U))
+                below = np.where(near[i] & near[j], doc[i], np.iinfo(np.int64).min)
+                out.append((key.view(np.int64), between.view(np.int64), np.full(len(i), unit.number), row[i], doc[i], below, place[i], place[j],
+                            from_place[i], from_place[j]))
+        schema = schema_of(_PAIRS)
+        if not out:
+            return schema.empty_table()
+        columns = dict(zip(schema.names, map(np.concatenate, zip(*out))))
+        # a source is matched with its first place that looks so
+        by = np.lexsort((columns["source_a"], columns["between"], columns["key"], columns["doc"]))
+        again = np.logical_and.reduce([columns[n][by][1:] == columns[n][by][:-1] for n in ("between", "key", "doc")])
+        columns["doc"][by[1:][again]] = np.iinfo(np.int64).max
+        return pa.table([pa.array(columns[n], t) for n, t in zip(schema.names, schema.types)], schema=schema)
+
+    return run
+
+
+def _more_chains(k: int):
+    """Chains of matches with one source, from the pairs of seeds that both have."""
+    def run(batches):
+        for batch in batches:
+            out = {n: [] for n in schema_of(_CHAINS).names[:7]}
+            for unit, row, source, met in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                met = met.values
+                pairs = [met.field(n).to_numpy() for n in ("a", "b", "from_a", "from_b")]
+                place, source_place = np.unique(
+                    np.stack([np.concatenate(pairs[:2]), np.concatenate(pairs[2:])]), axis=1).astype(np.int64)
+                for blocks in _group_chains(place, source_place, k):
+                    if len(blocks[0]) > 1 or blocks[2][0] > k:
+                        _add_chain(out, unit, row, source, blocks, NEAR)
+            out["bucket"] = [_SECOND] * len(out["unit"])
+            yield pa.RecordBatch.from_pydict(out, pa.schema(list(schema_of(_CHAINS))[:7]))
+
+    return run
+
+
+def _other_sources(by_unit, sent: DataFrame, chains: DataFrame, k: int, bits: int) -> DataFrame:
+    """Chains of open seeds with every earlier document that shares two of them, but not the words between."""
+    wanted = chains.groupBy("unit").applyInArrow(_ask_seeds, _WANTED)
+    asked = sent.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(_asked_seeds, _ASKED_SEEDS)
+    told = chains.unionByName(asked, allowMissingColumns=True).withColumnRenamed("unit", "u")
+    pairs = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_pairs(k, bits), _PAIRS)
+    later, earlier = pairs.alias("later"), pairs.alias("earlier")
+    # both sides need all columns and no filter of their own, so that the units are looked at once for both
+    nowhere = F.lit(0)
+    before = F.coalesce(F.col("earlier.doc"), nowhere) < F.coalesce(F.col("later.below"), nowhere)
+    other = F.col("earlier.between") != F.col("later.between")
+    met = later.join(earlier, (F.col("later.key") == F.col("earlier.key")) & before & other)
+    one = F.struct(F.col("later.a").alias("a"), F.col("later.b").alias("b"), F.col("earlier.source_a").alias("from_a"),
+                   F.col("earlier.source_b").alias("from_b"))
+    read = F.max(F.xxhash64(*[F.col(f"{side}.{c}") for side in ("later", "earlier") for c in pairs.columns]))
+    met = met.groupBy(F.col("later.unit").alias("unit"), F.col("later.row").alias("row"), F.col("earlier.doc").alias("source"))
+    kinds = ", ".join(_CHAINS.split(", ")[:7])
+    return met.agg(F.collect_list(one).alias("met"), read.alias("read")).mapInArrow(_more_chains(k), kinds)
+
+
 _ASKED = "asker long, source long, low long, high long"
 
 
 def _ask(table: pa.Table) -> pa.Table:
     """One stretch of each source that a unit's chains need."""
+    table = table.filter(pa.compute.is_valid(table["blocks"]))
     if not len(table):
         return schema_of(_ASKED).empty_table()
     found = table.group_by(["unit", "source"]).aggregate([("low", "min"), ("high", "max")])
@@ -329,10 +576,10 @@ def _reply(_, left: pa.Table, right: pa.Table) -> pa.Table:
         unit = Unit(left)
         words = unit.texts.words()
         hashes = words.hashes().astype("<u4")
-        row_of = {d: i for i, d in reversed(list(enumerate(unit.ids.to_pylist())))}
+        row_of = {d: (int(a), i) for i, (d, a) in enumerate(zip(unit.ids.to_pylist(), unit.first_text))}  # first and last text
         for asker, source, low, high in zip(*(right[c].to_pylist() for c in schema_of(_ASKED).names)):
             if source in row_of:
-                a, b = words.first[row_of[source]], words.first[row_of[source] + 1]
+                a, b = words.first[row_of[source][0]], words.first[row_of[source][1] + 1]
                 out["unit"].append(asker)
                 out["source"].append(source)
                 out["low"].append(low)
@@ -375,14 +622,18 @@ def _passages(unit: Unit, right: pa.Table, least: int, percent: int):
     sources = {s: (low, np.frombuffer(w.as_buffer(), "<u4"))
                for s, low, w in zip(replies["source"].to_pylist(), replies["low"].to_pylist(), replies["words"])}
     found: dict[int, list] = {}
-    for row, source, blocks in zip(asked["row"].to_pylist(), asked["source"].to_pylist(), asked["blocks"]):
+    first = pa.compute.is_null(asked["bucket"])
+    asked = pa.concat_tables([asked.filter(first), asked.filter(pa.compute.invert(first))])
+    for row, source, blocks, turn in zip(*(asked[n].to_pylist() for n in ("row", "source")), asked["blocks"], asked["bucket"].to_pylist()):
         if source not in sources:
             continue
         low, theirs = sources[source]
         mine = hashes[words.first[row] : words.first[row + 1]]
         a, n, sa, sn, equal = align(mine, theirs, low, np.frombuffer(blocks.as_buffer(), "<i4").reshape(3, -1))
         if n >= SHORTEST and 100 * equal >= percent * max(n, sn):
-            found.setdefault(row, []).append((a, a + n, source, sa, sa + sn, equal))
+            chain = (a, a + n, source, sa, sa + sn, equal)
+            if turn != _SECOND or chain not in found.get(row, ()):  # what both searches find is one chain
+                found.setdefault(row, []).append(chain)
     for row, chains in found.items():
         chains.sort()
         runs: list[list[int]] = []
@@ -442,7 +693,7 @@ def _cut_passages(columns: list[str], text: str, chars: str, least: int, percent
     return run
 
 
-def _prepared(docs: DataFrame, key: str, text: str, k: int, with_row: bool):
+def _prepared(docs: DataFrame, key: str, text: str, k: int, least: int, percent: int, with_row: bool):
     """Units, and for each what its chains and the words of their sources are."""
     rows, units, bits = unit_frame(docs, key, text, with_row)
     by_unit = rows.groupBy("unit")
@@ -452,7 +703,8 @@ def _prepared(docs: DataFrame, key: str, text: str, k: int, with_row: bool):
     places = by_unit.cogroup(marks.groupBy("u")).applyInArrow(_send_places(k, bits), _PLACES)
     sources = places.groupBy("bucket").applyInArrow(_answer_places, "unit long, bucket int, docs binary, places binary")
     told = marks.unionByName(sources.withColumnRenamed("unit", "u"), allowMissingColumns=True)
-    chains = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_chains(k, bits), _CHAINS).repartition("unit")
+    chains = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_chains(k, bits, least, percent), _CHAINS).repartition("unit")
+    chains = chains.unionByName(_other_sources(by_unit, sent, chains, k, bits), allowMissingColumns=True).repartition("unit")
     asked = chains.groupBy("unit").applyInArrow(_ask, _ASKED).withColumn("of", unit_of("source", units))
     replies = by_unit.cogroup(asked.groupBy("of")).applyInArrow(_reply, _REPLIES)
     answers = chains.unionByName(replies, allowMissingColumns=True).withColumnRenamed("unit", "u")
@@ -468,7 +720,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     of A-Z. A null text is empty; rows with a null doc_id take no part; rows that share a doc_id aren't compared. Other
     columns are not read.
     """
-    units, answers = _prepared(docs, key, text, k, False)
+    units, answers = _prepared(docs, key, text, k, least, percent, False)
     return units.cogroup(answers).applyInArrow(_list_passages(least, percent), _FOUND)
 
 
@@ -476,5 +728,5 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars
                  least: int = 50, percent: int = 80) -> DataFrame:
     """The documents, all columns, with repeated passages cut out of the later text; ``chars`` is its new length. The first
     occurrence of a passage and documents without repeats stay as they are."""
-    units, answers = _prepared(docs, key, text, k, True)
+    units, answers = _prepared(docs, key, text, k, least, percent, True)
     return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, least, percent), docs.schema)

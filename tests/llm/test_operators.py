@@ -158,6 +158,32 @@ def test_copies_of_passages_whose_phrases_all_occur_earlier(spark):
         assert cut[i].split() == [w for w in text.split() if i in (901, 950) and w[0] != "p" or i not in (901, 950)]
 
 
+@pytest.mark.parametrize("every", [11, 14])
+def test_altered_copies_of_passages_whose_phrases_all_occur_earlier(spark, every):
+    rng = random.Random(8)
+    word = iter(f"w{i}" for i in range(100_000))
+    passage = [f"p{i}" for i in range(120)]
+    rows = [(i, " ".join([next(word) for _ in range(30)] + passage[i : i + 9] + [next(word) for _ in range(30)])) for i in range(112)]
+    for i in (900, 901, 950):
+        mine = [next(word) if i > 900 and j % every == every // 2 else w for j, w in enumerate(passage)]
+        rows.append((i, " ".join([next(word) for _ in range(rng.randint(20, 40))] + mine + [next(word) for _ in range(25)])))
+    # two texts under one doc_id, the later of which has the passage
+    rows += [(800, "a b c"), (800, " ".join([next(word) for _ in range(30)] + [f"q{i}" for i in range(80)])),
+             (801, " ".join(f"q{i}" for i in range(80)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [tuple(r) for r in chaining.repeated_passages(df).collect()]
+    assert len(found) == len(set(found)) and {r[0] for r in found} == {801, 901, 950}
+    assert {(r[0], r[1]) for r in found} >= {(801, 800), (901, 900), (950, 900)}
+    for doc in (901, 950):
+        reach = [r for r in found if r[:2] == (doc, 900)]
+        # a stretch of fewer words than k + WINDOW - 1 at an end need not have a seed
+        assert min(r[4] for r in reach) <= dict(rows)[900].split().index("p0") + 7
+        assert sum(r[6] for r in reach) >= 120 - 120 // every - 14
+    cut = {r["doc_id"]: r["text"].split() for r in chaining.cut_passages(df).where("doc_id > 800").collect()}
+    assert cut[801] == [] and sum(w[0] == "p" for w in cut[900]) == 120
+    assert all(sum(w[0] == "p" for w in cut[i]) < 15 for i in (901, 950))
+
+
 def test_chain_prefers_collinear_blocks():
     chains = chaining.chains_of([0, 12, 30], [100, 112, 5], [10, 10, 10])
     assert chains[0] == [0, 1] and [2] in chains
