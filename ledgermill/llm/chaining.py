@@ -11,15 +11,15 @@
 2. Matches of a document with one source are joined into blocks along diagonals and chained: a block follows the best one
    that ends before it in both texts, its score less a cost for each skipped word, kept in a Fenwick tree over source
    places. Chains are cut at gaps of more than ``GAP`` words.
-3. Chains whose blocks alone are alike enough are sure to count. What else of a document has seeds close enough to be part of
-   a passage is open: its first occurrences may have been the wrong partners. For open seeds, and repeated ones near them,
-   every occurrence in every earlier document is found: units learn which of their seeds are asked for, send each two that
+3. The words of the sources' stretches are sent to the units that ask for them (one stretch for each unit and source), and
+   every chain is aligned: blocks as they are, gaps by edit distance, ends extended while words are equal. Chains of at
+   least ``SHORTEST`` words with ``percent`` of words equal count.
+4. What else of a document has seeds close enough to be part of a passage is open: its first occurrences may have been the
+   wrong partners. For open seeds, and repeated ones near them, every occurrence in every earlier document is found: units learn which of their seeds are asked for, send each two that
    lie close enough to follow one another in a chain, with a hash of the words between them, and one join gives the earlier
    documents that share both but not the words between. Without such two a chain is one run of equal words, which step 1
    finds by itself if it is long enough to count. Nothing is capped; documents without open seeds have no part in it.
-4. The words of the sources' stretches are sent to the units that ask for them (one stretch for each unit and source), and
-   every chain is aligned: blocks as they are, gaps by edit distance, ends extended while words are equal. Chains of at
-   least ``SHORTEST`` words with ``percent`` of words equal count.
+   Their chains are aligned like the others.
 5. A run of at least ``least`` words covered by counted chains is a repeated passage. Its parts may have different sources.
 
 The texts are shuffled once and read again from that exchange. Memory: a unit, or the hashes of a bucket.
@@ -273,12 +273,8 @@ def _group_chains(place: np.ndarray, source: np.ndarray, k: int):
 def _add_chain(out: dict, unit: int, row: int, source: int, blocks: np.ndarray, beyond: int) -> None:
     """``beyond``: how many words before and after the chain its ends may reach."""
     p, s, w = blocks
-    out["unit"].append(unit)
-    out["row"].append(row)
-    out["source"].append(source)
-    out["low"].append(max(0, int(s[0]) - beyond))
-    out["high"].append(int(s[-1] + w[-1]) + beyond)
-    out["blocks"].append(blocks.astype("<i4").tobytes())
+    _add_row(out, unit=unit, row=row, source=source, low=max(0, int(s[0]) - beyond), high=int(s[-1] + w[-1]) + beyond,
+             blocks=blocks.astype("<i4").tobytes())
 
 
 def _is_sure(blocks: np.ndarray, percent: int) -> bool:
@@ -302,24 +298,16 @@ def _inside(start: np.ndarray, end: np.ndarray, runs) -> np.ndarray:
     return (at >= 0) & (end <= np.append(runs[1], -1)[at]) if len(runs[0]) else np.zeros(len(start), bool)
 
 
-def _open(seeds: Seeds, there: np.ndarray, source: np.ndarray, sure: list[tuple[int, int, int]], least: int):
-    """(row, place, distinct seed) of the seeds that every earlier document must be asked about. ``source``: the first
-    document with each distinct seed, where ``there``.
+def _open(row: np.ndarray, place: np.ndarray, first: np.ndarray, k: int, sure: list[tuple[int, int, int]], least: int) -> np.ndarray:
+    """Which of these seeds (by row and place; earlier documents have each) every earlier document must be asked about.
 
-    A chain has at least ``FEWEST`` seeds that earlier documents have, each at most k + GAP words after the one before, and reaches less than
+    A chain has at least ``FEWEST`` such seeds, each at most k + GAP words after the one before, and reaches less than
     k + WINDOW words beyond them. Stretches that could be covered so, with those that ``sure`` chains (row, first word, last
-    word + 1) cover, make passages from ``least`` words on. Their seeds outside of sure chains are open.
+    word + 1) cover, make passages from ``least`` words on. Their seeds outside of sure chains are open, and those within
+    ``NEAR`` words of an open one are asked about, too.
     """
-    k, first = seeds.k, seeds.words.first
-    kind = np.repeat(np.arange(len(seeds.kinds)), seeds.size)
-    which = seeds.order
-    earlier = there[kind] & (source[kind] < seeds.unit.doc[seeds.row[which]])
-    which, kind = which[earlier], kind[earlier]
-    by = np.lexsort((seeds.place[which], seeds.row[which]))
-    which, kind = which[by], kind[by]
-    row, place = seeds.row[which], seeds.place[which]
     if not len(row):
-        return row, place, kind
+        return np.empty(0, bool)
     new = np.r_[True, (row[1:] != row[:-1]) | (np.diff(place) > k + GAP)]
     group = np.cumsum(new) - 1
     heads = np.flatnonzero(new)
@@ -336,17 +324,12 @@ def _open(seeds: Seeds, there: np.ndarray, source: np.ndarray, sure: list[tuple[
     at = shift[row] + place
     good = many[group] & _inside(at, at + k, (may[0][long], may[1][long]))
     open_ = good & ~_inside(at, at + k, covered)
-    near = np.zeros(len(at), bool)
-    if open_.any():
-        runs = _union(at[open_] - NEAR, at[open_] + NEAR + 1)
-        near = good & _inside(at, at, runs)
-    return row[near], place[near], kind[near]
+    if not open_.any():
+        return open_
+    return good & _inside(at, at, _union(at[open_] - NEAR, at[open_] + NEAR + 1))
 
 
-_CHAINS = ("unit long, row long, source long, low long, high long, blocks binary, bucket int, hashes binary, "
-           "near binary")
-#: In place of a bucket: a chain found in the second search.
-_SECOND = -1
+_CHAINS = "unit long, row long, source long, low long, high long, blocks binary, near binary, hashes binary"
 
 
 def _send_chains(k: int, bits: int, least: int, percent: int):
@@ -396,45 +379,50 @@ def _send_chains(k: int, bits: int, least: int, percent: int):
                             _add_chain(out, unit.number, int(row[a]), int(doc_from[a]), blocks, k + WINDOW)
                             if _is_sure(blocks, percent):
                                 sure.append((int(row[a]), int(blocks[0][0]), int(blocks[0][-1] + blocks[2][-1])))
-            _add_open(out, seeds, _open(seeds, *firsts, sure, least), bits)
-        for name in out:
-            out[name] += [None] * (len(out["unit"]) - len(out[name]))
+            _add_near(out, seeds, *firsts, sure, least)
         return pa.table(out, schema_of(_CHAINS))
 
     return run
 
 
-def _pack(hashes: np.ndarray, bits: int) -> bytes:
-    tail = _tail(hashes, bits)
-    return (tail >> _U(8)).astype("<u4").tobytes() + (tail & _U(255)).astype(np.uint8).tobytes()
+def _add_row(out: dict, **values) -> None:
+    for name in out:
+        out[name].append(values.get(name))
 
 
-def _add_open(out: dict, seeds: Seeds, found, bits: int) -> None:
-    """Rows with the open seeds' places, and their distinct hashes by bucket; they follow the rows of chains."""
-    row, place, kind = found
-    for name in out:
-        out[name] += [None] * (len(out["unit"]) - len(out[name]))
+def _add_near(out: dict, seeds: Seeds, there: np.ndarray, source: np.ndarray, sure: list, least: int) -> None:
+    """Rows with the places and hashes of seeds that may be open. ``source``: the first document with each distinct seed,
+    where ``there``."""
+    kind = np.repeat(np.arange(len(seeds.kinds)), seeds.size)
+    earlier = there[kind] & (source[kind] < seeds.unit.doc[seeds.row[seeds.order]])
+    which = np.sort(seeds.order[earlier])
+    which = which[_open(seeds.row[which], seeds.place[which], seeds.words.first, seeds.k, sure, least)]
+    row = seeds.row[which]
     for one in np.unique(row).tolist():
-        out["unit"].append(seeds.unit.number)
-        out["row"].append(one)
-        for name in set(out) - {"unit", "row", "near"}:
-            out[name].append(None)
-        out["near"].append(place[row == one].astype("<i4").tobytes())
-    hashes = seeds.kinds[np.unique(kind)]
-    for bucket, a, b in bucket_ranges(hashes, bits):
-        out["unit"].append(seeds.unit.number)
-        for name in set(out) - {"unit", "bucket", "hashes"}:
-            out[name].append(None)
-        out["bucket"].append(bucket)
-        out["hashes"].append(_pack(hashes[a:b], bits))
+        mine = which[row == one]
+        _add_row(out, unit=seeds.unit.number, row=one, near=seeds.place[mine].astype("<i4").tobytes(),
+                 hashes=seeds.hash[mine].astype("<u8").tobytes())
+
+
+def _pack(hashes: np.ndarray, bits: int) -> bytes:
+    tail = _tail(hashes, bits)
+    return (tail >> _U(8)).astype("<u4").tobytes() + (tail & _U(255)).astype(np.uint8).tobytes()
 
 
 _WANTED = "unit long, bucket int, hashes binary"
 
 
-def _ask_seeds(table: pa.Table) -> pa.Table:
+def _ask_seeds(bits: int):
     """The hashes of a unit's open seeds by bucket."""
-    return table.filter(pa.compute.is_valid(table["hashes"])).select(schema_of(_WANTED).names).cast(schema_of(_WANTED))
+    def run(table: pa.Table) -> pa.Table:
+        out = {n: [] for n in schema_of(_WANTED).names}
+        rows = table.filter(pa.compute.is_valid(table["near"]))
+        hashes = np.unique(joined(arrays(rows["hashes"], "<u8"), "<u8"))
+        for bucket, a, b in bucket_ranges(hashes, bits):
+            _add_row(out, unit=rows["unit"][0].as_py(), bucket=bucket, hashes=_pack(hashes[a:b], bits))
+        return pa.table(out, schema_of(_WANTED))
+
+    return run
 
 
 def _unpack(packed) -> list[np.ndarray]:
@@ -520,7 +508,7 @@ def _more_chains(k: int):
     """Chains of matches with one source, from the pairs of seeds that both have."""
     def run(batches):
         for batch in batches:
-            out = {n: [] for n in schema_of(_CHAINS).names[:7]}
+            out = {n: [] for n in schema_of(_CHAINS).names[:6]}
             for unit, row, source, met in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
                 met = met.values
                 pairs = [met.field(n).to_numpy() for n in ("a", "b", "from_a", "from_b")]
@@ -529,17 +517,16 @@ def _more_chains(k: int):
                 for blocks in _group_chains(place, source_place, k):
                     if len(blocks[0]) > 1 or blocks[2][0] > k:
                         _add_chain(out, unit, row, source, blocks, NEAR)
-            out["bucket"] = [_SECOND] * len(out["unit"])
-            yield pa.RecordBatch.from_pydict(out, pa.schema(list(schema_of(_CHAINS))[:7]))
+            yield pa.RecordBatch.from_pydict(out, pa.schema(list(schema_of(_CHAINS))[:6]))
 
     return run
 
 
-def _other_sources(by_unit, sent: DataFrame, chains: DataFrame, k: int, bits: int) -> DataFrame:
+def _other_sources(by_unit, sent: DataFrame, counted: DataFrame, k: int, bits: int) -> DataFrame:
     """Chains of open seeds with every earlier document that shares two of them, but not the words between."""
-    wanted = chains.groupBy("unit").applyInArrow(_ask_seeds, _WANTED)
+    wanted = counted.groupBy("unit").applyInArrow(_ask_seeds(bits), _WANTED)
     asked = sent.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(_asked_seeds, _ASKED_SEEDS)
-    told = chains.unionByName(asked, allowMissingColumns=True).withColumnRenamed("unit", "u")
+    told = counted.unionByName(asked, allowMissingColumns=True).withColumnRenamed("unit", "u")
     pairs = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_pairs(k, bits), _PAIRS)
     later, earlier = pairs.alias("later"), pairs.alias("earlier")
     # both sides need all columns and no filter of their own, so that the units are looked at once for both
@@ -551,7 +538,7 @@ def _other_sources(by_unit, sent: DataFrame, chains: DataFrame, k: int, bits: in
                    F.col("earlier.source_b").alias("from_b"))
     read = F.max(F.xxhash64(*[F.col(f"{side}.{c}") for side in ("later", "earlier") for c in pairs.columns]))
     met = met.groupBy(F.col("later.unit").alias("unit"), F.col("later.row").alias("row"), F.col("earlier.doc").alias("source"))
-    kinds = ", ".join(_CHAINS.split(", ")[:7])
+    kinds = ", ".join(_CHAINS.split(", ")[:6])
     return met.agg(F.collect_list(one).alias("met"), read.alias("read")).mapInArrow(_more_chains(k), kinds)
 
 
@@ -613,27 +600,65 @@ def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) ->
     return a, b - a, sa, sb - sa, equal
 
 
-def _passages(unit: Unit, right: pa.Table, least: int, percent: int):
-    """Per row with repeated passages: the runs (first word, last word + 1), and the chains that make them."""
-    words = unit.texts.words()
+_COUNTED = "unit long, row long, source long, counted binary, near binary, hashes binary"
+
+
+def _counted(unit: Unit, words, right: pa.Table, percent: int) -> dict[int, list]:
+    """The chains of each row that count: (first word, last word + 1, source, the same there, equal words)."""
     hashes = words.hashes().astype("<u4")
     asked = right.filter(pa.compute.is_valid(right["blocks"]))
     replies = right.filter(pa.compute.is_valid(right["words"]))
     sources = {s: (low, np.frombuffer(w.as_buffer(), "<u4"))
                for s, low, w in zip(replies["source"].to_pylist(), replies["low"].to_pylist(), replies["words"])}
     found: dict[int, list] = {}
-    first = pa.compute.is_null(asked["bucket"])
-    asked = pa.concat_tables([asked.filter(first), asked.filter(pa.compute.invert(first))])
-    for row, source, blocks, turn in zip(*(asked[n].to_pylist() for n in ("row", "source")), asked["blocks"], asked["bucket"].to_pylist()):
+    for row, source, blocks in zip(asked["row"].to_pylist(), asked["source"].to_pylist(), asked["blocks"]):
         if source not in sources:
             continue
         low, theirs = sources[source]
         mine = hashes[words.first[row] : words.first[row + 1]]
         a, n, sa, sn, equal = align(mine, theirs, low, np.frombuffer(blocks.as_buffer(), "<i4").reshape(3, -1))
         if n >= SHORTEST and 100 * equal >= percent * max(n, sn):
-            chain = (a, a + n, source, sa, sa + sn, equal)
-            if turn != _SECOND or chain not in found.get(row, ()):  # what both searches find is one chain
-                found.setdefault(row, []).append(chain)
+            found.setdefault(row, []).append((a, a + n, source, sa, sa + sn, equal))
+    return found
+
+
+def _align_first(k: int, least: int, percent: int):
+    """What counts of the first search, and which seeds are still open."""
+    def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {n: [] for n in schema_of(_COUNTED).names}
+        if len(left) and len(right):
+            unit = Unit(left)
+            words = unit.texts.words()
+            found = _counted(unit, words, right, percent)
+            for row, chains in found.items():
+                for a, b, source, *rest in chains:
+                    _add_row(out, unit=unit.number, row=row, source=source, counted=np.array([a, b, *rest], "<i8").tobytes())
+            near = right.filter(pa.compute.is_valid(right["near"]))
+            places, hashes = arrays(near["near"], "<i4"), arrays(near["hashes"], "<u8")
+            row = np.repeat(near["row"].to_numpy(), [len(x) for x in places])
+            place, hashes = joined(places, "<i4").astype(np.int64), joined(hashes, "<u8")
+            by = np.lexsort((place, row))
+            row, place, hashes = row[by], place[by], hashes[by]
+            sure = [(r, *c[:2]) for r in set(near["row"].to_pylist()) for c in found.get(r, ())]
+            open_ = _open(row, place, words.first, k, sure, least)
+            for one in np.unique(row[open_]).tolist():
+                mine = open_ & (row == one)
+                _add_row(out, unit=unit.number, row=one, near=place[mine].astype("<i4").tobytes(), hashes=hashes[mine].tobytes())
+        return pa.table(out, schema_of(_COUNTED))
+
+    return run
+
+
+def _passages(unit: Unit, right: pa.Table, least: int, percent: int):
+    """Per row with repeated passages: the runs (first word, last word + 1), and the chains that make them."""
+    words = unit.texts.words()
+    found: dict[int, list] = {}
+    before = right.filter(pa.compute.is_valid(right["counted"]))
+    for row, source, counted in zip(before["row"].to_pylist(), before["source"].to_pylist(), arrays(before["counted"], "<i8")):
+        a, b, *rest = counted.tolist()
+        found.setdefault(row, []).append((a, b, source, *rest))
+    for row, chains in _counted(unit, words, right, percent).items():  # what both searches find is one chain
+        found[row] = found.get(row, []) + sorted(set(chains).difference(found.get(row, ())))
     for row, chains in found.items():
         chains.sort()
         runs: list[list[int]] = []
@@ -704,11 +729,18 @@ def _prepared(docs: DataFrame, key: str, text: str, k: int, least: int, percent:
     sources = places.groupBy("bucket").applyInArrow(_answer_places, "unit long, bucket int, docs binary, places binary")
     told = marks.unionByName(sources.withColumnRenamed("unit", "u"), allowMissingColumns=True)
     chains = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_chains(k, bits, least, percent), _CHAINS).repartition("unit")
-    chains = chains.unionByName(_other_sources(by_unit, sent, chains, k, bits), allowMissingColumns=True).repartition("unit")
+    aligned = by_unit.cogroup(_with_words(by_unit, chains, units).groupBy("u")).applyInArrow(_align_first(k, least, percent), _COUNTED)
+    counted = aligned.repartition("unit")
+    more = _other_sources(by_unit, sent, counted, k, bits).repartition("unit")
+    answers = _with_words(by_unit, more, units).unionByName(counted.withColumnRenamed("unit", "u"), allowMissingColumns=True)
+    return by_unit, answers.groupBy("u")
+
+
+def _with_words(by_unit, chains: DataFrame, units: int) -> DataFrame:
+    """The chains, and the words of their sources' stretches, by the unit (``u``) of the later text."""
     asked = chains.groupBy("unit").applyInArrow(_ask, _ASKED).withColumn("of", unit_of("source", units))
     replies = by_unit.cogroup(asked.groupBy("of")).applyInArrow(_reply, _REPLIES)
-    answers = chains.unionByName(replies, allowMissingColumns=True).withColumnRenamed("unit", "u")
-    return by_unit, answers.groupBy("u")
+    return chains.unionByName(replies, allowMissingColumns=True).withColumnRenamed("unit", "u")
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, least: int = 50,
