@@ -106,6 +106,10 @@ class ByteBpe:
                     self._known[piece] = raw[4 * last : 4 * cut]
                     last = cut
 
+    def forget(self) -> None:
+        """At the end of a task: a worker that waits or does other work holds no pieces."""
+        self._known.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         table = self._bytes
         return b"".join([table[i] for i in ids.tolist()])
@@ -167,6 +171,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                      pa.array([x.astype(np.int32) for x in starts], pa.list_(pa.int32()))],
                     names=["key", "ids", "starts"],
                 )
+        bpe.forget()
 
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema["key"].dataType.simpleString()
@@ -205,6 +210,7 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                     [batch.column(0).slice(first, len(n)), pa.array(n, pa.int64()), pa.array(there), pa.array(back)],
                     names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        bpe.forget()
 
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema["key"].dataType.simpleString()

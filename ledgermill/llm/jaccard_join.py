@@ -15,7 +15,8 @@ A document is its set of distinct word shingles; two documents link when their s
   Rounds verify each set against one leader of each list it is on, and join what links into components, until none
   links any more (``ROUNDS`` at most); lists whose sets are in one component are closed. Then every pair of sets in
   *different* components that meets on an open list is verified, so no link that could change a component is missed, and a
-  group of near copies never lists all its pairs.
+  group of near copies never lists all its pairs. Sets of such a group that are too far apart to link would still meet;
+  ``SKETCH`` parity bits of each set, which differ in no more places than the sets do, part them on the list itself.
 * The boundary is the size with the least estimated number of rows of both sides together.
 
 The rarity order comes from a table of 2**18 counts over all documents' shingles: any order gives the same result, so hash
@@ -49,6 +50,8 @@ ROUNDS = 4
 LEAST_BOUNDARY, MOST_BOUNDARY = 6, 24
 _COUNT_BITS, _BLOCK = 18, 4096
 _BITMAP_BITS = 26
+#: Longs of a set's parity bits.
+SKETCH = 8
 
 
 def _class_of():
@@ -117,16 +120,24 @@ def shingle_counts(docs: DataFrame, text: str, k: int) -> np.ndarray:
     return counts.reshape(-1)
 
 
+def sketch_of(one: np.ndarray) -> np.ndarray:
+    """Parity bits of a set: each element turns one over, so two sets differ in at least as many elements as bits."""
+    odd = np.bincount((one & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(k: int, percent: int, counts):
-    """Per document: set size, two hashes of the set, and its rarest shingles (all of them up to MOST_BOUNDARY)."""
+    """Per document: set size, two hashes of the set, its parity bits (null if it is surely light), and its rarest shingles
+    (all of them up to MOST_BOUNDARY)."""
 
     def run(batches):
         count = counts.value
         for batch in batches:
             for a, b, texts in slices(batch.column(1)):
-                n, s1, s2, first = [], [], [], []
+                n, s1, s2, first, sketch = [], [], [], [], []
                 for one in shingle_sets(texts.words(), k):
                     n.append(len(one))
+                    sketch.append(sketch_of(one) if len(one) >= LEAST_BOUNDARY else None)
                     for sums, value in zip((s1, s2), _sums(one)):
                         sums.append(value)
                     order = np.lexsort((one, count[(one >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)]))
@@ -136,8 +147,8 @@ def _signatures(k: int, percent: int, counts):
                 flat = np.concatenate(first) if first else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
-                     pa.array(s2, pa.int64()), pa.ListArray.from_arrays(lengths, flat)],
-                    names=["doc_id", "n", "s1", "s2", "first"],
+                     pa.array(s2, pa.int64()), pa.ListArray.from_arrays(lengths, flat), pa.array(sketch, pa.list_(pa.int64()))],
+                    names=["doc_id", "n", "s1", "s2", "first", "sketch"],
                 )
 
     return run
@@ -287,7 +298,7 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
     shared = lists.groupBy("token").agg(F.count("*").alias("many")).where("many > 1").select("token")
     lists = write_scratch(lists.join(shared, "token"), "jaccard-shared")
     kept = lists.groupBy("rep").agg(F.first("n").alias("n"), F.collect_list("token").alias("kept"))
-    kept = kept.where(F.size("kept") >= SHARED).join(heavy.select("rep", "doc"), "rep")
+    kept = kept.where(F.size("kept") >= SHARED).join(heavy.select("rep", "doc", "sketch"), "rep")
     kept = write_scratch(kept, "jaccard-kept")
     listed = F.col("pos") <= F.col("n") + F.floor(F.lit(-percent) * F.col("n") / 100)
 
@@ -327,8 +338,13 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
         labelled = write_scratch(labelled, "jaccard-labels")
         mixed = labelled.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
         state = write_scratch(labelled.join(mixed.select("token"), "token"), "jaccard-state")
+    bits = [f"bits{i}" for i in range(SKETCH)]
+    state = state.join(kept.select("rep", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)]), "rep")
     x, y = state.alias("ex"), state.alias("ey")
-    pairs = x.join(y, F.col("ex.token") == F.col("ey.token")).where((F.col("ex.rep") < F.col("ey.rep")) & meet("ex", "ey"))
+    nx, ny = F.col("ex.n"), F.col("ey.n")
+    apart = sum((F.bit_count(F.col(f"ex.{b}").bitwiseXOR(F.col(f"ey.{b}"))) for b in bits), F.lit(0))
+    near = apart <= nx + ny - 2 * _overlap(nx, ny, percent)
+    pairs = x.join(y, F.col("ex.token") == F.col("ey.token")).where((F.col("ex.rep") < F.col("ey.rep")) & meet("ex", "ey") & near)
     return links.union(linked(pairs.select(*ordered("ex", "ey")))).select("x", "y")
 
 
@@ -344,11 +360,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = spark.sparkContext.broadcast(shingle_counts(texts, "text", k).astype(np.int32))
     signed = texts.mapInArrow(
-        _signatures(k, percent, counts), "doc_id long, n long, s1 long, s2 long, first array<bigint>"
+        _signatures(k, percent, counts), "doc_id long, n long, s1 long, s2 long, first array<bigint>, sketch array<bigint>"
     )
     signed = write_scratch(signed.withColumn("rep", _class_of()), "jaccard-signatures")
     known = signed.where("doc_id is not null and n > 0")
-    reps = known.groupBy("rep").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("first").alias("first"))
+    reps = known.groupBy("rep").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("first").alias("first"),
+                                    F.first("sketch").alias("sketch"))
     reps = write_scratch(reps, "jaccard-classes")
     small = reps.where(F.col("n") <= 2 * MOST_BOUNDARY).groupBy("n").count().collect()
     boundary = choose_boundary({r["n"]: r["count"] for r in small}, percent)

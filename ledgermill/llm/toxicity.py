@@ -268,7 +268,7 @@ _known: dict[int, tuple[object, dict[str, float]]] = {}
 
 
 def _scorer(shared):
-    """Scores of texts under a broadcast model; a worker remembers the values of words."""
+    """Scores of texts under a broadcast model; a worker remembers the values of words until ``forget``."""
 
     def score(texts: list[str]) -> np.ndarray:
         if id(shared) not in _known:
@@ -287,6 +287,11 @@ def _scorer(shared):
     return score
 
 
+def forget() -> None:
+    """At the end of a task: a worker that waits or does other work holds no words."""
+    _known.clear()
+
+
 def _runs(column, most: int = 2 << 20):
     """(first row, texts) of runs of rows with about ``most`` characters; nulls count as empty."""
     texts, held, first = [], 0, 0
@@ -319,6 +324,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), pa.array(values),
                      pa.array((values >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+        forget()
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), is_held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
@@ -333,5 +339,6 @@ def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         for batch in batches:
             for first, texts in _runs(batch.column(place)):
                 yield batch.slice(first, len(texts)).filter(pa.array(of(texts) < 0.5))
+        forget()
 
     return docs.mapInArrow(run, docs.schema)

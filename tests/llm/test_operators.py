@@ -428,6 +428,46 @@ def test_short_texts_with_a_common_line_link_like_brute_force(spark):
     assert got == {i: root(i) for i, _ in sets} and len(set(got.values())) < 250
 
 
+def test_near_copies_too_far_apart_to_link_never_become_pairs(spark, monkeypatch):
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[: 7 * i + 4], *[f"e{i}x{j}" for j in range(3)], *base[7 * i + 7 :]])) for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = dict(_sets(rows, 4))
+    assert max(100 * len(a & b) / len(a | b) for i, a in sets.items() for j, b in sets.items() if i < j) < 85
+    seen, promising = [], jaccard_join._promising
+
+    def counted(pairs, kept, percent):
+        seen.append(pairs.count())
+        return promising(pairs, kept, percent)
+
+    monkeypatch.setattr(jaccard_join, "_promising", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {i: i for i in sets} and seen[-1] <= len(rows)  # all 120 of them met before
+
+
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(3)
+    for n in (6, 40, 300, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.union1d(a[n // 5 :], rng.integers(0, 1 << 63, n // 6, dtype=np.uint64))
+        bits = sum(int(x).bit_count() for x in (jaccard_join.sketch_of(a) ^ jaccard_join.sketch_of(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b)) and jaccard_join.sketch_of(a).tolist() == jaccard_join.sketch_of(a[::-1]).tolist()
+
+
+def test_workers_forget_words_and_pieces():
+    class Shared:
+        value = toxicity.Model(np.zeros(toxicity._CODES), 0.0, 1.0, -5.0)
+
+    assert len(toxicity._scorer(Shared())(["some text", "", "more"])) == 3 and toxicity._known
+    toxicity.forget()
+    assert not toxicity._known
+    bpe = byte_bpe.ByteBpe(*_ranks())
+    ids = bpe.encode(["some text", "some more"])
+    assert bpe._known
+    bpe.forget()
+    assert not bpe._known and all((a == b).all() for a, b in zip(ids, bpe.encode(["some text", "some more"])))
+
+
 def test_top_k_of_repeated_ids_and_of_very_long_vectors(spark):
     rows = [(20, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (2, [1e9, 1.0]), (3, [1e300, 0.0]), (40, [0.0, 1.0]), (40, [0.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
