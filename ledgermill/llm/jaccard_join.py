@@ -16,7 +16,8 @@ A document is its set of distinct word shingles; two documents link when their s
   links any more (``ROUNDS`` at most); lists whose sets are in one component are closed. Then every pair of sets in
   *different* components that meets on an open list is verified, so no link that could change a component is missed, and a
   group of near copies never lists all its pairs. Sets of such a group that are too far apart to link would still meet;
-  ``SKETCH`` parity bits of each set, which differ in no more places than the sets do, part them on the list itself.
+  ``SKETCH`` parity bits of each set, which differ in no more places than the sets do, part them on the list itself. A pair
+  that met on one of the last ``EARLIER`` lists before of both sides does not meet again, so it is a row once, not once a list.
 * The boundary is the size with the least estimated number of rows of both sides together.
 
 The rarity order comes from a table of 2**18 counts over all documents' shingles: any order gives the same result, so hash
@@ -52,6 +53,8 @@ _COUNT_BITS, _BLOCK = 18, 4096
 _BITMAP_BITS = 26
 #: Longs of a set's parity bits.
 SKETCH = 8
+#: Entries before one of its own that an entry names, so that two sets that met on one of them do not meet again.
+EARLIER = 16
 
 
 def _class_of():
@@ -339,12 +342,18 @@ def _heavy_links(reps: DataFrame, texts: DataFrame, boundary: int, k: int, perce
         mixed = labelled.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
         state = write_scratch(labelled.join(mixed.select("token"), "token"), "jaccard-state")
     bits = [f"bits{i}" for i in range(SKETCH)]
-    state = state.join(kept.select("rep", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)]), "rep")
+    mine = state.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("at"))
+    mine = mine.join(kept.select("rep", *[F.col("sketch")[i].alias(b) for i, b in enumerate(bits)]), "rep")
+    entry = mine.select("rep", "n", "component", *bits, F.col("at.token").alias("tokens"), F.posexplode("at").alias("i", "e"))
+    before = F.slice("tokens", F.greatest(F.col("i") - EARLIER, F.lit(0)) + 1, F.least("i", F.lit(EARLIER)))
+    state = entry.select("rep", "n", "component", *bits, "e.pos", "e.token", before.alias("before"))
     x, y = state.alias("ex"), state.alias("ey")
     nx, ny = F.col("ex.n"), F.col("ey.n")
     apart = sum((F.bit_count(F.col(f"ex.{b}").bitwiseXOR(F.col(f"ey.{b}"))) for b in bits), F.lit(0))
     near = apart <= nx + ny - 2 * _overlap(nx, ny, percent)
-    pairs = x.join(y, F.col("ex.token") == F.col("ey.token")).where((F.col("ex.rep") < F.col("ey.rep")) & meet("ex", "ey") & near)
+    new = ~F.arrays_overlap("ex.before", "ey.before")
+    pairs = x.join(y, F.col("ex.token") == F.col("ey.token"))
+    pairs = pairs.where((F.col("ex.rep") < F.col("ey.rep")) & meet("ex", "ey") & near & new)
     return links.union(linked(pairs.select(*ordered("ex", "ey")))).select("x", "y")
 
 

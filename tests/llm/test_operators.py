@@ -445,6 +445,23 @@ def test_near_copies_too_far_apart_to_link_never_become_pairs(spark, monkeypatch
     assert got == {i: i for i in sets} and seen[-1] <= len(rows)  # all 120 of them met before
 
 
+def test_sets_that_share_many_lists_meet_once(spark, monkeypatch):
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[: 7 * i + 4], *[f"e{i}x{j}" for j in range(3)], *base[7 * i + 7 :]])) for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct, seen = type(docs).distinct, []
+
+    def counted(frame):
+        if frame.columns == ["x", "y", "cx", "cy"]:
+            seen.append((frame.count(), distinct(frame).count()))
+        return distinct(frame)
+
+    monkeypatch.setattr(type(docs), "distinct", counted)
+    monkeypatch.setattr(jaccard_join.F, "bit_count", lambda c: jaccard_join.F.lit(0))  # parity bits part none
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {i: i for i in range(16)} and seen[-1][0] == seen[-1][1] > len(rows)
+
+
 def test_sketches_differ_no_more_than_sets():
     rng = np.random.default_rng(3)
     for n in (6, 40, 300, 3000):
