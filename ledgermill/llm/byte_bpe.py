@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.llm.text import give_back
+
 #: Pieces that a worker remembers, and the longest that it does.
 REMEMBERED, LONGEST = 250_000, 64
 
@@ -109,6 +111,7 @@ class ByteBpe:
     def forget(self) -> None:
         """At the end of a task: a worker that waits or does other work holds no pieces."""
         self._known.clear()
+        give_back()
 
     def decode(self, ids: np.ndarray) -> bytes:
         table = self._bytes

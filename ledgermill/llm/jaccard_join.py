@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.graph import components
-from ledgermill.llm.text import mix, shingle_sets, slices
+from ledgermill.llm.text import give_back, mix, shingle_sets, slices
 from ledgermill.scratch import write_scratch
 
 #: Shingles that two linked heavy sets share at least among the first ones kept of each.
@@ -101,6 +101,7 @@ def _count_shingles(text: str, k: int):
             yield pa.RecordBatch.from_pydict(
                 {"block": pa.array(range(len(blocks)), pa.int32()), "counts": pa.array([b.tobytes() for b in blocks])}
             )
+        give_back()
 
     return run
 
@@ -153,6 +154,7 @@ def _signatures(k: int, percent: int, counts):
                      pa.array(s2, pa.int64()), pa.ListArray.from_arrays(lengths, flat), pa.array(sketch, pa.list_(pa.int64()))],
                     names=["doc_id", "n", "s1", "s2", "first", "sketch"],
                 )
+        give_back()
 
     return run
 
@@ -230,6 +232,7 @@ def _full_sets(k: int, bitmap):
                 columns = list(zip(*rows)) or [()] * 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.binary(),))], names=["n", "s1", "s2", "set"])
+        give_back()
 
     return run
 
@@ -250,6 +253,7 @@ def _verify(percent):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["x", "y", "cx", "cy"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return run
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.linear import fit_logistic, fit_svm, sigmoid
+from ledgermill.llm.text import give_back
 
 #: Labelled documents in the training sample (not toxic, toxic), and landmarks of each kind.
 SAMPLE, LANDMARKS = (800, 400), 48
@@ -290,6 +291,7 @@ def _scorer(shared):
 def forget() -> None:
     """At the end of a task: a worker that waits or does other work holds no words."""
     _known.clear()
+    give_back()
 
 
 def _runs(column, most: int = 2 << 20):

@@ -471,6 +471,17 @@ def test_sketches_differ_no_more_than_sets():
         assert bits <= len(np.setxor1d(a, b)) and jaccard_join.sketch_of(a).tolist() == jaccard_join.sketch_of(a[::-1]).tolist()
 
 
+def test_what_workers_forget_goes_back_to_the_system():
+    def held():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+    words = [bytes(3000) for _ in range(100_000)]
+    del words[:-1]  # the last one keeps the rest from going by itself
+    before = held()
+    toxicity.forget()
+    assert before - held() > 200_000_000
+
+
 def test_workers_forget_words_and_pieces():
     class Shared:
         value = toxicity.Model(np.zeros(toxicity._CODES), 0.0, 1.0, -5.0)
