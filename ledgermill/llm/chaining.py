@@ -22,11 +22,13 @@
    Their chains are aligned like the others.
 5. A run of at least ``least`` words covered by counted chains is a repeated passage. Its parts may have different sources.
 
-The texts are shuffled once and read again from that exchange. Memory: a unit, or the hashes of a bucket.
+What a step finds is written, and the exchanges it needed are removed before the next one deals the texts to units again; the
+passes over the units within a step read one exchange. Memory: a unit, or the hashes of a bucket.
 """
 
 from __future__ import annotations
 
+import struct
 from bisect import bisect_left
 
 import numpy as np
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.suffix_dedup import _MARKS, _answer_anchors, _sliding_min, _tail
 from ledgermill.llm.text import _power_tables, mix, sequence_hashes
 from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, schema_of, unit_frame, unit_of
+from ledgermill.scratch import write_step
 
 WINDOW = 4
 #: Longest gap inside a chain, shortest chain that counts (words), and the cost of a skipped word.
@@ -50,6 +53,14 @@ NEAR = 2 * SHORTEST
 _U = np.uint64
 
 
+def _word_sums(word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, down): ``(sums[b] - sums[a]) * down[a]`` is a hash of the words from a to b."""
+    n = len(word_hashes)
+    up, down = _power_tables(n + 1)
+    with np.errstate(over="ignore"):
+        return np.concatenate(([_U(0)], np.cumsum(word_hashes * up[:n], dtype=_U))), down
+
+
 class Kinds:
     """Seeds (hash, word place within the text, row) by hash: distinct hashes, each with its smallest document and place.
 
@@ -62,7 +73,7 @@ class Kinds:
         self.place = place - first[self.row]
         self.source_place = place - first[unit.first_text[self.row]]
         doc = unit.doc[self.row]
-        self.order = np.lexsort((self.source_place, doc, self.hash))
+        self.order = np.argsort(self.hash, kind="stable")  # seeds come by document and source place
         ordered = self.hash[self.order]
         new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.empty(0, bool)
         self.first = np.flatnonzero(new)
@@ -93,7 +104,7 @@ class Seeds(Kinds):
                 at = np.arange(len(low)) + ((low - np.arange(len(low), dtype=_U)) & _U(0xFFFFFF)).astype(np.int64)
                 windows.append(np.arange(a, a + len(at)))
                 lowest.append(at + a)
-                at = np.unique(at)
+                at = at[np.r_[True, at[1:] != at[:-1]]]  # ascending, as windows are
                 hashes.append(own[at])
                 places.append(at + a)
         self.unit, self.k = unit, k
@@ -112,7 +123,10 @@ class Seeds(Kinds):
         total = np.concatenate(([0], np.cumsum(good)))
         place = np.flatnonzero(total[inside:] - total[:-inside] == inside) if len(total) > inside else np.empty(0, np.int64)
         place = place[place + LONG <= first[np.searchsorted(first, place, "right").clip(max=len(first) - 1)]]
-        return Kinds(self.unit, sequence_hashes(self.word_hashes, LONG)[place], place, first)
+        sums, down = _word_sums(self.word_hashes)
+        with np.errstate(over="ignore"):
+            hashes = mix((sums[place + LONG] - sums[place]) * down[place])
+        return Kinds(self.unit, hashes, place, first)
 
 
 def _send_hashes(k: int, bits: int):
@@ -264,24 +278,24 @@ def chains_of(place: list[int], source: list[int], words: list[int]) -> list[lis
 
 
 def _group_chains(place: np.ndarray, source: np.ndarray, k: int):
-    """Chains of the matches with one source: blocks as (places, source places, words)."""
-    p, s, w = blocks_of(place, source, k)
-    for chain in chains_of(p.tolist(), s.tolist(), w.tolist()):
-        yield np.stack([p[chain], s[chain], w[chain]])
+    """Chains of the matches with one source: lists of the blocks' places, source places and words."""
+    blocks = [x.tolist() for x in blocks_of(place, source, k)]
+    for chain in chains_of(*blocks):
+        yield [[x[i] for i in chain] for x in blocks]
 
 
-def _add_chain(out: dict, unit: int, row: int, source: int, blocks: np.ndarray, beyond: int) -> None:
+def _add_chain(out: dict, unit: int, row: int, source: int, blocks: list[list[int]], beyond: int) -> None:
     """``beyond``: how many words before and after the chain its ends may reach."""
     p, s, w = blocks
-    _add_row(out, unit=unit, row=row, source=source, low=max(0, int(s[0]) - beyond), high=int(s[-1] + w[-1]) + beyond,
-             blocks=blocks.astype("<i4").tobytes())
+    _add_row(out, unit=unit, row=row, source=source, low=max(0, s[0] - beyond), high=s[-1] + w[-1] + beyond,
+             blocks=struct.pack(f"<{3 * len(p)}i", *p, *s, *w))
 
 
-def _is_sure(blocks: np.ndarray, percent: int) -> bool:
+def _is_sure(blocks: list[list[int]], percent: int) -> bool:
     """Whether a chain counts whatever its gaps and ends hold: those can only add to the share of equal words."""
     p, s, w = blocks
-    n, sn = int(p[-1] + w[-1] - p[0]), int(s[-1] + w[-1] - s[0])
-    return n >= SHORTEST and 100 * int(w.sum()) >= percent * max(n, sn)
+    n, sn = p[-1] + w[-1] - p[0], s[-1] + w[-1] - s[0]
+    return n >= SHORTEST and 100 * sum(w) >= percent * max(n, sn)
 
 
 def _union(start: np.ndarray, end: np.ndarray):
@@ -378,7 +392,7 @@ def _send_chains(k: int, bits: int, least: int, percent: int):
                         if b - a > FEWEST or len(blocks[0]) > 1 or blocks[2][0] > k:  # not two seeds far apart
                             _add_chain(out, unit.number, int(row[a]), int(doc_from[a]), blocks, k + WINDOW)
                             if _is_sure(blocks, percent):
-                                sure.append((int(row[a]), int(blocks[0][0]), int(blocks[0][-1] + blocks[2][-1])))
+                                sure.append((int(row[a]), blocks[0][0], blocks[0][-1] + blocks[2][-1]))
             _add_near(out, seeds, *firsts, sure, least)
         return pa.table(out, schema_of(_CHAINS))
 
@@ -473,9 +487,7 @@ def _send_pairs(k: int, bits: int):
                 if places.is_valid:
                     marked[first[one] + np.frombuffer(places.as_buffer(), "<i4")] = True
             near = marked[first[row] + place]
-            up, down = _power_tables(int(first[-1]))
-            with np.errstate(over="ignore"):
-                sums = np.concatenate(([_U(0)], np.cumsum(seeds.word_hashes * up[: len(seeds.word_hashes)], dtype=_U)))
+            sums, down = _word_sums(seeds.word_hashes)
             for step in range(1, k + GAP + 1):
                 i = np.flatnonzero((row[step:] == row[:-step]) & (place[step:] - place[:-step] <= k + GAP))
                 if not len(i):
@@ -584,20 +596,29 @@ def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(best[-1])
 
 
+def _agree(a: np.ndarray, b: np.ndarray) -> int:
+    """How many words two texts have in common from their beginning."""
+    n, at, step = min(len(a), len(b)), 0, 32
+    while at < n:
+        differ = a[at : min(at + step, n)] != b[at : min(at + step, n)]
+        first = int(differ.argmax())
+        if differ[first]:
+            return at + first
+        at, step = at + len(differ), 4 * step
+    return n
+
+
 def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) -> tuple[int, int, int, int, int]:
     """(place, words, source place, source words, equal words) of a chain, extended while words are equal."""
-    place, source, words = blocks
-    equal = int(words.sum())
+    place, source, words = blocks.tolist()
+    equal = sum(words)
     for i in range(len(place) - 1):
         equal += _equal_words(mine[place[i] + words[i] : place[i + 1]],
                               theirs[source[i] + words[i] - low : source[i + 1] - low])
-    a, sa = int(place[0]), int(source[0])
-    b, sb = int(place[-1] + words[-1]), int(source[-1] + words[-1])
-    while a > 0 and sa > low and mine[a - 1] == theirs[sa - 1 - low]:
-        a, sa, equal = a - 1, sa - 1, equal + 1
-    while b < len(mine) and sb - low < len(theirs) and mine[b] == theirs[sb - low]:
-        b, sb, equal = b + 1, sb + 1, equal + 1
-    return a, b - a, sa, sb - sa, equal
+    a, sa, b, sb = place[0], source[0], place[-1] + words[-1], source[-1] + words[-1]
+    before = _agree(mine[:a][::-1], theirs[: max(sa - low, 0)][::-1])
+    after = _agree(mine[b:], theirs[max(sb - low, 0) :])
+    return a - before, b - a + before + after, sa - before, sb - sa + before + after, equal + before + after
 
 
 _COUNTED = "unit long, row long, source long, counted binary, near binary, hashes binary"
@@ -718,22 +739,21 @@ def _cut_passages(columns: list[str], text: str, chars: str, least: int, percent
     return run
 
 
-def _prepared(docs: DataFrame, key: str, text: str, k: int, least: int, percent: int, with_row: bool):
+def _prepared(docs: DataFrame, key: str, text: str, k: int, least: int, percent: int):
     """Units, and for each what its chains and the words of their sources are."""
-    rows, units, bits = unit_frame(docs, key, text, with_row)
+    rows, units, bits = unit_frame(docs, key, text)
     by_unit = rows.groupBy("unit")
-    sent = by_unit.applyInArrow(_send_hashes(k, bits), _MARKS)
+    sent = write_step(by_unit.applyInArrow(_send_hashes(k, bits), _MARKS), "passages-sent")
     marks = sent.groupBy("bucket").applyInArrow(_answer_anchors, "unit long, bucket int, many binary")
-    marks = marks.withColumnRenamed("unit", "u").repartition("u")
+    marks = write_step(marks.withColumnRenamed("unit", "u"), "passages-marks").repartition("u")
     places = by_unit.cogroup(marks.groupBy("u")).applyInArrow(_send_places(k, bits), _PLACES)
     sources = places.groupBy("bucket").applyInArrow(_answer_places, "unit long, bucket int, docs binary, places binary")
     told = marks.unionByName(sources.withColumnRenamed("unit", "u"), allowMissingColumns=True)
     chains = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_chains(k, bits, least, percent), _CHAINS).repartition("unit")
     aligned = by_unit.cogroup(_with_words(by_unit, chains, units).groupBy("u")).applyInArrow(_align_first(k, least, percent), _COUNTED)
-    counted = aligned.repartition("unit")
-    more = _other_sources(by_unit, sent, counted, k, bits).repartition("unit")
-    answers = _with_words(by_unit, more, units).unionByName(counted.withColumnRenamed("unit", "u"), allowMissingColumns=True)
-    return by_unit, answers.groupBy("u")
+    counted = write_step(aligned, "passages-counted").repartition("unit")
+    more = write_step(_other_sources(by_unit, sent, counted, k, bits), "passages-more").repartition("unit")
+    return by_unit, _with_words(by_unit, more, units).unionByName(counted.withColumnRenamed("unit", "u"), allowMissingColumns=True)
 
 
 def _with_words(by_unit, chains: DataFrame, units: int) -> DataFrame:
@@ -752,13 +772,15 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     of A-Z. A null text is empty; rows with a null doc_id take no part; rows that share a doc_id aren't compared. Other
     columns are not read.
     """
-    units, answers = _prepared(docs, key, text, k, least, percent, False)
-    return units.cogroup(answers).applyInArrow(_list_passages(least, percent), _FOUND)
+    units, answers = _prepared(docs, key, text, k, least, percent)
+    return units.cogroup(answers.groupBy("u")).applyInArrow(_list_passages(least, percent), _FOUND)
 
 
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", k: int = 5,
                  least: int = 50, percent: int = 80) -> DataFrame:
     """The documents, all columns, with repeated passages cut out of the later text; ``chars`` is its new length. The first
     occurrence of a passage and documents without repeats stay as they are."""
-    units, answers = _prepared(docs, key, text, k, least, percent, True)
+    _, answers = _prepared(docs, key, text, k, least, percent)
+    answers = write_step(answers, "passages-answers").groupBy("u")
+    units = unit_frame(docs, key, text, True)[0].groupBy("unit")  # whole rows are dealt once, for the cut
     return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, least, percent), docs.schema)

@@ -184,6 +184,32 @@ def test_altered_copies_of_passages_whose_phrases_all_occur_earlier(spark, every
     assert all(sum(w[0] == "p" for w in cut[i]) < 15 for i in (901, 950))
 
 
+def test_passages_are_found_in_steps_that_leave_no_shuffle_files(docs, spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before = {n for n in files() if n.startswith("shuffle_")}
+    found = chaining.repeated_passages(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("FlatMapCoGroupsInArrow") <= 4 and plan.count("Exchange") <= 20
+    assert not {n for n in files() if n.startswith("shuffle_") and n.endswith(".data")} - before
+    assert found.count() == 3
+
+
+def test_ends_of_chains_reach_as_far_as_words_agree():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 31, 32, 33, 500):
+        a, b = rng.integers(0, 9, n + 3), rng.integers(0, 9, n + 5)
+        b[:n] = a[:n]
+        b[n] = a[n] + 1
+        assert chaining._agree(a, b) == n and chaining._agree(a[:n], b) == n
+    mine, theirs = np.array([7, 1, 2, 3, 4, 5, 8]), np.array([9, 1, 2, 3, 4, 5, 6])
+    assert chaining.align(mine, theirs, 10, np.array([[3], [13], [1]])) == (1, 5, 11, 5, 5)
+
+
 def test_chain_prefers_collinear_blocks():
     chains = chaining.chains_of([0, 12, 30], [100, 112, 5], [10, 10, 10])
     assert chains[0] == [0, 1] and [2] in chains
