@@ -204,14 +204,19 @@ def _answer_places(table: pa.Table) -> pa.Table:
 
 
 def blocks_of(place: np.ndarray, source: np.ndarray, k: int):
-    """Matches of k words joined along diagonals where they touch: (place, source place, words) of each block, by place."""
+    """Matches of k words joined along diagonals where they touch: (place, source place, words) of each block, by place, and
+    the block of each match."""
     order = np.lexsort((place, source - place))
     place, source = place[order], source[order]
     apart = np.r_[True, (np.diff(source - place) != 0) | (np.diff(place) > k)]
     first = np.flatnonzero(apart)
     last = np.append(first[1:], len(place)) - 1
     by = np.lexsort((source[first], place[first]))
-    return place[first][by], source[first][by], (place[last] - place[first] + k)[by]
+    number = np.empty(len(by), np.int64)
+    number[by] = np.arange(len(by))
+    block = np.empty(len(order), np.int64)
+    block[order] = number[np.cumsum(apart) - 1]
+    return place[first][by], source[first][by], (place[last] - place[first] + k)[by], block
 
 
 class Fenwick:
@@ -278,10 +283,27 @@ def chains_of(place: list[int], source: list[int], words: list[int]) -> list[lis
 
 
 def _group_chains(place: np.ndarray, source: np.ndarray, k: int):
-    """Chains of the matches with one source: lists of the blocks' places, source places and words."""
-    blocks = [x.tolist() for x in blocks_of(place, source, k)]
-    for chain in chains_of(*blocks):
-        yield [[x[i] for i in chain] for x in blocks]
+    """Chains of the matches with one source: lists of the blocks' places, source places and words; and the chain of each
+    match."""
+    *blocks, block = blocks_of(place, source, k)
+    blocks = [x.tolist() for x in blocks]
+    chains = chains_of(*blocks)
+    chain_of = np.empty(len(blocks[0]), np.int64)
+    for n, chain in enumerate(chains):
+        chain_of[chain] = n
+    return [[[x[i] for i in chain] for x in blocks] for chain in chains], chain_of[block]
+
+
+def _pieces(place: np.ndarray, source: np.ndarray, words: np.ndarray, k: int):
+    """Blocks with k words at each end apart, by place: where two blocks overlap, a chain can do without such an end."""
+    head = np.where(words >= 2 * k, k, words)
+    tail = np.where(words >= 3 * k, k, 0)
+    cut = np.stack([np.zeros_like(words), head, words - tail, words])
+    start, size = cut[:-1].ravel(), np.diff(cut, axis=0).ravel()
+    place, source = np.tile(place, 3) + start, np.tile(source, 3) + start
+    by = np.lexsort((source, place))
+    by = by[size[by] > 0]
+    return place[by], source[by], size[by]
 
 
 def _add_chain(out: dict, unit: int, row: int, source: int, blocks: list[list[int]], beyond: int) -> None:
@@ -343,7 +365,58 @@ def _open(row: np.ndarray, place: np.ndarray, first: np.ndarray, k: int, sure: l
     return good & _inside(at, at, _union(at[open_] - NEAR, at[open_] + NEAR + 1))
 
 
-_CHAINS = "unit long, row long, source long, low long, high long, blocks binary, near binary, hashes binary"
+class Near:
+    """Seeds that may be open, by row and place: their hashes, the document and place of their first occurrences, and the chain
+    that these are in."""
+
+    def __init__(self, row, place, hashes, source, from_place, chain):
+        self.columns = row, place, hashes, source, from_place, chain
+        self.row, self.place, self.hash, self.source, self.from_place, self.chain = self.columns
+
+    @staticmethod
+    def read(table: pa.Table) -> Near:
+        table = table.filter(pa.compute.is_valid(table["near"]))
+        kinds = {"near": "<i4", "hashes": "<u8", "sources": "<i8", "froms": "<u4", "chains": "<i4"}
+        lists = {n: arrays(table[n], t) for n, t in kinds.items()}
+        row = np.repeat(table["row"].to_numpy(), [len(x) for x in lists["near"]])
+        columns = [joined(x, kinds[n]).astype(_U if n == "hashes" else np.int64) for n, x in lists.items()]
+        by = np.lexsort((columns[0], row))
+        return Near(row[by], *(x[by] for x in columns))
+
+    def take(self, which: np.ndarray) -> Near:
+        return Near(*(x[which] for x in self.columns))
+
+    def pairs(self, k: int):
+        """Each two seeds that may follow one another in a chain, but don't in that of their first occurrences: (first, second,
+        whether first occurrences explain them).
+
+        They are explained if one document has the first occurrences of both as close: another one with the two has no more
+        seeds there than that.
+        """
+        for step in range(1, k + GAP + 1):
+            i = np.flatnonzero((self.row[step:] == self.row[:-step]) & (self.place[step:] - self.place[:-step] <= k + GAP))
+            if not len(i):
+                break
+            i = i[(self.chain[i] != self.chain[i + step]) | (self.chain[i] < 0)]
+            yield i, i + step, self.explained(i, i + step, k)
+
+    def explained(self, i: np.ndarray, j: np.ndarray, k: int) -> np.ndarray:
+        apart, there = self.place[j] - self.place[i], self.from_place[j] - self.from_place[i]
+        in_order = (there > 0) & (there <= k + GAP) & ((there == apart) | (there >= k) & (apart >= k))
+        return (self.source[i] == self.source[j]) & in_order
+
+    def add_to(self, out: dict, unit: int, k: int) -> None:
+        """A row for each text that has pairs to be looked at."""
+        rows = [self.row[i] for i, _, _ in self.pairs(k)]
+        for one in np.unique(joined(rows, np.int64)).tolist():
+            mine = self.take(self.row == one)
+            _add_row(out, unit=unit, row=one, near=mine.place.astype("<i4").tobytes(), hashes=mine.hash.astype("<u8").tobytes(),
+                     sources=mine.source.astype("<i8").tobytes(), froms=mine.from_place.astype("<u4").tobytes(),
+                     chains=mine.chain.astype("<i4").tobytes())
+
+
+_NEAR = "near binary, hashes binary, sources binary, froms binary, chains binary"
+_CHAINS = f"unit long, row long, source long, low long, high long, blocks binary, {_NEAR}"
 
 
 def _send_chains(k: int, bits: int, least: int, percent: int):
@@ -367,7 +440,7 @@ def _send_chains(k: int, bits: int, least: int, percent: int):
                         source[picks[part]], source_place[picks[part]] = (x[mine] for x in told[bucket])
                         there[picks[part]] = True
                 if part == 0:
-                    firsts = there, source
+                    firsts = there, source, source_place
                 there = np.repeat(there, kinds.size)
                 take = kinds.order[there]
                 doc_from, place_from = np.repeat(source, kinds.size)[there], np.repeat(source_place, kinds.size)[there]
@@ -382,18 +455,21 @@ def _send_chains(k: int, bits: int, least: int, percent: int):
             if len(row):
                 new = np.r_[True, (np.diff(row) != 0) | (np.diff(doc_from) != 0) | (np.diff(place) != 0) | (np.diff(place_from) != 0)]
                 row, place, doc_from, place_from = row[new], place[new], doc_from[new], place_from[new]
-            sure = []
+            sure, chain, chained = [], np.full(len(row), -1), 0
             if len(row):
                 cuts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (doc_from[1:] != doc_from[:-1]), True])
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     if b - a < FEWEST:
                         continue
-                    for blocks in _group_chains(place[a:b], place_from[a:b], k):
+                    chains, chain[a:b] = _group_chains(place[a:b], place_from[a:b], k)
+                    chain[a:b] += chained
+                    chained += len(chains)
+                    for blocks in chains:
                         if b - a > FEWEST or len(blocks[0]) > 1 or blocks[2][0] > k:  # not two seeds far apart
                             _add_chain(out, unit.number, int(row[a]), int(doc_from[a]), blocks, k + WINDOW)
                             if _is_sure(blocks, percent):
                                 sure.append((int(row[a]), blocks[0][0], blocks[0][-1] + blocks[2][-1]))
-            _add_near(out, seeds, *firsts, sure, least)
+            _add_near(out, seeds, *firsts, (row, place, doc_from, place_from, chain), sure, least)
         return pa.table(out, schema_of(_CHAINS))
 
     return run
@@ -404,18 +480,28 @@ def _add_row(out: dict, **values) -> None:
         out[name].append(values.get(name))
 
 
-def _add_near(out: dict, seeds: Seeds, there: np.ndarray, source: np.ndarray, sure: list, least: int) -> None:
+def _add_near(out: dict, seeds: Seeds, there: np.ndarray, source: np.ndarray, from_place: np.ndarray, matches, sure: list,
+              least: int) -> None:
     """Rows with the places and hashes of seeds that may be open. ``source``: the first document with each distinct seed,
-    where ``there``."""
+    where ``there``, and its place in it; ``matches``: row, place, source, place there and chain of each match."""
     kind = np.repeat(np.arange(len(seeds.kinds)), seeds.size)
     earlier = there[kind] & (source[kind] < seeds.unit.doc[seeds.row[seeds.order]])
     which = np.sort(seeds.order[earlier])
     which = which[_open(seeds.row[which], seeds.place[which], seeds.words.first, seeds.k, sure, least)]
-    row = seeds.row[which]
-    for one in np.unique(row).tolist():
-        mine = which[row == one]
-        _add_row(out, unit=seeds.unit.number, row=one, near=seeds.place[mine].astype("<i4").tobytes(),
-                 hashes=seeds.hash[mine].astype("<u8").tobytes())
+    of = np.empty(len(seeds.order), np.int64)
+    of[seeds.order] = kind
+    of = of[which]
+    first = seeds.words.first
+    at = first[seeds.row[which]] + seeds.place[which]
+    seed = np.full(int(first[-1]) + 1, -1)
+    seed[at] = np.arange(len(which))
+    row, place, doc_from, place_from, chain = matches
+    mine = seed[first[row] + place]
+    same = (mine >= 0) & (doc_from == source[of][mine]) & (place_from == from_place[of][mine]) if len(of) else np.zeros(len(row), bool)
+    chain_of = np.full(len(which), -1)
+    chain_of[mine[same]] = chain[same]
+    near = Near(seeds.row[which], seeds.place[which], seeds.hash[which], source[of], from_place[of], chain_of)
+    near.add_to(out, seeds.unit.number, seeds.k)
 
 
 def _pack(hashes: np.ndarray, bits: int) -> bytes:
@@ -426,14 +512,14 @@ def _pack(hashes: np.ndarray, bits: int) -> bytes:
 _WANTED = "unit long, bucket int, hashes binary"
 
 
-def _ask_seeds(bits: int):
-    """The hashes of a unit's open seeds by bucket."""
+def _ask_seeds(k: int, bits: int):
+    """The hashes of a unit's open seeds by bucket, without those that first occurrences explain."""
     def run(table: pa.Table) -> pa.Table:
         out = {n: [] for n in schema_of(_WANTED).names}
-        rows = table.filter(pa.compute.is_valid(table["near"]))
-        hashes = np.unique(joined(arrays(rows["hashes"], "<u8"), "<u8"))
+        near = Near.read(table)
+        hashes = np.unique(joined([near.hash[x[~explained]] for *both, explained in near.pairs(k) for x in both], _U))
         for bucket, a, b in bucket_ranges(hashes, bits):
-            _add_row(out, unit=rows["unit"][0].as_py(), bucket=bucket, hashes=_pack(hashes[a:b], bits))
+            _add_row(out, unit=table["unit"][0].as_py(), bucket=bucket, hashes=_pack(hashes[a:b], bits))
         return pa.table(out, schema_of(_WANTED))
 
     return run
@@ -462,15 +548,37 @@ def _asked_seeds(_, left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table(out, schema_of(_ASKED_SEEDS))
 
 
-_PAIRS = "key long, between long, unit long, row long, doc long, below long, a int, b int, source_a int, source_b int"
+_PAIRS = ("key long, least long, most long, unit long, row long, doc long, start int, end int, asks int, places array<int>, "
+          "sources array<int>")
+_HOLDS, _ASKS, _GIVEN = 0, 1, 2
+
+
+def _by_text(asks: int, unit: int, group: tuple, between: np.ndarray, places: np.ndarray, sources: np.ndarray) -> pa.Table:
+    """One row for all places of a key in a text: ``group`` has key, row, doc, start and end; ``least`` and ``most`` of the
+    words between."""
+    if not len(between):
+        return schema_of(_PAIRS).empty_table()
+    by = np.lexsort((sources, places, between, *group))
+    group, between = [x[by] for x in group], between[by]
+    new = np.logical_or.reduce([np.r_[True, x[1:] != x[:-1]] for x in group])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(by))
+    key, row, doc, start, end = (x[first] for x in group)
+    cut = pa.array(np.append(first, len(by)), pa.int32())
+    lists = [pa.ListArray.from_arrays(cut, pa.array(x[by], pa.int32())) for x in (places, sources)]
+    columns = (key, between[first], between[last - 1], np.full(len(first), unit), row, doc, start, end, np.full(len(first), asks))
+    schema = schema_of(_PAIRS)
+    return pa.table([*(pa.array(x, t) for x, t in zip(columns, schema.types)), *lists], schema=schema)
 
 
 def _send_pairs(k: int, bits: int):
-    """Each two seeds that are asked for and lie close enough to follow one another in a chain. ``below``: documents below it
-    are sources of the two, if they are open here."""
+    """Each two seeds that are asked for and lie close enough to follow one another in a chain: a row for each text that holds
+    them, and one (``_ASKS``) for those that are open there and that first occurrences do not explain; ``start`` and ``end``:
+    the words that chains through them may cover. Those that lie with one source are matched with that again (``_GIVEN``)."""
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        if len(left) and len(right) and right["many"].null_count < len(right):
+        out, asks, given = [], [], []
+        near = Near.read(right) if len(right) else None
+        if len(left) and near is not None and (len(near.row) or right["many"].null_count < len(right)):
             unit = Unit(left)
             seeds = Seeds(unit, k)
             told = {b: x for b, x in zip(right["bucket"].to_pylist(), right["many"]) if x.is_valid}
@@ -482,11 +590,16 @@ def _send_pairs(k: int, bits: int):
             row, place, doc, hashes = seeds.row[which], seeds.place[which], unit.doc[seeds.row[which]], seeds.hash[which]
             from_place = seeds.source_place[which]
             first = seeds.words.first
-            marked = np.zeros(int(first[-1]) + 1, bool)
-            for one, places in zip(right["row"].to_pylist(), right["near"]):
-                if places.is_valid:
-                    marked[first[one] + np.frombuffer(places.as_buffer(), "<i4")] = True
-            near = marked[first[row] + place]
+            new = np.r_[True, (np.diff(near.row) != 0) | (np.diff(near.place) > 2 * NEAR)][: len(near.row)]
+            stretch = np.cumsum(new) - 1
+            starts = np.maximum(near.place[new] - NEAR, 0)[stretch]
+            ends = (near.place[np.r_[new[1:], True][: len(new)]] + k + NEAR)[stretch]
+            for i, _, explained in near.pairs(k):
+                i = i[explained]
+                given.append((np.zeros(len(i), np.int64), near.row[i], near.source[i], starts[i], ends[i], i, near.place[i], near.from_place[i]))
+            which_open = np.full(int(first[-1]) + 1, -1)
+            which_open[first[near.row] + near.place] = np.arange(len(near.row))
+            which_open = which_open[first[row] + place]
             sums, down = _word_sums(seeds.word_hashes)
             for step in range(1, k + GAP + 1):
                 i = np.flatnonzero((row[step:] == row[:-step]) & (place[step:] - place[:-step] <= k + GAP))
@@ -500,58 +613,52 @@ def _send_pairs(k: int, bits: int):
                     end = first[row[j]] + place[j]
                     start = np.minimum(first[row[i]] + place[i] + k, end)
                     between = mix((sums[end] - sums[start]) * down[start] + (place[j] - place[i]).astype(_U))
-                below = np.where(near[i] & near[j], doc[i], np.iinfo(np.int64).min)
-                out.append((key.view(np.int64), between.view(np.int64), np.full(len(i), unit.number), row[i], doc[i], below, place[i], place[j],
-                            from_place[i], from_place[j]))
-        schema = schema_of(_PAIRS)
-        if not out:
-            return schema.empty_table()
-        columns = dict(zip(schema.names, map(np.concatenate, zip(*out))))
-        # a source is matched with its first place that looks so
-        by = np.lexsort((columns["source_a"], columns["between"], columns["key"], columns["doc"]))
-        again = np.logical_and.reduce([columns[n][by][1:] == columns[n][by][:-1] for n in ("between", "key", "doc")])
-        columns["doc"][by[1:][again]] = np.iinfo(np.int64).max
-        return pa.table([pa.array(columns[n], t) for n, t in zip(schema.names, schema.types)], schema=schema)
-
-    return run
-
-
-def _more_chains(k: int):
-    """Chains of matches with one source, from the pairs of seeds that both have."""
-    def run(batches):
-        for batch in batches:
-            out = {n: [] for n in schema_of(_CHAINS).names[:6]}
-            for unit, row, source, met in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
-                met = met.values
-                pairs = [met.field(n).to_numpy() for n in ("a", "b", "from_a", "from_b")]
-                place, source_place = np.unique(
-                    np.stack([np.concatenate(pairs[:2]), np.concatenate(pairs[2:])]), axis=1).astype(np.int64)
-                for blocks in _group_chains(place, source_place, k):
-                    if len(blocks[0]) > 1 or blocks[2][0] > k:
-                        _add_chain(out, unit, row, source, blocks, NEAR)
-            yield pa.RecordBatch.from_pydict(out, pa.schema(list(schema_of(_CHAINS))[:6]))
+                key, between = key.view(np.int64), between.view(np.int64)
+                no = np.zeros(len(i), np.int64)
+                out.append((key, row[i], doc[i], no, no, between, no, from_place[i]))
+                x, y = which_open[i], which_open[j]
+                at = np.flatnonzero((x >= 0) & (y >= 0))
+                x, y = x[at], y[at]
+                ask = ((near.chain[x] != near.chain[y]) | (near.chain[x] < 0)) & ~near.explained(x, y, k)
+                at, x = at[ask], x[ask]
+                asks.append((key[at], row[i[at]], doc[i[at]], starts[x], ends[x], between[at], place[i[at]], no[at]))
+        parts = []
+        for kind, found in ((_HOLDS, out), (_ASKS, asks), (_GIVEN, given)):
+            if found:
+                *group, between, places, sources = map(np.concatenate, zip(*found))
+                if kind == _HOLDS:
+                    # a source is matched with its first place that looks so; the texts of a document are one source
+                    by = np.lexsort((sources, between, group[0], group[2]))
+                    new = np.logical_or.reduce([np.r_[True, x[by][1:] != x[by][:-1]] for x in (between, group[0], group[2])])[: len(by)]
+                    by = by[new]
+                    group, between, places, sources = [x[by] for x in group], between[by], places[by], sources[by]
+                    group[1] = np.zeros(len(by), np.int64)
+                parts.append(_by_text(kind, unit.number, tuple(group), between, places, sources))
+        return pa.concat_tables(parts) if parts else schema_of(_PAIRS).empty_table()
 
     return run
 
 
 def _other_sources(by_unit, sent: DataFrame, counted: DataFrame, k: int, bits: int) -> DataFrame:
-    """Chains of open seeds with every earlier document that shares two of them, but not the words between."""
-    wanted = counted.groupBy("unit").applyInArrow(_ask_seeds(bits), _WANTED)
+    """Stretches of open seeds (words ``start`` to ``end``) and, of every earlier document that shares two of them, but not the
+    words between, the words that may belong to such a stretch. ``met``: places of such seeds, here and there."""
+    wanted = counted.groupBy("unit").applyInArrow(_ask_seeds(k, bits), _WANTED)
     asked = sent.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(_asked_seeds, _ASKED_SEEDS)
     told = counted.unionByName(asked, allowMissingColumns=True).withColumnRenamed("unit", "u")
-    pairs = by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_pairs(k, bits), _PAIRS)
-    later, earlier = pairs.alias("later"), pairs.alias("earlier")
-    # both sides need all columns and no filter of their own, so that the units are looked at once for both
-    nowhere = F.lit(0)
-    before = F.coalesce(F.col("earlier.doc"), nowhere) < F.coalesce(F.col("later.below"), nowhere)
-    other = F.col("earlier.between") != F.col("later.between")
-    met = later.join(earlier, (F.col("later.key") == F.col("earlier.key")) & before & other)
-    one = F.struct(F.col("later.a").alias("a"), F.col("later.b").alias("b"), F.col("earlier.source_a").alias("from_a"),
-                   F.col("earlier.source_b").alias("from_b"))
-    read = F.max(F.xxhash64(*[F.col(f"{side}.{c}") for side in ("later", "earlier") for c in pairs.columns]))
-    met = met.groupBy(F.col("later.unit").alias("unit"), F.col("later.row").alias("row"), F.col("earlier.doc").alias("source"))
-    kinds = ", ".join(_CHAINS.split(", ")[:6])
-    return met.agg(F.collect_list(one).alias("met"), read.alias("read")).mapInArrow(_more_chains(k), kinds)
+    pairs = write_step(by_unit.cogroup(told.groupBy("u")).applyInArrow(_send_pairs(k, bits), _PAIRS), "passages-pairs")
+    later = pairs.where(F.col("asks") == _ASKS).drop("sources").withColumnRenamed("doc", "below")
+    earlier = pairs.where(F.col("asks") == _HOLDS).select(
+        "key", F.col("least").alias("from"), F.col("most").alias("to"), F.col("doc").alias("source"), "sources")
+    other = (F.col("from") != F.col("most")) | (F.col("to") != F.col("least"))  # not all have the same words between
+    met = later.join(earlier, (later["key"] == earlier["key"]) & (F.col("source") < F.col("below")) & other)
+    columns = ["unit", "row", "start", "end", "source", "places", "sources"]
+    met = met.select(columns).union(pairs.where(F.col("asks") == _GIVEN).withColumnRenamed("doc", "source").select(columns))
+    met = met.groupBy("unit", "row", "source", "start", "end").agg(
+        F.min(F.array_min("sources") - F.array_max("places")).alias("off"),
+        F.max(F.array_max("sources") - F.array_min("places")).alias("most"),
+        F.collect_list(F.struct("places", "sources")).alias("met"))
+    low, high = F.greatest(F.col("start") + F.col("off") - NEAR, F.lit(0)), F.col("end") + F.col("most") + NEAR
+    return met.select("unit", "row", "source", low.cast("long").alias("low"), high.cast("long").alias("high"), "start", "end", "met")
 
 
 _ASKED = "asker long, source long, low long, high long"
@@ -559,7 +666,7 @@ _ASKED = "asker long, source long, low long, high long"
 
 def _ask(table: pa.Table) -> pa.Table:
     """One stretch of each source that a unit's chains need."""
-    table = table.filter(pa.compute.is_valid(table["blocks"]))
+    table = table.filter(pa.compute.is_valid(table["high"]))
     if not len(table):
         return schema_of(_ASKED).empty_table()
     found = table.group_by(["unit", "source"]).aggregate([("low", "min"), ("high", "max")])
@@ -608,38 +715,95 @@ def _agree(a: np.ndarray, b: np.ndarray) -> int:
     return n
 
 
-def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) -> tuple[int, int, int, int, int]:
+def _gaps(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) -> list[int]:
+    """Equal words in each gap of a chain."""
+    place, source, words = blocks.tolist()
+    return [_equal_words(mine[place[i] + words[i] : place[i + 1]], theirs[source[i] + words[i] - low : source[i + 1] - low])
+            for i in range(len(place) - 1)]
+
+
+def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray, gaps=None) -> tuple[int, int, int, int, int]:
     """(place, words, source place, source words, equal words) of a chain, extended while words are equal."""
     place, source, words = blocks.tolist()
-    equal = sum(words)
-    for i in range(len(place) - 1):
-        equal += _equal_words(mine[place[i] + words[i] : place[i + 1]],
-                              theirs[source[i] + words[i] - low : source[i + 1] - low])
+    equal = sum(words) + sum(_gaps(mine, theirs, low, blocks) if gaps is None else gaps)
     a, sa, b, sb = place[0], source[0], place[-1] + words[-1], source[-1] + words[-1]
     before = _agree(mine[:a][::-1], theirs[: max(sa - low, 0)][::-1])
     after = _agree(mine[b:], theirs[max(sb - low, 0) :])
     return a - before, b - a + before + after, sa - before, sb - sa + before + after, equal + before + after
 
 
-_COUNTED = "unit long, row long, source long, counted binary, near binary, hashes binary"
-
-
-def _counted(unit: Unit, words, right: pa.Table, percent: int) -> dict[int, list]:
+def counted_parts(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray, percent: int):
+    """A chain, aligned, if it counts; otherwise its parts that do, cut where most words of a gap differ."""
+    gaps = _gaps(mine, theirs, low, blocks)
+    ends = blocks + blocks[2]
+    lost = np.maximum(*(blocks[:2, 1:] - ends[:2, :-1])) - gaps
+    parts = [(0, blocks.shape[1])]
+    while parts:
+        i, j = parts.pop()
+        a, n, sa, sn, equal = align(mine, theirs, low, blocks[:, i:j], gaps[i : j - 1])
+        if n >= SHORTEST and 100 * equal >= percent * max(n, sn):
+            yield a, a + n, sa, sa + sn, equal
+        elif n >= SHORTEST and j - i > 1:
+            cut = i + 1 + int(lost[i : j - 1].argmax())
+            parts += [(cut, j), (i, cut)]
+
+
+def _shared_runs(mine: np.ndarray, theirs: np.ndarray, start: int, low: int, met: np.ndarray, k: int):
+    """Runs of k words of two stretches (from words ``start`` and ``low`` on) that are equal: (place, source place). They are
+    sought on the diagonal of each two places that met, within ``NEAR`` words; and a run's first place in the source is tried."""
+    grams, known = sequence_hashes(mine.astype(_U), k), sequence_hashes(theirs.astype(_U), k)
+    if not len(grams) or not len(known):
+        return np.empty((2, 0), np.int64)
+    reach = np.arange(-NEAR, NEAR + 2 * k + GAP)
+    place = (met[0] - start)[:, None] + reach
+    source = (met[1] - low)[:, None] + reach
+    inside = (place >= 0) & (place < len(grams)) & (source >= 0) & (source < len(known))
+    place, source = place[inside], source[inside]
+    same = grams[place] == known[source]
+    kinds, first = np.unique(known, return_index=True)
+    at = np.searchsorted(kinds, grams).clip(max=len(kinds) - 1)
+    there = np.flatnonzero(kinds[at] == grams)
+    both = np.unique(np.concatenate([place[same] * len(known) + source[same], there * len(known) + first[at[there]]]))
+    return both // len(known) + start, both % len(known) + low
+
+
+_COUNTED = f"unit long, row long, source long, counted binary, {_NEAR}"
+
+
+def _counted(unit: Unit, words, right: pa.Table, percent: int, k: int) -> dict[int, list]:
     """The chains of each row that count: (first word, last word + 1, source, the same there, equal words)."""
     hashes = words.hashes().astype("<u4")
-    asked = right.filter(pa.compute.is_valid(right["blocks"]))
+    asked = right.filter(pa.compute.is_valid(right["high"]))
     replies = right.filter(pa.compute.is_valid(right["words"]))
     sources = {s: (low, np.frombuffer(w.as_buffer(), "<u4"))
                for s, low, w in zip(replies["source"].to_pylist(), replies["low"].to_pylist(), replies["words"])}
     found: dict[int, list] = {}
-    for row, source, blocks in zip(asked["row"].to_pylist(), asked["source"].to_pylist(), asked["blocks"]):
-        if source not in sources:
-            continue
+    def add(row: int, source: int, blocks: np.ndarray) -> None:
         low, theirs = sources[source]
         mine = hashes[words.first[row] : words.first[row + 1]]
-        a, n, sa, sn, equal = align(mine, theirs, low, np.frombuffer(blocks.as_buffer(), "<i4").reshape(3, -1))
-        if n >= SHORTEST and 100 * equal >= percent * max(n, sn):
-            found.setdefault(row, []).append((a, a + n, source, sa, sa + sn, equal))
+        for a, b, *rest in counted_parts(mine, theirs, low, blocks, percent):
+            found.setdefault(row, []).append((a, b, source, *rest))
+
+    rows, of = asked["row"].to_pylist(), asked["source"].to_pylist()
+    if "blocks" in asked.column_names:
+        for row, source, blocks in zip(rows, of, asked["blocks"]):
+            if source in sources:
+                add(row, source, np.frombuffer(blocks.as_buffer(), "<i4").reshape(3, -1))
+        return found
+    for row, source, start, end, least, most, met in zip(rows, of, *(asked[n].to_pylist() for n in ("start", "end", "low", "high")), asked["met"]):
+        if source in sources:
+            low, theirs = sources[source]
+            first, last = max(least, low), min(most, low + len(theirs))
+            mine = hashes[words.first[row] + start : min(words.first[row] + end, words.first[row + 1])]
+            places, there = ([np.asarray(x) for x in met.values.field(i).to_pylist()] for i in range(2))
+            met = np.concatenate([np.stack([np.repeat(x, len(y)), np.tile(y, len(x))]) for x, y in zip(places, there)], axis=1)
+            met = np.unique(met, axis=1)
+            place, source_place = _shared_runs(mine, theirs[first - low : last - low], start, first, met, k)
+            if len(place):
+                blocks = np.stack(_pieces(*blocks_of(place, source_place, k)[:3], k))
+                for chain in chains_of(*blocks.tolist()):
+                    if len(chain) > 1 or blocks[2, chain[0]] > k:
+                        add(row, source, blocks[:, chain])
     return found
 
 
@@ -650,27 +814,19 @@ def _align_first(k: int, least: int, percent: int):
         if len(left) and len(right):
             unit = Unit(left)
             words = unit.texts.words()
-            found = _counted(unit, words, right, percent)
+            found = _counted(unit, words, right, percent, k)
             for row, chains in found.items():
                 for a, b, source, *rest in chains:
                     _add_row(out, unit=unit.number, row=row, source=source, counted=np.array([a, b, *rest], "<i8").tobytes())
-            near = right.filter(pa.compute.is_valid(right["near"]))
-            places, hashes = arrays(near["near"], "<i4"), arrays(near["hashes"], "<u8")
-            row = np.repeat(near["row"].to_numpy(), [len(x) for x in places])
-            place, hashes = joined(places, "<i4").astype(np.int64), joined(hashes, "<u8")
-            by = np.lexsort((place, row))
-            row, place, hashes = row[by], place[by], hashes[by]
-            sure = [(r, *c[:2]) for r in set(near["row"].to_pylist()) for c in found.get(r, ())]
-            open_ = _open(row, place, words.first, k, sure, least)
-            for one in np.unique(row[open_]).tolist():
-                mine = open_ & (row == one)
-                _add_row(out, unit=unit.number, row=one, near=place[mine].astype("<i4").tobytes(), hashes=hashes[mine].tobytes())
+            near = Near.read(right)
+            sure = [(r, *c[:2]) for r in np.unique(near.row).tolist() for c in found.get(r, ())]
+            near.take(_open(near.row, near.place, words.first, k, sure, least)).add_to(out, unit.number, k)
         return pa.table(out, schema_of(_COUNTED))
 
     return run
 
 
-def _passages(unit: Unit, right: pa.Table, least: int, percent: int):
+def _passages(unit: Unit, right: pa.Table, k: int, least: int, percent: int):
     """Per row with repeated passages: the runs (first word, last word + 1), and the chains that make them."""
     words = unit.texts.words()
     found: dict[int, list] = {}
@@ -678,7 +834,7 @@ def _passages(unit: Unit, right: pa.Table, least: int, percent: int):
     for row, source, counted in zip(before["row"].to_pylist(), before["source"].to_pylist(), arrays(before["counted"], "<i8")):
         a, b, *rest = counted.tolist()
         found.setdefault(row, []).append((a, b, source, *rest))
-    for row, chains in _counted(unit, words, right, percent).items():  # what both searches find is one chain
+    for row, chains in _counted(unit, words, right, percent, k).items():  # what both searches find is one chain
         found[row] = found.get(row, []) + sorted(set(chains).difference(found.get(row, ())))
     for row, chains in found.items():
         chains.sort()
@@ -697,12 +853,12 @@ _FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_fi
           "equal_words long")
 
 
-def _list_passages(least: int, percent: int):
+def _list_passages(k: int, least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = {n: [] for n in schema_of(_FOUND).names}
         if len(left) and len(right):
             unit = Unit(left)
-            for row, _, chains, _ in _passages(unit, right, least, percent):
+            for row, _, chains, _ in _passages(unit, right, k, least, percent):
                 for a, b, source, sa, sb, equal in chains:
                     for name, value in zip(out, (unit.ids[row].as_py(), source, a, b - a, sa, sb - sa, equal)):
                         out[name].append(value)
@@ -711,7 +867,7 @@ def _list_passages(least: int, percent: int):
     return run
 
 
-def _cut_passages(columns: list[str], text: str, chars: str, least: int, percent: int):
+def _cut_passages(columns: list[str], text: str, chars: str, k: int, least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema(list(left.schema.field("row").type))
         if not len(left):
@@ -721,7 +877,7 @@ def _cut_passages(columns: list[str], text: str, chars: str, least: int, percent
         texts = rows.field(columns.index(text)).to_pylist()
         counts = rows.field(columns.index(chars)).to_pylist() if chars in columns else None
         data, offsets = unit.texts.data, unit.texts.offsets
-        for row, runs, _, words in _passages(unit, right, least, percent) if len(right) else ():
+        for row, runs, _, words in _passages(unit, right, k, least, percent) if len(right) else ():
             begin, end = int(offsets[row]), int(offsets[row + 1])
             starts = words.start[words.first[row] : words.first[row + 1]]
             kept, at = [], begin
@@ -773,7 +929,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     columns are not read.
     """
     units, answers = _prepared(docs, key, text, k, least, percent)
-    return units.cogroup(answers.groupBy("u")).applyInArrow(_list_passages(least, percent), _FOUND)
+    return units.cogroup(answers.groupBy("u")).applyInArrow(_list_passages(k, least, percent), _FOUND)
 
 
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", k: int = 5,
@@ -783,4 +939,4 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars
     _, answers = _prepared(docs, key, text, k, least, percent)
     answers = write_step(answers, "passages-answers").groupBy("u")
     units = unit_frame(docs, key, text, True)[0].groupBy("unit")  # whole rows are dealt once, for the cut
-    return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, least, percent), docs.schema)
+    return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, k, least, percent), docs.schema)

@@ -184,6 +184,41 @@ def test_altered_copies_of_passages_whose_phrases_all_occur_earlier(spark, every
     assert all(sum(w[0] == "p" for w in cut[i]) < 15 for i in (901, 950))
 
 
+def test_open_ends_of_copies_meet_no_text_that_first_occurrences_explain(spark, monkeypatch):
+    rng = random.Random(11)
+    word = iter(f"w{i}" for i in range(100_000))
+    base = [f"p{i}" for i in range(160)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 41):  # from word 100 on, three of ten words differ in each copy
+        rows.append((i, " ".join(next(word) if j >= 100 and j % 10 < 3 else w for j, w in enumerate(base))))
+    rows += [(50 + i, " ".join(f"r{i} a b c d e f g h".split() * rng.randint(20, 30))) for i in range(3)]
+    met, write = {}, chaining.write_step
+
+    def count(df, label):
+        out = write(df, label)
+        met[label] = out.count()
+        return out
+
+    monkeypatch.setattr(chaining, "write_step", count)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = chaining.repeated_passages(df).where("doc_id < 50").collect()
+    assert {r["doc_id"] for r in found if r["source_id"] == 0 and r["first_word"] == 0 and r["n_words"] >= 100} == set(range(1, 41))
+    assert met["passages-more"] < 600  # 780 pairs of copies
+
+
+def test_parts_of_chains_count():
+    theirs = np.arange(100)
+    mine = theirs.copy()
+    mine[40:52] = 1000 + np.arange(12)
+    blocks = np.array([[0, 52, 92], [0, 52, 92], [40, 30, 8]])
+    mine[82:92] = 2000 + np.arange(10)
+    found = list(chaining.counted_parts(mine, theirs, 0, blocks, 80))
+    assert found == [(0, 40, 0, 40, 40), (52, 82, 52, 82, 30)]
+    assert list(chaining.counted_parts(mine, theirs, 0, blocks, 70)) == [(0, 100, 0, 100, 78)]
+    place, source, words = chaining._pieces(np.array([0, 30]), np.array([5, 37]), np.array([20, 7]), 5)
+    assert place.tolist() == [0, 5, 15, 30] and source.tolist() == [5, 10, 20, 37] and words.tolist() == [5, 10, 5, 7]
+
+
 def test_passages_are_found_in_steps_that_leave_no_shuffle_files(docs, spark):
     manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
