@@ -31,7 +31,6 @@ passes over the units within a step read one exchange. Memory: a unit, or the ha
 
 from __future__ import annotations
 
-import struct
 from bisect import bisect_left
 
 import numpy as np
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.suffix_dedup import _MARKS, _answer_anchors, _sliding_min, _tail
-from ledgermill.llm.text import _power_tables, mix, sequence_hashes
+from ledgermill.llm.text import _power_tables, bytes_of, mix, sequence_hashes
 from ledgermill.llm.units import Unit, arrays, bucket_ranges, joined, schema_of, unit_frame, unit_of
 from ledgermill.scratch import write_step
 
@@ -54,6 +53,7 @@ LONG = SHORTEST
 #: Repeated seeds at most so many words from an open one are matched with all their occurrences, too.
 NEAR = 2 * SHORTEST
 _U = np.uint64
+_MOST_BYTES = 0x7FFFFFFF
 
 
 def _word_sums(word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +64,78 @@ def _word_sums(word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate(([_U(0)], np.cumsum(word_hashes * up[:n], dtype=_U))), down
 
 
+def _ordered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of hashes, and the hashes in it: their upper bits with their places below are sorted as values, which is
+    several times faster, and is the order unless different hashes agree in the upper bits."""
+    low = _U((1 << len(hashes).bit_length()) - 1)
+    key = (hashes & ~low) | np.arange(len(hashes), dtype=_U)
+    key.sort()
+    order = (key & low).view(np.int64)
+    ordered = hashes.take(order)
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(hashes, kind="stable")
+        ordered = hashes.take(order)
+    return order, ordered
+
+
+def _packed(*columns: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]] | None:
+    """Columns, the first counts most, as one number a row, and each one's (bits, smallest value); None if it takes over 64."""
+    if not len(columns[0]):
+        return np.empty(0, _U), [(0, 0)] * len(columns)
+    least = [int(x.min()) for x in columns]
+    bits = [(int(x.max()) - a).bit_length() for x, a in zip(columns, least)]
+    if sum(bits) > 64:
+        return None
+    key = np.zeros(len(columns[0]), _U)
+    for x, n, a in zip(columns, bits, least):
+        if n:
+            key <<= _U(n % 64)  # 64 bits are one column alone, after zeros
+            key |= (x - a).view(_U)
+    return key, list(zip(bits, least))
+
+
+def _unpacked(key: np.ndarray, how: list[tuple[int, int]]) -> list[np.ndarray]:
+    out = []
+    for n, a in reversed(how):
+        out.append((key & _U((1 << n) - 1)).view(np.int64) + a)
+        key = key >> _U(n) if n < 64 else np.zeros_like(key)
+    return out[::-1]
+
+
+def _order_of(*columns: np.ndarray) -> np.ndarray:
+    """The order of rows by these columns, the first counts most."""
+    packed = _packed(*columns, np.arange(len(columns[0])))
+    if packed is None:
+        return np.lexsort(columns[::-1])
+    key, how = packed
+    key.sort()
+    return (key & _U((1 << how[-1][0]) - 1)).view(np.int64)
+
+
+def _distinct_rows(*columns: np.ndarray) -> list[np.ndarray]:
+    """Distinct rows of these columns, by them."""
+    packed = _packed(*columns)
+    if packed is not None:
+        key, how = packed
+        key.sort()
+        return _unpacked(key[np.r_[True, key[1:] != key[:-1]][: len(key)]], how)
+    by = np.lexsort(columns[::-1])
+    columns = [x[by] for x in columns]
+    new = np.logical_or.reduce([np.r_[True, x[1:] != x[:-1]] for x in columns])
+    return [x[new] for x in columns]
+
+
+def _in_rows(values: np.ndarray, size: np.ndarray) -> pa.Array | pa.ChunkedArray:
+    """Values that lie end to end as a binary for each row, of ``size`` values."""
+    offsets = np.concatenate(([0], np.cumsum(size))) * values.itemsize
+    if offsets[-1] > _MOST_BYTES and len(size) > 1:  # more than an array can hold
+        half = len(size) // 2
+        at = int(offsets[half]) // values.itemsize
+        parts = [_in_rows(values[:at], size[:half]), _in_rows(values[at:], size[half:])]
+        return pa.chunked_array([y for x in parts for y in (x.chunks if isinstance(x, pa.ChunkedArray) else [x])])
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values)])
+
+
 class Kinds:
     """Seeds (hash, word place within the text, row) by hash: distinct hashes, each with its smallest document and place.
 
@@ -71,20 +143,19 @@ class Kinds:
     """
 
     def __init__(self, unit: Unit, hashes: np.ndarray, place: np.ndarray, first: np.ndarray):
+        """``place``: ascending, within the unit."""
         self.hash = hashes
-        self.row = np.searchsorted(first, place, "right") - 1
+        self.row = np.repeat(np.arange(len(first) - 1), np.diff(np.searchsorted(place, first)))
         self.place = place - first[self.row]
-        self.source_place = place - first[unit.first_text[self.row]]
-        doc = unit.doc[self.row]
-        self.order = np.argsort(self.hash, kind="stable")  # seeds come by document and source place
-        ordered = self.hash[self.order]
+        self.source_place = place - first[unit.first_text].take(self.row)
+        self.order, ordered = _ordered(self.hash)  # seeds come by document and source place
         new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.empty(0, bool)
         self.first = np.flatnonzero(new)
-        docs = doc[self.order]
+        docs = unit.doc.take(self.row.take(self.order))
         self.kinds = ordered[self.first]
-        self.low_doc, self.low_place = docs[self.first], self.source_place[self.order][self.first]
-        last = np.append(self.first[1:], len(ordered)) - 1
-        self.many = docs[self.first] != docs[last] if len(last) else np.empty(0, bool)
+        self.low_doc, self.low_place = docs[self.first], self.source_place.take(self.order.take(self.first))
+        last = np.append(self.first[1:], len(ordered))[: len(self.first)] - 1
+        self.many = self.low_doc != docs[last]
         self.size = np.diff(np.append(self.first, len(self.order)))
 
 
@@ -96,23 +167,33 @@ class Seeds(Kinds):
         self.word_hashes = self.words.hashes()
         first = self.words.first
         grams = sequence_hashes(self.word_hashes, k)
-        hashes, places, windows, lowest = [], [], [], []
-        for a, b, known in zip(first[:-1].tolist(), first[1:].tolist(), unit.known.tolist()):
-            n = b - a - k + 1
-            if n > 0 and known:
-                # the leftmost smallest of each window; a document shorter than a window has one
-                own = grams[a : a + n]
-                key = (own & ~_U(0xFFFFFF)) | (np.arange(n, dtype=_U) & _U(0xFFFFFF))
-                low = _sliding_min(key, min(WINDOW, n))
-                at = np.arange(len(low)) + ((low - np.arange(len(low), dtype=_U)) & _U(0xFFFFFF)).astype(np.int64)
-                windows.append(np.arange(a, a + len(at)))
-                lowest.append(at + a)
-                at = at[np.r_[True, at[1:] != at[:-1]]]  # ascending, as windows are
-                hashes.append(own[at])
-                places.append(at + a)
-        self.unit, self.k = unit, k
-        self.windows, self.lowest = joined(windows, np.int64), joined(lowest, np.int64)
-        super().__init__(unit, joined(hashes, _U), joined(places, np.int64), first)
+        n = np.diff(first) - k + 1
+        rows = np.flatnonzero((n > 0) & unit.known)
+        n, a = n[rows], first[:-1][rows]
+        # the leftmost smallest of each window; a document shorter than a window has one
+        count = np.maximum(n - WINDOW, 0) + 1
+        windows = np.arange(int(count.sum())) + np.repeat(a - np.cumsum(count) + count, count)
+        low = _U(0xFFFFFF)
+        at = np.arange(len(grams), dtype=_U)
+        if len(grams) > int(low):
+            at -= np.repeat(first[:-1], np.diff(first))[: len(grams)].astype(_U)
+        at &= low
+        key = (grams & ~low) | at
+        lowest = np.empty(len(windows), _U)
+        whole = np.repeat(n >= WINDOW, count)
+        lowest[whole] = _sliding_min(key, WINDOW).take(windows[whole]) if whole.any() else 0
+        short = np.flatnonzero(n < WINDOW)
+        smallest = key.take(a[short])
+        for i in range(1, WINDOW - 1):
+            longer = n[short] > i
+            smallest[longer] = np.minimum(smallest[longer], key.take(a[short[longer]] + i))
+        lowest[~whole] = smallest
+        lowest -= at.take(windows)
+        lowest &= low
+        self.lowest = windows + lowest.view(np.int64)
+        at = self.lowest[np.r_[True, self.lowest[1:] != self.lowest[:-1]][: len(windows)]]  # ascending, as windows are
+        self.unit, self.k, self.windows = unit, k, windows
+        super().__init__(unit, grams.take(at), at, first)
 
     def long(self, repeated: np.ndarray) -> Kinds:
         """The runs of ``LONG`` words all of whose windows have a repeated seed; ``repeated`` tells for each distinct one."""
@@ -206,43 +287,21 @@ def _answer_places(table: pa.Table) -> pa.Table:
          pa.array([places[a:b].tobytes() for a, b in cut], pa.binary())], ["unit", "bucket", "docs", "places"])
 
 
-def blocks_of(place: np.ndarray, source: np.ndarray, k: int):
-    """Matches of k words joined along diagonals where they touch: (place, source place, words) of each block, by place, and
-    the block of each match."""
-    order = np.lexsort((place, source - place))
-    place, source = place[order], source[order]
-    apart = np.r_[True, (np.diff(source - place) != 0) | (np.diff(place) > k)]
+def blocks_of(place: np.ndarray, source: np.ndarray, k: int, group: np.ndarray | None = None):
+    """Matches of k words joined along diagonals where they touch, in each group: (place, source place, words, group) of each
+    block, by group and place, and the order of the matches and block of each in it."""
+    group = np.zeros(len(place), np.int64) if group is None else group
+    diagonal = source - place
+    order = _order_of(group, diagonal, place)
+    place, source, diagonal, group = place[order], source[order], diagonal[order], group[order]
+    apart = np.r_[True, (np.diff(diagonal) != 0) | (np.diff(place) > k) | (np.diff(group) != 0)][: len(order)]
     first = np.flatnonzero(apart)
-    last = np.append(first[1:], len(place)) - 1
-    by = np.lexsort((source[first], place[first]))
+    last = np.append(first[1:], len(place))[: len(first)] - 1
+    by = _order_of(group[first], place[first], source[first])
     number = np.empty(len(by), np.int64)
     number[by] = np.arange(len(by))
-    block = np.empty(len(order), np.int64)
-    block[order] = number[np.cumsum(apart) - 1]
-    return place[first][by], source[first][by], (place[last] - place[first] + k)[by], block
-
-
-class Fenwick:
-    """Prefix maxima under point updates; remembers which entry holds the maximum."""
-
-    def __init__(self, n: int):
-        self.best = [(-1e18, -1)] * (n + 1)
-
-    def put(self, at: int, value: float, what: int) -> None:
-        at += 1
-        while at < len(self.best):
-            if value > self.best[at][0]:
-                self.best[at] = (value, what)
-            at += at & -at
-
-    def top(self, before: int) -> tuple[float, int]:
-        """The largest value at places below ``before``."""
-        found = (-1e18, -1)
-        while before > 0:
-            if self.best[before][0] > found[0]:
-                found = self.best[before]
-            before -= before & -before
-        return found
+    first, last = first[by], last[by]
+    return place[first], source[first], place[last] - place[first] + k, group[first], order, number[np.cumsum(apart) - 1]
 
 
 def chains_of(place: list[int], source: list[int], words: list[int]) -> list[list[int]]:
@@ -251,19 +310,31 @@ def chains_of(place: list[int], source: list[int], words: list[int]) -> list[lis
     if n == 1:
         return [[0]]
     ends = sorted({s + w for s, w in zip(source, words)})
-    tree = Fenwick(len(ends))
+    # a Fenwick tree of prefix maxima over source places, and which block has each
+    size = len(ends) + 1
+    best, best_at = [-1e18] * size, [-1] * size
     score, before = [0.0] * n, [-1] * n
     closing = sorted(range(n), key=lambda i: place[i] + words[i])
     done = 0
     for i in range(n):
-        while done < n and place[closing[done]] + words[closing[done]] <= place[i]:
-            j = closing[done]
-            end, source_end = place[j] + words[j], source[j] + words[j]
+        here = place[i]
+        while done < n and place[j := closing[done]] + words[j] <= here:
+            source_end = source[j] + words[j]
             # a skipped word costs in either text, so the cost of a gap is the difference of two sums
-            tree.put(bisect_left(ends, source_end), score[j] + GAP_COST * (end + source_end), j)
+            value = score[j] + GAP_COST * (place[j] + words[j] + source_end)
+            at = bisect_left(ends, source_end) + 1
+            while at < size:
+                if value > best[at]:
+                    best[at], best_at[at] = value, j
+                at += at & -at
             done += 1
-        value, j = tree.top(bisect_left(ends, source[i] + 1))
-        gain = value - GAP_COST * (place[i] + source[i])
+        value, j = -1e18, -1
+        at = bisect_left(ends, source[i] + 1)
+        while at > 0:
+            if best[at] > value:
+                value, j = best[at], best_at[at]
+            at -= at & -at
+        gain = value - GAP_COST * (here + source[i])
         score[i] = words[i] + max(0.0, gain)
         before[i] = j if gain > 0 else -1
     used, out = [False] * n, []
@@ -285,16 +356,19 @@ def chains_of(place: list[int], source: list[int], words: list[int]) -> list[lis
     return out
 
 
-def _group_chains(place: np.ndarray, source: np.ndarray, k: int):
-    """Chains of the matches with one source: lists of the blocks' places, source places and words; and the chain of each
-    match."""
-    *blocks, block = blocks_of(place, source, k)
-    blocks = [x.tolist() for x in blocks]
-    chains = chains_of(*blocks)
-    chain_of = np.empty(len(blocks[0]), np.int64)
-    for n, chain in enumerate(chains):
-        chain_of[chain] = n
-    return [[[x[i] for i in chain] for x in blocks] for chain in chains], chain_of[block]
+def _chains_in_groups(place: np.ndarray, source: np.ndarray, words: np.ndarray, group: np.ndarray):
+    """Chains of the blocks of each group, which come by group: (the blocks of the chains end to end, blocks of each chain)."""
+    cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]).tolist() if len(group) else []
+    of, size = [], []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b - a == 1:
+            of.append(a)
+            size.append(1)
+        else:
+            for chain in chains_of(place[a:b].tolist(), source[a:b].tolist(), words[a:b].tolist()):
+                of.extend([a + i for i in chain])
+                size.append(len(chain))
+    return np.array(of, np.int64), np.array(size, np.int64)
 
 
 def _pieces(place: np.ndarray, source: np.ndarray, words: np.ndarray, k: int):
@@ -309,20 +383,6 @@ def _pieces(place: np.ndarray, source: np.ndarray, words: np.ndarray, k: int):
     return place[by], source[by], size[by]
 
 
-def _add_chain(out: dict, unit: int, row: int, source: int, blocks: list[list[int]], beyond: int) -> None:
-    """``beyond``: how many words before and after the chain its ends may reach."""
-    p, s, w = blocks
-    _add_row(out, unit=unit, row=row, source=source, low=max(0, s[0] - beyond), high=s[-1] + w[-1] + beyond,
-             blocks=struct.pack(f"<{3 * len(p)}i", *p, *s, *w))
-
-
-def _is_sure(blocks: list[list[int]], percent: int) -> bool:
-    """Whether a chain counts whatever its gaps and ends hold: those can only add to the share of equal words."""
-    p, s, w = blocks
-    n, sn = p[-1] + w[-1] - p[0], s[-1] + w[-1] - s[0]
-    return n >= SHORTEST and 100 * sum(w) >= percent * max(n, sn)
-
-
 def _union(start: np.ndarray, end: np.ndarray):
     """(starts, ends) of the runs that intervals make, touching ones joined."""
     by = np.argsort(start, kind="stable")
@@ -444,35 +504,53 @@ def _send_chains(k: int, bits: int, least: int, percent: int):
                         there[picks[part]] = True
                 if part == 0:
                     firsts = there, source, source_place
-                there = np.repeat(there, kinds.size)
-                take = kinds.order[there]
-                doc_from, place_from = np.repeat(source, kinds.size)[there], np.repeat(source_place, kinds.size)[there]
-                earlier = doc_from < unit.doc[kinds.row[take]]
-                take, doc_from, place_from = take[earlier], doc_from[earlier], place_from[earlier]
+                of = np.repeat(np.flatnonzero(there), kinds.size[there])
+                take = kinds.order[np.repeat(there, kinds.size)]
+                earlier = source.take(of) < unit.doc.take(kinds.row.take(take))
+                take, of = take[earlier], of[earlier]
                 # a long match as matches of k words that touch
-                for i in sorted({*range(0, words - k, k), words - k}):
-                    matches.append((kinds.row[take], doc_from, kinds.place[take] + i, place_from + i))
+                shifts = np.unique([*range(0, words - k, k), words - k])[:, None]
+                matches.append([(x + y).ravel() for x, y in zip(
+                    (kinds.row[take], source[of], kinds.place[take], source_place[of]), (0 * shifts, 0 * shifts, shifts, shifts))])
             row, doc_from, place, place_from = (np.concatenate(x) for x in zip(*matches))
-            by = np.lexsort((place_from, place, doc_from, row))
-            row, place, doc_from, place_from = row[by], place[by], doc_from[by], place_from[by]
-            if len(row):
-                new = np.r_[True, (np.diff(row) != 0) | (np.diff(doc_from) != 0) | (np.diff(place) != 0) | (np.diff(place_from) != 0)]
-                row, place, doc_from, place_from = row[new], place[new], doc_from[new], place_from[new]
-            sure, chain, chained = [], np.full(len(row), -1), 0
-            if len(row):
-                cuts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (doc_from[1:] != doc_from[:-1]), True])
-                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    if b - a < FEWEST:
-                        continue
-                    chains, chain[a:b] = _group_chains(place[a:b], place_from[a:b], k)
-                    chain[a:b] += chained
-                    chained += len(chains)
-                    for blocks in chains:
-                        if b - a > FEWEST or len(blocks[0]) > 1 or blocks[2][0] > k:  # not two seeds far apart
-                            _add_chain(out, unit.number, int(row[a]), int(doc_from[a]), blocks, k + WINDOW)
-                            if _is_sure(blocks, percent):
-                                sure.append((int(row[a]), blocks[0][0], blocks[0][-1] + blocks[2][-1]))
-            _add_near(out, seeds, *firsts, (row, place, doc_from, place_from, chain), sure, least)
+            numbers = pa.array(doc_from).dictionary_encode()
+            docs = np.sort(numbers.dictionary.to_numpy())
+            number = np.searchsorted(docs, numbers.dictionary.to_numpy()).take(numbers.indices.to_numpy())
+            row, number, place, place_from = _distinct_rows(row, number, place, place_from)
+            new = np.r_[True, (row[1:] != row[:-1]) | (number[1:] != number[:-1])][: len(row)]
+            size = np.diff(np.append(np.flatnonzero(new), len(row)))
+            enough = np.repeat(size >= FEWEST, size)
+            row, number, place, place_from = row[enough], number[enough], place[enough], place_from[enough]
+            size = size[size >= FEWEST]
+            group = np.repeat(np.arange(len(size)), size)
+            row_of, number_of = (x[np.cumsum(size) - size] for x in (row, number))
+            p, s, w, g, order, block = blocks_of(place, place_from, k, group)
+            of, n = _chains_in_groups(p, s, w, g)
+            chain = np.empty(len(of), np.int64)
+            chain[of] = np.repeat(np.arange(len(n)), n)
+            matches = row[order], place[order], docs[number[order]], place_from[order], chain[block]
+            last = np.cumsum(n)
+            p, s, w, g = p[of], s[of], w[of], g[of]
+            first, last = last - n, last - 1
+            keep = (size[g[first]] > FEWEST) | (n > 1) | (w[first] > k)  # not two seeds far apart
+            blocks, n, first, last = np.repeat(keep, n), n[keep], first[keep], last[keep]
+            beyond = k + WINDOW  # how many words before and after the chain its ends may reach
+            rows, low, high = row_of[g[first]], np.maximum(s[first] - beyond, 0), s[last] + w[last] + beyond
+            begin, n_words = p[first], np.maximum(p[last] + w[last] - p[first], s[last] + w[last] - s[first])
+            equal = np.concatenate(([0], np.cumsum(w)))
+            equal = equal[last + 1] - equal[first]
+            # chains that count whatever their gaps and ends hold: those can only add to the share of equal words
+            sure = (p[last] + w[last] - begin >= SHORTEST) & (100 * equal >= percent * n_words)
+            _add_near(out, seeds, *firsts, matches, np.stack([rows, begin, p[last] + w[last]], axis=1)[sure], least)
+            at = np.arange(int(n.sum())) + np.repeat(2 * (np.cumsum(n) - n), n)
+            flat = np.empty(3 * len(at), "<i4")
+            for i, x in enumerate((p, s, w)):
+                flat[at + i * np.repeat(n, n)] = x[blocks]
+            chains = {"unit": np.full(len(n), unit.number), "row": rows, "source": docs[number_of[g[first]]], "low": low, "high": high,
+                      "blocks": _in_rows(flat, 3 * n)}
+            schema = schema_of(_CHAINS)
+            chains = [pa.array(chains[x.name], x.type) if x.name in chains else pa.nulls(len(n), x.type) for x in schema]
+            return pa.concat_tables([pa.table(chains, schema=schema), pa.table(out, schema)])
         return pa.table(out, schema_of(_CHAINS))
 
     return run
@@ -680,30 +758,46 @@ _REPLIES = "unit long, source long, low long, words binary"
 
 
 def _reply(_, left: pa.Table, right: pa.Table) -> pa.Table:
-    out = {n: [] for n in schema_of(_REPLIES).names}
-    if len(left) and len(right):
-        unit = Unit(left)
-        words = unit.texts.words()
-        hashes = words.hashes().astype("<u4")
-        row_of = {d: (int(a), i) for i, (d, a) in enumerate(zip(unit.ids.to_pylist(), unit.first_text))}  # first and last text
-        for asker, source, low, high in zip(*(right[c].to_pylist() for c in schema_of(_ASKED).names)):
-            if source in row_of:
-                a, b = words.first[row_of[source][0]], words.first[row_of[source][1] + 1]
-                out["unit"].append(asker)
-                out["source"].append(source)
-                out["low"].append(low)
-                out["words"].append(hashes[min(a + low, b) : min(a + high, b)].tobytes())
-    return pa.table(out, schema_of(_REPLIES))
-
-
-def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
-    """Words that a least-cost alignment of two gaps pairs with an equal one."""
-    if not len(a) or not len(b):
-        return 0
-    best = np.zeros(len(b) + 1, np.int64)
-    for x in a:
-        best[1:] = np.maximum.accumulate(np.maximum(best[1:], np.where(b == x, best[:-1] + 1, 0)))
-    return int(best[-1])
+    if not len(left) or not len(right):
+        return schema_of(_REPLIES).empty_table()
+    unit = Unit(left)
+    docs = unit.doc[: np.count_nonzero(unit.known)]  # ascending
+    asker, source, low, high = (right[c].to_numpy() for c in schema_of(_ASKED).names)
+    first, last = np.searchsorted(docs, source), np.searchsorted(docs, source, "right")
+    there = first < last
+    asker, source, low, high, first, last = (x[there] for x in (asker, source, low, high, first, last))
+    change = np.bincount(first, minlength=len(left) + 1) - np.bincount(last, minlength=len(left) + 1)
+    needed = np.cumsum(change)[:-1] > 0
+    words = unit.texts.take(np.flatnonzero(needed)).words()
+    row = np.concatenate(([0], np.cumsum(needed)))  # the texts of a document stay together
+    a, b = words.first[row[first]], words.first[row[last]]
+    begin, end = np.minimum(a + low, b), np.minimum(a + high, b)
+    change = np.bincount(begin, minlength=len(words.start) + 1) - np.bincount(end, minlength=len(words.start) + 1)
+    asked = np.flatnonzero(np.cumsum(change)[:-1] > 0)
+    hashes = np.empty(len(words.start), "<u4")
+    hashes[asked] = words.hashes(asked)
+    stretches = [hashes[x:y] for x, y in zip(begin.tolist(), end.tolist())]
+    return pa.table([pa.array(asker), pa.array(source), pa.array(low), _in_rows(joined(stretches, "<u4"), end - begin)],
+                    schema=schema_of(_REPLIES))
+
+
+def _equal_words(mine: np.ndarray, theirs: np.ndarray, a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Words that a least-cost alignment of two gaps pairs with an equal one, for each two: ``n`` words of mine from ``a`` on and
+    ``m`` of theirs from ``b`` on."""
+    out = np.zeros(len(n), np.int64)
+    some = np.flatnonzero((n > 0) & (m > 0))
+    most = 1 << 16  # so many pairs of places at once, or those of one gap
+    for part in np.array_split(some, max(1, len(some) * (int(m[some].max()) + 1) // most) if len(some) else 1):
+        if len(part):
+            at = np.arange(m[part].max())
+            own = theirs.take(b[part][:, None] + at, mode="clip")
+            inside = at < m[part][:, None]
+            best = np.zeros((len(part), len(at) + 1), np.int32)
+            for i in range(n[part].max()):
+                same = (own == mine.take(a[part] + i, mode="clip")[:, None]) & inside & (i < n[part])[:, None]
+                best[:, 1:] = np.maximum.accumulate(np.maximum(best[:, 1:], np.where(same, best[:, :-1] + 1, 0)), axis=1)
+            out[part] = best[:, -1]
+    return out
 
 
 def _agree(a: np.ndarray, b: np.ndarray) -> int:
@@ -718,17 +812,54 @@ def _agree(a: np.ndarray, b: np.ndarray) -> int:
     return n
 
 
+def _agree_all(mine: np.ndarray, theirs: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
+    """How many words agree from ``a`` and ``b`` on, for each two, forwards (``step`` 1) or backwards (-1), of ``most``."""
+    out = np.zeros(len(a), np.int64)
+    more = np.arange(len(a))
+    for begin, end in ((0, 8), (8, 40)):
+        reach = np.arange(begin, end)
+        for some in np.array_split(more, len(more) // (1 << 14) + 1) if len(more) else ():
+            same = mine.take(a[some, None] + step * reach, mode="clip") == theirs.take(b[some, None] + step * reach, mode="clip")
+            same &= reach < most[some, None]
+            out[some] = begin + np.where(same.all(axis=1), len(reach), same.argmin(axis=1))
+        more = more[(out[more] == end) & (most[more] > end)]
+    for i in more.tolist():
+        x, y, n = int(a[i]), int(b[i]), int(most[i])
+        if step > 0:
+            out[i] = _agree(mine[x : x + n], theirs[y : y + n])
+        else:
+            out[i] = _agree(mine[x - n + 1 : x + 1][::-1], theirs[y - n + 1 : y + 1][::-1])
+    return out
+
+
+def _align_all(mine: np.ndarray, begin: np.ndarray, end: np.ndarray, theirs: np.ndarray, their_begin: np.ndarray,
+               their_end: np.ndarray, place: np.ndarray, source: np.ndarray, words: np.ndarray, size: np.ndarray, low: np.ndarray):
+    """(place, words, source place, source words, equal words) of each chain, extended while words are equal. Blocks lie end to
+    end, ``size`` of them a chain; a chain's places count from ``begin``, and its text ends at ``end``. Of a source only the
+    words from place ``low`` on are there."""
+    last = np.cumsum(size) - 1
+    first = last - size + 1
+    a, sa = begin + place[first], their_begin + source[first]
+    b, sb = begin + place[last] + words[last], their_begin + source[last] + words[last]
+    inner = np.ones(max(len(words), 1), bool)  # blocks with another after them
+    inner[last] = False
+    at = np.flatnonzero(inner[: len(words)])
+    of = np.repeat(np.arange(len(size)), size)[at]
+    ends, source_ends = place[at] + words[at], source[at] + words[at]
+    gaps = _equal_words(mine, theirs, begin[of] + ends, place[at + 1] - ends, their_begin[of] + source_ends, source[at + 1] - source_ends)
+    equal = np.concatenate(([0], np.cumsum(words)))
+    equal = equal[last + 1] - equal[first] + np.bincount(of, gaps, len(size)).astype(np.int64)
+    before = _agree_all(mine, theirs, a - 1, sa - 1, np.minimum(place[first], source[first] - low), -1)
+    after = _agree_all(mine, theirs, b, sb, np.minimum(end - b, their_end - sb), 1)
+    return a - begin - before, b - a + before + after, sa - their_begin - before, sb - sa + before + after, equal + before + after
+
+
 def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) -> tuple[int, int, int, int, int]:
-    """(place, words, source place, source words, equal words) of a chain, extended while words are equal."""
-    place, source, words = blocks.tolist()
-    equal = sum(words)
-    for i in range(len(place) - 1):
-        equal += _equal_words(mine[place[i] + words[i] : place[i + 1]],
-                              theirs[source[i] + words[i] - low : source[i + 1] - low])
-    a, sa, b, sb = place[0], source[0], place[-1] + words[-1], source[-1] + words[-1]
-    before = _agree(mine[:a][::-1], theirs[: max(sa - low, 0)][::-1])
-    after = _agree(mine[b:], theirs[max(sb - low, 0) :])
-    return a - before, b - a + before + after, sa - before, sb - sa + before + after, equal + before + after
+    """:func:`_align_all` of one chain with the words from ``low`` on of a source."""
+    place, source, words = blocks.astype(np.int64)
+    begin, end, their_begin, their_end, size, low = (np.array([x]) for x in (0, len(mine), -low, len(theirs), len(words), low))
+    found = _align_all(mine, begin, end, theirs, their_begin, their_end, place, source, words, size, low)
+    return tuple(int(x[0]) for x in found)
 
 
 def _shared_runs(mine: np.ndarray, theirs: np.ndarray, start: int, low: int, met: np.ndarray, k: int):
@@ -753,41 +884,67 @@ def _shared_runs(mine: np.ndarray, theirs: np.ndarray, start: int, low: int, met
 _COUNTED = f"unit long, row long, source long, counted binary, {_NEAR}"
 
 
-def _counted(unit: Unit, words, right: pa.Table, percent: int, k: int) -> dict[int, list]:
+def _values(column, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a packed column end to end, and how many each row has."""
+    column = column.combine_chunks()
+    data, offsets = bytes_of(column if isinstance(column, pa.Array) else pa.array([], pa.binary()))
+    return np.frombuffer(data.tobytes(), dtype), np.diff(offsets) // np.dtype(dtype).itemsize
+
+
+def _counted(unit: Unit, right: pa.Table, percent: int, k: int) -> dict[int, list]:
     """The chains of each row that count: (first word, last word + 1, source, the same there, equal words)."""
-    hashes = words.hashes().astype("<u4")
     asked = right.filter(pa.compute.is_valid(right["high"]))
     replies = right.filter(pa.compute.is_valid(right["words"]))
-    sources = {s: (low, np.frombuffer(w.as_buffer(), "<u4"))
-               for s, low, w in zip(replies["source"].to_pylist(), replies["low"].to_pylist(), replies["words"])}
-    found: dict[int, list] = {}
-    def add(row: int, source: int, blocks: np.ndarray) -> None:
-        low, theirs = sources[source]
-        mine = hashes[words.first[row] : words.first[row + 1]]
-        a, n, sa, sn, equal = align(mine, theirs, low, blocks)
-        if n >= SHORTEST and 100 * equal >= percent * max(n, sn):
-            found.setdefault(row, []).append((a, a + n, source, sa, sa + sn, equal))
-
-    rows, of = asked["row"].to_pylist(), asked["source"].to_pylist()
+    if not len(asked) or not len(replies):
+        return {}
+    rows, of = asked["row"].to_numpy(), asked["source"].to_numpy()
+    needed, row = np.unique(rows, return_inverse=True)
+    words = unit.texts.take(needed).words()
+    hashes, first = words.hashes().astype("<u4"), words.first
+    theirs, sizes = _values(replies["words"], "<u4")
+    sources, lows = replies["source"].to_numpy(), replies["low"].to_numpy()
+    by = np.argsort(sources, kind="stable")
+    reply = by[np.searchsorted(sources[by], of, "right") - 1]  # there is one for each source
+    known = sources[reply] == of
+    ends = np.cumsum(sizes)
     if "blocks" in asked.column_names:
-        for row, source, blocks in zip(rows, of, asked["blocks"]):
-            if source in sources:
-                add(row, source, np.frombuffer(blocks.as_buffer(), "<i4").reshape(3, -1))
-        return found
-    for row, source, start, end, least, most, met in zip(rows, of, *(asked[n].to_pylist() for n in ("start", "end", "low", "high")), asked["met"]):
-        if source in sources:
-            low, theirs = sources[source]
-            first, last = max(least, low), min(most, low + len(theirs))
-            mine = hashes[words.first[row] + start : min(words.first[row] + end, words.first[row + 1])]
-            places, there = ([np.asarray(x) for x in met.values.field(i).to_pylist()] for i in range(2))
-            met = np.concatenate([np.stack([np.repeat(x, len(y)), np.tile(y, len(x))]) for x, y in zip(places, there)], axis=1)
-            met = np.unique(met, axis=1)
-            place, source_place = _shared_runs(mine, theirs[first - low : last - low], start, first, met, k)
-            if len(place):
-                blocks = np.stack(_pieces(*blocks_of(place, source_place, k)[:3], k))
-                for chain in chains_of(*blocks.tolist()):
-                    if len(chain) > 1 or blocks[2, chain[0]] > k:
-                        add(row, source, blocks[:, chain])
+        flat, size = _values(asked["blocks"], "<i4")
+        size //= 3
+        begin = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) + np.repeat(2 * begin, size)
+        place, source, length = (flat[at + i * np.repeat(size, size)].astype(np.int64) for i in range(3))
+        chain = np.arange(len(rows))
+    else:
+        parts, size, chain = [np.empty((3, 0), np.int64)], [], []
+        for i, start, end, least, most, met in zip(range(len(rows)), *(asked[n].to_pylist() for n in ("start", "end", "low", "high")), asked["met"]):
+            if known[i]:
+                j = reply[i]
+                low, their = int(lows[j]), theirs[ends[j] - sizes[j] : ends[j]]
+                from_, to = max(least, low), min(most, low + len(their))
+                mine = hashes[first[row[i]] + start : min(first[row[i]] + end, first[row[i] + 1])]
+                places, there = ([np.asarray(x) for x in met.values.field(i).to_pylist()] for i in range(2))
+                met = np.concatenate([np.stack([np.repeat(x, len(y)), np.tile(y, len(x))]) for x, y in zip(places, there)], axis=1)
+                met = np.unique(met, axis=1)
+                found = _shared_runs(mine, their[from_ - low : to - low], start, from_, met, k)
+                if len(found[0]):
+                    blocks = np.stack(_pieces(*blocks_of(*found, k)[:3], k))
+                    for one in chains_of(*blocks.tolist()):
+                        if len(one) > 1 or blocks[2, one[0]] > k:
+                            parts.append(blocks[:, one])
+                            size.append(len(one))
+                            chain.append(i)
+        place, source, length = np.concatenate(parts, axis=1)
+        size, chain = np.array(size, np.int64), np.array(chain, np.int64)
+    good = known[chain]
+    blocks = np.repeat(good, size)
+    chain, size = chain[good], size[good]
+    row, reply = row[chain], reply[chain]
+    a, n, sa, sn, equal = _align_all(hashes, first[row], first[row + 1], theirs, (ends - sizes - lows)[reply], ends[reply],
+                                     place[blocks], source[blocks], length[blocks], size, lows[reply])
+    counts = (n >= SHORTEST) & (100 * equal >= percent * np.maximum(n, sn))
+    found: dict[int, list] = {}
+    for x, *what in zip(*(x[counts].tolist() for x in (rows[chain], a, a + n, of[chain], sa, sa + sn, equal))):
+        found.setdefault(x, []).append(tuple(what))
     return found
 
 
@@ -797,14 +954,19 @@ def _align_first(k: int, least: int, percent: int):
         out = {n: [] for n in schema_of(_COUNTED).names}
         if len(left) and len(right):
             unit = Unit(left)
-            words = unit.texts.words()
-            found = _counted(unit, words, right, percent, k)
-            for row, chains in found.items():
-                for a, b, source, *rest in chains:
-                    _add_row(out, unit=unit.number, row=row, source=source, counted=np.array([a, b, *rest], "<i8").tobytes())
+            found = _counted(unit, right, percent, k)
+            rows = np.repeat(np.fromiter(found, np.int64, len(found)), [len(x) for x in found.values()])
+            chains = np.array([c for x in found.values() for c in x], np.int64).reshape(-1, 6)
             near = Near.read(right)
-            sure = [(r, *c[:2]) for r in np.unique(near.row).tolist() for c in found.get(r, ())]
-            near.take(_open(near.row, near.place, words.first, k, sure, least)).add_to(out, unit.number, k)
+            texts = np.unique(near.row)
+            first = unit.texts.take(texts).words().first
+            sure = [(i, *c[:2]) for i, r in enumerate(texts.tolist()) for c in found.get(r, ())]
+            near.take(_open(np.searchsorted(texts, near.row), near.place, first, k, sure, least)).add_to(out, unit.number, k)
+            schema = schema_of(_COUNTED)
+            columns = {"unit": np.full(len(rows), unit.number), "row": rows, "source": chains[:, 2].copy(),
+                       "counted": _in_rows(chains[:, [0, 1, 3, 4, 5]].copy(), np.full(len(rows), 5))}
+            columns = [pa.array(columns[x.name], x.type) if x.name in columns else pa.nulls(len(rows), x.type) for x in schema]
+            return pa.concat_tables([pa.table(columns, schema=schema), pa.table(out, schema)])
         return pa.table(out, schema_of(_COUNTED))
 
     return run
@@ -812,25 +974,31 @@ def _align_first(k: int, least: int, percent: int):
 
 def _passages(unit: Unit, right: pa.Table, k: int, least: int, percent: int):
     """Per row with repeated passages: the runs (first word, last word + 1), and the chains that make them."""
-    words = unit.texts.words()
     found: dict[int, list] = {}
     before = right.filter(pa.compute.is_valid(right["counted"]))
-    for row, source, counted in zip(before["row"].to_pylist(), before["source"].to_pylist(), arrays(before["counted"], "<i8")):
-        a, b, *rest = counted.tolist()
+    counted = _values(before["counted"], "<i8")[0].reshape(-1, 5).tolist()
+    for row, source, (a, b, *rest) in zip(before["row"].to_pylist(), before["source"].to_pylist(), counted):
         found.setdefault(row, []).append((a, b, source, *rest))
-    for row, chains in _counted(unit, words, right, percent, k).items():  # what both searches find is one chain
+    for row, chains in _counted(unit, right, percent, k).items():  # what both searches find is one chain
         found[row] = found.get(row, []) + sorted(set(chains).difference(found.get(row, ())))
     for row, chains in found.items():
         chains.sort()
-        runs: list[list[int]] = []
-        for a, b, *_ in chains:
-            if runs and a <= runs[-1][1]:
-                runs[-1][1] = max(runs[-1][1], b)
-            else:
-                runs.append([a, b])
-        runs = [r for r in runs if r[1] - r[0] >= least]
+        runs: list[tuple[int, int]] = []
+        held: list = []
+        first = end = at = 0
+        for i, chain in enumerate(chains):
+            if i and chain[0] <= end:
+                end = max(end, chain[1])
+                continue
+            if i and end - first >= least:
+                runs.append((first, end))
+                held += chains[at:i]
+            first, end, at = chain[0], chain[1], i
+        if end - first >= least:
+            runs.append((first, end))
+            held += chains[at:]
         if runs:
-            yield row, runs, [c for c in chains if any(r[0] <= c[0] and c[1] <= r[1] for r in runs)], words
+            yield row, runs, held
 
 
 _FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_first_word long, source_n_words long, "
@@ -839,14 +1007,14 @@ _FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_fi
 
 def _list_passages(k: int, least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {n: [] for n in schema_of(_FOUND).names}
+        rows, found = [np.empty(0, np.int64)], []
         if len(left) and len(right):
             unit = Unit(left)
-            for row, _, chains, _ in _passages(unit, right, k, least, percent):
-                for a, b, source, sa, sb, equal in chains:
-                    for name, value in zip(out, (unit.ids[row].as_py(), source, a, b - a, sa, sb - sa, equal)):
-                        out[name].append(value)
-        return pa.table(out, schema_of(_FOUND))
+            for row, _, chains in _passages(unit, right, k, least, percent):
+                rows.append(np.full(len(chains), unit.doc[row]))
+                found += chains
+        a, b, source, sa, sb, equal = np.array(found, np.int64).reshape(-1, 6).T
+        return pa.table([*map(pa.array, (np.concatenate(rows), source, a, b - a, sa, sb - sa, equal))], schema=schema_of(_FOUND))
 
     return run
 
@@ -861,9 +1029,9 @@ def _cut_passages(columns: list[str], text: str, chars: str, k: int, least: int,
         texts = rows.field(columns.index(text)).to_pylist()
         counts = rows.field(columns.index(chars)).to_pylist() if chars in columns else None
         data, offsets = unit.texts.data, unit.texts.offsets
-        for row, runs, _, words in _passages(unit, right, k, least, percent) if len(right) else ():
+        for row, runs, _ in _passages(unit, right, k, least, percent) if len(right) else ():
             begin, end = int(offsets[row]), int(offsets[row + 1])
-            starts = words.start[words.first[row] : words.first[row + 1]]
+            starts = unit.texts.take(np.array([row])).words().start + begin
             kept, at = [], begin
             for a, b in runs:
                 kept.append(data[at : starts[a]].tobytes())

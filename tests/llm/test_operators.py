@@ -237,6 +237,91 @@ def test_ends_of_chains_reach_as_far_as_words_agree():
     assert chaining.align(mine, theirs, 10, np.array([[3], [13], [1]])) == (1, 5, 11, 5, 5)
 
 
+def _unit(texts, ids=None):
+    import pyarrow as pa
+
+    return pa.table({"doc_id": pa.array(ids or range(len(texts)), pa.int64()), "text": pa.array(texts), "unit": pa.array([3] * len(texts), pa.int64())})
+
+
+def test_replies_hash_only_the_words_that_are_asked_for(monkeypatch):
+    import pyarrow as pa
+
+    from ledgermill.llm.text import Words
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(20)]
+    whole = chaining.Unit(_unit(texts)).texts.words()
+    hashes, want = whole.hashes().astype("<u4"), []
+    ask = [(40, 4, 10, 30), (41, 4, 20, 60), (40, 9, 290, 400), (42, 19, 0, 7), (43, 99, 0, 7)]
+    for asker, source, low, high in ask[:4]:
+        a, b = whole.first[source], whole.first[source + 1]
+        want.append((asker, source, low, hashes[a + low : min(a + high, b)].tobytes()))
+    hashed, run = [], Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self, *a: hashed.append(run(self, *a)) or hashed[-1])
+    asked = pa.table(dict(zip(chaining.schema_of(chaining._ASKED).names, map(list, zip(*ask)))))
+    got = chaining._reply(None, _unit(texts), asked)
+    assert list(zip(*got.to_pydict().values())) == want
+    assert sum(map(len, hashed)) == 50 + 10 + 7  # of 6,000
+
+
+def test_seeds_are_the_smallest_of_their_windows():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(n)) for n in (0, 3, 5, 6, 7, 8, 9, 400, 1, 6, 120)] + ["a " * 90]
+    for k in (1, 2, 5):
+        unit = chaining.Unit(_unit(texts))
+        seeds = chaining.Seeds(unit, k)
+        want = []
+        for row, (a, b) in enumerate(zip(seeds.words.first[:-1], seeds.words.first[1:])):
+            grams = chaining.sequence_hashes(seeds.word_hashes[a:b], k).tolist()
+            picked = {min(range(w, min(w + chaining.WINDOW, len(grams))), key=lambda i: (grams[i] >> 24, i))
+                      for w in range(max(len(grams) - chaining.WINDOW, 0) + 1) if grams}
+            want += [(row, i, grams[i]) for i in sorted(picked)]
+        assert list(zip(seeds.row.tolist(), seeds.place.tolist(), seeds.hash.tolist())) == want
+        assert seeds.order.tolist() == np.argsort(seeds.hash, kind="stable").tolist()
+    same = np.array([5 << 40, 4, 5 << 40, 3, 2, 4], np.uint64)  # differ in low bits only
+    assert chaining._ordered(same)[0].tolist() == np.argsort(same, kind="stable").tolist()
+
+
+def test_orders_of_wide_and_narrow_columns_agree():
+    rng = np.random.default_rng(6)
+    for wide in (0, 1 << 61):
+        columns = [rng.integers(-4, 4, 300), rng.integers(0, 3, 300) * wide - 7, rng.integers(0, 5, 300)]
+        assert chaining._order_of(*columns).tolist() == np.lexsort(columns[::-1]).tolist()
+        assert [tuple(r) for r in np.stack(chaining._distinct_rows(*columns), axis=1).tolist()] == sorted(set(zip(*(c.tolist() for c in columns))))
+    assert [len(c) for c in chaining._distinct_rows(*np.empty((2, 0), np.int64))] == [0, 0]
+
+
+def test_packed_rows_may_take_several_arrays(monkeypatch):
+    values, size = np.arange(20, dtype="<u4"), np.array([3, 0, 9, 1, 7])
+    want = [values[b - n : b].tobytes() for b, n in zip(np.cumsum(size), size)]
+    assert chaining._in_rows(values, size).to_pylist() == want and chaining._in_rows(values[:0], size[:0]).to_pylist() == []
+    monkeypatch.setattr(chaining, "_MOST_BYTES", 40)
+    assert chaining._in_rows(values, size).to_pylist() == want and chaining._in_rows(values, size).num_chunks > 1
+
+
+def test_gaps_are_aligned_together():
+    rng = np.random.default_rng(8)
+    mine, theirs = rng.integers(0, 4, 90), rng.integers(0, 4, 90)
+    a, b, n, m = rng.integers(0, 70, 60), rng.integers(0, 70, 60), rng.integers(-3, 17, 60), rng.integers(-3, 17, 60)
+
+    def longest(x, y):
+        best = [0] * (len(y) + 1)
+        for u in x:
+            row = [0]
+            for j, v in enumerate(y):
+                row.append(max(row[-1], best[j + 1], best[j] + (u == v)))
+            best = row
+        return best[-1]
+
+    got = chaining._equal_words(mine, theirs, a, n, b, m)
+    assert got.tolist() == [longest(mine[i : i + max(p, 0)].tolist(), theirs[j : j + max(q, 0)].tolist()) for i, p, j, q in zip(a, n, b, m)]
+
+
+def test_texts_without_a_seed_have_no_passages(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, ""), (None, "a b c d e f g h i j k l"), (3, None)], "doc_id long, text string")
+    assert chaining.repeated_passages(df).count() == 0
+    assert sorted(map(tuple, chaining.cut_passages(df).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
 def test_chain_prefers_collinear_blocks():
     chains = chaining.chains_of([0, 12, 30], [100, 112, 5], [10, 10, 10])
     assert chains[0] == [0, 1] and [2] in chains
