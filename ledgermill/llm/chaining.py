@@ -64,6 +64,11 @@ def _word_sums(word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate(([_U(0)], np.cumsum(word_hashes * up[:n], dtype=_U))), down
 
 
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places from ``begin`` on, ``size`` of them, of one after the other."""
+    return np.arange(int(size.sum())) + np.repeat(begin - np.cumsum(size) + size, size)
+
+
 def _ordered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stable order of hashes, and the hashes in it: their upper bits with their places below are sorted as values, which is
     several times faster, and is the order unless different hashes agree in the upper bits."""
@@ -172,7 +177,7 @@ class Seeds(Kinds):
         n, a = n[rows], first[:-1][rows]
         # the leftmost smallest of each window; a document shorter than a window has one
         count = np.maximum(n - WINDOW, 0) + 1
-        windows = np.arange(int(count.sum())) + np.repeat(a - np.cumsum(count) + count, count)
+        windows = _spread(a, count)
         low = _U(0xFFFFFF)
         at = np.arange(len(grams), dtype=_U)
         if len(grams) > int(low):
@@ -275,11 +280,15 @@ def _answer_places(table: pa.Table) -> pa.Table:
     lists = arrays(table["hashes"], "<u8")
     hashes, docs = joined(lists, "<u8"), joined(arrays(table["docs"], "<i8"), "<i8")
     places = joined(arrays(table["places"], "<u4"), "<u4")
-    order = np.lexsort((places, docs, hashes))
+    order = _order_of(hashes.astype(np.int64))
     new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
+    first, of = np.flatnonzero(new), np.cumsum(new) - 1
     kind = np.empty(len(order), np.int64)
-    kind[order] = np.cumsum(new) - 1
-    docs, places = docs[order[new]][kind], places[order[new]][kind]
+    kind[order] = of
+    docs, places = docs[order], places[order]
+    low_doc = np.minimum.reduceat(docs, first)
+    places = np.minimum.reduceat(np.where(docs == low_doc[of], places, np.iinfo(np.uint32).max), first).astype("<u4")
+    docs, places = low_doc[kind], places[kind]
     ends = np.cumsum([len(x) for x in lists])
     cut = [(int(e) - len(x), int(e)) for e, x in zip(ends, lists)]
     return pa.table(
@@ -371,16 +380,16 @@ def _chains_in_groups(place: np.ndarray, source: np.ndarray, words: np.ndarray,
     return np.array(of, np.int64), np.array(size, np.int64)
 
 
-def _pieces(place: np.ndarray, source: np.ndarray, words: np.ndarray, k: int):
-    """Blocks with k words at each end apart, by place: where two blocks overlap, a chain can do without such an end."""
+def _pieces(place: np.ndarray, source: np.ndarray, words: np.ndarray, k: int, *group: np.ndarray):
+    """Blocks with k words at each end apart, by group and place: where two blocks overlap, a chain can do without such an end."""
     head = np.where(words >= 2 * k, k, words)
     tail = np.where(words >= 3 * k, k, 0)
     cut = np.stack([np.zeros_like(words), head, words - tail, words])
     start, size = cut[:-1].ravel(), np.diff(cut, axis=0).ravel()
-    place, source = np.tile(place, 3) + start, np.tile(source, 3) + start
-    by = np.lexsort((source, place))
+    place, source, group = np.tile(place, 3) + start, np.tile(source, 3) + start, [np.tile(x, 3) for x in group]
+    by = np.lexsort((source, place, *group))
     by = by[size[by] > 0]
-    return place[by], source[by], size[by]
+    return place[by], source[by], size[by], *(x[by] for x in group)
 
 
 def _union(start: np.ndarray, end: np.ndarray):
@@ -542,20 +551,36 @@ def _send_chains(k: int, bits: int, least: int, percent: int):
             # chains that count whatever their gaps and ends hold: those can only add to the share of equal words
             sure = (p[last] + w[last] - begin >= SHORTEST) & (100 * equal >= percent * n_words)
             _add_near(out, seeds, *firsts, matches, np.stack([rows, begin, p[last] + w[last]], axis=1)[sure], least)
-            at = np.arange(int(n.sum())) + np.repeat(2 * (np.cumsum(n) - n), n)
+            at = _spread(3 * (np.cumsum(n) - n), n)
             flat = np.empty(3 * len(at), "<i4")
             for i, x in enumerate((p, s, w)):
                 flat[at + i * np.repeat(n, n)] = x[blocks]
-            chains = {"unit": np.full(len(n), unit.number), "row": rows, "source": docs[number_of[g[first]]], "low": low, "high": high,
-                      "blocks": _in_rows(flat, 3 * n)}
+            sources = docs[number_of[g[first]]]
+            _add_chains(out, unit.number, rows, sources, n, flat)
+            asks = pa.table({"unit": np.full(len(n), unit.number), "source": sources, "low": low, "high": high})
             schema = schema_of(_CHAINS)
-            chains = [pa.array(chains[x.name], x.type) if x.name in chains else pa.nulls(len(n), x.type) for x in schema]
-            return pa.concat_tables([pa.table(chains, schema=schema), pa.table(out, schema)])
+            asks = asks.group_by(["unit", "source"]).aggregate([("low", "min"), ("high", "max")]).rename_columns(asks.column_names)
+            asks = [asks[x.name] if x.name in asks.column_names else pa.nulls(len(asks), x.type) for x in schema]
+            return pa.concat_tables([pa.table(asks, schema=schema), pa.table(out, schema)])
         return pa.table(out, schema_of(_CHAINS))
 
     return run
 
 
+#: Chains of a unit in one row.
+_PACK = 1 << 16
+
+
+def _add_chains(out: dict, unit: int, rows: np.ndarray, sources: np.ndarray, size: np.ndarray, blocks: np.ndarray) -> None:
+    """Packed chains: their rows (``froms``), sources, blocks of each (``chains``), and the blocks end to end, of each chain the
+    places, source places and words."""
+    ends = np.concatenate(([0], np.cumsum(3 * size)))
+    for i in range(0, len(size), _PACK):
+        j = min(i + _PACK, len(size))
+        _add_row(out, unit=unit, froms=rows[i:j].astype("<u4").tobytes(), sources=sources[i:j].astype("<i8").tobytes(),
+                 chains=size[i:j].astype("<i4").tobytes(), blocks=blocks[ends[i] : ends[j]].tobytes())
+
+
 def _add_row(out: dict, **values) -> None:
     for name in out:
         out[name].append(values.get(name))
@@ -620,12 +645,16 @@ def _asked_seeds(_, left: pa.Table, right: pa.Table) -> pa.Table:
     out = {n: [] for n in schema_of(_ASKED_SEEDS).names}
     if len(left) and len(right):
         asked = np.unique(joined(_unpack(right["hashes"]), _U))
-        for unit, bucket, hashes in zip(left["unit"].to_pylist(), left["bucket"].to_pylist(), _unpack(left["hashes"])):
-            there = np.isin(hashes, asked)
-            if there.any():
-                out["unit"].append(unit)
-                out["bucket"].append(bucket)
-                out["many"].append(np.packbits(there).tobytes())
+        lists = _unpack(left["hashes"])
+        hashes = joined(lists, _U)
+        there = asked.take(np.searchsorted(asked, hashes), mode="clip") == hashes if len(asked) else np.zeros(len(hashes), bool)
+        ends = np.cumsum([len(x) for x in lists])
+        some = np.diff(np.cumsum(there)[ends - 1], prepend=0) > 0
+        units, buckets = left["unit"].to_numpy(), left["bucket"].to_numpy()
+        for i in np.flatnonzero(some).tolist():
+            out["unit"].append(units[i])
+            out["bucket"].append(buckets[i])
+            out["many"].append(np.packbits(there[ends[i] - len(lists[i]) : ends[i]]).tobytes())
     return pa.table(out, schema_of(_ASKED_SEEDS))
 
 
@@ -862,26 +891,67 @@ def align(mine: np.ndarray, theirs: np.ndarray, low: int, blocks: np.ndarray) ->
     return tuple(int(x[0]) for x in found)
 
 
-def _shared_runs(mine: np.ndarray, theirs: np.ndarray, start: int, low: int, met: np.ndarray, k: int):
-    """Runs of k words of two stretches (from words ``start`` and ``low`` on) that are equal: (place, source place). They are
-    sought on the diagonal of each two places that met, within ``NEAR`` words; and a run's first place in the source is tried."""
-    grams, known = sequence_hashes(mine.astype(_U), k), sequence_hashes(theirs.astype(_U), k)
+def _shared_runs(mine: np.ndarray, a: np.ndarray, n: np.ndarray, theirs: np.ndarray, b: np.ndarray, m: np.ndarray, met, k: int):
+    """Runs of k words that are equal in two stretches, for each two (``n`` words of mine from ``a`` on and ``m`` of theirs from
+    ``b`` on): which two, and the places within them. They are sought on the diagonal of each two places that met, within
+    ``NEAR`` words; and a run's first place in the source is tried."""
+    grams = sequence_hashes(mine.take(_spread(a, n)).astype(_U), k)
+    known = sequence_hashes(theirs.take(_spread(b, m)).astype(_U), k)
     if not len(grams) or not len(known):
-        return np.empty((2, 0), np.int64)
+        return np.empty((3, 0), np.int64)
+    a, b = np.cumsum(n) - n, np.cumsum(m) - m
+    n, m = np.maximum(n - k + 1, 0), np.maximum(m - k + 1, 0)
+    two = np.arange(len(n))
+    of, at, known_of, known_at = np.repeat(two, n), _spread(a, n), np.repeat(two, m), _spread(b, m)
+    apart = mix(two.astype(_U) + _U(1))  # runs of different stretches are different
+    order, kinds = _ordered(mix(known[known_at] ^ apart[known_of]))
+    new = np.r_[True, kinds[1:] != kinds[:-1]][: len(kinds)]
+    order, kinds = order[new], kinds[new]
+    own = mix(grams[at] ^ apart[of])
+    kind = np.searchsorted(kinds, own).clip(max=len(kinds) - 1)
+    there = np.flatnonzero(kinds[kind] == own) if len(kinds) else np.empty(0, np.int64)
+    place, source = at[there] - a[of[there]], known_at[order[kind[there]]] - b[of[there]]
+    found = [(of[there], place, source)]
     reach = np.arange(-NEAR, NEAR + 2 * k + GAP)
-    place = (met[0] - start)[:, None] + reach
-    source = (met[1] - low)[:, None] + reach
-    inside = (place >= 0) & (place < len(grams)) & (source >= 0) & (source < len(known))
-    place, source = place[inside], source[inside]
-    same = grams[place] == known[source]
-    kinds, first = np.unique(known, return_index=True)
-    at = np.searchsorted(kinds, grams).clip(max=len(kinds) - 1)
-    there = np.flatnonzero(kinds[at] == grams)
-    both = np.unique(np.concatenate([place[same] * len(known) + source[same], there * len(known) + first[at[there]]]))
-    return both // len(known) + start, both % len(known) + low
-
+    for part in np.array_split(np.arange(len(met[0])), len(met[0]) // (1 << 13) + 1):
+        of, place, source = (x[part][:, None] for x in met)
+        place, source = place + reach, source + reach
+        inside = (place >= 0) & (place < n[of]) & (source >= 0) & (source < m[of])
+        of, place, source = np.broadcast_to(of, inside.shape)[inside], place[inside], source[inside]
+        same = grams[a[of] + place] == known[b[of] + source]
+        found.append((of[same], place[same], source[same]))
+    return _distinct_rows(*map(np.concatenate, zip(*found)))
+
+
+def _met(column: pa.ListArray) -> list[np.ndarray]:
+    """Each two places that met: of which row, place here and there."""
+    pairs = column.flatten()
+    row = np.repeat(np.arange(len(column)), pa.compute.list_value_length(column).to_numpy())
+    (places, n), (sources, m) = ((x.flatten().to_numpy().astype(np.int64), pa.compute.list_value_length(x).to_numpy().astype(np.int64))
+                                 for x in pairs.flatten())
+    first, source_first, size = np.cumsum(n) - n, np.cumsum(m) - m, n * m
+    of = np.repeat(np.arange(len(size)), size)
+    at = _spread(0 * size, size)
+    return _distinct_rows(row[of], places[first[of] + at // m[of]], sources[source_first[of] + at % m[of]])
+
+
+_COUNTED = f"unit long, row long, counted binary, {_NEAR}"
+
+
+def _add_counted(out: dict, unit: int, found: np.ndarray) -> None:
+    """Packed chains that count, as of :func:`_counted`: the source is the last column, and as long as two others."""
+    narrow = np.concatenate([found[:, [0, 1, 2, 4, 5, 6]].astype("<i4"), found[:, 3:4].astype("<i8", order="C").view("<i4")], axis=1)
+    for i in range(0, len(found), _PACK):
+        _add_row(out, unit=unit, counted=narrow[i : i + _PACK].tobytes())
+
+
+def _read_counted(column) -> np.ndarray:
+    narrow = _values(column, "<i4")[0].reshape(-1, 8)
+    found = np.empty((len(narrow), 7), np.int64)
+    found[:, [0, 1, 2, 4, 5, 6]] = narrow[:, :6]
+    found[:, 3] = np.ascontiguousarray(narrow[:, 6:]).view("<i8")[:, 0]
+    return found
 
-_COUNTED = f"unit long, row long, source long, counted binary, {_NEAR}"
 
 
 def _values(column, dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -891,50 +961,54 @@ def _values(column, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), dtype), np.diff(offsets) // np.dtype(dtype).itemsize
 
 
-def _counted(unit: Unit, right: pa.Table, percent: int, k: int) -> dict[int, list]:
-    """The chains of each row that count: (first word, last word + 1, source, the same there, equal words)."""
-    asked = right.filter(pa.compute.is_valid(right["high"]))
+def _counted(unit: Unit, right: pa.Table, percent: int, k: int) -> np.ndarray:
+    """The chains that count: columns row, first word, last word + 1, source, the same there, equal words."""
+    first_search = "blocks" in right.column_names
+    asked = right.filter(pa.compute.is_valid(right["blocks" if first_search else "high"]))
     replies = right.filter(pa.compute.is_valid(right["words"]))
     if not len(asked) or not len(replies):
-        return {}
-    rows, of = asked["row"].to_numpy(), asked["source"].to_numpy()
+        return np.empty((0, 7), np.int64)
+    if first_search:
+        rows, sought = (_values(asked[n], t)[0].astype(np.int64) for n, t in (("froms", "<u4"), ("sources", "<i8")))
+    else:
+        rows, sought = asked["row"].to_numpy(), asked["source"].to_numpy()
     needed, row = np.unique(rows, return_inverse=True)
     words = unit.texts.take(needed).words()
     hashes, first = words.hashes().astype("<u4"), words.first
     theirs, sizes = _values(replies["words"], "<u4")
     sources, lows = replies["source"].to_numpy(), replies["low"].to_numpy()
     by = np.argsort(sources, kind="stable")
-    reply = by[np.searchsorted(sources[by], of, "right") - 1]  # there is one for each source
-    known = sources[reply] == of
+    reply = by[np.searchsorted(sources[by], sought, "right") - 1]  # there is one for each source
+    known = sources[reply] == sought
     ends = np.cumsum(sizes)
-    if "blocks" in asked.column_names:
-        flat, size = _values(asked["blocks"], "<i4")
-        size //= 3
-        begin = np.cumsum(size) - size
-        at = np.arange(int(size.sum())) + np.repeat(2 * begin, size)
+    if first_search:
+        flat, size = _values(asked["blocks"], "<i4")[0], _values(asked["chains"], "<i4")[0].astype(np.int64)
+        at = _spread(3 * (np.cumsum(size) - size), size)
         place, source, length = (flat[at + i * np.repeat(size, size)].astype(np.int64) for i in range(3))
         chain = np.arange(len(rows))
     else:
-        parts, size, chain = [np.empty((3, 0), np.int64)], [], []
-        for i, start, end, least, most, met in zip(range(len(rows)), *(asked[n].to_pylist() for n in ("start", "end", "low", "high")), asked["met"]):
-            if known[i]:
-                j = reply[i]
-                low, their = int(lows[j]), theirs[ends[j] - sizes[j] : ends[j]]
-                from_, to = max(least, low), min(most, low + len(their))
-                mine = hashes[first[row[i]] + start : min(first[row[i]] + end, first[row[i] + 1])]
-                places, there = ([np.asarray(x) for x in met.values.field(i).to_pylist()] for i in range(2))
-                met = np.concatenate([np.stack([np.repeat(x, len(y)), np.tile(y, len(x))]) for x, y in zip(places, there)], axis=1)
-                met = np.unique(met, axis=1)
-                found = _shared_runs(mine, their[from_ - low : to - low], start, from_, met, k)
-                if len(found[0]):
-                    blocks = np.stack(_pieces(*blocks_of(*found, k)[:3], k))
-                    for one in chains_of(*blocks.tolist()):
-                        if len(one) > 1 or blocks[2, one[0]] > k:
-                            parts.append(blocks[:, one])
-                            size.append(len(one))
-                            chain.append(i)
+        parts, size, chain = [np.empty((3, 0), np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        start, end, least, most = (asked[n].to_numpy().astype(np.int64) for n in ("start", "end", "low", "high"))
+        meetings, all_ = asked["met"].combine_chunks(), np.flatnonzero(known)
+        step = np.cumsum((end - start + most - least)[all_]) // (1 << 18)  # so many words at once, or those of one row
+        for i in np.split(all_, np.flatnonzero(np.diff(step)) + 1):
+            j, begin = reply[i], first[row[i]] + start[i]
+            from_ = np.maximum(least[i], lows[j])
+            to = np.minimum(most[i], lows[j] + sizes[j])
+            of, here, there = _met(meetings.take(pa.array(i)))
+            met = of, here - start[i][of], there - from_[of]
+            n, m = np.minimum(end[i] - start[i], first[row[i] + 1] - begin), np.maximum(to - from_, 0)
+            of, here, there = _shared_runs(hashes, begin, n, theirs, (ends - sizes - lows)[j] + from_, m, met, k)
+            blocks = blocks_of(here + start[i][of], there + from_[of], k, of)[:4]
+            *blocks, of = _pieces(*blocks[:3], k, blocks[3])
+            which, n = _chains_in_groups(*blocks, of)
+            head = which[np.cumsum(n) - n]
+            keep = (n > 1) | (blocks[2][head] > k)
+            parts.append(np.stack(blocks)[:, which[np.repeat(keep, n)]])
+            size.append(n[keep])
+            chain.append(i[of[head[keep]]])
         place, source, length = np.concatenate(parts, axis=1)
-        size, chain = np.array(size, np.int64), np.array(chain, np.int64)
+        size, chain = np.concatenate(size), np.concatenate(chain)
     good = known[chain]
     blocks = np.repeat(good, size)
     chain, size = chain[good], size[good]
@@ -942,10 +1016,7 @@ def _counted(unit: Unit, right: pa.Table, percent: int, k: int) -> dict[int, lis
     a, n, sa, sn, equal = _align_all(hashes, first[row], first[row + 1], theirs, (ends - sizes - lows)[reply], ends[reply],
                                      place[blocks], source[blocks], length[blocks], size, lows[reply])
     counts = (n >= SHORTEST) & (100 * equal >= percent * np.maximum(n, sn))
-    found: dict[int, list] = {}
-    for x, *what in zip(*(x[counts].tolist() for x in (rows[chain], a, a + n, of[chain], sa, sa + sn, equal))):
-        found.setdefault(x, []).append(tuple(what))
-    return found
+    return np.stack([rows[chain], a, a + n, sought[chain], sa, sa + sn, equal], axis=1)[counts]
 
 
 def _align_first(k: int, least: int, percent: int):
@@ -955,50 +1026,36 @@ def _align_first(k: int, least: int, percent: int):
         if len(left) and len(right):
             unit = Unit(left)
             found = _counted(unit, right, percent, k)
-            rows = np.repeat(np.fromiter(found, np.int64, len(found)), [len(x) for x in found.values()])
-            chains = np.array([c for x in found.values() for c in x], np.int64).reshape(-1, 6)
             near = Near.read(right)
             texts = np.unique(near.row)
             first = unit.texts.take(texts).words().first
-            sure = [(i, *c[:2]) for i, r in enumerate(texts.tolist()) for c in found.get(r, ())]
+            sure = found[np.isin(found[:, 0], texts), :3]
+            sure[:, 0] = np.searchsorted(texts, sure[:, 0])
             near.take(_open(np.searchsorted(texts, near.row), near.place, first, k, sure, least)).add_to(out, unit.number, k)
-            schema = schema_of(_COUNTED)
-            columns = {"unit": np.full(len(rows), unit.number), "row": rows, "source": chains[:, 2].copy(),
-                       "counted": _in_rows(chains[:, [0, 1, 3, 4, 5]].copy(), np.full(len(rows), 5))}
-            columns = [pa.array(columns[x.name], x.type) if x.name in columns else pa.nulls(len(rows), x.type) for x in schema]
-            return pa.concat_tables([pa.table(columns, schema=schema), pa.table(out, schema)])
+            _add_counted(out, unit.number, found)
         return pa.table(out, schema_of(_COUNTED))
 
     return run
 
 
-def _passages(unit: Unit, right: pa.Table, k: int, least: int, percent: int):
-    """Per row with repeated passages: the runs (first word, last word + 1), and the chains that make them."""
-    found: dict[int, list] = {}
-    before = right.filter(pa.compute.is_valid(right["counted"]))
-    counted = _values(before["counted"], "<i8")[0].reshape(-1, 5).tolist()
-    for row, source, (a, b, *rest) in zip(before["row"].to_pylist(), before["source"].to_pylist(), counted):
-        found.setdefault(row, []).append((a, b, source, *rest))
-    for row, chains in _counted(unit, right, percent, k).items():  # what both searches find is one chain
-        found[row] = found.get(row, []) + sorted(set(chains).difference(found.get(row, ())))
-    for row, chains in found.items():
-        chains.sort()
-        runs: list[tuple[int, int]] = []
-        held: list = []
-        first = end = at = 0
-        for i, chain in enumerate(chains):
-            if i and chain[0] <= end:
-                end = max(end, chain[1])
-                continue
-            if i and end - first >= least:
-                runs.append((first, end))
-                held += chains[at:i]
-            first, end, at = chain[0], chain[1], i
-        if end - first >= least:
-            runs.append((first, end))
-            held += chains[at:]
-        if runs:
-            yield row, runs, held
+def _passages(unit: Unit, right: pa.Table, k: int, least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The repeated passages: columns row, first word, last word + 1; and the chains that make them, as of :func:`_counted`."""
+    found = _read_counted(right["counted"])
+    more = _counted(unit, right, percent, k)
+    if len(more):  # what both searches find is one chain
+        known = set(map(tuple, found[np.isin(found[:, 0], more[:, 0])].tolist()))
+        more = sorted(set(map(tuple, more.tolist())) - known)
+        found = np.concatenate([found, np.array(more, np.int64).reshape(-1, 7)])
+    found = found[_order_of(*found.T[:3])]
+    row, a, b = found.T[:3]
+    text = np.cumsum(np.r_[False, row[1:] != row[:-1]][: len(row)]) * (int(b.max(initial=0)) + 1)  # texts apart
+    reach = np.maximum.accumulate(text + b)
+    new = np.r_[True, (text + a)[1:] > reach[:-1]][: len(row)]
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(row)))
+    runs = np.stack([row[first], a[first], (reach - text)[first + size - 1]], axis=1)
+    long = runs[:, 2] - runs[:, 1] >= least
+    return runs[long], found[np.repeat(long, size)]
 
 
 _FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_first_word long, source_n_words long, "
@@ -1007,14 +1064,12 @@ _FOUND = ("doc_id long, source_id long, first_word long, n_words long, source_fi
 
 def _list_passages(k: int, least: int, percent: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, found = [np.empty(0, np.int64)], []
-        if len(left) and len(right):
-            unit = Unit(left)
-            for row, _, chains in _passages(unit, right, k, least, percent):
-                rows.append(np.full(len(chains), unit.doc[row]))
-                found += chains
-        a, b, source, sa, sb, equal = np.array(found, np.int64).reshape(-1, 6).T
-        return pa.table([*map(pa.array, (np.concatenate(rows), source, a, b - a, sa, sb - sa, equal))], schema=schema_of(_FOUND))
+        if not len(left) or not len(right):
+            return schema_of(_FOUND).empty_table()
+        unit = Unit(left)
+        row, a, b, source, sa, sb, equal = _passages(unit, right, k, least, percent)[1].T
+        columns = unit.doc[row], source, a, b - a, sa, sb - sa, equal
+        return pa.table([pa.array(np.ascontiguousarray(x)) for x in columns], schema=schema_of(_FOUND))
 
     return run
 
@@ -1029,11 +1084,14 @@ def _cut_passages(columns: list[str], text: str, chars: str, k: int, least: int,
         texts = rows.field(columns.index(text)).to_pylist()
         counts = rows.field(columns.index(chars)).to_pylist() if chars in columns else None
         data, offsets = unit.texts.data, unit.texts.offsets
-        for row, runs, _ in _passages(unit, right, k, least, percent) if len(right) else ():
+        runs = _passages(unit, right, k, least, percent)[0] if len(right) else np.empty((0, 3), np.int64)
+        cut = np.flatnonzero(np.r_[True, runs[1:, 0] != runs[:-1, 0], True]).tolist() if len(runs) else [0]
+        for i, j in zip(cut[:-1], cut[1:]):
+            row = int(runs[i, 0])
             begin, end = int(offsets[row]), int(offsets[row + 1])
             starts = unit.texts.take(np.array([row])).words().start + begin
             kept, at = [], begin
-            for a, b in runs:
+            for a, b in runs[i:j, 1:].tolist():
                 kept.append(data[at : starts[a]].tobytes())
                 at = int(starts[b]) if b < len(starts) else end
             texts[row] = (b"".join(kept) + data[at:end].tobytes()).decode()
@@ -1049,7 +1107,7 @@ def _cut_passages(columns: list[str], text: str, chars: str, k: int, least: int,
 
 def _prepared(docs: DataFrame, key: str, text: str, k: int, least: int, percent: int):
     """Units, and for each what its chains and the words of their sources are."""
-    rows, units, bits = unit_frame(docs, key, text)
+    rows, units, bits = unit_frame(docs, key, text, grow=True)
     by_unit = rows.groupBy("unit")
     sent = write_step(by_unit.applyInArrow(_send_hashes(k, bits), _MARKS), "passages-sent")
     marks = sent.groupBy("bucket").applyInArrow(_answer_anchors, "unit long, bucket int, many binary")
@@ -1090,5 +1148,5 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", chars
     occurrence of a passage and documents without repeats stay as they are."""
     _, answers = _prepared(docs, key, text, k, least, percent)
     answers = write_step(answers, "passages-answers").groupBy("u")
-    units = unit_frame(docs, key, text, True)[0].groupBy("unit")  # whole rows are dealt once, for the cut
+    units = unit_frame(docs, key, text, True, True)[0].groupBy("unit")  # whole rows are dealt once, for the cut
     return units.cogroup(answers).applyInArrow(_cut_passages(docs.columns, text, chars, k, least, percent), docs.schema)

@@ -316,6 +316,63 @@ def test_gaps_are_aligned_together():
     assert got.tolist() == [longest(mine[i : i + max(p, 0)].tolist(), theirs[j : j + max(q, 0)].tolist()) for i, p, j, q in zip(a, n, b, m)]
 
 
+def test_chains_that_count_are_sent_in_few_rows(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    found = rng.integers(0, 1 << 31, (1000, 7))
+    found[:, 3] = rng.integers(-(1 << 62), 1 << 62, 1000)
+    for most, rows in ((1 << 16, 1), (300, 4)):
+        monkeypatch.setattr(chaining, "_PACK", most)
+        out = {"unit": [], "counted": []}
+        chaining._add_counted(out, 5, found)
+        assert out["unit"] == [5] * rows
+        table = pa.table({"counted": pa.chunked_array([pa.array([None, *out["counted"], None], pa.binary())])})
+        assert chaining._read_counted(table["counted"]).tolist() == found.tolist()
+
+
+@pytest.mark.parametrize("least", [50, 90])
+def test_passages_are_runs_of_chains_that_touch(least):
+    import pyarrow as pa
+
+    rng, chains = random.Random(2), []
+    for _ in range(300):
+        a = rng.randrange(900)
+        chains.append((rng.randrange(6), a, a + rng.randint(20, 60), rng.randint(-9, 1 << 50), 7, 47, 25))
+    want = []
+    for row in range(6):
+        runs = []
+        for c in sorted(c for c in chains if c[0] == row):
+            if runs and c[1] <= max(x[2] for x in runs[-1]):
+                runs[-1].append(c)
+            else:
+                runs.append([c])
+        want += [r for r in runs if max(c[2] for c in r) - r[0][1] >= least]
+    out = {"unit": [], "counted": []}
+    chaining._add_counted(out, 3, np.array(chains))
+    right = pa.table(out).append_column("high", pa.nulls(1, pa.int64())).append_column("words", pa.nulls(1, pa.binary()))
+    runs, held = chaining._passages(chaining.Unit(_unit(["a b"])), right, 5, least, 80)
+    assert runs.tolist() == [[r[0][0], r[0][1], max(c[2] for c in r)] for r in want]
+    assert sorted(map(tuple, held.tolist())) == sorted(c for r in want for c in r)
+
+
+def test_units_and_buckets_hold_more_of_a_large_input(spark, monkeypatch):
+    from ledgermill.llm import units
+
+    monkeypatch.setattr(units, "UNIT_BYTES", 1 << 10)
+    monkeypatch.setattr(units, "BUCKET_BYTES", 1 << 11)
+    monkeypatch.setattr(units, "GROW_FROM", 1 << 13)
+    passage = " ".join(f"p{i}" for i in range(80))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)) + (" " + passage if i % 9 == 2 else "")) for i in range(200)]
+    total = sum(len(t) for _, t in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    (_, n, bits), (_, most, most_bits) = (units.unit_frame(df, "doc_id", "text", grow=g) for g in (True, False))
+    assert most == total // (1 << 10) + 1 and most_bits == (total // (1 << 11)).bit_length()
+    assert total / n <= 4 << 10 and (n << bits) * 4 < most << most_bits
+    found = {tuple(r) for r in chaining.repeated_passages(df).select("doc_id", "source_id", "n_words").collect()}
+    assert found == {(i, 2, 80) for i in range(11, 200, 9)}
+
+
 def test_texts_without_a_seed_have_no_passages(spark):
     df = spark.createDataFrame([(1, "a b"), (2, ""), (None, "a b c d e f g h i j k l"), (3, None)], "doc_id long, text string")
     assert chaining.repeated_passages(df).count() == 0
