@@ -356,7 +356,7 @@ def test_passages_are_runs_of_chains_that_touch(least):
     assert sorted(map(tuple, held.tolist())) == sorted(c for r in want for c in r)
 
 
-def test_units_and_buckets_hold_more_of_a_large_input(spark, monkeypatch):
+def test_buckets_hold_more_of_a_large_input(spark, monkeypatch):
     from ledgermill.llm import units
 
     monkeypatch.setattr(units, "UNIT_BYTES", 1 << 10)
@@ -368,7 +368,7 @@ def test_units_and_buckets_hold_more_of_a_large_input(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     (_, n, bits), (_, most, most_bits) = (units.unit_frame(df, "doc_id", "text", grow=g) for g in (True, False))
     assert most == total // (1 << 10) + 1 and most_bits == (total // (1 << 11)).bit_length()
-    assert total / n <= 4 << 10 and (n << bits) * 4 < most << most_bits
+    assert n == most and bits <= most_bits - 3  # units stay, as the ends of chains depend on them
     found = {tuple(r) for r in chaining.repeated_passages(df).select("doc_id", "source_id", "n_words").collect()}
     assert found == {(i, 2, 80) for i in range(11, 200, 9)}
 
